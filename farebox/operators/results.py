@@ -1,0 +1,96 @@
+"""Measurement files: writing them from raw operations and reporting over them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from farebox.operators.quality import latency_summary
+from farebox.schemas import CONSISTENCY_RESULT, SCALING_RESULT
+
+
+def write_scaling_results(operations: DataFrame, path: str) -> None:
+    """One result record per kind of operation and number of nodes."""
+    summary = latency_summary(operations, ["kind", "nodes"], "latency_ms")
+    seconds = operations.groupBy("kind", "nodes").agg(
+        (F.sum(F.col("latency_ms").cast("decimal(28,6)")).cast("double") / 1000.0).alias("s")
+    )
+    test = F.struct(
+        F.col("samples").alias("total_operations"),
+        F.round("s", 2).alias("total_time_seconds"),
+        F.round(F.col("samples") / F.col("s"), 2).alias("throughput_ops_per_sec"),
+        "avg_latency_ms",
+        "p95_latency_ms",
+        "p99_latency_ms",
+    )
+    summary.join(seconds, ["kind", "nodes"]).select(
+        F.concat_ws("_", F.lit("results"), "kind", F.concat("nodes", F.lit("nodes"))).alias("file"),
+        F.struct(
+            F.when(F.col("kind") == "write", test).alias("write_test"),
+            F.when(F.col("kind") == "read", test).alias("read_test"),
+        ).alias("results"),
+        F.lit(True).alias("success"),
+    ).write.mode("overwrite").partitionBy("file").json(path)
+
+
+def write_consistency_results(checks: DataFrame, path: str) -> None:
+    """One result record per scenario and consistency level."""
+    checks.write.mode("overwrite").partitionBy("file").json(path)
+
+
+def scan_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Result files with the name they were stored under; the name carries scenario and nodes."""
+    return (
+        spark.read.schema(schema)
+        .option("recursiveFileLookup", True)
+        .json(path)
+        .withColumn("file", F.regexp_extract(F.col("_metadata.file_path"), r"(results_[^/]+)", 1))
+    )
+
+
+def scaling_report(spark: SparkSession, path: str) -> DataFrame:
+    """Throughput, mean and p95 latency per kind and number of nodes."""
+    results = scan_results(spark, path, SCALING_RESULT)
+    kind = F.regexp_extract("file", r"results_([a-z]+)_", 1)
+    test = F.coalesce("results.write_test", "results.read_test")
+    return results.select(
+        kind.alias("kind"),
+        F.regexp_extract("file", r"_(\d+)nodes", 1).cast("int").alias("nodes"),
+        test["throughput_ops_per_sec"].alias("throughput"),
+        test["avg_latency_ms"].alias("latency"),
+        test["p95_latency_ms"].alias("p95"),
+    )
+
+
+def scaling_improvement(report: DataFrame) -> DataFrame:
+    """Throughput change from the smallest to the largest cluster, in %."""
+    ends = report.groupBy("kind").agg(
+        F.min("nodes").alias("first_nodes"),
+        F.max("nodes").alias("last_nodes"),
+        F.min_by("throughput", "nodes").alias("first_throughput"),
+        F.max_by("throughput", "nodes").alias("last_throughput"),
+    )
+    change = (F.col("last_throughput") - F.col("first_throughput")) / F.col("first_throughput") * 100
+    return ends.withColumn(
+        "improvement_percent",
+        F.when(F.col("first_throughput") > 0, F.round(change, 1)).otherwise(F.lit(0.0)),
+    )
+
+
+def consistency_matrix(spark: SparkSession, path: str, levels: list[str]) -> DataFrame:
+    """Write latency per scenario, one column per consistency level, and the integrity of each."""
+    results = scan_results(spark, path, CONSISTENCY_RESULT).select(
+        F.regexp_extract("file", r"results_consistency_(.+)_[A-Z]+$", 1).alias("scenario"),
+        F.regexp_extract("file", r"_([A-Z]+)$", 1).alias("level"),
+        "results.*",
+    )
+    return (
+        results.groupBy("scenario")
+        .pivot("level", levels)
+        .agg(
+            F.max("write_performance.avg_write_latency_ms").alias("latency_ms"),
+            F.max("consistency_check.data_integrity").alias("status"),
+            F.max("consistency_check.duplicate_records").alias("duplicates"),
+            F.max("consistency_check.missing_records").alias("missing"),
+        )
+    )
