@@ -52,15 +52,11 @@ def _bucket_sizes(df: DataFrame, key: Column, buckets: int, size: Column) -> Dat
 def bucket_report(df: DataFrame, key: Column, buckets: int, size: Column) -> DataFrame:
     """Share, size and band of each hash bucket, in bucket order."""
     sizes = _bucket_sizes(df, key, buckets, size)
-    total = sizes.agg(F.sum("documents").alias("total"))
-    share = F.when(
-        F.col("total") > 0, F.round(F.col("documents") / F.col("total") * 100, 2)
-    ).otherwise(F.lit(0.0))
+    total = sizes.agg(F.sum("documents")).scalar()
+    share = F.when(total > 0, F.round(F.col("documents") / total * 100, 2)).otherwise(F.lit(0.0))
     mean_size = F.coalesce(F.try_divide("data_size_bytes", "documents"), F.lit(0.0))
-    # One total beside a fixed number of buckets.
     return (
-        sizes.join(total, F.lit(True))
-        .withColumn("percentage", share)
+        sizes.withColumn("percentage", share)
         .select(
             "bucket",
             "documents",
@@ -97,13 +93,9 @@ def bucket_balance(df: DataFrame, key: Column, buckets: int) -> DataFrame:
 
 def shares(counts: DataFrame, n: str, top: int) -> DataFrame:
     """The largest groups with their share of everything."""
-    total = counts.agg(F.sum(n).alias("total"))
+    total = counts.agg(F.sum(n)).scalar()
     largest = counts.orderBy(F.desc(n), *[c for c in counts.columns if c != n]).limit(top)
-    return (
-        largest.join(total, F.lit(True))
-        .withColumn("percentage", F.round(F.col(n) / F.col("total") * 100, 2))
-        .drop("total")
-    )
+    return largest.withColumn("percentage", F.round(F.col(n) / total * 100, 2))
 
 
 # ---- reconciliation --------------------------------------------------------------------------
