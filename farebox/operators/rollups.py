@@ -121,11 +121,13 @@ def facts_from_messages(decoded: DataFrame) -> DataFrame:
     """Trip facts from decoded messages.
 
     A number that is absent counts as 0; one that is null or does not convert keeps the trip out.
+    Amounts are decimals: their sums do not depend on the order of the batches.
     """
 
     def number(name: str) -> Column:
+        kind = "decimal(18,6)" if name.endswith(("_amount", "_tax")) else "double"
         absent = ~F.array_contains("present", name)
-        return F.when(absent, F.lit(0.0)).otherwise(F.col(f"msg.{name}").try_cast("double"))
+        return F.when(absent, F.lit(0).cast(kind)).otherwise(F.col(f"msg.{name}").try_cast(kind))
 
     null_field = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in _NUMBERS])
     flat = decoded.select(

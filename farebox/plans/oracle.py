@@ -83,9 +83,9 @@ facts AS (
 
 _DICT = """,
 seen AS (
-  SELECT borough, trip_id AS at, 0 AS side FROM resolved
+  SELECT borough, trip_id AS seen_in, 0 AS side FROM resolved
   UNION ALL SELECT dropoff_borough, trip_id, 1 FROM resolved),
-firsts AS (SELECT borough, min(at || '|' || CAST(side AS VARCHAR)) AS first FROM seen GROUP BY borough),
+firsts AS (SELECT borough, min(seen_in || '|' || CAST(side AS VARCHAR)) AS first FROM seen GROUP BY borough),
 dict AS (SELECT borough, CAST(row_number() OVER (ORDER BY first) AS INT) AS borough_id FROM firsts)"""
 
 

@@ -41,7 +41,7 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
             F.col("_metadata.file_path").alias("file"),
             F.when(F.json_object_keys("value").isNotNull(), F.col("value")).alias("record"),
         )
-    whole = lines.option("wholetext", True).text(folder)
+    whole = lines.text(folder, wholetext=True)
     return whole.select(
         F.col("_metadata.file_path").alias("file"),
         F.explode_outer(F.from_json("value", "array<string>")).alias("record"),

@@ -16,8 +16,8 @@ from farebox.streaming.log import read_batches, write_batch
 
 
 def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that logs the batch's partial rollups, rejects and counts under
-    ``home``."""
+    """foreachBatch function that logs the batch's partial rollups and its trips per outcome
+    (taken, or the field that kept them out) under ``home``."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         facts = rollups.facts_from_messages(decode_facts(batch)).persist(
@@ -27,11 +27,8 @@ def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
             good = rollups.accepted(facts)
             for rollup in ROLLUPS.values():
                 write_batch(rollups.aggregate(good, rollup), f"{home}/{rollup.name}", batch_id)
-            write_batch(rollups.rejects(facts), f"{home}/rejects", batch_id)
-            counts = facts.agg(
-                F.count("*").alias("received"), F.count_if(F.col("bad").isNull()).alias("processed")
-            )
-            write_batch(counts, f"{home}/counts", batch_id)
+            outcomes = facts.groupBy("bad").agg(F.count("*").alias("n"))
+            write_batch(outcomes, f"{home}/outcomes", batch_id)
         finally:
             facts.unpersist()
 
@@ -70,8 +67,11 @@ def ingest_metrics(spark: SparkSession, home: str) -> DataFrame:
         )
         stored = rows if stored is None else stored.unionByName(rows)
     return (
-        read_batches(spark, f"{home}/counts")
-        .agg(F.sum("received").alias("received"), F.sum("processed").alias("processed"))
+        read_batches(spark, f"{home}/outcomes")
+        .agg(
+            F.sum("n").alias("received"),
+            F.coalesce(F.sum(F.when(F.col("bad").isNull(), F.col("n"))), F.lit(0)).alias("processed"),
+        )
         .withColumn("rejected", F.col("received") - F.col("processed"))
         .withColumn("rows_stored", stored.agg(F.sum("rows_stored")).scalar())
     )
