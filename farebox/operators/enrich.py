@@ -1,4 +1,4 @@
-"""Zone enrichment, record validation, stamping and message encoding."""
+"""Zone enrichment, message encoding, record validation and stamping."""
 
 from __future__ import annotations
 
@@ -39,9 +39,9 @@ def enrich(trips: DataFrame, zones: DataFrame) -> DataFrame:
                 for c in zones.columns
             ]
         )
-        joined = joined.withColumn(f"{side}_known", F.col(f"{side}_zone").isNotNull()).withColumn(
+        joined = joined.withColumn(
             column,
-            F.when(F.col(f"{side}_known"), F.col(f"{side}_zone")).when(
+            F.when(F.col(f"{side}_zone").isNotNull(), F.col(f"{side}_zone")).when(
                 F.col(column).isNotNull(), only_id
             ),
         )
@@ -64,68 +64,97 @@ def unresolved(trips: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
-def _zone_json(column: str, side: str) -> Column:
-    """JSON of one trip end: all keys for a known zone, only the id for an unknown one."""
-    full = F.to_json(F.col(column), {"ignoreNullFields": "false"})
-    bare = F.to_json(F.struct(F.col(f"{column}.LocationID").alias("LocationID")))
-    return F.parse_json(
-        F.when(F.col(f"{side}_known"), full).when(F.col(column).isNotNull(), bare)
-    )
-
-
-def encode(enriched: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Key and JSON value per record; ``extra`` columns travel next to them.
+def to_messages(trips: DataFrame, zones: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Enrich and encode in one step: ``key``, JSON ``value`` and ``reason`` it would be refused
+    for, next to the ``extra`` columns (which do not enter the JSON unless they are trip fields).
 
-    The key is the pickup borough. Null fields are written as nulls, so the reader can tell a null
-    from an absent key.
+    The key is the pickup borough. A zone's JSON is built once per zone and joined in. Null fields
+    are written as nulls, so the reader can tell a null from an absent key.
     """
     extra = extra or []
-    hidden = {"pu_known", "do_known", *extra} - {"trip_id", "producer_timestamp"}
-    fields = [c for c in enriched.columns if c not in hidden]
-    body = F.struct(
-        *[
-            _zone_json(c, _SIDES[c]).alias(c) if c in _SIDES else F.col(c)
-            for c in fields
-        ]
+    fields = [c for c in trips.columns if c not in extra or c in ("trip_id", "producer_timestamp")]
+    coded = zones.select(
+        F.col("LocationID").alias("zone_key"),
+        F.struct(
+            "borough",
+            F.parse_json(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias("json"),
+        ).alias("zone_row"),
+    )
+    for column, side in _SIDES.items():
+        hit = coded.select(
+            F.col("zone_key").alias(f"{side}_key"), F.col("zone_row").alias(f"{side}_zone")
+        )
+        trips = trips.join(hit, F.col(column) == F.col(f"{side}_key"), "left")
+
+    def zone_json(column: str) -> Column:
+        zone = F.col(f"{_SIDES[column]}_zone")
+        only_id = F.parse_json(F.to_json(F.struct(F.col(column).alias("LocationID"))))
+        return F.when(zone.isNotNull(), zone["json"]).when(F.col(column).isNotNull(), only_id)
+
+    def has(side: str, name: str) -> Column:
+        known = F.col(f"{side}_zone").isNotNull() & F.lit(name in zones.columns)
+        return known | F.lit(name == "LocationID")
+
+    body = F.struct(*[zone_json(c).alias(c) if c in _SIDES else F.col(c) for c in fields])
+    reason = _first_broken(
+        F.col("PULocationID").isNotNull(),
+        F.col("DOLocationID").isNotNull(),
+        lambda name: has("pu", name),
+        lambda name: has("do", name),
+        lambda name: F.lit(name in fields),
     )
-    return enriched.select(
-        F.col("PULocationID.borough").alias("key"),
+    return trips.select(
+        F.col("pu_zone.borough").alias("key"),
         F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
+        reason.alias("reason"),
         *extra,
     )
 
 
-def _keys_of(record: Column) -> Column:
-    """Top-level keys of a JSON object, null when the text is no object."""
-    return F.json_object_keys(record)
+def _first_broken(pickup_is_object, dropoff_is_object, pickup_has, dropoff_has, has) -> Column:
+    """The first rule a record breaks. Rules look at which keys are present, not at values."""
+    # The reason texts, in the order the rules apply.
+    rules = [
+        (pickup_is_object, "Missing or invalid PULocationID"),
+        (dropoff_is_object, "Missing or invalid DOLocationID"),
+        *[(pickup_has(n), f"Missing PULocationID.{n}") for n in ("borough", "zone", "LocationID")],
+        *[(dropoff_has(n), f"Missing DOLocationID.{n}") for n in ("zone", "LocationID")],
+        *[
+            (has(n), f"Missing field: {n}")
+            for n in ("tpep_pickup_datetime", "tpep_dropoff_datetime", "VendorID")
+        ],
+    ]
+    return F.coalesce(*[F.when(~holds, F.lit(text)) for holds, text in rules])
 
 
 def reject_reason(record: Column) -> Column:
-    """Why a raw JSON record is refused: the first rule it breaks, null when it breaks none.
+    """Why a raw JSON record is refused, null when it is not.
 
-    Rules look at which keys are present, not at their values.
+    Each text is parsed once: the lambdas hold what they are given, where a plain expression would
+    be repeated for every rule.
     """
-    pickup = _keys_of(F.get_json_object(record, "$.PULocationID"))
-    dropoff = _keys_of(F.get_json_object(record, "$.DOLocationID"))
-    top = _keys_of(record)
 
-    def lacks(keys: Column, name: str) -> Column:
-        return ~F.coalesce(F.array_contains(keys, name), F.lit(False))
+    def keys(members: Column) -> Column:
+        return F.struct(
+            F.map_keys(members).alias("top"),
+            F.json_object_keys(members["PULocationID"]).alias("pickup"),
+            F.json_object_keys(members["DOLocationID"]).alias("dropoff"),
+        )
 
-    # The reason texts, in the order the rules apply.
-    rules = [
-        (pickup.isNull(), "Missing or invalid PULocationID"),
-        (dropoff.isNull(), "Missing or invalid DOLocationID"),
-        (lacks(pickup, "borough"), "Missing PULocationID.borough"),
-        (lacks(pickup, "zone"), "Missing PULocationID.zone"),
-        (lacks(pickup, "LocationID"), "Missing PULocationID.LocationID"),
-        (lacks(dropoff, "zone"), "Missing DOLocationID.zone"),
-        (lacks(dropoff, "LocationID"), "Missing DOLocationID.LocationID"),
-        (lacks(top, "tpep_pickup_datetime"), "Missing field: tpep_pickup_datetime"),
-        (lacks(top, "tpep_dropoff_datetime"), "Missing field: tpep_dropoff_datetime"),
-        (lacks(top, "VendorID"), "Missing field: VendorID"),
-    ]
-    return F.coalesce(*[F.when(broken, F.lit(text)) for broken, text in rules])
+    def among(names: Column):
+        return lambda name: F.coalesce(F.array_contains(names, name), F.lit(False))
+
+    def judge(k: Column) -> Column:
+        return _first_broken(
+            k["pickup"].isNotNull(),
+            k["dropoff"].isNotNull(),
+            among(k["pickup"]),
+            among(k["dropoff"]),
+            among(k["top"]),
+        )
+
+    members = F.array(F.from_json(record, "map<string,string>"))
+    return F.element_at(F.transform(F.transform(members, keys), judge), 1)
 
 
 def validate(records: DataFrame, column: str = "value") -> DataFrame:

@@ -4,6 +4,9 @@ A rollup is kept as *state*: its keys, a trip count, sums and code counters. Sta
 same key add up, whatever batch or partition they come from, so batch and streaming share the code
 and a partial aggregation always runs before the shuffle. Averages are derived when a rollup is
 read.
+
+Sums are kept as whole millionths: adding longs is exact in any order and needs no big decimals. An
+input that is NaN makes its sums NaN; ``nan_mask`` remembers which.
 """
 
 from __future__ import annotations
@@ -14,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.counts import counter_names, counters
-from farebox.functions.scalars import money, parse_time, seconds_between, year_month
+from farebox.functions.scalars import parse_time, seconds_between, year_month
 
+UNITS = 1_000_000
 _NUMBERS = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount", "mta_tax"]
 
 
@@ -45,7 +49,8 @@ class Rollup:
 
     @property
     def state(self) -> list[str]:
-        return ["trip_count", *[f"sum_{m}" for m in self.measures], *counter_names(*self.families)]
+        sums = [f"sum_{m}" for m in self.measures]
+        return ["trip_count", *sums, *counter_names(*self.families), "nan_mask"]
 
     def order(self) -> list[Column]:
         """Clustering order inside a partition."""
@@ -121,13 +126,11 @@ def facts_from_messages(decoded: DataFrame) -> DataFrame:
     """Trip facts from decoded messages.
 
     A number that is absent counts as 0; one that is null or does not convert keeps the trip out.
-    Amounts are decimals: their sums do not depend on the order of the batches.
     """
 
     def number(name: str) -> Column:
-        kind = "decimal(18,6)" if name.endswith(("_amount", "_tax")) else "double"
         absent = ~F.array_contains("present", name)
-        return F.when(absent, F.lit(0).cast(kind)).otherwise(F.col(f"msg.{name}").try_cast(kind))
+        return F.when(absent, F.lit(0.0)).otherwise(F.col(f"msg.{name}").try_cast("double"))
 
     null_field = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in _NUMBERS])
     flat = decoded.select(
@@ -151,13 +154,20 @@ def _facts(flat: DataFrame) -> DataFrame:
     bad_time = F.when(F.col("pickup_ts").isNull(), F.lit("bad tpep_pickup_datetime")).when(
         F.col("dropoff_ts").isNull(), F.lit("bad tpep_dropoff_datetime")
     )
-    return (
-        flat.withColumn("bad", F.coalesce(bad_time, F.col("bad_number")))
-        .withColumn("year_month", year_month(F.col("pickup_ts")))
-        .withColumn("pickup_date", F.to_date("pickup_ts"))
-        .withColumn("pickup_hour", F.hour("pickup_ts"))
-        .withColumn("duration", seconds_between(F.col("pickup_ts"), F.col("dropoff_ts")))
-        .drop("bad_number")
+    plain = [c for c in flat.columns if c not in (*_NUMBERS, "bad_number")]
+    number = {c: F.col(c).cast("double") for c in _NUMBERS}
+    mask = F.lit(0)
+    for bit, c in enumerate(_NUMBERS):
+        mask = mask + F.when(F.isnan(number[c]), F.lit(1 << bit)).otherwise(F.lit(0))
+    return flat.select(
+        *plain,
+        *[F.floor(F.nanvl(number[c], F.lit(0.0)) * UNITS + 0.5).alias(c) for c in _NUMBERS],
+        mask.alias("nan_mask"),
+        F.coalesce(bad_time, F.col("bad_number")).alias("bad"),
+        year_month(F.col("pickup_ts")).alias("year_month"),
+        F.to_date("pickup_ts").alias("pickup_date"),
+        F.hour("pickup_ts").alias("pickup_hour"),
+        seconds_between(F.col("pickup_ts"), F.col("dropoff_ts")).alias("duration"),
     )
 
 
@@ -180,25 +190,38 @@ def aggregate(facts: DataFrame, rollup: Rollup, extra_keys: tuple[str, ...] = ()
         F.count("*").alias("trip_count"),
         *[F.sum(m).alias(f"sum_{m}") for m in rollup.measures],
         *counters(*rollup.families),
+        F.bit_or("nan_mask").alias("nan_mask"),
     )
 
 
 def merge(states: DataFrame, rollup: Rollup) -> DataFrame:
     """Add up state rows that share a key."""
-    return states.groupBy(*rollup.keys).agg(*[F.sum(c).alias(c) for c in rollup.state])
+    added = [c for c in rollup.state if c != "nan_mask"]
+    return states.groupBy(*rollup.keys).agg(
+        *[F.sum(c).alias(c) for c in added], F.bit_or("nan_mask").alias("nan_mask")
+    )
+
+
+def total(measure: str) -> Column:
+    """A state's sum as the number it stands for."""
+    held = F.col(f"sum_{measure}")
+    if measure == "duration":
+        return held.cast("double")
+    tainted = F.col("nan_mask").bitwiseAND(F.lit(1 << _NUMBERS.index(measure))) != 0
+    return F.when(tainted, F.lit(float("nan"))).otherwise(held / F.lit(float(UNITS)))
 
 
 def present(state: DataFrame, rollup: Rollup) -> DataFrame:
     """The rollup as its readers see it: sums as doubles, averages derived, dates as dates."""
 
     def average(measure: str) -> Column:
-        mean = F.col(f"sum_{measure}").cast("double") / F.col("trip_count")
+        mean = total(measure) / F.col("trip_count")
         # The duration average is a whole number of seconds, cut toward zero.
         return (mean.cast("int") if measure == "duration" else mean).alias(f"avg_{measure}")
 
     return state.select(
         *rollup.keys,
-        *[money(F.col(f"sum_{m}")).alias(f"sum_{m}") for m in rollup.sums],
+        *[F.round(total(m), 2).alias(f"sum_{m}") for m in rollup.sums],
         *[average(m) for m in rollup.averages],
         *counter_names(*rollup.families),
         "trip_count",
@@ -228,7 +251,7 @@ def revenue_view(state: DataFrame) -> DataFrame:
         & F.col("sum_total_amount").isNotNull()
     ).select(
         "borough",
-        money(F.col("sum_total_amount")).alias("sum_total_amount"),
+        F.round(total("total_amount"), 2).alias("sum_total_amount"),
         "year_month",
         "pickup_date",
         "pickup_hour",
@@ -247,6 +270,6 @@ def time_view(state: DataFrame) -> DataFrame:
         "pickup_date",
         "pickup_hour",
         "borough",
-        money(F.col("sum_total_amount")).alias("sum_total_amount"),
-        "sum_passenger_count",
+        F.round(total("total_amount"), 2).alias("sum_total_amount"),
+        total("passenger_count").alias("sum_passenger_count"),
     )

@@ -11,7 +11,7 @@ from farebox.functions import scalars as fn
 from farebox.operators import anomalies, documents, enrich, quality, results, rollups, windows
 from farebox.operators.rollups import ROLLUPS
 from farebox.plans import analytics
-from farebox.plans.workspace import Workspace
+from farebox.plans.workspace import TRIP_FIELDS, Workspace
 from farebox.schemas import CARD_LABELS
 from farebox.sinks import files
 from farebox.sources import tables, testbed, topic, zones
@@ -38,36 +38,15 @@ def _text_dates(df: DataFrame) -> DataFrame:
 
 # ---- sources ---------------------------------------------------------------------------------
 
-_TRIP_FIELDS = [
-    "VendorID",
-    "tpep_pickup_datetime",
-    "tpep_dropoff_datetime",
-    "passenger_count",
-    "trip_distance",
-    "RatecodeID",
-    "store_and_fwd_flag",
-    "PULocationID",
-    "DOLocationID",
-    "payment_type",
-    "fare_amount",
-    "extra",
-    "mta_tax",
-    "tip_amount",
-    "tolls_amount",
-    "total_amount",
-]
-
 
 @query
 def scan_trips(ws: Workspace) -> DataFrame:
     def write(path: str) -> None:
-        flat = ws.trips_raw().select(
-            *[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
-              for c, t in ws.trips_raw().select(*_TRIP_FIELDS).dtypes]
-        )
-        flat.write.mode("overwrite").parquet(path)
+        trips = ws.trips_raw().select(*TRIP_FIELDS)
+        amounts = {c: F.col(c).cast("double") for c, t in trips.dtypes if t.startswith("decimal")}
+        trips.withColumns(amounts).write.mode("overwrite").parquet(path)
 
-    return tables.scan_trips(ws.spark, ws.once("trip_files", write)).select(*_TRIP_FIELDS)
+    return tables.scan_trips(ws.spark, ws.once("trip_files", write)).select(*TRIP_FIELDS)
 
 
 @query
@@ -264,28 +243,19 @@ def trip_metrics(ws: Workspace) -> DataFrame:
     return ws.trips_raw().select("trip_id", metrics.alias("m")).select("trip_id", "m.*")
 
 
-def _anomaly_input(ws: Workspace) -> DataFrame:
-    names = ws.zones().select("LocationID", "zone", "borough")
-    return (
-        ws.trips_raw()
-        .join(names.toDF("PULocationID", "pickup_zone", "borough"), "PULocationID", "left")
-        .join(names.toDF("DOLocationID", "dropoff_zone", "_b"), "DOLocationID", "left")
-    )
-
-
 @query
 def anomaly_trips(ws: Workspace) -> DataFrame:
-    return anomalies.trip_anomalies(_anomaly_input(ws))
+    return anomalies.trip_anomalies(ws.ingested())
 
 
 @query
 def anomaly_counts(ws: Workspace) -> DataFrame:
-    return anomalies.label_counts(anomalies.trip_anomalies(_anomaly_input(ws)))
+    return anomalies.label_counts(anomalies.trip_anomalies(ws.ingested()))
 
 
 @query
 def anomaly_labels_simple(ws: Workspace) -> DataFrame:
-    found = anomalies.trip_anomalies(_anomaly_input(ws)).withColumn(
+    found = anomalies.trip_anomalies(ws.ingested()).withColumn(
         "label",
         anomalies.card_label(F.col("distance_km"), F.col("duration_minutes"), F.col("total_amount")),
     )
@@ -424,14 +394,14 @@ def rollup_last_flush(ws: Workspace) -> DataFrame:
     rollup = ROLLUPS["borough_time"]
     columns = ["borough", "year_month", "pickup_date", "pickup_hour", "rate_code", "payment_type"]
     facts = rollups.facts_from_trips(ws.resolved()).select(
-        "trip_id", *columns, "vendor_id", "bad", *rollup.measures
+        "trip_id", *columns, "vendor_id", "bad", "nan_mask", *rollup.measures
     )
     numbered = windows.batch_numbers(facts, 10, "trip_id")
     kept = rollups.last_flush(rollups.accepted(numbered), rollup)
     return _text_dates(
         kept.select(
             *rollup.keys,
-            *[fn.money(F.col(f"sum_{m}")).alias(f"sum_{m}") for m in rollup.sums],
+            *[F.round(rollups.total(m), 2).alias(f"sum_{m}") for m in rollup.sums],
             "count_payment_card",
             "count_payment_cash",
             "count_vendor_cmt",
@@ -472,7 +442,7 @@ def hourly_stats(ws: Workspace) -> DataFrame:
 @query
 def borough_distribution(ws: Workspace) -> DataFrame:
     numbered = documents.add_borough_ids(
-        _anomaly_input(ws), ws.dictionary(), F.col("borough"), F.col("_b")
+        ws.ingested(), ws.dictionary(), F.col("borough"), F.col("dropoff_borough")
     )
     return analytics.borough_distribution(numbered, "pickup_borough_id")
 

@@ -19,7 +19,7 @@ from farebox.streaming import live, log
 from farebox.streaming import rollups as rollup_stream
 
 STREAMS: dict[str, Query] = {}
-BATCHES = 4
+MOST_BATCHES = 4
 
 
 def stream(build: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
@@ -28,9 +28,10 @@ def stream(build: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], Dat
     return build
 
 
-def _topic(ws: Workspace, path: str, starting: str = "earliest", batches: int = BATCHES) -> DataFrame:
-    """The topic in about ``batches`` micro-batches, however many files it has."""
+def _topic(ws: Workspace, path: str, starting: str = "earliest", most: int = MOST_BATCHES) -> DataFrame:
+    """The topic in up to ``most`` micro-batches, each with enough files to occupy every core."""
     held = len(topic.topic_batch(ws.spark, path).inputFiles())
+    batches = min(most, max(1, held // ws.spark.sparkContext.defaultParallelism))
     per_trigger = math.ceil(held / batches) if batches > 1 else None
     return topic.topic_stream(ws.spark, path, starting=starting, per_trigger=per_trigger)
 
@@ -141,7 +142,7 @@ def stream_borough_dictionary(ws: Workspace) -> DataFrame:
     path = ws.once(
         "stream_dictionary",
         lambda home: log.run(
-            _topic(ws, source, batches=1), live.dictionary_batch(home), _checkpoint(ws, "dictionary")
+            _topic(ws, source, most=1), live.dictionary_batch(home), _checkpoint(ws, "dictionary")
         ),
     )
     return log.read_batches(ws.spark, path).select("borough", "borough_id")
@@ -198,7 +199,7 @@ def stream_dedup(ws: Workspace) -> DataFrame:
     source = ws.once("topic_redelivered", send_again)
 
     def run(path: str) -> None:
-        envelope = _topic(ws, source, batches=1)
+        envelope = _topic(ws, source, most=1)
         log.append_table(live.without_redeliveries(envelope), path, _checkpoint(ws, "dedup"))
 
     path = ws.once("stream_dedup", run)

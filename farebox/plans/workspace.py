@@ -19,6 +19,25 @@ from farebox.session import shared_dir
 from farebox.sinks import files
 from farebox.sources import testbed, topic
 
+TRIP_FIELDS = [
+    "VendorID",
+    "tpep_pickup_datetime",
+    "tpep_dropoff_datetime",
+    "passenger_count",
+    "trip_distance",
+    "RatecodeID",
+    "store_and_fwd_flag",
+    "PULocationID",
+    "DOLocationID",
+    "payment_type",
+    "fare_amount",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "total_amount",
+]
+
 _written: set[str] = set()
 _schemas: dict = {}
 
@@ -56,33 +75,33 @@ class Workspace:
     def zones(self) -> DataFrame:
         return self._table("zones", lambda: testbed.zones(self.spark, self.sf_dir).coalesce(1))
 
-    def trips_raw(self) -> DataFrame:
-        return self._table("trips_raw", lambda: testbed.trips_raw(self.spark, self.sf_dir))
+    def ingested(self) -> DataFrame:
+        """Every trip with the names of its zones, where known, and its times, where they parse."""
+        return self._table("trips", self._ingest)
 
-    def resolved(self) -> DataFrame:
-        """Trips with both zones known, whatever their times."""
-        zones = self.zones()
-        pickup = zones.select(
-            F.col("LocationID").alias("PULocationID"),
-            F.col("borough"),
-            F.col("zone").alias("pickup_zone"),
-        )
-        dropoff = zones.select(
-            F.col("LocationID").alias("DOLocationID"),
-            F.col("borough").alias("dropoff_borough"),
-            F.col("zone").alias("dropoff_zone"),
-        )
+    def _ingest(self) -> DataFrame:
+        names = self.zones().select("LocationID", "borough", "zone")
+        trips = testbed.trips_raw(self.spark, self.sf_dir)
+        pickup = names.toDF("PULocationID", "borough", "pickup_zone")
+        dropoff = names.toDF("DOLocationID", "dropoff_borough", "dropoff_zone")
         return (
-            self.trips_raw()
-            .join(pickup, "PULocationID")
-            .join(dropoff, "DOLocationID")
+            trips.join(pickup, "PULocationID", "left")
+            .join(dropoff, "DOLocationID", "left")
             .withColumn("pickup_ts", parse_time(F.col("tpep_pickup_datetime")))
             .withColumn("dropoff_ts", parse_time(F.col("tpep_dropoff_datetime")))
         )
 
+    def trips_raw(self) -> DataFrame:
+        """Trips as their files hold them."""
+        return self.ingested().select(*TRIP_FIELDS, "trip_id", "stem")
+
+    def resolved(self) -> DataFrame:
+        """Trips with both zones known, whatever their times."""
+        return self.ingested().filter("borough IS NOT NULL AND dropoff_borough IS NOT NULL")
+
     def trips(self) -> DataFrame:
         """Trips with parseable times and both zones known: what the analyses read."""
-        return self.resolved().filter(F.col("tpep_pickup_datetime") != "bad-date")
+        return self.resolved().filter("pickup_ts IS NOT NULL")
 
     def events(self) -> DataFrame:
         return testbed.events(self.spark, self.sf_dir)
@@ -94,24 +113,23 @@ class Workspace:
 
     def records(self) -> DataFrame:
         """Every enriched trip as the JSON text the converter writes, valid or not."""
-        return enrich.encode(self.enriched(), extra=["trip_id", "stem"])
+        return enrich.to_messages(self.trips_raw(), self.zones(), ["trip_id", "stem"]).drop("reason")
 
     def sent(self) -> DataFrame:
         """Valid trips stamped and encoded, with the instant they reach the topic.
 
         The stamp is the dropoff time; a message arrives 0 to 4999 ms later.
         """
-        enriched = self.enriched()
-        dropped_off = F.col("tpep_dropoff_datetime").cast("timestamp")
-        stamped = enriched.withColumn(
-            "producer_timestamp", F.unix_millis(dropped_off).cast("double")
-        )
+        dropped_off = F.unix_millis(F.col("tpep_dropoff_datetime").cast("timestamp"))
         delay = F.abs(F.col("total_amount") * 100).cast("bigint") % 5000
-        arrived = F.timestamp_millis(F.unix_millis(dropped_off) + delay)
-        messages = enrich.encode(
-            stamped.withColumn("arrived", arrived), extra=["trip_id", "stem", "arrived"]
+        stamped = self.trips_raw().withColumns(
+            {
+                "producer_timestamp": dropped_off.cast("double"),
+                "arrived": F.timestamp_millis(dropped_off + delay),
+            }
         )
-        return enrich.validate(messages).filter("is_valid")
+        messages = enrich.to_messages(stamped, self.zones(), ["trip_id", "stem", "arrived"])
+        return messages.filter("reason IS NULL")
 
     def topic_path(self) -> str:
         def write(path: str) -> None:

@@ -49,7 +49,7 @@ WIRE = (
 # What the rollups need from a message. Numbers arrive as text so that a value that does not
 # convert can be told from a value that is absent.
 FACT = (
-    "trip_id STRING, VendorID DOUBLE, RatecodeID DOUBLE, payment_type DOUBLE, "
+    "trip_id STRING, producer_timestamp DOUBLE, VendorID DOUBLE, RatecodeID DOUBLE, payment_type DOUBLE, "
     "tpep_pickup_datetime STRING, tpep_dropoff_datetime STRING, passenger_count STRING, "
     "trip_distance STRING, fare_amount STRING, tip_amount STRING, total_amount STRING, "
     "mta_tax STRING, PULocationID STRUCT<borough: STRING, zone: STRING, LocationID: INT>, "

@@ -37,7 +37,7 @@ def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     At scale the scan has far more splits than that and passes through without a shuffle.
     """
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:

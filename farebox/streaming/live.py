@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +15,11 @@ from farebox.streaming.log import read_batches, write_batch
 RECENT = 15
 
 
-def card(message: str = "msg") -> list[Column]:
-    """The eight fields a trip shows in the live list."""
+def card() -> list[Column]:
+    """The eight fields a trip shows in the live list, from a decoded fact message."""
 
     def text(path: str, default: str) -> Column:
-        return F.coalesce(F.col(f"{message}.{path}"), F.lit(default))
+        return F.coalesce(F.col(f"msg.{path}"), F.lit(default))
 
     return [
         F.date_format("timestamp", "HH:mm:ss").alias("shown_at"),
@@ -26,50 +27,52 @@ def card(message: str = "msg") -> list[Column]:
         text("PULocationID.zone", "Unknown").alias("pickup_zone"),
         text("DOLocationID.zone", "Unknown").alias("dropoff_zone"),
         text("PULocationID.borough", "Unknown").alias("borough"),
-        F.coalesce(F.col(f"{message}.total_amount"), F.lit(0.0)).alias("amount"),
-        F.col(f"{message}.trip_distance").alias("distance"),
-        F.col(f"{message}.passenger_count").cast("int").alias("passengers"),
+        F.coalesce(F.col("msg.total_amount").try_cast("double"), F.lit(0.0)).alias("amount"),
+        F.col("msg.trip_distance").try_cast("double").alias("distance"),
+        F.col("msg.passenger_count").try_cast("double").cast("int").alias("passengers"),
+    ]
+
+
+def measures() -> list[Column]:
+    """Latency, revenue, and whether the list could not show the trip: a number is null or does
+    not convert."""
+    broken = F.lit(False)
+    for name in ("trip_distance", "passenger_count"):
+        given = F.array_contains("present", name)
+        broken = broken | (given & F.col(f"msg.{name}").try_cast("double").isNull())
+    sent = F.col("msg.producer_timestamp").cast("bigint")
+    return [
+        (F.unix_millis("timestamp") - sent).alias("latency_ms"),
+        F.col("msg.total_amount").try_cast("decimal(18,2)").alias("paid"),
+        broken.alias("broken"),
     ]
 
 
 def live_batch(home: str, per_poll: int | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch function for totals, latencies and recent trips.
 
-    Latencies are logged as a count per millisecond value, so mean, maximum and percentiles merge
-    exactly. Of each batch the ``RECENT`` newest trips are kept, or its first ``per_poll``.
+    Totals are logged per latency in ms, so mean, maximum and percentiles merge exactly. Of each
+    batch the ``RECENT`` newest trips are kept, or its first ``per_poll``.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        facts = decode_facts(batch)
-        paid = F.col("msg.total_amount").try_cast("decimal(18,2)")
-        # What the list cannot show is an error: a number that is null or does not convert.
-        broken = F.lit(False)
-        for name, kind in (("trip_distance", "double"), ("passenger_count", "double")):
-            given = F.array_contains("present", name)
-            broken = broken | (given & F.col(f"msg.{name}").try_cast(kind).isNull())
-        totals = facts.agg(
-            F.count("*").alias("total_trips"),
-            F.sum(F.coalesce(paid, F.lit(0))).alias("total_revenue"),
-            F.count_if(broken).alias("errors"),
-            F.max("timestamp").alias("last_trip_time"),
-        )
-        write_batch(totals, f"{home}/totals", batch_id)
-
-        decoded = decode_wire(batch)
-        latency = F.unix_millis("timestamp") - F.col("msg.producer_timestamp").cast("bigint")
-        sampled = decoded.filter(F.col("msg.producer_timestamp").isNotNull())
-        write_batch(
-            sampled.groupBy(latency.alias("latency_ms")).agg(F.count("*").alias("n")),
-            f"{home}/latency",
-            batch_id,
-        )
-
-        order = [F.col("timestamp"), F.col("msg.trip_id")]
-        if per_poll is None:
-            newest = decoded.orderBy(*[c.desc() for c in order]).limit(RECENT)
-        else:
-            newest = decoded.orderBy(*order).limit(per_poll)
-        write_batch(newest.select("timestamp", *card()), f"{home}/recent", batch_id)
+        shown = decode_facts(batch).select("timestamp", *card(), *measures())
+        shown.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            totals = shown.groupBy("latency_ms").agg(
+                F.count("*").alias("total_trips"),
+                F.sum(F.coalesce("paid", F.lit(0))).alias("total_revenue"),
+                F.count_if("broken").alias("errors"),
+                F.max("timestamp").alias("last_trip_time"),
+            )
+            write_batch(totals, f"{home}/totals", batch_id)
+            if per_poll is None:
+                newest = shown.orderBy(F.desc("timestamp"), F.desc("trip_id")).limit(RECENT)
+            else:
+                newest = shown.orderBy("timestamp", "trip_id").limit(per_poll)
+            write_batch(newest.drop("latency_ms", "paid", "broken"), f"{home}/recent", batch_id)
+        finally:
+            shown.unpersist()
 
     return on_batch
 
@@ -84,10 +87,12 @@ def live_stats(spark: SparkSession, home: str) -> DataFrame:
 
 
 def live_latency(spark: SparkSession, home: str) -> DataFrame:
-    log = read_batches(spark, f"{home}/latency")
+    """Time from stamp to arrival over the messages that carry a stamp."""
+    log = read_batches(spark, f"{home}/totals").filter(F.col("latency_ms").isNotNull())
+    n = F.col("total_trips")
     return log.agg(
-        F.sum("n").alias("messages"),
-        F.round(F.sum(F.col("latency_ms") * F.col("n")) / F.sum("n"), 2).alias("avg_latency_ms"),
+        F.sum(n).alias("messages"),
+        F.round(F.sum(F.col("latency_ms") * n) / F.sum(n), 2).alias("avg_latency_ms"),
         F.max("latency_ms").alias("max_latency_ms"),
     )
 
