@@ -77,7 +77,7 @@ def to_messages(trips: DataFrame, zones: DataFrame, extra: list[str] | None = No
         F.col("LocationID").alias("zone_key"),
         F.struct(
             "borough",
-            F.parse_json(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias("json"),
+            F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("json"),
         ).alias("zone_row"),
     )
     for column, side in _SIDES.items():
@@ -88,14 +88,23 @@ def to_messages(trips: DataFrame, zones: DataFrame, extra: list[str] | None = No
 
     def zone_json(column: str) -> Column:
         zone = F.col(f"{_SIDES[column]}_zone")
-        only_id = F.parse_json(F.to_json(F.struct(F.col(column).alias("LocationID"))))
-        return F.when(zone.isNotNull(), zone["json"]).when(F.col(column).isNotNull(), only_id)
+        only_id = F.to_json(F.struct(F.col(column).alias("LocationID")))
+        return (
+            F.when(zone.isNotNull(), zone["json"])
+            .when(F.col(column).isNotNull(), only_id)
+            .otherwise(F.lit("null"))
+        )
 
     def has(side: str, name: str) -> Column:
         known = F.col(f"{side}_zone").isNotNull() & F.lit(name in zones.columns)
         return known | F.lit(name == "LocationID")
 
-    body = F.struct(*[zone_json(c).alias(c) if c in _SIDES else F.col(c) for c in fields])
+    # The zones are JSON already, so they go in front of the flat fields as they are.
+    flat = F.to_json(
+        F.struct(*[c for c in fields if c not in _SIDES]), {"ignoreNullFields": "false"}
+    )
+    ends = [x for c in _SIDES for x in (F.lit(f'"{c}":'), zone_json(c), F.lit(","))]
+    value = F.concat(F.lit("{"), *ends, F.substring(flat, 2, 1 << 30))
     reason = _first_broken(
         F.col("PULocationID").isNotNull(),
         F.col("DOLocationID").isNotNull(),
@@ -105,7 +114,7 @@ def to_messages(trips: DataFrame, zones: DataFrame, extra: list[str] | None = No
     )
     return trips.select(
         F.col("pu_zone.borough").alias("key"),
-        F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
+        value.alias("value"),
         reason.alias("reason"),
         *extra,
     )

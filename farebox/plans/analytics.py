@@ -79,8 +79,11 @@ def borough_counts(trips: DataFrame, limit: int = 100) -> DataFrame:
     return trips.groupBy("borough").agg(F.count("*").alias("count")).orderBy("borough").limit(limit)
 
 
-def first_documents(documents: DataFrame, limit: int = 50) -> DataFrame:
-    return documents.orderBy("trip_id").limit(limit)
+def first_messages(topic: DataFrame, limit: int = 50) -> DataFrame:
+    """The messages with the lowest trip ids. Only the id is read before the cut; the rest of a
+    message is decoded after it."""
+    ident = F.get_json_object(F.col("value").cast("string"), "$.trip_id")
+    return topic.withColumn("_id", ident).orderBy("_id").limit(limit).drop("_id")
 
 
 # ---- over rollups ----------------------------------------------------------------------------

@@ -112,7 +112,8 @@ def decode_envelope(ws: Workspace) -> DataFrame:
 
 @query
 def list_trips(ws: Workspace) -> DataFrame:
-    return documents.flatten_documents(analytics.first_documents(ws.documents()))
+    first = topic.decode_wire(analytics.first_messages(ws.topic())).select("msg.*")
+    return documents.flatten_documents(documents.to_documents(first, ws.dictionary()))
 
 
 @query

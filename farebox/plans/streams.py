@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,8 +70,12 @@ def _rollup_home(ws: Workspace) -> str:
 
     def run(home: str) -> None:
         log.run(_topic(ws, source), rollup_stream.rollup_batch(home), _checkpoint(ws, "rollups"))
-        for rollup in ROLLUPS.values():
-            rollup_stream.publish(ws.spark, home, rollup, f"{home}/served_{rollup.name}")
+        log.at_once(
+            *[
+                partial(rollup_stream.publish, ws.spark, home, r, f"{home}/served_{r.name}")
+                for r in ROLLUPS.values()
+            ]
+        )
 
     return ws.once("stream_rollups", run)
 

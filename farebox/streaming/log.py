@@ -9,6 +9,7 @@ has stored.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,13 @@ def latest(log: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def at_once(*jobs: Callable[[], None]) -> None:
+    """Run jobs that do not depend on each other side by side; the first failure is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
 def run(
     stream: DataFrame,
     on_batch: Callable[[DataFrame, int], None],

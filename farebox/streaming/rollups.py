@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from farebox.operators import rollups
 from farebox.operators.rollups import ROLLUPS, Rollup
 from farebox.sinks.files import write_rollup
 from farebox.sources.topic import decode_facts
-from farebox.streaming.log import read_batches, write_batch
+from farebox.streaming.log import at_once, read_batches, write_batch
 
 
 def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
@@ -25,10 +26,17 @@ def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
         )
         try:
             good = rollups.accepted(facts)
-            for rollup in ROLLUPS.values():
-                write_batch(rollups.aggregate(good, rollup), f"{home}/{rollup.name}", batch_id)
             outcomes = facts.groupBy("bad").agg(F.count("*").alias("n"))
+            # The first job fills the cache the others read.
             write_batch(outcomes, f"{home}/outcomes", batch_id)
+            at_once(
+                *[
+                    partial(
+                        write_batch, rollups.aggregate(good, r), f"{home}/{r.name}", batch_id
+                    )
+                    for r in ROLLUPS.values()
+                ]
+            )
         finally:
             facts.unpersist()
 
