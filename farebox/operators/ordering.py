@@ -74,26 +74,3 @@ def running_sums(df: DataFrame, order: list[str], sums: dict[str, str]) -> DataF
         *df.columns,
         *[(F.sum(c).over(inside) + F.col(f"start_{new}")).alias(new) for new, c in sums.items()],
     )
-
-
-def running_counts(counted: DataFrame, group: list[str], value: str, n: str) -> DataFrame:
-    """Per group, how many rows lie up to and including each value.
-
-    ``counted`` holds one row per (group, value) with its count. A group spreads over as many chunks
-    as its distinct values fill, so a hot group is no hot task.
-    """
-    rows = ordered(counted, *group, value)
-    totals = rows.groupBy("chunk", *group).agg(F.sum(n).alias("chunk_n"))
-    # At most one row per chunk and group: group by group, its chunks in order.
-    before = Window.partitionBy(*group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        "chunk", *group, F.coalesce(F.sum("chunk_n").over(before), F.lit(0)).alias("start")
-    )
-    inside = (
-        Window.partitionBy("chunk", *group)
-        .orderBy("place")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return rows.join(starts, ["chunk", *group]).select(
-        *counted.columns, (F.sum(n).over(inside) + F.col("start")).alias("upto")
-    )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.functions.scalars import capitalize, divide_or, exact_avg, md5_bucket
-from farebox.operators.ordering import running_counts
+from farebox.operators.ordering import ordered
 
 # ---- skew ------------------------------------------------------------------------------------
 
@@ -52,7 +55,8 @@ def _bucket_sizes(df: DataFrame, key: Column, buckets: int, size: Column) -> Dat
 def bucket_report(df: DataFrame, key: Column, buckets: int, size: Column) -> DataFrame:
     """Share, size and band of each hash bucket, in bucket order."""
     sizes = _bucket_sizes(df, key, buckets, size)
-    total = sizes.agg(F.sum("documents")).scalar()
+    # A fixed number of buckets: one task is enough for their total.
+    total = F.sum("documents").over(Window.partitionBy())
     share = F.when(total > 0, F.round(F.col("documents") / total * 100, 2)).otherwise(F.lit(0.0))
     mean_size = F.coalesce(F.try_divide("data_size_bytes", "documents"), F.lit(0.0))
     return (
@@ -144,44 +148,63 @@ def integrity(expected: DataFrame, found: DataFrame, key: str, slack: int = 5) -
 
 # ---- latency ---------------------------------------------------------------------------------
 
+PERCENTILES = {"p95": 0.95, "p99": 0.99}
+
 
 def latency_summary(samples: DataFrame, group: list[str], value: str) -> DataFrame:
     """Count, mean, maximum, p95 and p99 per group.
 
     A percentile p is the value at 0-based place int(n * p) of the sorted values, at most n - 1.
-    Equal values are counted before any shuffle of the order, and the order itself is cut into
-    chunks, so a group that holds most of the samples still spreads over all tasks.
+    Equal values are counted before the sort, and the sorted values are cut into chunks across all
+    groups, so a group that holds most of the samples still spreads over all tasks. Chunk totals
+    tell which chunk holds a wanted place; only those chunks are looked into.
     """
     counted = samples.groupBy(*group, value).agg(F.count("*").alias("n"))
-    summary = counted.groupBy(*group).agg(
-        F.sum("n").alias("samples"),
-        (F.sum(F.col(value).cast("decimal(28,6)") * F.col("n")).cast("double") / F.sum("n")).alias("mean"),
-        F.max(value).alias("top"),
+    rows = ordered(counted, *group, value)
+    chunks = rows.groupBy("chunk", *group).agg(
+        F.sum("n").alias("chunk_n"),
+        F.sum(F.col(value).cast("decimal(28,6)") * F.col("n")).alias("chunk_sum"),
+        F.max(value).alias("chunk_top"),
     )
-    placed = running_counts(counted, group, value, "n")
+    # At most one row per chunk and group from here on.
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.col("samples")
+    placed = chunks.select(
+        "*",
+        F.coalesce(F.sum("chunk_n").over(before), F.lit(0)).alias("start"),
+        F.sum("chunk_n").over(whole).alias("samples"),
+    ).withColumns({f"at_{p}": F.least(F.floor(n * F.lit(q)), n - 1) for p, q in PERCENTILES.items()})
 
-    def place(p: str) -> Column:
-        # Python: int(n * p) on doubles.
-        return F.least(F.floor(F.col("samples") * F.lit(float(p))), F.col("samples") - 1)
+    def holds(p: str) -> Column:
+        return F.col(f"at_{p}").between(F.col("start"), F.col("start") + F.col("chunk_n") - 1)
 
-    # The value at place k is the smallest with more than k values up to it.
+    wanted = placed.filter(reduce(or_, [holds(p) for p in PERCENTILES]))
+    inside = Window.partitionBy("chunk", *group).orderBy("place")
+    upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)) + F.col("start")
+    # The value at place k is the first with more than k values up to it.
     picked = (
-        placed.join(summary.select(*group, "samples"), group)
+        rows.join(wanted, ["chunk", *group])
+        .withColumn("upto", upto)
         .groupBy(*group)
         .agg(
             *[
-                F.min(F.when(F.col("upto") > place(p), F.col(value))).alias(name)
-                for name, p in (("p95", "0.95"), ("p99", "0.99"))
+                F.min(F.when(holds(p) & (F.col("upto") > F.col(f"at_{p}")), F.col(value))).alias(p)
+                for p in PERCENTILES
             ]
         )
     )
+    summary = chunks.groupBy(*group).agg(
+        F.sum("chunk_n").alias("samples"),
+        F.sum("chunk_sum").cast("double").alias("total"),
+        F.max("chunk_top").alias("top"),
+    )
     return summary.join(picked, group).select(
         *group,
         "samples",
-        F.round("mean", 2).alias("avg_latency_ms"),
+        F.round(F.col("total") / n, 2).alias("avg_latency_ms"),
         F.round("top", 2).alias("max_latency_ms"),
-        F.round("p95", 2).alias("p95_latency_ms"),
-        F.round("p99", 2).alias("p99_latency_ms"),
+        *[F.round(p, 2).alias(f"{p}_latency_ms") for p in PERCENTILES],
     )
 
 

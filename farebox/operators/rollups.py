@@ -234,10 +234,9 @@ def last_flush(numbered: DataFrame, rollup: Rollup) -> DataFrame:
     ``numbered`` holds accepted facts with their ``batch_no``; per key the last batch wins.
     """
     partial = aggregate(numbered, rollup, ("batch_no",))
-    return (
-        partial.groupBy(*rollup.keys)
-        .agg(F.max_by(F.struct(*rollup.state), "batch_no").alias("last"), F.max("batch_no").alias("batch_no"))
-        .select(*rollup.keys, "last.*", "batch_no")
+    return partial.groupBy(*rollup.keys).agg(
+        *[F.max_by(c, "batch_no").alias(c) for c in rollup.state],
+        F.max("batch_no").alias("batch_no"),
     )
 
 
