@@ -130,7 +130,9 @@ def facts_from_messages(decoded: DataFrame) -> DataFrame:
 
     def number(name: str) -> Column:
         absent = ~F.array_contains("present", name)
-        return F.when(absent, F.lit(0.0)).otherwise(F.col(f"msg.{name}").try_cast("double"))
+        # A bare NaN comes back in quotes.
+        text = F.btrim(F.col(f"msg.{name}"), F.lit('"'))
+        return F.when(absent, F.lit(0.0)).otherwise(text.try_cast("double"))
 
     null_field = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in _NUMBERS])
     flat = decoded.select(

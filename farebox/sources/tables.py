@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.schemas import TRIP_FILE, WIRE
+from farebox.sources.topic import top_keys
 
 
 def scan_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,7 +40,7 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
     if layout == "lines":
         return lines.text(folder).select(
             F.col("_metadata.file_path").alias("file"),
-            F.when(F.json_object_keys("value").isNotNull(), F.col("value")).alias("record"),
+            F.when(top_keys(F.col("value")).isNotNull(), F.col("value")).alias("record"),
         )
     whole = lines.text(folder, wholetext=True)
     return whole.select(

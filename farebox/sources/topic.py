@@ -50,6 +50,14 @@ def key_text(key: Column) -> Column:
     return F.make_valid_utf8(key.cast("string"))
 
 
+def top_keys(text: Column) -> Column:
+    """Top-level keys of a JSON object. Strict JSON is the fast way; a bare NaN, which the writers
+    may leave, needs the lenient parser."""
+    return F.coalesce(
+        F.json_object_keys(text), F.map_keys(F.from_json(text, "map<string,string>"))
+    )
+
+
 def decode_wire(envelope: DataFrame) -> DataFrame:
     """Typed message next to its envelope columns."""
     return envelope.select(
@@ -64,6 +72,6 @@ def decode_facts(envelope: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     return envelope.select(
         F.from_json(text, FACT).alias("msg"),
-        F.json_object_keys(text).alias("present"),
+        top_keys(text).alias("present"),
         "timestamp",
     )

@@ -35,21 +35,21 @@ def rows_of(columns, rows):
 
 
 def compare(spark, con, name, query, sql, sf_dir):
-    """Returns (problem or None, rows, Spark seconds)."""
+    """Returns (problem or None, rows, Spark seconds, the frame)."""
     start = time.time()
     df = query(spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
     took = time.time() - start
     names, ours = rows_of(df.columns, got)
     if sql is None:
-        return None, len(ours), took
+        return None, len(ours), took, df
     cursor = con.execute(sql)
     wanted_names, wanted = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     if names != wanted_names:
-        return f"columns {names} != {wanted_names}", len(ours), took
+        return f"columns {names} != {wanted_names}", len(ours), took, df
     if len(ours) != len(wanted):
-        return f"{len(ours)} rows, SQL has {len(wanted)}", len(ours), took
+        return f"{len(ours)} rows, SQL has {len(wanted)}", len(ours), took, df
     differing = [(a, b) for a, b in zip(ours, wanted) if a != b]
     if differing:
-        return f"{len(differing)} rows differ on {names}, first:\n   {differing[0][0]}\n   {differing[0][1]}", len(ours), took
-    return None, len(ours), took
+        return f"{len(differing)} rows differ on {names}, first:\n   {differing[0][0]}\n   {differing[0][1]}", len(ours), took, df
+    return None, len(ours), took, df

@@ -22,14 +22,10 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
-def test_query(spark, con, sf_dir, name):
-    problem, _, _ = compare(spark, con, name, QUERIES[name], SQL[name], sf_dir)
+def test_query(spark, con, sf_dir, name, capsys):
+    problem, _, _, df = compare(spark, con, name, QUERIES[name], SQL[name], sf_dir)
     assert problem is None, problem
-
-
-@pytest.mark.parametrize("name", list(QUERIES))
-def test_plan(spark, sf_dir, name, capsys):
-    QUERIES[name](spark, sf_dir).explain("formatted")
+    df.explain("formatted")
     plan = capsys.readouterr().out
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert unwanted not in plan
