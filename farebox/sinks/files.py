@@ -87,11 +87,16 @@ def write_topic(
 
 
 def write_rollup(state: DataFrame, rollup: Rollup, path: str) -> None:
-    """(Over)write the months found in ``state``; months it does not hold stay as they are."""
+    """(Over)write the months found in ``state``; months it does not hold stay as they are.
+
+    Rows are ranged over the whole sort order, not hashed by month: a month with a large share of
+    the rows is cut into several files, small months share a task, and AQE picks the sizes.
+    """
     inside = [F.col(c) for c in rollup.partition if c != "year_month"]
+    order = [F.col("year_month"), *inside, *rollup.order()]
     (
-        state.repartition("year_month")
-        .sortWithinPartitions("year_month", *inside, *rollup.order())
+        state.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year_month")
