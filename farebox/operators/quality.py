@@ -246,24 +246,21 @@ def side_by_side(a: DataFrame, b: DataFrame, name: str, ms: str) -> DataFrame:
     )
 
 
-def bulk_load(batched: DataFrame, failed: Column, arrived: str) -> DataFrame:
-    """Rows and batches of a bulk load. A batch with a row that cannot be stored fails whole."""
-    per_batch = batched.groupBy("batch_no").agg(
-        F.count("*").alias("rows"),
-        F.max(failed.cast("int")).alias("failed"),
-        F.min(arrived).alias("first"),
-        F.max(arrived).alias("last"),
-    )
-    stored = F.sum(F.when(F.col("failed") == 0, F.col("rows")).otherwise(F.lit(0)))
-    totals = per_batch.agg(
+def bulk_load(outcome: DataFrame, stored: DataFrame, arrived: str) -> DataFrame:
+    """Report of a bulk insert from the outcome per batch and the rows it stored."""
+    batches = outcome.agg(
         F.count("*").alias("num_batches"),
         F.sum("failed").alias("failed_batches"),
         F.sum("rows").alias("total_rows"),
-        stored.alias("total_inserted"),
         F.max("rows").alias("largest_batch"),
-        (F.unix_timestamp(F.max("last")) - F.unix_timestamp(F.min("first"))).alias("total_time_seconds"),
     )
-    return totals.withColumn(
+    rows = stored.agg(
+        F.count("*").alias("n"),
+        (F.unix_timestamp(F.max(arrived)) - F.unix_timestamp(F.min(arrived))).alias("s"),
+    ).select(F.struct("n", "s")).scalar()
+    return batches.withColumns(
+        {"total_inserted": rows["n"], "total_time_seconds": rows["s"]}
+    ).withColumn(
         "throughput_records_per_sec",
         F.round(F.coalesce(F.try_divide("total_inserted", "total_time_seconds"), F.lit(0.0)), 6),
     )

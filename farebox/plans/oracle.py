@@ -475,8 +475,9 @@ _base(
     "bulk_load_report",
     f"""SELECT count(*) AS num_batches, CAST(sum(failed) AS BIGINT) AS failed_batches,
   CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(CASE WHEN failed = 0 THEN n ELSE 0 END) AS BIGINT) AS total_inserted,
-  max(n) AS largest_batch, date_diff('second', min(first), max(last)) AS total_time_seconds,
-  {r2("CAST(sum(CASE WHEN failed = 0 THEN n ELSE 0 END) AS DOUBLE) / date_diff('second', min(first), max(last))", 6)}
+  max(n) AS largest_batch,
+  date_diff('second', min(first) FILTER (WHERE failed = 0), max(last) FILTER (WHERE failed = 0)) AS total_time_seconds,
+  {r2("CAST(sum(CASE WHEN failed = 0 THEN n ELSE 0 END) AS DOUBLE) / date_diff('second', min(first) FILTER (WHERE failed = 0), max(last) FILTER (WHERE failed = 0))", 6)}
     AS throughput_records_per_sec
 FROM (SELECT batch_no, count(*) AS n, max(CASE WHEN tpep_pickup_datetime = 'bad-date' THEN 1 ELSE 0 END) AS failed,
         min(CAST(tpep_dropoff_datetime AS TIMESTAMP)) AS first, max(CAST(tpep_dropoff_datetime AS TIMESTAMP)) AS last
@@ -711,11 +712,11 @@ SELECT count(*) AS total_queries,
   (SELECT name FROM t ORDER BY ms, name LIMIT 1) AS fastest_query,
   (SELECT name FROM t ORDER BY ms DESC, name LIMIT 1) AS slowest_query
 FROM t"""
-ORACLE["compare_results"] = """WITH
-a AS (SELECT user_id, arg_min(value, event_id) AS ms FROM events WHERE event_type = 'click' AND user_id % 5 <> 1 GROUP BY user_id),
-b AS (SELECT user_id, arg_min(value, event_id) AS ms FROM events WHERE event_type = 'purchase' AND user_id % 5 <> 2 GROUP BY user_id)
-SELECT 'User_' || CAST(coalesce(a.user_id, b.user_id) AS VARCHAR) AS query, coalesce(a.ms, 0) AS a_ms, coalesce(b.ms, 0) AS b_ms
-FROM a FULL OUTER JOIN b ON a.user_id = b.user_id"""
+_FIRST = """SELECT 'user_' || CAST(user_id AS VARCHAR) || '_' || CAST(CAST(ts AS DATE) AS VARCHAR) AS q,
+  arg_min(value, event_id) AS ms FROM events WHERE event_type = '{kind}' GROUP BY 1"""
+ORACLE["compare_results"] = f"""WITH a AS ({_FIRST.format(kind='click')}), b AS ({_FIRST.format(kind='purchase')})
+SELECT 'U' || substr(coalesce(a.q, b.q), 2) AS query, coalesce(a.ms, 0) AS a_ms, coalesce(b.ms, 0) AS b_ms
+FROM a FULL OUTER JOIN b ON a.q = b.q"""
 
 # ---- windows ---------------------------------------------------------------------------------
 

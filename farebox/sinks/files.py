@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions.scalars import md5_bucket
-from farebox.operators.rollups import Rollup
+from farebox.operators.rollups import Rollup, revenue_view, time_view
 from farebox.sources.topic import TOPIC, TOPIC_PARTITIONS
 
 RECORDS_PER_FILE = 100_000
@@ -42,6 +42,21 @@ def write_json_arrays(
     ).text(path)
 
 
+def bulk_insert(
+    batched: DataFrame, failed: Column, path: str, mode: str = "append"
+) -> DataFrame:
+    """Add the batches that store whole; returns one row per batch with whether it failed.
+
+    ``batched`` holds rows with their ``batch_no``. One row that cannot be stored fails its batch.
+    """
+    outcome = batched.groupBy("batch_no").agg(
+        F.count("*").alias("rows"), F.max(failed.cast("int")).alias("failed")
+    )
+    refused = outcome.filter("failed = 1").select("batch_no")
+    batched.join(refused, "batch_no", "left_anti").write.mode(mode).parquet(path)
+    return outcome
+
+
 def partition_of(key: Column, partitions: int = TOPIC_PARTITIONS) -> Column:
     """Which topic partition a key goes to."""
     return md5_bucket(key, partitions).cast("int")
@@ -86,24 +101,37 @@ def write_topic(
 # borough.
 
 
-def write_rollup(state: DataFrame, rollup: Rollup, path: str) -> None:
-    """(Over)write the months found in ``state``; months it does not hold stay as they are.
+def write_sorted(table: DataFrame, path: str, by: str, order: list[Column]) -> None:
+    """(Over)write the ``by`` directories found in ``table``; the others stay as they are.
 
-    Rows are ranged over the whole sort order, not hashed by month: a month with a large share of
-    the rows is cut into several files, small months share a task, and AQE picks the sizes.
+    Rows are ranged over the whole sort order, not hashed by directory: a directory with a large
+    share of the rows is cut into several files, small ones share a task, and AQE picks the sizes.
     """
-    inside = [F.col(c) for c in rollup.partition if c != "year_month"]
-    order = [F.col("year_month"), *inside, *rollup.order()]
     (
-        state.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        table.repartitionByRange(F.col(by), *order)
+        .sortWithinPartitions(F.col(by), *order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year_month")
+        .partitionBy(by)
         .parquet(path)
     )
 
 
+def write_rollup(state: DataFrame, rollup: Rollup, path: str) -> None:
+    """(Over)write the months found in ``state``."""
+    inside = [F.col(c) for c in rollup.partition if c != "year_month"]
+    write_sorted(state, path, "year_month", [*inside, *rollup.order()])
+
+
+def write_views(borough_time: DataFrame, revenue_path: str, time_path: str) -> None:
+    """Store both views of the borough rollup, each in the order its readers want: the best hours
+    of a borough first, and the hours of a month in time order."""
+    by_revenue = [F.desc("sum_total_amount"), *[F.col(c) for c in ("year_month", "pickup_date", "pickup_hour")]]
+    write_sorted(revenue_view(borough_time), revenue_path, "borough", by_revenue)
+    by_time = [F.col(c) for c in ("pickup_date", "pickup_hour", "borough")]
+    write_sorted(time_view(borough_time), time_path, "year_month", by_time)
+
+
 def read_rollup(spark: SparkSession, path: str, schema) -> DataFrame:
     """A declared schema keeps ``year_month`` text and saves the inference pass."""
     return spark.read.schema(schema).parquet(path)
