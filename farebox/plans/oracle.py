@@ -383,6 +383,19 @@ GROUP BY borough, year_month""",
     _ROLLUPS,
 )
 
+_HOUR_KEYS = "borough, year_month, pickup_date, pickup_hour"
+_base(
+    "rollup_upsert",
+    f"""SELECT {_HOUR_KEYS}, coalesce(c.revenue, f.sum_total_amount) AS sum_total_amount,
+  coalesce(c.trips, f.count_payment_card) AS count_payment_card,
+  CASE WHEN c.trips IS NULL THEN f.count_payment_cash ELSE 0 END AS count_payment_cash,
+  coalesce(c.trips, f.trip_count) AS trip_count
+FROM r_borough_time f LEFT JOIN (
+  SELECT {_HOUR_KEYS}, {money('sum(total_amount)')} AS revenue, count(*) AS trips
+  FROM facts WHERE payment_type = 1 GROUP BY {_HOUR_KEYS}) c USING ({_HOUR_KEYS})""",
+    _ROLLUPS,
+)
+
 for _name, _r in ROLLUPS.items():
     _base(f"rollup_{_name}", f"SELECT * FROM r_{_name}", _ROLLUPS)
     _base(f"stream_rollup_{_name}", f"SELECT * FROM r_{_name}", _ROLLUPS)

@@ -208,6 +208,25 @@ def bulk_load_report(ws: Workspace) -> DataFrame:
     return quality.bulk_load(ws.spark.read.parquet(outcome), stored, "arrived")
 
 
+@query
+def rollup_upsert(ws: Workspace) -> DataFrame:
+    """Rows of card trips only, put over the full rollup: equal keys are replaced, others stay."""
+    rollup, state = ROLLUPS["borough_time"], ws.state("borough_time")
+
+    def write(path: str) -> None:
+        files.write_rollup(state, rollup, path)
+        cards = rollups.accepted(ws.facts()).filter("payment_type = 1")
+        rows = rollups.aggregate(cards, rollup)
+        files.upsert_rollup(ws.spark, rows, rollup, path, state.schema)
+
+    now = files.read_rollup(ws.spark, ws.once("rollup_upserted", write), state.schema)
+    return _text_dates(
+        rollups.present(now, rollup).select(
+            *rollup.pk, "sum_total_amount", "count_payment_card", "count_payment_cash", "trip_count"
+        )
+    )
+
+
 @query
 def delete_partition(ws: Workspace) -> DataFrame:
     rollup, state = ROLLUPS["borough_time"], ws.state("borough_time")

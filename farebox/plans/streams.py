@@ -40,7 +40,7 @@ def _topic(ws: Workspace, path: str, starting: str = "earliest", most: int = MOS
 def _events(ws: Workspace) -> DataFrame:
     """Arrivals, with the event time as an instant: watermarks need one."""
     # The pattern matches the table whether it is one file or a folder of files.
-    arrivals = ws.spark.readStream.schema(EVENT).parquet(f"{ws.sf_dir}/events*.parquet")
+    arrivals = ws.spark.readStream.schema(EVENT).parquet(f"{ws.sf_dir}/events.parquet*")
     return arrivals.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
