@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.session import shared_dir, shuffle_width
+from farebox.session import checkpointed, shuffle_width
 
 _ROW_BITS = (1 << 33) - 1
 
@@ -22,13 +22,8 @@ def ordered(df: DataFrame, *order: str) -> DataFrame:
 
     ``order`` must be unique: its last columns then split a value that many rows share.
     """
-    spark = df.sparkSession
-    shared_dir(spark)  # makes sure a checkpoint folder is set
-    placed = (
-        df.repartitionByRange(shuffle_width(spark), *order)
-        .sortWithinPartitions(*order)
-        .checkpoint()
-    )
+    width = shuffle_width(df.sparkSession)
+    placed = checkpointed(df.repartitionByRange(width, *order).sortWithinPartitions(*order))
     return placed.withColumn("chunk", F.spark_partition_id()).withColumn(
         "place", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
     )

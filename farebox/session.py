@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -49,5 +49,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root.rstrip("/"), "farebox", context.applicationId, *parts])
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder: a fixed order, and no lineage to run again."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

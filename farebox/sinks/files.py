@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from farebox.functions.scalars import md5_bucket
 from farebox.operators.rollups import Rollup, revenue_view, time_view
+from farebox.session import checkpointed
 from farebox.sources.topic import TOPIC, TOPIC_PARTITIONS
 
 RECORDS_PER_FILE = 100_000
@@ -27,9 +28,11 @@ def write_json_arrays(
     """Files that each hold one JSON array of at most ``per_file`` records.
 
     ``records`` has the columns ``value`` (JSON text) and ``stem``. Each task numbers its own rows,
-    so a chunk never spans tasks and no chunk grows past ``per_file``.
+    so a chunk never spans tasks and no chunk grows past ``per_file``. The checkpoint fixes the row
+    order first: a task that runs again after a lost executor gives every row the same chunk.
     """
-    numbered = records.select(stem, "value").withColumn("row", F.monotonically_increasing_id())
+    fixed = checkpointed(records.select(stem, "value"))
+    numbered = fixed.withColumn("row", F.monotonically_increasing_id())
     chunk = F.struct(
         F.shiftright("row", 33).alias("task"),
         F.floor(F.col("row").bitwiseAND(F.lit(_ROW_BITS)) / per_file).alias("part"),
@@ -148,7 +151,7 @@ def upsert_rollup(spark: SparkSession, rows: DataFrame, rollup: Rollup, path: st
     kept = stored.join(touched, "year_month", "left_semi").join(
         rows.select(*rollup.pk), rollup.pk, "left_anti"
     )
-    write_rollup(kept.unionByName(rows).checkpoint(), rollup, path)
+    write_rollup(checkpointed(kept.unionByName(rows)), rollup, path)
 
 
 def without_partition(table: DataFrame, borough: str, month: str) -> DataFrame:

@@ -12,7 +12,9 @@ from farebox.operators import documents
 from farebox.sources.topic import decode_facts, decode_wire
 from farebox.streaming.log import read_batches, write_batch
 
+# How many trips and latencies the live view keeps.
 RECENT = 15
+LATENCIES = 5000
 
 
 def card() -> list[Column]:
@@ -71,6 +73,8 @@ def live_batch(home: str, per_poll: int | None = None) -> Callable[[DataFrame, i
             else:
                 newest = shown.orderBy("timestamp", "trip_id").limit(per_poll)
             write_batch(newest.drop("latency_ms", "paid", "broken"), f"{home}/recent", batch_id)
+            stamped = shown.filter(F.col("latency_ms").isNotNull())
+            write_batch(_newest_latencies(stamped), f"{home}/latencies", batch_id)
         finally:
             shown.unpersist()
 
@@ -86,15 +90,25 @@ def live_stats(spark: SparkSession, home: str) -> DataFrame:
     )
 
 
+def _newest_latencies(rows: DataFrame) -> DataFrame:
+    newest = rows.orderBy(F.desc("timestamp"), F.desc("trip_id")).limit(LATENCIES)
+    return newest.select("timestamp", "trip_id", "latency_ms")
+
+
 def live_latency(spark: SparkSession, home: str) -> DataFrame:
-    """Time from stamp to arrival over the messages that carry a stamp."""
+    """Time from stamp to arrival, over the newest messages and over all that carry a stamp."""
     log = read_batches(spark, f"{home}/totals").filter(F.col("latency_ms").isNotNull())
+    newest = _newest_latencies(read_batches(spark, f"{home}/latencies"))
+    recent = newest.agg(
+        F.struct(F.round(F.avg("latency_ms"), 2).alias("mean"), F.max("latency_ms").alias("top"))
+    ).scalar()
     n = F.col("total_trips")
-    return log.agg(
+    whole = log.agg(
         F.sum(n).alias("messages"),
-        F.round(F.sum(F.col("latency_ms") * n) / F.sum(n), 2).alias("avg_latency_ms"),
-        F.max("latency_ms").alias("max_latency_ms"),
+        F.round(F.sum(F.col("latency_ms") * n) / F.sum(n), 2).alias("all_avg_latency_ms"),
+        F.max("latency_ms").alias("all_max_latency_ms"),
     )
+    return whole.withColumns({"avg_latency_ms": recent["mean"], "max_latency_ms": recent["top"]})
 
 
 def recent_trips(spark: SparkSession, home: str, n: int = RECENT) -> DataFrame:
