@@ -1,7 +1,7 @@
 """Benchmark decontamination: a hash set of normalised test n-grams probed by every window of the text.
 
-The set is a join side without a hint: Catalyst broadcasts it while its stored size is under its
-threshold and shuffles both sides beyond that. A probe compares the whole window text, so a hit is verified.
+The set is broadcast while its measured size is under a bound; beyond that both sides are shuffled. A
+probe finds its window by hash and compares the whole window text, so a hit is verified.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import ascii_lower, keyed, let, rewritten, same_row, whole_text
+from farebox.llm.common import ascii_lower, keyed, let, rewritten, same_row, sized, whole_text
 from farebox.session import checkpointed
 
 WINDOW = 13
@@ -67,7 +67,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
         "id", "h", F.explode(let(normal_words(F.col("t")), lambda w: _windows(w, lengths))).alias("p")
     ).select("id", "h", "p.start", "p.size", "p.gram")
     found = checkpointed(
-        probes.join(index.select("size", "gram").distinct(), ["size", "gram"]).distinct()
+        probes.join(sized(checkpointed(index.select("size", "gram").distinct())), ["size", "gram"], "left_semi").distinct()
     )
     # A document's places are no more than its own words; its items no more than its windows' items.
     places = found.groupBy("id", "h").agg(

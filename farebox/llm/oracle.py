@@ -31,8 +31,8 @@ s AS (
          greatest(coalesce(n_lines, 0), 1) AS n_lines, coalesce(bullets, 0) AS bullets,
          coalesce(ellipses, 0) AS ellipses, greatest(len(w), 1) AS n,
          len(regexp_extract_all(t, '!!')) AS shouts,
-         len(list_filter(w, x -> lower(x) IN ({_STOPS}))) AS stop_words,
-         len(list_filter(w, x -> regexp_matches(x, '^[^0-9A-Za-z\x80-\x{{10FFFF}}]*[A-Za-z\x80-\x{{10FFFF}}]'))) AS alphabetic
+         len([x FOR x IN w IF lower(x) IN ({_STOPS})]) AS stop_words,
+         len([x FOR x IN w IF regexp_matches(x, '^[^0-9A-Za-z\x80-\x{{10FFFF}}]*[A-Za-z\x80-\x{{10FFFF}}]')]) AS alphabetic
   FROM d LEFT JOIN covered USING (r) LEFT JOIN of_lines USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

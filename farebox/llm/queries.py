@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import decontaminate, packing, rules
+from farebox.llm import credentials, decontaminate, packing, pii, quality, rules
 from farebox.llm.common import documents
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(documents(spark, sf_dir))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.report(documents(spark, sf_dir))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -22,8 +30,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(documents(spark, sf_dir)))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
+    "op6_secrets": op6_secrets,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
+    "op10_personal_data": op10_personal_data,
 }
