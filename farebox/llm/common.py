@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.session import shared_dir
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
@@ -69,3 +72,10 @@ def sized(df: DataFrame, most_bytes: int = 32 << 20) -> DataFrame:
     row = sum(strings, F.lit(16 * len(df.columns) + 16))
     held = df.agg(F.sum(row.cast("long"))).first()[0] or 0
     return F.broadcast(df) if held <= most_bytes else df
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, compressed, without lineage."""
+    path = shared_dir(df.sparkSession, "llm", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

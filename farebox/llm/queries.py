@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import credentials, decontaminate, packing, pii, quality, rules
+from farebox.llm import credentials, decontaminate, packing, pii, quality, repeats, rules
 from farebox.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.report(documents(spark, sf_dir))
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.without_repeats(documents(spark, sf_dir)))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
     "op6_secrets": op6_secrets,
+    "op7_repeated_strings": op7_repeated_strings,
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_personal_data": op10_personal_data,
