@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import credentials, decontaminate, packing, pii, quality, repeats, rules
+from farebox.llm import credentials, decontaminate, jaccard, packing, pii, quality, repeats, rules
 from farebox.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(documents(spark, sf_dir))
 
 
+def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.report(documents(spark, sf_dir))
 
@@ -41,6 +45,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_quality_rules": op3_quality_rules,
+    "op4_near_copies": op4_near_copies,
     "op6_secrets": op6_secrets,
     "op7_repeated_strings": op7_repeated_strings,
     "op8_decontamination": op8_decontamination,
