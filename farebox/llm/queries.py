@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import credentials, decontaminate, jaccard, packing, pii, quality, repeats, rules
+from farebox.llm import credentials, ctw, decontaminate, jaccard, packing, pii, quality, repeats, rules
 from farebox.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.scored(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(documents(spark, sf_dir))
 
@@ -44,6 +48,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_context_tree": op2_context_tree,
     "op3_quality_rules": op3_quality_rules,
     "op4_near_copies": op4_near_copies,
     "op6_secrets": op6_secrets,
