@@ -66,10 +66,11 @@ def rewritten(docs: DataFrame, rows: DataFrame, text: Column) -> DataFrame:
 def sized(df: DataFrame, most_bytes: int = 32 << 20) -> DataFrame:
     """``df`` with a broadcast hint if its measured size is within the bound, else as it is.
 
-    Call it on stored rows: it reads them once to add up row counts and string lengths.
+    Call it on stored rows: it reads them once to add up row counts, string lengths and array sizes.
     """
     strings = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
-    row = sum(strings, F.lit(16 * len(df.columns) + 16))
+    arrays = [F.greatest(F.size(c), F.lit(0)) * 32 for c, kind in df.dtypes if kind.startswith("array")]
+    row = sum(strings + arrays, F.lit(16 * len(df.columns) + 16))
     held = df.agg(F.sum(row.cast("long"))).first()[0] or 0
     return F.broadcast(df) if held <= most_bytes else df
 

@@ -2,9 +2,10 @@
 
 Every window of ``depth`` bytes is represented by the least-hashed short gram in it, so equal windows
 choose equal grams at equal offsets and only one suffix in some eighty is sorted. The passes take the
-most significant digit first: the gram; then the whole stretch of the windows that chose it; and, for
-stretches that share a gram but differ, each window by itself. Only groups of two or more reach the
-next pass, and the groups equal to full depth are the repeated windows.
+most significant digit first: the gram; the whole stretch of windows that chose it; then, for stretches
+that share a gram but differ, runs of a few windows with equal offsets, by the bytes all of them hold;
+and last each window by itself. Only groups of two or more reach the next pass, and the groups equal to
+full depth are the repeated windows.
 """
 
 from __future__ import annotations
@@ -13,21 +14,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.llm.bytehash import Ranges, flat, mixed, slices
-from farebox.llm.common import keyed, stored
+from farebox.llm.common import keyed, sized, stored
 
 DEPTH = 200
 GRAM = 32
+#: Offsets in a run of windows.
+RUN = 24
 #: Bytes whose hashes a task holds at once; longer texts are taken in runs of windows.
 HELD = 1 << 21
 _PLACE = np.uint64((1 << 22) - 1)
+#: A stretch in one number: 15 bits of the text's hash, first window, offset of the gram, windows.
+_TAG, _BEGIN, _OFFSET = 47, 16, 8
+
+
+def _packed(tag, begin, offset, count) -> np.ndarray:
+    return (tag << _TAG) | (begin << _BEGIN) | (offset << _OFFSET) | count
+
+
+def _tag() -> Column:
+    return F.col("h").bitwiseAND(0x7FFF)
 
 
 def _stretches(data: np.ndarray, bounds: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """For runs of rows or of windows: row, first window, windows, gram hash, stretch hash."""
+    """For runs of rows or of windows: row, first window, offset of the gram, windows, gram hash, stretch hash."""
     width = depth - GRAM + 1
     row = 0
     while row < len(bounds) - 1:
@@ -76,108 +89,158 @@ def _run(data: np.ndarray, bounds: np.ndarray, depth: int, width: int):
     stretch = Ranges(data, 2).of(begin, begin + count + depth - 1)
     stretch = mixed(stretch ^ ((anchor - begin) << 32 | count).astype(np.uint64))
     row = np.searchsorted(bounds, begin, "right") - 1
-    return row, begin - bounds[row], count, key[anchor], stretch
+    return row, begin - bounds[row], anchor - begin, count, key[anchor], stretch
 
 
 def _anchors(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2, HELD * 8):
+            for part in slices(batch, 2, HELD * 4):
                 data, bounds = flat(part.column(2))
-                for row, begin, count, gram, stretch in _stretches(data, bounds, depth):
-                    at = pa.array(row)
+                tags = part.column(1).to_numpy()
+                for row, begin, offset, count, gram, stretch in _stretches(data, bounds, depth):
+                    w = _packed(tags[row], begin, offset, count)
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column(0).take(at),
-                            part.column(1).take(at),
-                            pa.array(gram.view(np.int64)),
-                            pa.array(stretch.view(np.int64)),
-                            pa.array((begin << 8 | count).astype(np.int64)),
-                        ],
-                        ["id", "h", "g", "s", "w"],
+                        [part.column(0).take(pa.array(row)), pa.array(w), pa.array(gram.view(np.int64)), pa.array(stretch.view(np.int64))],
+                        ["id", "w", "a", "b"],
                     )
 
     return run
 
 
+def _listed(batches: Iterator[pa.RecordBatch]):
+    """Per document and some thousands of its listed stretches: ids, tag, bytes from ``base`` on, stretches."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            data, _ = flat(batch.column(2).slice(i, 1))
+            w = np.sort(batch.column(3)[i].values.to_numpy())
+            begin, offset, count = w >> _BEGIN & 0x7FFFFFFF, w >> _OFFSET & 255, w & 255
+            for low in range(0, len(w), 4096):
+                some = slice(low, low + 4096)
+                base, top = int(begin[low]), int((begin[some] + count[some]).max()) + 256
+                yield batch.column(0).slice(i, 1), int(w[0] >> _TAG), data[base:top], base, begin[some], offset[some], count[some]
+
+
+def _each(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers first, first + 1, ... of each, and whose they are."""
+    owner = np.repeat(np.arange(len(count)), count)
+    return np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + first[owner], owner
+
+
+def _runs(depth: int):
+    """The listed stretches cut at fixed offsets from their gram: by the bytes that all windows of a run
+    hold (a) and by the bytes that any of them holds (b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for id, tag, data, base, begin, offset, count in _listed(batches):
+            low = (offset - count + 1) // RUN
+            piece, of = _each(low, offset // RUN - low + 1)
+            most = np.minimum(offset[of], piece * RUN + RUN - 1)
+            least = np.maximum(offset[of] - count[of] + 1, piece * RUN)
+            gram = begin[of] + offset[of]
+            first, n = gram - most, most - least + 1
+            core = Ranges(data, 3).of(gram - piece * RUN - base, gram - piece * RUN - RUN + 1 + depth - base)
+            union = Ranges(data, 4).of(first - base, first + n + depth - 1 - base)
+            core = mixed(core + piece.astype(np.uint64))
+            union = mixed(union ^ (most << 8 | n).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    id.take(pa.array(np.zeros(len(of), np.int64))),
+                    pa.array(_packed(tag, first, most, n)),
+                    pa.array(core.view(np.int64)),
+                    pa.array(union.view(np.int64)),
+                ],
+                ["id", "w", "a", "b"],
+            )
+
+    return run
+
+
 def _windows(depth: int):
-    """Each window of the listed stretches, by a hash of all its bytes."""
+    """Each window of the listed runs, by two hashes of its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 2, HELD * 8):
-                for i in range(part.num_rows):
-                    data, _ = flat(part.column(2).slice(i, 1))
-                    marks = part.column(3)[i].values
-                    begin = marks.field("w").to_numpy() >> 8
-                    count = marks.field("w").to_numpy() & 255
-                    gram = marks.field("g").to_numpy()
-                    order = np.argsort(begin)
-                    for low in range(0, len(order), 4096):
-                        some = order[low : low + 4096]
-                        base, top = int(begin[some[0]]), int((begin[some] + count[some]).max()) + depth
-                        n = int(count[some].sum())
-                        at = np.repeat(begin[some] - np.append(0, np.cumsum(count[some])[:-1]), count[some]) + np.arange(n)
-                        hashes = Ranges(data[base:top], 3).of(at - base, at - base + depth)
-                        where = pa.array(np.full(n, i))
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                part.column(0).take(where),
-                                part.column(1).take(where),
-                                pa.array(np.repeat(gram[some], count[some])),
-                                pa.array(hashes.view(np.int64)),
-                                pa.array(at),
-                            ],
-                            ["id", "h", "g", "v", "at"],
-                        )
+        for id, tag, data, base, begin, _, count in _listed(batches):
+            at, _ = _each(begin, count)
+            one, two = (Ranges(data, seed).of(at - base, at - base + depth) for seed in (3, 4))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    id.take(pa.array(np.zeros(len(at), np.int64))),
+                    pa.array(_packed(tag, at, 0, 1)),
+                    pa.array(one.view(np.int64)),
+                    pa.array(two.view(np.int64)),
+                ],
+                ["id", "w", "a", "b"],
+            )
 
     return run
 
 
-def repeated(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(id, h, start, end): stretches of bytes whose every window of ``depth`` bytes starts elsewhere too.
+def _digit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups by (a, b): rows whose pair is met twice, and rows that share ``a`` but not ``b`` with others,
+    with one row of every pair met twice beside them.
 
-    Strings are told apart by two independent 64-bit hashes.
+    Counts are summed before the shuffle, and locations travel only by joins, whose large partitions
+    can be split. A row that meets no other in ``a`` ends here.
     """
-    rows = keyed(docs).select("id", "h", "t")
-    key = f"id {docs.schema['doc_id'].dataType.simpleString()}, h long"
-    # First digit. Counts are summed before the shuffle; a gram met once ends here.
-    anchors = stored(
-        rows.where(F.octet_length("t") >= depth).mapInArrow(_anchors(depth), f"{key}, g long, s long, w long")
-    )
     shared = (
-        anchors.groupBy("g")
-        .agg(F.count("*").alias("n"), F.min("s").alias("least"), F.max("s").alias("most"))
+        rows.groupBy("a")
+        .agg(F.count("*").alias("n"), F.min("b").alias("least"), F.max("b").alias("most"))
         .where("n > 1")
-        .select("g", (F.col("least") == F.col("most")).alias("alike"))
-    )
-    # Second digit. A stretch met twice is repeated throughout.
-    live = stored(anchors.join(shared, "g"))
-    count = live.where("not alike").groupBy("g", "s").agg(F.count("*").alias("n"), F.min(F.struct("id", "h", "w")).alias("one"))
-    counted = live.where("not alike").join(count, ["g", "s"])
-    sure = live.where("alike").select("id", "h", "w").unionByName(counted.where("n > 1").select("id", "h", "w"))
-    # Third digit, for stretches that only share the gram: each window, one stretch of those alike.
-    single = counted.where((F.col("n") == 1) | (F.struct("id", "h", "w") == F.col("one"))).select("id", "h", "g", "w")
-    marks = single.groupBy("id", "h").agg(F.collect_list(F.struct("g", "w")).alias("marks"))
-    windows = stored(
-        rows.alias("a")
-        .join(marks.alias("b"), F.expr("a.id <=> b.id and a.h = b.h"))
-        .select("a.id", "a.h", "t", "marks")
-        .dropDuplicates(["id", "h"])
-        .mapInArrow(_windows(depth), f"{key}, g long, v long, at long")
+        .select("a", (F.col("least") == F.col("most")).alias("alike"))
     )
-    twice = windows.groupBy("g", "v").agg(F.count("*").alias("n")).where("n > 1")
-    met = windows.join(twice, ["g", "v"], "left_semi")
-    begin, size = F.shiftright("w", 8), F.col("w").bitwiseAND(255)
-    return sure.select("id", "h", begin.alias("start"), (begin + size + depth - 1).alias("end")).unionByName(
-        met.select("id", "h", F.col("at").alias("start"), (F.col("at") + depth).alias("end"))
+    live = stored(rows.join(shared, "a"))
+    mixed_rows = live.where("not alike").drop("alike")
+    pairs = mixed_rows.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("id", "w")).alias("one"))
+    counted = stored(mixed_rows.join(pairs, ["a", "b"]).select("id", "w", "n", F.struct("id", "w").eqNullSafe(F.col("one")).alias("one")))
+    sure = live.where("alike").select("id", "w").unionByName(counted.where("n > 1").select("id", "w"))
+    return sure, counted.where("n = 1 or one").select("id", "w")
+
+
+def _reread(rows: DataFrame, open_rows: DataFrame, function, schema: str) -> DataFrame:
+    """Runs ``function`` over the texts of the documents that ``open_rows`` names, each text once."""
+    tag = F.shiftright("w", _TAG)
+    marks = sized(stored(open_rows.groupBy("id", tag.alias("tag")).agg(F.collect_list("w").alias("marks"))))
+    joined = rows.alias("r").join(marks.alias("m"), F.expr("r.id <=> m.id and r.tag = m.tag"))
+    return stored(joined.select("r.id", "r.tag", "t", "marks").mapInArrow(function, schema))
+
+
+def repeated(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(id, tag, start, end): stretches of bytes whose every window of ``depth`` bytes starts elsewhere too.
+
+    Strings are told apart by two independent 64-bit hashes. ``tag`` are 15 bits of the text's hash,
+    which part rows that share an id.
+    """
+    if not GRAM + RUN < depth <= 256:
+        raise ValueError("depth must leave room for a gram and fit the packed offsets")
+    rows = keyed(docs).where(F.octet_length("t") >= depth).select("id", _tag().alias("tag"), "t")
+    schema = f"id {docs.schema['doc_id'].dataType.simpleString()}, w long, a long, b long"
+    found, open_rows = _digit(stored(rows.mapInArrow(_anchors(depth), schema)))
+    more, open_runs = _digit(_reread(rows, open_rows, _runs(depth), schema))
+    windows = _reread(rows, open_runs, _windows(depth), schema).distinct()
+    twice = windows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    last = windows.join(twice, ["a", "b"], "left_semi").select("id", "w")
+    begin = F.shiftright("w", _BEGIN).bitwiseAND(0x7FFFFFFF)
+    return (
+        found.unionByName(more)
+        .unionByName(last)
+        .select(
+            "id",
+            F.shiftright("w", _TAG).alias("tag"),
+            begin.alias("start"),
+            (begin + F.col("w").bitwiseAND(255) + depth - 1).alias("end"),
+        )
     )
 
 
 def merged(stretches: DataFrame) -> DataFrame:
-    """(id, h, spans): a document's stretches, joined where they touch, ascending. One document at a time."""
-    ordered = F.array_sort(F.collect_set(F.struct("start", "end")))
-    return stretches.groupBy("id", "h").agg(ordered.alias("spans"))
+    """(id, tag, spans): a document's stretches, joined where they touch. One document at a time."""
+    along = Window.partitionBy("id", "tag").orderBy("start", "end")
+    reach = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    marked = stretches.withColumn("fresh", (F.col("start") > F.coalesce(reach, F.lit(-1))).cast("int"))
+    islands = marked.withColumn("island", F.sum("fresh").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = islands.groupBy("id", "tag", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return spans.groupBy("id", "tag").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,24 +249,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             text = batch.column(1)[i].as_buffer().to_pybytes()
             spans = batch.column(2)[i].values
-            removed, places, rest, at = 0, 0, [], 0
-            if spans is not None and len(spans):
-                start, end = spans.field("start").to_numpy(), spans.field("end").to_numpy()
-                reach = np.maximum.accumulate(end)
-                new = np.append(True, start[1:] > reach[:-1])
-                first = np.flatnonzero(new)
-                for s, e in zip(start[first].tolist(), reach[np.append(first[1:] - 1, len(end) - 1)].tolist()):
+            removed, rest, at = 0, [], 0
+            if spans is not None:
+                for s, e in zip(spans.field("start").to_pylist(), spans.field("end").to_pylist()):
                     rest.append(text[at:s])
                     removed += e - s
                     at = e
-                places = len(first)
             rest.append(text[at:])
             n_bytes.append(len(text))
             n_removed.append(removed)
-            n_spans.append(places)
+            n_spans.append(0 if spans is None else len(spans))
             kept.append(b"".join(rest))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
+            [
+                batch.column(0),
+                pa.array(n_bytes, pa.int64()),
+                pa.array(n_removed, pa.int64()),
+                pa.array(n_spans, pa.int64()),
+                pa.array(kept, pa.binary()),
+            ],
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
         )
 
@@ -215,11 +279,11 @@ def without_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     another. Null is empty, shorter texts stay whole, rows that repeat each other lose whatever they
     share. Other columns are not read.
     """
-    rows = keyed(docs).select("id", "h", "t")
-    spans = merged(repeated(docs, depth))
-    joined = rows.alias("a").join(spans.alias("b"), F.expr("a.id <=> b.id and a.h = b.h"), "left")
+    rows = keyed(docs).select("id", _tag().alias("tag"), "t")
+    spans = sized(stored(merged(repeated(docs, depth))))
+    joined = rows.alias("r").join(spans.alias("s"), F.expr("r.id <=> s.id and r.tag = s.tag"), "left")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.select("a.id", "t", "spans").mapInArrow(
+    return joined.select("r.id", "t", "spans").mapInArrow(
         _cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
