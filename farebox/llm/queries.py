@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import credentials, ctw, decontaminate, jaccard, packing, pii, quality, repeats, rules
+from farebox.llm import credentials, ctw, decontaminate, jaccard, lines, packing, pii, quality, repeats, rules
 from farebox.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.joined(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(documents(spark, sf_dir))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.report(documents(spark, sf_dir))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_context_tree": op2_context_tree,
     "op3_quality_rules": op3_quality_rules,
     "op4_near_copies": op4_near_copies,
+    "op5_line_dedup": op5_line_dedup,
     "op6_secrets": op6_secrets,
     "op7_repeated_strings": op7_repeated_strings,
     "op8_decontamination": op8_decontamination,
