@@ -25,7 +25,7 @@ from farebox.llm.common import keyed, stored
 DEPTH = 5
 BLOCK_BYTES = 16 << 20
 #: Bytes a task turns into grams at a time.
-HELD = 1 << 21
+HELD = 1 << 19
 #: A gram and the number of a row in its slice share a word.
 ROW_BITS = 64 - 8 * (DEPTH + 1)
 WORD, GRAM = 0, 1

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -92,7 +93,7 @@ def set_name(shingles: np.ndarray) -> bytes:
 def _described(n: int, with_sets: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2, 1 << 21, 4096):
+            for part in slices(batch, 2, 1 << 19, 4096):
                 sets = shingle_sets(part.column(2), n)
                 names = pa.array([set_name(s) for s in sets], pa.binary())
                 if with_sets:
@@ -179,7 +180,7 @@ def links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold
 
 
 def _compare(threshold: float):
-    def run(key, block: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], block: pd.DataFrame) -> pd.DataFrame:
         x, y = int(key[1]), int(key[2])
         block = block.sort_values("c")
         sets = [np.frombuffer(s, np.uint64) for s in block["shingles"]]
@@ -216,14 +217,15 @@ def joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFra
 
     class_id is the least doc_id of the texts that links connect, n_links the number of other rows
     within the threshold. Equal texts are linked; texts without words, null ones too, equal each other.
-    Rows that repeat each other are rows of one class; a null doc_id is named by no class unless all
-    of its ids are null. Shingles are told apart by 64-bit hashes.
+    Rows that repeat each other are rows of one class. Null ids come last: they name a class, and are its
+    first row, only where it has no other. Classes are told apart by class_id as far as ids are unique.
+    Shingles are told apart by 64-bit hashes.
     """
     rows = keyed(docs).select("id", "h", "t")
     key = f"id {docs.schema['doc_id'].dataType.simpleString()}, h long"
     marked = stored(rows.mapInArrow(_described(n, False), f"{key}, c binary, size long, bands array<long>"))
     classes = marked.groupBy("c").agg(
-        F.count("*").alias("copies"), F.min("id").alias("least"), F.min(F.struct("id", "h")).alias("one"), F.first("size").alias("size")
+        F.count("*").alias("copies"), F.min("id").alias("least"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("one"), F.first("size").alias("size")
     )
     classes = stored(classes)
     # Classes that share a band: a star around the least class of each band makes the groups.
@@ -257,7 +259,7 @@ def joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFra
     named = whole.groupBy("root").agg(F.min("least").alias("class_id"), F.min("one").alias("first"))
     of_class = whole.join(named, "root").select("c", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), "first")
     return marked.join(of_class, "c").select(
-        F.col("id").alias("doc_id"), "class_id", "n_links", "h", (F.struct("id", "h").eqNullSafe(F.col("first"))).alias("first")
+        F.col("id").alias("doc_id"), "class_id", "n_links", "h", F.struct(F.col("id").isNull().alias("none"), "id", "h").eqNullSafe(F.col("first")).alias("first")
     )
 
 

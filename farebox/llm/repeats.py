@@ -25,7 +25,7 @@ GRAM = 32
 #: Offsets in a run of windows.
 RUN = 24
 #: Bytes whose hashes a task holds at once; longer texts are taken in runs of windows.
-HELD = 1 << 21
+HELD = 1 << 19
 _PLACE = np.uint64((1 << 22) - 1)
 #: A stretch in one number: 15 bits of the text's hash, first window, offset of the gram, windows.
 _TAG, _BEGIN, _OFFSET = 47, 16, 8
@@ -95,7 +95,7 @@ def _run(data: np.ndarray, bounds: np.ndarray, depth: int, width: int):
 def _anchors(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2, HELD * 4):
+            for part in slices(batch, 2, HELD * 8):
                 data, bounds = flat(part.column(2))
                 tags = part.column(1).to_numpy()
                 for row, begin, offset, count, gram, stretch in _stretches(data, bounds, depth):
