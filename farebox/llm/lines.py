@@ -18,8 +18,10 @@ LEAST_CHARS = 20
 #: Lines of fewer are compared whole only.
 LEAST_NEAR = 40
 EDITS = 2
+#: Segments grow in steps of so many characters, so that lines of nearly equal length cut alike.
+STEP = 8
 # Frequent letters; two lines differ in the count of one by no more than their edits.
-LETTERS = "entao"
+LETTERS = ("entao", "isrhld")
 
 
 def _trimmed(line: Column) -> Column:
@@ -32,47 +34,55 @@ def _lines(text: Column) -> Column:
     return F.filter(all_lines, lambda x: F.length(x["line"]) >= LEAST_CHARS)
 
 
-def _letters(line: Column) -> Column:
-    """Length (18 bits) and counts of five letters (9 bits each) in one number."""
-    packed = F.length(line).cast("long").bitwiseAND(0x3FFFF)
-    for letter in LETTERS:
-        packed = F.shiftleft(packed, 9).bitwiseOR((F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))).cast("long").bitwiseAND(511))
+def _packed(line: Column, first: Column, letters: str) -> Column:
+    """``first`` and the counts of the letters, 9 bits each, in one number."""
+    packed = first.cast("long")
+    for letter in letters:
+        held = (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))).cast("long")
+        packed = F.shiftleft(packed, 9).bitwiseOR(held.bitwiseAND(511))
     return packed
 
 
-def _alike(c: str, c2: str, edits: int) -> Column:
-    """Whether length and letter counts leave room for ``edits`` edits, the second line being no shorter."""
-    shift = 9 * len(LETTERS)
-    more = (F.shiftright(c2, shift) - F.shiftright(c, shift)).bitwiseAND(0x3FFFF)
+def _alike(edits: int) -> Column:
+    """Whether lengths and letter counts leave room for ``edits`` edits, the second line being no shorter."""
+    more = (F.shiftright("y.c", 9 * len(LETTERS[0])) - F.shiftright("x.c", 9 * len(LETTERS[0]))).bitwiseAND(0x3FFFF)
     held = more <= edits
-    for i in range(len(LETTERS)):
-        held = held & ((F.shiftright(c2, 9 * i) - F.shiftright(c, 9 * i) + edits).bitwiseAND(511) <= 2 * edits)
+    for column, letters in zip("cd", LETTERS):
+        for i in range(len(letters)):
+            at = 9 * i + (column == "d")
+            apart = F.shiftright(f"y.{column}", at) - F.shiftright(f"x.{column}", at) + edits
+            held = held & (apart.bitwiseAND(511) <= 2 * edits)
     return held
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 1) and size of the i-th of edits + 1 nearly equal segments; the longer ones come last."""
-    size = F.floor(length / (edits + 1)).cast("int")
-    short = F.lit(edits + 1) - length % (edits + 1)
-    start = size * (i - 1) + F.greatest(F.lit(0), F.lit(i - 1) - short) + 1
-    return start, size + F.when(F.lit(i) > short, 1).otherwise(0)
+def _keys(line: Column, n: Column, edits: int) -> Column:
+    """Array of (key, own): a line's segments (own) and the places near them where those of others may lie.
 
+    A line is cut at multiples of a size that follows its length in steps: edits + 1 segments that do
+    not overlap, the nearer ones counted from the front, the others from the end. Of two lines within
+    ``edits`` edits, segment i of one lies in the other with a shift of less than i, and of less than its
+    rank from the end. A line a few characters short of the next size looks there, too.
+    """
+    width = STEP * (edits + 1)
+
+    def cut(k: Column, n: Column) -> list[Column]:
+        size = k * STEP
+        out = []
+        for i in range(edits + 1):
+            front, slack = i <= edits - i, min(i, edits - i)
+            start = size * i + 1 if front else n - size * (edits + 1 - i) + 1
+            for shift in range(-slack, slack + 1):
+                key = F.xxhash64(k, F.lit(i), line.substr(start + shift, size))
+                out.append(F.struct(key.alias("key"), F.lit(shift == 0).alias("own")))
+        return out
 
-def _keys(line: Column, n: Column, edits: int) -> tuple[Column, Column]:
-    """Keys under which a line is listed, and keys under which it looks for lines no longer than itself."""
+    none = F.array().cast("array<struct<key:bigint,own:boolean>>")
 
-    def key(length: Column, i: int, start: Column, size: Column) -> Column:
-        return F.xxhash64(length.cast("int"), F.lit(i), line.substr(start, size))
+    def of(g: Column) -> Column:
+        near = F.when(g["n"] % width >= width - edits, F.array(*cut(g["k"] + 1, g["n"]))).otherwise(none)
+        return F.concat(F.array(*cut(g["k"], g["n"])), near)
 
-    listed, looked = [], []
-    for i in range(1, edits + 2):
-        start, size = _segment(n, i, edits)
-        listed.append(key(n, i, start, size))
-        for less in range(edits + 1):
-            start, size = _segment(n - less, i, edits)
-            low, high = max(1 - i, less - (edits + 1 - i)), min(i - 1, less + (edits + 1 - i))
-            looked += [key(n - less, i, start + shift, size) for shift in range(low, high + 1)]
-    return F.array(*listed), F.array_distinct(F.array(*looked))
+    return let(F.struct(n.alias("n"), F.floor(n / width).cast("int").alias("k")), of)
 
 
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -139,34 +149,49 @@ def repeated(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         .select("id", "h", "place", F.lit(True).alias("exact"))
     )
     # The text of each distinct line, read at its first place.
-    listed = distinct.where("long").select("first.*").groupBy("id", "h").agg(F.collect_set("place").alias("places"))
-    firsts = sized(stored(listed)).alias("f")
-    chosen = (
-        rows.alias("r")
-        .join(firsts, F.expr("r.id <=> f.id and r.h = f.h"))
-        .select(F.struct(F.split("t", "\n").alias("parts"), "places").alias("s"))
-        .select(F.explode(F.transform("s.places", lambda i: _trimmed(F.col("s.parts")[i]))).alias("line"))
+    listed = distinct.where("long").select("first.*")
+    names = _read(rows, listed.groupBy("id", "h").agg(F.collect_set("place").alias("places"))).select(
+        F.xxhash64("line").alias("a"), F.explode(_keys(F.col("line"), F.length("line"), edits)).alias("k"), *_counts()
+    )
+    held = names.select("k.key", "a", "c", F.shiftleft("d", 1).bitwiseOR(F.col("k.own").cast("long")).alias("d"))
+    own = F.col("x.d").bitwiseOR(F.col("y.d")).bitwiseAND(1) == 1
+    apart = (F.col("x.a") != F.col("y.a")) & own
+    pairs = stored(
+        held.alias("x").join(held.alias("y"), F.expr("x.key = y.key")).where(apart & _alike(edits)).select("x.a", F.col("y.a").alias("a2")).distinct()
     )
-    names = chosen.select(F.xxhash64("line").alias("a"), _letters(F.col("line")).alias("c"), F.col("line"), F.length("line").alias("n"))
-    listed_keys, looked_keys = _keys(F.col("line"), F.col("n"), edits)
-    index = names.select(F.explode(listed_keys).alias("key"), "a", "c")
-    probe = names.select(F.explode(looked_keys).alias("key"), F.col("a").alias("a2"), F.col("c").alias("c2"))
-    pairs = stored(index.join(probe, "key").where((F.col("a") != F.col("a2")) & _alike("c", "c2", edits)).select("a", "a2").distinct())
-    # The texts of the lines that meet, then the edit distance of each pair.
-    asked = sized(stored(pairs.select("a").unionByName(pairs.select(F.col("a2").alias("a"))).distinct()))
-    texts = (
-        seen.select(line.alias("line"), F.xxhash64(line).alias("a"))
-        .join(asked, "a", "left_semi")
-        .groupBy("a", F.xxhash64("line", F.lit(1)).alias("b"))
-        .agg(F.min("line").alias("line"))
+    # The texts of the lines that meet, read the same way, then the edit distance of each pair.
+    asked = pairs.select("a").unionByName(pairs.select(F.col("a2").alias("a"))).distinct()
+    named = stored(distinct.where("long").join(asked, "a").select("a", "first"))
+    texts = stored(
+        _read(rows, sized(stored(named.select("first.*").groupBy("id", "h").agg(F.collect_set("place").alias("places")))))
+        .select(F.struct("id", "h", "place").alias("first"), F.xxhash64("line").alias("a"), "line")
+        .distinct()
     )
-    texts = stored(texts.join(distinct.select("a", "b", "first"), ["a", "b"]).select("a", "line", "first"))
     other = texts.select(F.col("a").alias("a2"), F.col("line").alias("line2"), F.col("first").alias("first2"))
     close = pairs.join(texts, "a").join(other, "a2").where(within(F.col("line"), F.col("line2"), edits))
     near = close.select(F.greatest("first", "first2").alias("x")).select("x.*", F.lit(False).alias("exact")).distinct()
     return later.unionByName(near)
 
 
+def _read(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """(id, h, place, line) at the listed places of the texts."""
+
+    def at(s: Column) -> Column:
+        return F.transform(s["places"], lambda i: F.struct(i.alias("place"), _trimmed(s["parts"][i]).alias("line")))
+
+    joined = rows.alias("r").join(places.alias("p"), F.expr("r.id <=> p.id and r.h = p.h"))
+    parts = F.struct(F.split("t", "\n").alias("parts"), F.col("places").alias("places"))
+    return joined.select("r.id", "r.h", F.explode(let(parts, at)).alias("x")).select("id", "h", "x.place", "x.line")
+
+
+def _counts() -> list[Column]:
+    line = F.col("line")
+    return [
+        _packed(line, F.length(line).bitwiseAND(0x3FFFF), LETTERS[0]).alias("c"),
+        _packed(line, F.lit(0), LETTERS[1]).alias("d"),
+    ]
+
+
 def marked(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """Rows of ``docs`` as (row, t, places, exact): the places of lines to remove, null where there are none."""
     rows = keyed(docs)
