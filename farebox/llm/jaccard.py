@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.bytehash import Ranges, flat, lower, mixed, slices, word_bounds
-from farebox.llm.common import keyed, stored
+from farebox.llm.common import keyed, sized, stored
 from farebox.llm.components import components
 
 N = 5
@@ -237,9 +237,10 @@ def joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFra
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("nb")
     )
     of = group.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("c"), F.col("nb")).cast("int"))
-    text = rows.alias("r").join(of.alias("o"), F.expr("r.id <=> o.one.id and r.h = o.one.h")).select("t", "o.c").dropDuplicates(["c"])
+    wanted = sized(stored(of.select("one.id", "one.h")))
+    text = rows.alias("r").join(wanted.alias("o"), F.expr("r.id <=> o.id and r.h = o.h")).select("t")
     sets = text.select(F.lit(0).alias("x"), F.lit(0).alias("y"), "t").mapInArrow(_described(n, True), "c binary, shingles binary")
-    placed = sets.join(of.select("c", "root", "copies", "b", "nb"), "c").select(
+    placed = sets.dropDuplicates(["c"]).join(of.select("c", "root", "copies", "b", "nb"), "c").select(
         "c", "shingles", "root", "copies", "b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")
     )
     found = stored(
