@@ -5,7 +5,7 @@ A byte is eight binary decisions. Each decision has a tree of contexts: the byte
 text gives each node, from the deepest contexts up; a context that training never met leaves the
 prediction to the one above it. Texts end with a byte that no text holds.
 
-Texts are dealt into blocks. A block sends each distinct word and each distinct gram (context and next
+Texts are packed into blocks. A block sends each distinct word and each distinct gram (context and next
 byte) once, with its training count; counts and the model are tables keyed by word or gram; and a block
 gets back only the entries it asked for. Nothing that grows with the corpus is broadcast or gathered.
 """
@@ -13,17 +13,19 @@ gets back only the entries it asked for. Nothing that grows with the corpus is b
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.llm.bytehash import Ranges, flat, lower, mixed, slices, word_bounds
 from farebox.llm.common import keyed, stored
 
 DEPTH = 5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 #: Bytes a task turns into grams at a time.
 HELD = 1 << 19
 #: A gram and the number of a row in its slice share a word.
@@ -65,34 +67,70 @@ def _tallied(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
-def _asked(table: pa.Table) -> pa.Table:
+def _blocks(block_bytes: int):
+    """Rows into blocks: one compressed table each."""
+
+    def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            for part in parts:
+                writer.write_batch(part)
+        return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["payload"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            at = batch.schema.get_field_index("t")
+            for part in slices(batch, at, block_bytes):
+                parts.append(part)
+                held += len(flat(part.column(at))[0])
+                if held >= block_bytes:
+                    yield packed(parts)
+                    parts, held = [], 0
+        if parts:
+            yield packed(parts)
+
+    return run
+
+
+def _opened(payload: pa.Scalar) -> Iterator[pa.RecordBatch]:
+    """The rows of a block, some hundred thousand bytes of text at a time."""
+    for batch in pa.ipc.open_stream(payload.as_buffer()):
+        yield from slices(batch, batch.schema.get_field_index("t"), HELD, 1 << min(ROW_BITS, 14))
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A block's distinct words and grams with their training counts."""
-    got: dict[int, list] = {WORD: [], GRAM: []}
-    for batch in table.combine_chunks().to_batches():
-        for part in slices(batch, batch.schema.get_field_index("t"), HELD, 1 << min(ROW_BITS, 14)):
-            data, bounds = flat(part.column("t"))
-            data = lower(data)
-            learn = part.column("learn").to_numpy(zero_copy_only=False).astype(np.uint64)
-            for kind, (key, row) in ((WORD, _words(data, bounds)), (GRAM, _grams(data, bounds))):
-                if kind == GRAM:  # the low bit says whether it counts, so that one sort does both
-                    packed = np.sort(key << np.uint64(1) | learn[row])
-                    first = np.flatnonzero(np.append(True, packed[1:] != packed[:-1]))
-                    times = np.diff(np.append(first, len(packed)))
-                    packed = packed[first]
-                    got[kind].append(_tallied(packed >> np.uint64(1), times * (packed & np.uint64(1)).astype(np.int64)))
-                else:
-                    got[kind].append(_tallied(key, learn[row].astype(np.int64)))
-    block = table.column("block")[0].as_py()
-    keys, counts, kinds = [], [], []
-    for kind, parts in got.items():
-        key, count = _tallied(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        keys.append(key.view(np.int64))
-        counts.append(count.astype(np.int64))
-        kinds.append(np.full(len(key), kind, np.int8))
-    n = sum(map(len, keys))
-    return pa.table(
-        {"block": pa.array(np.full(n, block, np.int32)), "kind": np.concatenate(kinds), "key": np.concatenate(keys), "n": np.concatenate(counts)}
-    )
+    for batch in batches:
+        for block, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+            got: dict[int, list] = {WORD: [], GRAM: []}
+            for part in _opened(payload):
+                data, bounds = flat(part.column("t"))
+                data = lower(data)
+                learn = part.column("learn").to_numpy(zero_copy_only=False).astype(np.uint64)
+                key, row = _words(data, bounds)
+                got[WORD].append(_tallied(key, learn[row].astype(np.int64)))
+                key, row = _grams(data, bounds)
+                # The low bit says whether a gram counts, so that one sort does both.
+                held = np.sort(key << np.uint64(1) | learn[row])
+                first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+                times = np.diff(np.append(first, len(held)))
+                held = held[first]
+                got[GRAM].append(_tallied(held >> np.uint64(1), times * (held & np.uint64(1)).astype(np.int64)))
+            for kind, parts in got.items():
+                key, count = _tallied(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+                for low in range(0, len(key), 1 << 16):
+                    some = slice(low, low + (1 << 16))
+                    n = len(key[some])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(n, block)),
+                            pa.array(np.full(n, kind, np.int8)),
+                            pa.array(key[some].view(np.int64)),
+                            pa.array(count[some].astype(np.int64)),
+                        ],
+                        ["block", "kind", "key", "n"],
+                    )
 
 
 def _scored(total: int, distinct: int):
@@ -106,8 +144,8 @@ def _scored(total: int, distinct: int):
             order = np.argsort(key[mine])
             known[k] = key[mine][order], value[mine][order]
         out = []
-        for batch in table.combine_chunks().to_batches():
-            for part in slices(batch, batch.schema.get_field_index("t"), HELD, 1 << min(ROW_BITS, 14)):
+        for payload in table.column("payload").combine_chunks():
+            for part in _opened(payload):
                 data, bounds = flat(part.column("t"))
                 data = lower(data)
                 rows = part.num_rows
@@ -139,74 +177,130 @@ def _scored(total: int, distinct: int):
     return run
 
 
-def _log_gamma(x: Column) -> Column:
+def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Of x >= 1/2: Stirling's series seven above, taken back down."""
     z = x + 7
-    series = (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
-    return series - F.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6))
+    series = (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
+    return series - np.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6))
+
+
+class Level(NamedTuple):
+    """Nodes of one depth, ascending: counts of both bits, log weight, the estimate's own share, and, for
+    the nodes of the depth below, which of these is above each."""
+
+    node: np.ndarray
+    n0: np.ndarray
+    n1: np.ndarray
+    weight: np.ndarray
+    own: np.ndarray
+    above: np.ndarray | None
+
+    @property
+    def one(self) -> np.ndarray:
+        return (self.n1 + 0.5) / (self.n0 + self.n1 + 1)
+
+
+def _level(node, n0, n1, below, above=None) -> Level:
+    """``below``: the summed log weights of the depth below, None at the deepest."""
+    alone = _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1) - math.log(math.pi)
+    if below is None:
+        return Level(node, n0, n1, alone, np.ones(len(node)), above)
+    weight = np.logaddexp(alone, below) - math.log(2)
+    return Level(node, n0, n1, weight, 1 / (1 + np.exp(np.minimum(below - alone, 700.0))), above)
 
 
-def _evidence() -> Column:
-    n0, n1 = F.col("n0").cast("double"), F.col("n1").cast("double")
-    return _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1) - math.log(math.pi)
+def _raised(level: Level, depth: int) -> Level:
+    """The nodes one depth up: a node's parent drops the oldest byte of its context."""
+    node, above = np.unique(level.node & ((1 << (8 * (depth + 1))) - 1), return_inverse=True)
+    n = len(node)
+    sums = [np.bincount(above, x, n) for x in (level.n0, level.n1, level.weight)]
+    return _level(node, *sums, above)
+
+
+def _lowered(level: Level, stop, total, left) -> tuple[np.ndarray, ...]:
+    """Predictions pass down a depth. ``stop``: the chance of a 1 if the mix ends above; ``total`` and
+    ``left``: the mix so far and the weight not yet given out, all by node of ``level``."""
+    met = level.n0 + level.n1 > 0
+    return (
+        np.where(met, total + left * level.one, stop),
+        np.where(met, total + left * level.own * level.one, stop),
+        np.where(met, left * (1 - level.own), 0.0),
+    )
+
+
+#: Grams that share so many last bytes of context meet in one task.
+NEAR = 2
+
+
+def _grown(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, Level]]:
+    """A task's grams: keys, and bit and deepest node of the eight decisions of each; its levels."""
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    key = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int64)
+    count = np.concatenate([p[1] for p in parts]) if parts else np.empty(0, np.int64)
+    byte, context = key & 0xFF, key >> 8
+    node = np.concatenate([context << 8 | (1 << i | byte >> (8 - i)) for i in range(8)])
+    bit = np.concatenate([byte >> (7 - i) & 1 for i in range(8)])
+    unique, of = np.unique(node, return_inverse=True)
+    n = len(unique)
+    both = [np.bincount(of, np.tile(count, 8) * (bit == b), n).astype(float) for b in (0, 1)]
+    levels = {DEPTH: _level(unique, *both, None)}
+    for depth in range(DEPTH - 1, NEAR - 1, -1):
+        levels[depth] = _raised(levels[depth + 1], depth)
+    return key, bit, of, levels
+
+
+def _upper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    level = _grown(batches)[3][NEAR]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in (level.node, level.n0, level.n1, level.weight)], ["node", "n0", "n1", "weight"]
+    )
+
+
+def _predicted(node: np.ndarray, stop: np.ndarray, total: np.ndarray, left: np.ndarray):
+    """The last three for each of the nodes at depth NEAR - 1, ascending."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, bit, of, levels = _grown(batches)
+        at = np.searchsorted(node, levels[NEAR].node & ((1 << (8 * NEAR)) - 1))
+        now = _lowered(levels[NEAR], stop[at], total[at], left[at])
+        for depth in range(NEAR + 1, DEPTH + 1):
+            above = levels[depth - 1].above
+            now = _lowered(levels[depth], *[x[above] for x in now])
+        one = now[0][of]
+        value = np.log10(np.where(bit == 1, one, 1 - one)).reshape(8, -1).sum(axis=0)
+        for low in range(0, len(key), 1 << 16):
+            some = slice(low, low + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(value[some])], ["key", "value"])
+
+    return run
 
 
 def model(grams: DataFrame) -> DataFrame:
     """(key, value): log10 of the probability of each gram's byte after its context.
 
-    ``grams`` (key, n) holds every gram to be scored, with training counts that may be 0. A node is a
-    context and the bits of the byte so far; its parent drops the oldest byte of the context. Each depth
-    is one aggregation of the one below; predictions then pass down by joins. Nodes of the two upper
-    depths number at most 255 and 65,280, so those are broadcast.
+    ``grams`` (key, n) holds every gram to be scored once, with training counts that may be 0. A node is
+    a context and the bits of the byte so far. Grams that share the last two bytes of context meet in
+    one task, which works out all deeper nodes. The depths above are sums over those tasks, of at most
+    65,280 and 255 nodes; these, and nothing that grows, pass through the driver.
     """
-    byte = F.col("key").bitwiseAND(0xFF)
-    context = F.shiftright("key", 8)
-
-    def decision(level: int) -> Column:
-        prefix = F.lit(1 << level).bitwiseOR(F.shiftright(byte, 8 - level))
-        bit = F.shiftright(byte, 7 - level).bitwiseAND(1)
-        return F.struct((context * 256 + prefix).alias("node"), bit.alias("bit"))
-
-    steps = grams.select("key", "n", F.explode(F.array(*[decision(i) for i in range(8)])).alias("d")).select("key", "n", "d.node", "d.bit")
-    level = stored(
-        steps.groupBy("node")
-        .agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
-        .withColumn("weight", _evidence())
-        .withColumn("own", F.lit(1.0))
+    suffix = F.shiftright("key", 8).bitwiseAND((1 << (8 * NEAR)) - 1)
+    near = grams.select("key", "n").repartition(suffix)
+    top = near.mapInArrow(_upper, "node long, n0 double, n1 double, weight double")
+    rows = (
+        top.groupBy(F.col("node").bitwiseAND((1 << (8 * NEAR)) - 1).alias("node"))
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weight").alias("below"))
+        .orderBy("node")
+        .toPandas()
     )
-    levels = {DEPTH: level}
-    for depth in range(DEPTH - 1, -1, -1):
-        mask = (1 << (8 * (depth + 1))) - 1
-        up = levels[depth + 1].groupBy(F.col("node").bitwiseAND(mask).alias("node")).agg(
-            F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weight").alias("below")
-        )
-        up = up.withColumn("alone", _evidence())
-        higher, gap = F.greatest("alone", "below"), -F.abs(F.col("alone") - F.col("below"))
-        levels[depth] = stored(
-            up.select(
-                "node",
-                "n0",
-                "n1",
-                (higher + F.log1p(F.exp(gap)) - math.log(2)).alias("weight"),
-                (1 / (1 + F.exp(F.least(F.col("below") - F.col("alone"), F.lit(700.0))))).alias("own"),
-            )
-        )
-    one = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)
-    above = levels[0].select("node", one.alias("stop"), (F.col("own") * one).alias("sum"), (1 - F.col("own")).alias("left"))
-    for depth in range(1, DEPTH + 1):
-        parent = above.select(F.col("node").alias("up"), F.col("stop").alias("p"), F.col("sum").alias("s"), F.col("left").alias("l"))
-        parent = F.broadcast(parent) if depth <= 2 else parent
-        mask = (1 << (8 * depth)) - 1
-        met = F.col("n0") + F.col("n1") > 0
-        own = levels[depth].join(parent, F.col("node").bitwiseAND(mask) == F.col("up"))
-        above = own.select(
-            "node",
-            F.when(met, F.col("s") + F.col("l") * one).otherwise(F.col("p")).alias("stop"),
-            F.when(met, F.col("s") + F.col("l") * F.col("own") * one).otherwise(F.col("p")).alias("sum"),
-            F.when(met, F.col("l") * (1 - F.col("own"))).otherwise(0.0).alias("left"),
-        )
-    chance = F.when(F.col("bit") == 1, F.col("stop")).otherwise(1 - F.col("stop"))
-    return steps.join(above.select("node", "stop"), "node").groupBy("key").agg(F.sum(F.log10(chance)).alias("value"))
+    level = _level(*[rows[c].to_numpy() for c in ("node", "n0", "n1", "below")])
+    chain = [level]
+    for depth in range(NEAR - 2, -1, -1):
+        chain.append(_raised(chain[-1], depth))
+    root = chain[-1]
+    now = root.one, root.own * root.one, 1 - root.own
+    for lower_level, upper_level in zip(chain[-2::-1], chain[::-1]):
+        now = _lowered(lower_level, *[x[upper_level.above] for x in now])
+    return near.mapInArrow(_predicted(level.node, *now), "key long, value double")
 
 
 def scored(docs: DataFrame, folds: int = 7, held: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -216,24 +310,24 @@ def scored(docs: DataFrame, folds: int = 7, held: int = 2, block_bytes: int = BL
     and score as often as they occur; a null doc_id is not held out; words are told apart by 64-bit
     hashes, grams exactly. Other columns are not read.
     """
-    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = int(size // block_bytes) + 1
     out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % folds == held, F.lit(False))
-    rows = keyed(docs).select(
-        F.pmod(F.xxhash64("id", "h"), F.lit(blocks)).cast("int").alias("block"), "id", (~out).alias("learn"), out.alias("held_out"), "t"
+    rows = keyed(docs).select("id", (~out).alias("learn"), out.alias("held_out"), "t")
+    blocks = stored(
+        rows.mapInArrow(_blocks(block_bytes), "payload binary").select(F.monotonically_increasing_id().alias("block"), "payload")
     )
-    asked = stored(rows.groupBy("block").applyInArrow(_asked, "block int, kind byte, key long, n long"))
+    asked = stored(blocks.mapInArrow(_asked, "block long, kind byte, key long, n long"))
     totals = stored(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")))
     words = totals.where(F.col("kind") == WORD)
     seen = words.agg(F.sum("n").alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
     total, distinct = seen["total"] or 0, seen["distinct"]
+    chances = stored(model(totals.where(F.col("kind") == GRAM)))
     answers = words.select("kind", "key", F.col("n").cast("double").alias("value")).unionByName(
-        model(totals.where(F.col("kind") == GRAM).select("key", "n")).select(F.lit(GRAM).cast("byte").alias("kind"), "key", "value")
+        chances.select(F.lit(GRAM).cast("byte").alias("kind"), "key", "value")
     )
     told = asked.select("block", "kind", "key").join(answers, ["kind", "key"])
     kind = docs.schema["doc_id"].dataType.simpleString()
     result = (
-        rows.groupBy("block")
+        blocks.groupBy("block")
         .cogroup(told.groupBy("block"))
         .applyInArrow(
             _scored(total, distinct),
