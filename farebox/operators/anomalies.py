@@ -229,34 +229,31 @@ def all_rollup_anomalies(borough_time, pickup_zone, route) -> DataFrame:
     )
 
 
-def route_sample(route: DataFrame, month: str, locations: int = 10, per_location: int = 50) -> DataFrame:
-    """The first routes of the first pickup locations of a month, in clustering order."""
-    of_month = route.filter(F.col("year_month") == month)
-    chosen = of_month.select("pickup_location_id").distinct().orderBy("pickup_location_id").limit(locations)
+def route_sample(route: DataFrame, month: str, per_location: int = 50) -> DataFrame:
+    """The first routes of every pickup location of a month, in clustering order."""
     first = Window.partitionBy("pickup_location_id").orderBy(*ROLLUPS["route"].order())
     return (
-        of_month.join(chosen, "pickup_location_id", "left_semi")
+        route.filter(F.col("year_month") == month)
         .withColumn("rn", F.row_number().over(first))
         .filter(F.col("rn") <= per_location)
         .drop("rn")
     )
 
 
-def budgeted_rollup_anomalies(
+def month_rollup_anomalies(
     borough_time: DataFrame,
     pickup_zone: DataFrame,
     route: DataFrame,
     borough: str,
     month: str,
-    limit: int = 100,
-    zone_rows: int = 500,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The detectors of one borough and month share a budget of ``limit`` rows, in source order.
+    """The three detectors over one month: a borough's hours and zones, and all routes.
 
-    The zone detector reads the first ``zone_rows`` rows of its partition, the route detector the
-    route sample.
+    ``limit`` keeps the first rows in source order.
     """
     here = (F.col("borough") == borough) & (F.col("year_month") == month)
-    zone = pickup_zone.filter(here).orderBy(*ROLLUPS["pickup_zone"].order()).limit(zone_rows)
-    found = all_rollup_anomalies(borough_time.filter(here), zone, route_sample(route, month))
-    return found.orderBy("source_order", "row_key").limit(limit)
+    found = all_rollup_anomalies(
+        borough_time.filter(here), pickup_zone.filter(here), route.filter(F.col("year_month") == month)
+    ).orderBy("source_order", "row_key")
+    return found if limit is None else found.limit(limit)

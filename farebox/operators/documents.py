@@ -108,19 +108,36 @@ def add_borough_ids(
     return trips
 
 
-def first_seen(trips: DataFrame, order_by: str, pickup: Column, dropoff: Column) -> DataFrame:
-    """Every borough with the place it first appears: record order, pickup before dropoff."""
+def first_seen(trips: DataFrame, arrival_ms: Column, pickup: Column, dropoff: Column) -> DataFrame:
+    """Every borough with the place it first appears: by arrival, pickup before dropoff.
+
+    The place is one number, so it is a running minimum in a hash aggregate, and places of several
+    batches merge by their minimum.
+    """
     seen = trips.select(
-        F.posexplode(F.array(pickup, dropoff)).alias("side", "borough"), F.col(order_by).alias("at")
+        F.posexplode(F.array(pickup, dropoff)).alias("side", "borough"), arrival_ms.alias("at")
     ).filter(F.col("borough").isNotNull())
-    return seen.groupBy("borough").agg(F.min(F.struct("at", "side")).alias("first"))
+    return seen.groupBy("borough").agg(F.min(F.col("at") * 2 + F.col("side")).alias("first"))
+
 
+def borough_dictionary(first: DataFrame) -> DataFrame:
+    """Number boroughs in order of first appearance, those of one place by name. One row per borough
+    goes through here."""
+    order = Window.orderBy("first", "borough")
+    return first.select("borough", F.row_number().over(order).cast("int").alias("borough_id"))
 
-def borough_dictionary(first: DataFrame, next_id: int = 1) -> DataFrame:
-    """Number boroughs in order of first appearance. One row per borough goes through here."""
-    order = Window.orderBy("first")
-    return first.select(
-        "borough", (F.row_number().over(order) + (next_id - 1)).cast("int").alias("borough_id")
+
+def trips_of(documents: DataFrame) -> DataFrame:
+    """Stored documents as the flat trips the analyses read, amounts as decimals again; trips whose
+    pickup time does not parse are left out."""
+    return documents.filter(parse_time(F.col("pickup.datetime")).isNotNull()).select(
+        "trip_id",
+        F.col("pickup.location.borough").alias("borough"),
+        F.col("pickup.datetime").alias("tpep_pickup_datetime"),
+        "passenger_count",
+        F.col("metrics.distance_km").alias("trip_distance"),
+        F.col("payment.fare_amount").cast("decimal(12,2)").alias("fare_amount"),
+        F.col("payment.total_amount").cast("decimal(14,2)").alias("total_amount"),
     )
 
 
@@ -129,11 +146,13 @@ DOCUMENT_COLUMNS = {
     "pickup_datetime": "pickup.datetime",
     "pickup_location_id": "pickup.location.location_id",
     "pickup_shape_leng": "pickup.location.shape_leng",
+    "pickup_shape_area": "pickup.location.shape_area",
     "pickup_borough": "pickup.location.borough",
     "pickup_zone": "pickup.location.zone",
     "pickup_borough_id": "pickup.location.borough_id",
     "dropoff_datetime": "dropoff.datetime",
     "dropoff_location_id": "dropoff.location.location_id",
+    "dropoff_shape_leng": "dropoff.location.shape_leng",
     "dropoff_shape_area": "dropoff.location.shape_area",
     "dropoff_borough": "dropoff.location.borough",
     "dropoff_zone": "dropoff.location.zone",
@@ -145,6 +164,9 @@ DOCUMENT_COLUMNS = {
     "mta_tax": "payment.mta_tax",
     "tip_amount": "payment.tip_amount",
     "tolls_amount": "payment.tolls_amount",
+    "improvement_surcharge": "payment.improvement_surcharge",
+    "congestion_surcharge": "payment.congestion_surcharge",
+    "airport_fee": "payment.airport_fee",
     "total_amount": "payment.total_amount",
     "distance_km": "metrics.distance_km",
     "duration_h": "metrics.duration_h",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farebox.sources.zones import one_per_id
+
 _SIDES = {"PULocationID": "pu", "DOLocationID": "do"}
 
 
@@ -14,7 +16,7 @@ def _with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     No broadcast hint: Catalyst broadcasts the zones while their size is below its threshold and
     falls back to a sort-merge join, with skew splitting, above it.
     """
-    packed = zones.select(F.col("LocationID").alias("zone_key"), F.struct("*").alias("zone_row"))
+    packed = one_per_id(zones).select(F.col("LocationID").alias("zone_key"), F.struct("*").alias("zone_row"))
     for column, side in _SIDES.items():
         hit = packed.select(
             F.col("zone_key").alias(f"{side}_key"), F.col("zone_row").alias(f"{side}_zone")
@@ -73,7 +75,7 @@ def to_messages(trips: DataFrame, zones: DataFrame, extra: list[str] | None = No
     """
     extra = extra or []
     fields = [c for c in trips.columns if c not in extra or c in ("trip_id", "producer_timestamp")]
-    coded = zones.select(
+    coded = one_per_id(zones).select(
         F.col("LocationID").alias("zone_key"),
         F.struct(
             "borough",
@@ -201,12 +203,15 @@ def ingest_stats(checked: DataFrame, file_column: str) -> DataFrame:
     and none of its records do.
     """
     read = F.col("record").isNotNull()
-    per_file = checked.groupBy(F.col(file_column).alias("source_file")).agg(
+    counts = checked.groupBy(F.col(file_column).alias("source_file")).agg(
         F.count_if(read).alias("total_records"),
         F.count_if(read & F.col("is_valid")).alias("sent_records"),
         F.count_if(read & ~F.col("is_valid")).alias("skipped_records"),
         F.max((~read).cast("int")).cast("bigint").alias("files_failed"),
     )
+    whole = F.col("files_failed") == 0
+    names = ("total_records", "sent_records", "skipped_records")
+    per_file = counts.withColumns({c: F.when(whole, F.col(c)).otherwise(0) for c in names})
     rolled = per_file.rollup("source_file").agg(
         *[F.sum(c).alias(c) for c in ("total_records", "sent_records", "skipped_records", "files_failed")],
         F.count("*").alias("files"),

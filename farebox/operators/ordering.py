@@ -7,14 +7,14 @@ it, and those sizes are one small row per partition.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.session import checkpointed, shuffle_width
 
 _ROW_BITS = (1 << 33) - 1
+#: Chunks whose running totals one task works out.
+BLOCK = 1024
 
 
 def ordered(df: DataFrame, *order: str) -> DataFrame:
@@ -29,24 +29,25 @@ def ordered(df: DataFrame, *order: str) -> DataFrame:
     )
 
 
-def _chunk_starts(df: DataFrame, totals: DataFrame, names: list[str]) -> DataFrame:
-    """What lies before each chunk, from the chunk totals.
+def _chunk_starts(totals: DataFrame, names: list[str]) -> DataFrame:
+    """What lies before each chunk, from the chunk totals: a running sum over one row per chunk.
 
-    One row per shuffle partition, never one per key, so the result is safe to broadcast.
+    Chunks are first summed in blocks of ``BLOCK``, so that no task orders more than a block of chunks
+    or the totals of all blocks.
     """
-    starts, so_far = [], dict.fromkeys(names, 0)
-    for row in sorted(totals.collect(), key=lambda r: r["chunk"]):
-        starts.append((row["chunk"], *so_far.values()))
-        so_far = {n: so_far[n] + (row[n] or 0) for n in names}
-    types = dict(totals.dtypes)
-    ddl = ", ".join(["chunk int", *[f"start_{n} {types[n]}" for n in names]])
-    return F.broadcast(df.sparkSession.createDataFrame(_typed(starts, types, names), ddl))
-
-
-def _typed(starts: list[tuple], types: dict, names: list[str]) -> list[tuple]:
-    """The first chunk starts at a plain 0; give it the type of its column."""
-    make = [Decimal if types[n].startswith("decimal") else float if types[n] == "double" else int for n in names]
-    return [(chunk, *[m(v) for m, v in zip(make, values)]) for chunk, *values in starts]
+    block = F.floor(F.col("chunk") / BLOCK)
+    inside = Window.partitionBy("block").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    blocked = totals.withColumn("block", block)
+    blocks = blocked.groupBy("block").agg(*[F.sum(n).alias(f"all_{n}") for n in names])
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("block", *[F.sum(f"all_{n}").over(before).alias(f"before_{n}") for n in names])
+    zero = F.lit(0)
+    starts = blocked.select(
+        "chunk", "block", *[F.coalesce(F.sum(n).over(inside), zero).alias(f"in_{n}") for n in names]
+    ).join(offsets, "block")
+    return starts.select(
+        "chunk", *[(F.col(f"in_{n}") + F.coalesce(f"before_{n}", zero)).alias(f"start_{n}") for n in names]
+    )
 
 
 def with_position(df: DataFrame, *order: str) -> DataFrame:
@@ -54,7 +55,7 @@ def with_position(df: DataFrame, *order: str) -> DataFrame:
     rows = ordered(df, *order)
     sizes = rows.groupBy("chunk").agg(F.count("*").alias("n"))
     return (
-        rows.join(_chunk_starts(df, sizes, ["n"]), "chunk")
+        rows.join(_chunk_starts(sizes, ["n"]), "chunk")
         .withColumn("position", F.col("start_n") + F.col("place"))
         .drop("chunk", "place", "start_n")
     )
@@ -65,7 +66,7 @@ def running_sums(df: DataFrame, order: list[str], sums: dict[str, str]) -> DataF
     rows = ordered(df, *order)
     totals = rows.groupBy("chunk").agg(*[F.sum(c).alias(new) for new, c in sums.items()])
     inside = Window.partitionBy("chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.join(_chunk_starts(df, totals, list(sums)), "chunk").select(
+    return rows.join(_chunk_starts(totals, list(sums)), "chunk").select(
         *df.columns,
         *[(F.sum(c).over(inside) + F.col(f"start_{new}")).alias(new) for new, c in sums.items()],
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -151,6 +151,13 @@ def integrity(expected: DataFrame, found: DataFrame, key: str, slack: int = 5) -
 PERCENTILES = {"p95": 0.95, "p99": 0.99}
 
 
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys that may be null: null meets null."""
+    right = b.withColumnsRenamed({k: f"other_{k}" for k in keys})
+    met = reduce(and_, [F.col(k).eqNullSafe(F.col(f"other_{k}")) for k in keys])
+    return a.join(right, met).drop(*[f"other_{k}" for k in keys])
+
+
 def latency_summary(samples: DataFrame, group: list[str], value: str) -> DataFrame:
     """Count, mean, maximum, p95 and p99 per group.
 
@@ -184,7 +191,7 @@ def latency_summary(samples: DataFrame, group: list[str], value: str) -> DataFra
     upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)) + F.col("start")
     # The value at place k is the first with more than k values up to it.
     picked = (
-        rows.join(wanted, ["chunk", *group])
+        _same(rows, wanted, ["chunk", *group])
         .withColumn("upto", upto)
         .groupBy(*group)
         .agg(
@@ -199,7 +206,7 @@ def latency_summary(samples: DataFrame, group: list[str], value: str) -> DataFra
         F.sum("chunk_sum").cast("double").alias("total"),
         F.max("chunk_top").alias("top"),
     )
-    return summary.join(picked, group).select(
+    return _same(summary, picked, group).select(
         *group,
         "samples",
         F.round(F.col("total") / n, 2).alias("avg_latency_ms"),
@@ -244,23 +251,3 @@ def side_by_side(a: DataFrame, b: DataFrame, name: str, ms: str) -> DataFrame:
         F.coalesce("a_ms", F.lit(0.0)).alias("a_ms"),
         F.coalesce("b_ms", F.lit(0.0)).alias("b_ms"),
     )
-
-
-def bulk_load(outcome: DataFrame, stored: DataFrame, arrived: str) -> DataFrame:
-    """Report of a bulk insert from the outcome per batch and the rows it stored."""
-    batches = outcome.agg(
-        F.count("*").alias("num_batches"),
-        F.sum("failed").alias("failed_batches"),
-        F.sum("rows").alias("total_rows"),
-        F.max("rows").alias("largest_batch"),
-    )
-    rows = stored.agg(
-        F.count("*").alias("n"),
-        (F.unix_timestamp(F.max(arrived)) - F.unix_timestamp(F.min(arrived))).alias("s"),
-    ).select(F.struct("n", "s")).scalar()
-    return batches.withColumns(
-        {"total_inserted": rows["n"], "total_time_seconds": rows["s"]}
-    ).withColumn(
-        "throughput_records_per_sec",
-        F.round(F.coalesce(F.try_divide("total_inserted", "total_time_seconds"), F.lit(0.0)), 6),
-    )

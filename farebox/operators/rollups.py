@@ -5,8 +5,10 @@ same key add up, whatever batch or partition they come from, so batch and stream
 and a partial aggregation always runs before the shuffle. Averages are derived when a rollup is
 read.
 
-Sums are kept as whole millionths: adding longs is exact in any order and needs no big decimals. An
-input that is NaN makes its sums NaN; ``nan_mask`` remembers which.
+A number within ``REACH`` goes into a decimal sum of nine places, which is exact in any order and
+cannot run over. What a decimal cannot hold (larger numbers, infinities, NaN) is added up beside it as
+a double, in ``wild_`` columns that are 0 otherwise; the two make the total, so one odd trip neither
+spoils other sums nor stops the job.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 from farebox.functions.counts import counter_names, counters
 from farebox.functions.scalars import parse_time, seconds_between, year_month
 
-UNITS = 1_000_000
+REACH = 1e15
+_EXACT = "decimal(24,9)"
 _NUMBERS = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount", "mta_tax"]
 
 
@@ -50,7 +53,11 @@ class Rollup:
     @property
     def state(self) -> list[str]:
         sums = [f"sum_{m}" for m in self.measures]
-        return ["trip_count", *sums, *counter_names(*self.families), "nan_mask"]
+        return ["trip_count", *sums, *self.wild, *counter_names(*self.families)]
+
+    @property
+    def wild(self) -> list[str]:
+        return [f"wild_{m}" for m in self.measures if m in _NUMBERS]
 
     def order(self) -> list[Column]:
         """Clustering order inside a partition."""
@@ -157,14 +164,12 @@ def _facts(flat: DataFrame) -> DataFrame:
         F.col("dropoff_ts").isNull(), F.lit("bad tpep_dropoff_datetime")
     )
     plain = [c for c in flat.columns if c not in (*_NUMBERS, "bad_number")]
-    number = {c: F.col(c).cast("double") for c in _NUMBERS}
-    mask = F.lit(0)
-    for bit, c in enumerate(_NUMBERS):
-        mask = mask + F.when(F.isnan(number[c]), F.lit(1 << bit)).otherwise(F.lit(0))
+    # NaN is above every number here.
+    tame = {c: F.abs(F.col(c).cast("double")) < REACH for c in _NUMBERS}
     return flat.select(
         *plain,
-        *[F.floor(F.nanvl(number[c], F.lit(0.0)) * UNITS + 0.5).alias(c) for c in _NUMBERS],
-        mask.alias("nan_mask"),
+        *[F.when(tame[c], F.col(c)).otherwise(F.lit(0)).cast(_EXACT).alias(c) for c in _NUMBERS],
+        *[F.when(tame[c], 0.0).otherwise(F.col(c).cast("double")).alias(f"wild_{c}") for c in _NUMBERS],
         F.coalesce(bad_time, F.col("bad_number")).alias("bad"),
         year_month(F.col("pickup_ts")).alias("year_month"),
         F.to_date("pickup_ts").alias("pickup_date"),
@@ -191,26 +196,23 @@ def aggregate(facts: DataFrame, rollup: Rollup, extra_keys: tuple[str, ...] = ()
     return facts.groupBy(*rollup.keys, *extra_keys).agg(
         F.count("*").alias("trip_count"),
         *[F.sum(m).alias(f"sum_{m}") for m in rollup.measures],
+        *[F.sum(w).alias(w) for w in rollup.wild],
         *counters(*rollup.families),
-        F.bit_or("nan_mask").alias("nan_mask"),
     )
 
 
 def merge(states: DataFrame, rollup: Rollup) -> DataFrame:
     """Add up state rows that share a key."""
-    added = [c for c in rollup.state if c != "nan_mask"]
+    kept = dict(states.dtypes)
     return states.groupBy(*rollup.keys).agg(
-        *[F.sum(c).alias(c) for c in added], F.bit_or("nan_mask").alias("nan_mask")
+        *[F.sum(c).cast(kept[c]).alias(c) for c in rollup.state]
     )
 
 
 def total(measure: str) -> Column:
     """A state's sum as the number it stands for."""
-    held = F.col(f"sum_{measure}")
-    if measure == "duration":
-        return held.cast("double")
-    tainted = F.col("nan_mask").bitwiseAND(F.lit(1 << _NUMBERS.index(measure))) != 0
-    return F.when(tainted, F.lit(float("nan"))).otherwise(held / F.lit(float(UNITS)))
+    held = F.col(f"sum_{measure}").cast("double")
+    return held if measure == "duration" else held + F.col(f"wild_{measure}")
 
 
 def present(state: DataFrame, rollup: Rollup) -> DataFrame:
@@ -230,18 +232,6 @@ def present(state: DataFrame, rollup: Rollup) -> DataFrame:
     )
 
 
-def last_flush(numbered: DataFrame, rollup: Rollup) -> DataFrame:
-    """What a store keeps when each batch's partial row replaces the one before it.
-
-    ``numbered`` holds accepted facts with their ``batch_no``; per key the last batch wins.
-    """
-    partial = aggregate(numbered, rollup, ("batch_no",))
-    return partial.groupBy(*rollup.keys).agg(
-        *[F.max_by(c, "batch_no").alias(c) for c in rollup.state],
-        F.max("batch_no").alias("batch_no"),
-    )
-
-
 def revenue_view(state: DataFrame) -> DataFrame:
     """Revenue by borough, best hours first."""
     return state.filter(

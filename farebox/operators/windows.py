@@ -55,8 +55,8 @@ def rolling_stats(values: DataFrame, order: str, value: str, n: int) -> DataFram
     )
 
 
-def trailing_rate(arrivals: DataFrame, ts: str, seconds: int = 60, at_most: int = 1000) -> DataFrame:
-    """Messages of the last ``seconds`` at every second that has one, ``at_most`` of them.
+def trailing_rate(arrivals: DataFrame, ts: str, seconds: int = 60) -> DataFrame:
+    """Messages of the last ``seconds`` at every second that has one.
 
     Messages are counted per second first. Each second is then handed to its own block and the next
     one, so a block's window is whole and holds at most two blocks of seconds.
@@ -73,7 +73,7 @@ def trailing_rate(arrivals: DataFrame, ts: str, seconds: int = 60, at_most: int
     return (
         spread.withColumn("in_window", F.sum("n").over(trailing))
         .filter(F.col("block") == F.col("home"))
-        .select("second", F.least("in_window", F.lit(at_most)).alias("trips_per_minute"))
+        .select("second", F.col("in_window").alias("trips_per_minute"))
     )
 
 
@@ -85,10 +85,3 @@ def running_totals(messages: DataFrame, order: str, amount: str) -> DataFrame:
     return running_sums(rows, [order], {"total_trips": "one", "total_revenue": "paid"}).select(
         order, "total_trips", F.col("total_revenue").cast("double").alias("total_revenue")
     )
-
-
-def batch_numbers(rows: DataFrame, batch_size: int, *order: str) -> DataFrame:
-    """Every ``batch_size`` rows in order close a batch; batches count from 0."""
-    return with_position(rows, *order).withColumn(
-        "batch_no", F.floor(F.col("position") / batch_size)
-    )

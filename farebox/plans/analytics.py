@@ -75,15 +75,13 @@ def borough_distribution(trips: DataFrame, borough_id: str) -> DataFrame:
     )
 
 
-def borough_counts(trips: DataFrame, limit: int = 100) -> DataFrame:
-    return trips.groupBy("borough").agg(F.count("*").alias("count")).orderBy("borough").limit(limit)
+def borough_counts(trips: DataFrame) -> DataFrame:
+    return trips.groupBy("borough").agg(F.count("*").alias("count")).orderBy("borough")
 
 
-def first_messages(topic: DataFrame, limit: int = 50) -> DataFrame:
-    """The messages with the lowest trip ids. Only the id is read before the cut; the rest of a
-    message is decoded after it."""
-    ident = F.get_json_object(F.col("value").cast("string"), "$.trip_id")
-    return topic.withColumn("_id", ident).orderBy("_id").limit(limit).drop("_id")
+def first_documents(documents: DataFrame, limit: int = 50) -> DataFrame:
+    """The stored documents with the lowest trip ids: every task keeps its own lowest ``limit``."""
+    return documents.orderBy("trip_id").limit(limit)
 
 
 # ---- over rollups ----------------------------------------------------------------------------
@@ -100,9 +98,9 @@ def rollup_lookup(
     borough_time: DataFrame,
     borough: str | None = None,
     month: str | None = None,
-    limit: int | None = 50,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Hours of a borough; both keys or none."""
+    """Hours of a borough; both keys or none. ``limit`` keeps the first of them."""
     rows = borough_time
     if borough and month:
         rows = partition(rows, borough=borough, year_month=month)
@@ -176,12 +174,17 @@ def hourly_performance(borough_time: DataFrame, borough: str, month: str) -> Dat
     )
 
 
-def route_stats(route: DataFrame, pickup_location_id: int, month: str, limit: int = 50) -> DataFrame:
+def _first(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
+
+
+def route_stats(
+    route: DataFrame, pickup_location_id: int, month: str, limit: int | None = None
+) -> DataFrame:
     averages = ["trip_distance", "duration", "fare_amount", "tip_amount", "passenger_count"]
+    here = partition(route, pickup_location_id=pickup_location_id, year_month=month)
     return (
-        partition(route, pickup_location_id=pickup_location_id, year_month=month)
-        .orderBy(*ROLLUPS["route"].order())
-        .limit(limit)
+        _first(here.orderBy(*ROLLUPS["route"].order()), limit)
         .select(
             "pickup_location_id",
             "pickup_zone",
@@ -195,13 +198,12 @@ def route_stats(route: DataFrame, pickup_location_id: int, month: str, limit: in
 
 
 def vendor_performance(
-    vendor: DataFrame, vendor_id: int, borough: str, month: str, limit: int = 50
+    vendor: DataFrame, vendor_id: int, borough: str, month: str, limit: int | None = None
 ) -> DataFrame:
     measures = ["sum_passenger_count", "avg_trip_distance", "sum_total_amount", "sum_tip_amount"]
+    here = partition(vendor, vendor_id=vendor_id, borough=borough, year_month=month)
     return (
-        partition(vendor, vendor_id=vendor_id, borough=borough, year_month=month)
-        .orderBy(*ROLLUPS["vendor"].order())
-        .limit(limit)
+        _first(here.orderBy(*ROLLUPS["vendor"].order()), limit)
         .select(
             *ROLLUPS["vendor"].pk,
             *[zero_if_null(F.col(m)).alias(m) for m in measures],
@@ -211,7 +213,7 @@ def vendor_performance(
 
 
 def vendor_summary(performance: DataFrame) -> DataFrame:
-    """Totals over the rows shown. Rollup rows and the trips behind them are counted apart."""
+    """Totals over the rows given. Rollup rows and the trips behind them are counted apart."""
     revenue = F.sum(F.col("sum_total_amount").cast("decimal(28,2)")).cast("double")
     return performance.agg(
         F.round(F.coalesce(revenue, F.lit(0.0)), 2).alias("total_revenue"),
@@ -261,9 +263,9 @@ def revenue_by_borough(borough_time: DataFrame, month: str) -> DataFrame:
     return partition(borough_time, year_month=month).groupBy("borough", "year_month").agg(_revenue())
 
 
-def pickup_locations(route: DataFrame, month: str, limit: int = 10) -> DataFrame:
+def pickup_locations(route: DataFrame, month: str) -> DataFrame:
     locations = partition(route, year_month=month).select("pickup_location_id").distinct()
-    return locations.orderBy("pickup_location_id").limit(limit)
+    return locations.orderBy("pickup_location_id")
 
 
 def zones_with_routes(pickup_zone: DataFrame, route: DataFrame, borough: str, month: str) -> DataFrame:

@@ -56,6 +56,9 @@ trips_raw AS (
            * CAST(l_discount AS DECIMAL(4,2)) * CAST(l_quantity AS DECIMAL(4,0)) AS DECIMAL(12,2)) AS tip_amount,
       CAST(1.0 AS DECIMAL(12,2)) AS extra, CAST(0.5 AS DECIMAL(12,2)) AS mta_tax,
       CAST(l_linenumber AS DECIMAL(12,2)) AS tolls_amount,
+      CAST(0.3 AS DECIMAL(12,2)) AS improvement_surcharge,
+      CAST(CASE WHEN l_linenumber = 2 THEN 2.5 ELSE 0 END AS DECIMAL(12,2)) AS congestion_surcharge,
+      CAST(CASE WHEN l_suppkey % 10 = 0 THEN 1.75 END AS DECIMAL(12,2)) AS Airport_fee,
       CASE WHEN l_linestatus = 'F' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
       concat('trips_', CAST(year(l_shipdate) AS VARCHAR)) AS stem
     FROM lineitem
@@ -63,8 +66,8 @@ trips_raw AS (
     JOIN customer ON o_custkey  = c_custkey
     JOIN supplier ON l_suppkey  = s_suppkey) x),
 resolved AS (
-  SELECT t.*, p.borough, p.zone AS pickup_zone, p.Shape_Leng AS pickup_shape_leng,
-         d.borough AS dropoff_borough, d.zone AS dropoff_zone, d.Shape_Area AS dropoff_shape_area,
+  SELECT t.*, p.borough, p.zone AS pickup_zone, p.Shape_Leng AS pickup_shape_leng, p.Shape_Area AS pickup_shape_area,
+         d.borough AS dropoff_borough, d.zone AS dropoff_zone, d.Shape_Leng AS dropoff_shape_leng, d.Shape_Area AS dropoff_shape_area,
          TRY_CAST(t.tpep_pickup_datetime AS TIMESTAMP) AS pickup_ts,
          CAST(t.tpep_dropoff_datetime AS TIMESTAMP) AS dropoff_ts
   FROM trips_raw t JOIN zones p ON t.PULocationID = p.LocationID
@@ -83,10 +86,10 @@ facts AS (
 
 _DICT = """,
 seen AS (
-  SELECT borough, trip_id AS seen_in, 0 AS side FROM resolved
-  UNION ALL SELECT dropoff_borough, trip_id, 1 FROM resolved),
-firsts AS (SELECT borough, min(seen_in || '|' || CAST(side AS VARCHAR)) AS first FROM seen GROUP BY borough),
-dict AS (SELECT borough, CAST(row_number() OVER (ORDER BY first) AS INT) AS borough_id FROM firsts)"""
+  SELECT borough, (epoch_ms(dropoff_ts) + CAST(abs(total_amount * 100) AS BIGINT) % 5000) * 2 AS place FROM resolved
+  UNION ALL SELECT dropoff_borough, (epoch_ms(dropoff_ts) + CAST(abs(total_amount * 100) AS BIGINT) % 5000) * 2 + 1 FROM resolved),
+firsts AS (SELECT borough, min(place) AS first FROM seen GROUP BY borough),
+dict AS (SELECT borough, CAST(row_number() OVER (ORDER BY first, borough) AS INT) AS borough_id FROM firsts)"""
 
 
 def _rollup_select(rollup: Rollup, source: str = "facts") -> str:
@@ -149,15 +152,6 @@ sent AS (
          epoch_ms(dropoff_ts) + CAST(abs(total_amount * 100) AS BIGINT) % 5000 AS arrived
   FROM resolved)"""
 
-_OPERATIONS = """
-ops AS (
-  SELECT event_id, event_type AS scenario, CASE WHEN event_id % 10 = 0 THEN 'read' ELSE 'write' END AS kind,
-         CAST(user_id % 4 + 3 AS INT) AS nodes,
-         CASE user_id % 3 WHEN 0 THEN 'ONE' WHEN 1 THEN 'QUORUM' ELSE 'ALL' END AS level,
-         value AS ms, NOT (event_type = 'error' AND event_id % 4 = 0) AS success
-  FROM events)"""
-
-
 def _put(name: str, select: str, *parts: str) -> None:
     ORACLE[name] = f"WITH {''.join(parts) or _BASE}\n{select}"
 
@@ -190,7 +184,10 @@ _base(
   RatecodeID, store_and_fwd_flag, PULocationID, DOLocationID, payment_type,
   CAST(fare_amount AS DOUBLE) AS fare_amount, CAST(extra AS DOUBLE) AS extra,
   CAST(mta_tax AS DOUBLE) AS mta_tax, CAST(tip_amount AS DOUBLE) AS tip_amount,
-  CAST(tolls_amount AS DOUBLE) AS tolls_amount, CAST(total_amount AS DOUBLE) AS total_amount
+  CAST(tolls_amount AS DOUBLE) AS tolls_amount,
+  CAST(improvement_surcharge AS DOUBLE) AS improvement_surcharge,
+  CAST(congestion_surcharge AS DOUBLE) AS congestion_surcharge, CAST(Airport_fee AS DOUBLE) AS Airport_fee,
+  CAST(total_amount AS DOUBLE) AS total_amount
 FROM trips_raw""",
 )
 ORACLE["zone_dim"] = """WITH source AS (
@@ -226,12 +223,14 @@ _base(
 )
 
 _DOCUMENTS = f"""SELECT trip_id, tpep_pickup_datetime AS pickup_datetime, PULocationID AS pickup_location_id,
-  pickup_shape_leng, t.borough AS pickup_borough, pickup_zone, p.borough_id AS pickup_borough_id,
-  tpep_dropoff_datetime AS dropoff_datetime, DOLocationID AS dropoff_location_id, dropoff_shape_area,
+  pickup_shape_leng, pickup_shape_area, t.borough AS pickup_borough, pickup_zone, p.borough_id AS pickup_borough_id,
+  tpep_dropoff_datetime AS dropoff_datetime, DOLocationID AS dropoff_location_id, dropoff_shape_leng, dropoff_shape_area,
   dropoff_borough, dropoff_zone, d.borough_id AS dropoff_borough_id, passenger_count, payment_type,
   CAST(fare_amount AS DOUBLE) AS fare_amount, CAST(extra AS DOUBLE) AS extra,
   CAST(mta_tax AS DOUBLE) AS mta_tax, CAST(tip_amount AS DOUBLE) AS tip_amount,
   CAST(tolls_amount AS DOUBLE) AS tolls_amount, CAST(total_amount AS DOUBLE) AS total_amount,
+  CAST(improvement_surcharge AS DOUBLE) AS improvement_surcharge,
+  CAST(congestion_surcharge AS DOUBLE) AS congestion_surcharge, CAST(Airport_fee AS DOUBLE) AS airport_fee,
   {{metrics}}, VendorID AS vendor_id, RatecodeID AS ratecode_id, store_and_fwd_flag, 'kafka' AS source
 FROM {{source}} t LEFT JOIN dict p ON t.borough = p.borough LEFT JOIN dict d ON dropoff_borough = d.borough"""
 _HOURS = (
@@ -255,7 +254,7 @@ _base(
     "rollup_borough_time_lookup",
     f"""SELECT borough, year_month, pickup_date, pickup_hour, sum_passenger_count, sum_fare_amount,
   sum_total_amount, sum_mta_tax, sum_tip_amount, count_vendor_cmt, count_vendor_verifone
-FROM r_borough_time WHERE {HERE} ORDER BY pickup_date, pickup_hour LIMIT 50""",
+FROM r_borough_time WHERE {HERE}""",
     _ROLLUPS,
 )
 _base(
@@ -307,14 +306,12 @@ _base(
     "route_stats",
     f"""SELECT pickup_location_id, pickup_zone, dropoff_location_id, dropoff_zone, year_month, pickup_date,
   avg_trip_distance, avg_duration, avg_fare_amount, avg_tip_amount, avg_passenger_count
-FROM r_route WHERE pickup_location_id = {LOCATION} AND year_month = '{MONTH}'
-ORDER BY dropoff_location_id, pickup_date DESC LIMIT 50""",
+FROM r_route WHERE pickup_location_id = {LOCATION} AND year_month = '{MONTH}'""",
     _ROLLUPS,
 )
 _VENDOR_ROWS = f"""SELECT vendor_id, borough, year_month, pickup_date, pickup_location_id,
   sum_passenger_count, avg_trip_distance, sum_total_amount, sum_tip_amount, trip_count
-FROM r_vendor WHERE vendor_id = {VENDOR} AND {HERE}
-ORDER BY pickup_date DESC, pickup_location_id LIMIT 50"""
+FROM r_vendor WHERE vendor_id = {VENDOR} AND {HERE}"""
 _base("vendor_performance", _VENDOR_ROWS, _ROLLUPS)
 _REVENUE = "CAST(sum(CAST(sum_total_amount AS DECIMAL(28,2))) AS DOUBLE)"
 _base(
@@ -357,13 +354,10 @@ WHERE year_month = '{MONTH}' GROUP BY borough, year_month""",
 )
 _base(
     "distinct_pickup_locations",
-    f"""SELECT DISTINCT pickup_location_id FROM r_route WHERE year_month = '{MONTH}'
-ORDER BY pickup_location_id LIMIT 10""",
+    f"""SELECT DISTINCT pickup_location_id FROM r_route WHERE year_month = '{MONTH}'""",
     _ROLLUPS,
 )
-_SAMPLE = f"""SELECT * FROM r_route WHERE year_month = '{MONTH}' AND pickup_location_id IN (
-    SELECT DISTINCT pickup_location_id FROM r_route WHERE year_month = '{MONTH}'
-    ORDER BY pickup_location_id LIMIT 10)
+_SAMPLE = f"""SELECT * FROM r_route WHERE year_month = '{MONTH}'
   QUALIFY row_number() OVER (PARTITION BY pickup_location_id ORDER BY dropoff_location_id, pickup_date DESC) <= 50"""
 _base("route_sample_per_location", _SAMPLE, _ROLLUPS)
 _base(
@@ -400,21 +394,6 @@ for _name, _r in ROLLUPS.items():
     _base(f"rollup_{_name}", f"SELECT * FROM r_{_name}", _ROLLUPS)
     _base(f"stream_rollup_{_name}", f"SELECT * FROM r_{_name}", _ROLLUPS)
 
-_base(
-    "rollup_last_flush",
-    f"""SELECT borough, year_month, pickup_date, pickup_hour,
-  {', '.join(f"{money(f'sum({m})')} AS sum_{m}" for m in ROLLUPS['borough_time'].sums)},
-  count(*) FILTER (WHERE payment_type = 1) AS count_payment_card,
-  count(*) FILTER (WHERE payment_type = 2) AS count_payment_cash,
-  count(*) FILTER (WHERE vendor_id = 1) AS count_vendor_cmt, count(*) AS trip_count, batch_no
-FROM (SELECT * FROM (
-        SELECT *, max(batch_no) OVER (PARTITION BY borough, year_month, pickup_date, pickup_hour) AS last_batch
-        FROM facts JOIN numbered USING (trip_id)) WHERE batch_no = last_batch)
-GROUP BY borough, year_month, pickup_date, pickup_hour, batch_no""",
-    _FACTS,
-    """,
-numbered AS (SELECT trip_id, (row_number() OVER (ORDER BY trip_id) - 1) // 10 AS batch_no FROM resolved)""",
-)
 _base(
     "aggregate_rejects",
     """SELECT reason, count(*) AS rejected FROM (
@@ -462,8 +441,8 @@ _base(
     "anomaly_rollups",
     f"""SELECT {_SHOWN} FROM ({_detectors(
         f'(SELECT * FROM r_borough_time WHERE {HERE})',
-        f'(SELECT * FROM r_pickup_zone WHERE {HERE} ORDER BY pickup_date, pickup_hour, pickup_zone LIMIT 500)',
-        f'({_SAMPLE})')}) ORDER BY source_order, row_key LIMIT 100""",
+        f'(SELECT * FROM r_pickup_zone WHERE {HERE})',
+        f"(SELECT * FROM r_route WHERE year_month = '{MONTH}')")})""",
     _ROLLUPS,
 )
 _base(
@@ -484,19 +463,6 @@ _base(
   tpep_pickup_datetime AS pickup_datetime, CAST(total_amount AS DOUBLE) AS total_amount,
   true AS has_passenger_count FROM resolved""",
 )
-_base(
-    "bulk_load_report",
-    f"""SELECT count(*) AS num_batches, CAST(sum(failed) AS BIGINT) AS failed_batches,
-  CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(CASE WHEN failed = 0 THEN n ELSE 0 END) AS BIGINT) AS total_inserted,
-  max(n) AS largest_batch,
-  date_diff('second', min(first) FILTER (WHERE failed = 0), max(last) FILTER (WHERE failed = 0)) AS total_time_seconds,
-  {r2("CAST(sum(CASE WHEN failed = 0 THEN n ELSE 0 END) AS DOUBLE) / date_diff('second', min(first) FILTER (WHERE failed = 0), max(last) FILTER (WHERE failed = 0))", 6)}
-    AS throughput_records_per_sec
-FROM (SELECT batch_no, count(*) AS n, max(CASE WHEN tpep_pickup_datetime = 'bad-date' THEN 1 ELSE 0 END) AS failed,
-        min(CAST(tpep_dropoff_datetime AS TIMESTAMP)) AS first, max(CAST(tpep_dropoff_datetime AS TIMESTAMP)) AS last
-      FROM (SELECT *, (row_number() OVER (ORDER BY trip_id) - 1) // 100 AS batch_no FROM trips_raw)
-      GROUP BY batch_no)""",
-)
 
 # ---- validation ------------------------------------------------------------------------------
 
@@ -622,7 +588,7 @@ _base(
   {money('sum(total_amount)')} AS total_revenue, {avg('fare_amount')} AS avg_fare,
   {avg('trip_distance')} AS avg_distance FROM trips GROUP BY 1""",
 )
-_base("borough_counts", "SELECT borough, count(*) AS count FROM trips GROUP BY borough ORDER BY borough LIMIT 100")
+_base("borough_counts", "SELECT borough, count(*) AS count FROM trips GROUP BY borough")
 _base(
     "top_boroughs_share",
     f"""SELECT borough, trips, {r2('CAST(trips AS DOUBLE) / sum(trips) OVER () * 100')} AS percentage
@@ -636,7 +602,7 @@ _DATE = "CAST(CAST(pickup_ts AS DATE) AS VARCHAR)"
 _KEYS = {
     "borough_hour": "borough || '_' || CAST(hour(pickup_ts) AS VARCHAR)",
     "time_bucket": f"{_DATE} || '-' || lpad(CAST(hour(pickup_ts) // 6 AS VARCHAR), 2, '0')",
-    "unique_id": "substr(md5(trip_id), 1, 8)",
+    "unique_id": "md5(trip_id)",
     "hash": "CAST(" + _HASH.format(x=f"borough || {_DATE}", n=100) + " AS VARCHAR)",
 }
 for _name, _key in _KEYS.items():
@@ -680,55 +646,21 @@ _base(
 FROM buckets""",
     _BUCKETS,
 )
-_base(
-    "topic_partition_distribution",
-    f"""SELECT CAST({_HASH.format(x='borough', n=6)} AS INT) AS partition, borough AS key, count(*) AS messages
-FROM resolved GROUP BY 1, 2""",
-)
 
 # ---- measurements ----------------------------------------------------------------------------
 
 ORACLE["latency_summary"] = _latency("event_type", "events", "value")
-ORACLE["availability_by_scenario"] = f"""WITH {_OPERATIONS}
-SELECT scenario, {', '.join(f'''count(*) FILTER (WHERE kind = '{k}') AS {k}_attempts,
-  count(*) FILTER (WHERE kind = '{k}' AND success) AS {k}_successes,
-  {r2(f"coalesce(CAST(count(*) FILTER (WHERE kind = '{k}' AND success) AS DOUBLE) * 100 / nullif(count(*) FILTER (WHERE kind = '{k}'), 0), 0)")}
-    AS {k}_availability''' for k in ('write', 'read'))}
-FROM ops GROUP BY scenario"""
-_SCALING = f"""{_OPERATIONS},
-latencies AS ({_latency("kind, nodes", "ops", "ms")}),
-seconds AS (SELECT kind, nodes, CAST(sum(CAST(ms AS DECIMAL(28,6))) AS DOUBLE) / 1000.0::DOUBLE AS s FROM ops GROUP BY ALL),
-report AS (SELECT kind, nodes, {r2('samples / s')} AS throughput, avg_latency_ms AS latency, p95_latency_ms AS p95
-  FROM latencies JOIN seconds USING (kind, nodes))"""
-ORACLE["bench_report"] = f"WITH {_SCALING} SELECT * FROM report"
-ORACLE["bench_improvement"] = f"""WITH {_SCALING}, ends AS (
-  SELECT kind, min(nodes) AS first_nodes, max(nodes) AS last_nodes, arg_min(throughput, nodes) AS first_throughput,
-         arg_max(throughput, nodes) AS last_throughput FROM report GROUP BY kind)
-SELECT *, {r2('CASE WHEN first_throughput > 0 THEN (last_throughput - first_throughput) / first_throughput * 100 ELSE 0 END', 1)}
-  AS improvement_percent FROM ends"""
-_MATRIX = ", ".join(
-    f"""max(mean) FILTER (WHERE level = '{lv}') AS "{lv}_latency_ms",
-  max(CASE WHEN lost = 0 THEN 'true' ELSE 'false' END) FILTER (WHERE level = '{lv}') AS "{lv}_status",
-  max(CAST(0 AS BIGINT)) FILTER (WHERE level = '{lv}') AS "{lv}_duplicates",
-  max(lost) FILTER (WHERE level = '{lv}') AS "{lv}_missing\""""
-    for lv in ("ONE", "QUORUM", "ALL")
-)
-ORACLE["bench_matrix"] = f"""WITH {_OPERATIONS}, checks AS (
-  SELECT scenario, level, count(*) FILTER (WHERE success AND event_id % 97 = 0) AS lost,
-         {r2('CAST(sum(CAST(ms AS DECIMAL(28,6))) AS DOUBLE) / count(*)')} AS mean
-  FROM ops WHERE kind = 'write' GROUP BY scenario, level)
-SELECT scenario, {_MATRIX} FROM checks GROUP BY scenario"""
 ORACLE["timing_extremes"] = f"""WITH t AS (
-  SELECT 'query_' || CAST(event_id AS VARCHAR) AS name, CASE WHEN event_id % 50 = 0 THEN 0 ELSE value END AS ms FROM events)
-SELECT count(*) AS total_queries,
-  {r2('(SELECT CAST(sum(CAST(ms AS DECIMAL(28,6))) AS DOUBLE) / count(*) FROM t WHERE ms > 0)')} AS avg_execution_time_ms,
-  (SELECT name FROM t ORDER BY ms, name LIMIT 1) AS fastest_query,
-  (SELECT name FROM t ORDER BY ms DESC, name LIMIT 1) AS slowest_query
+  SELECT 'event_' || CAST(event_id AS VARCHAR) AS name, CASE WHEN event_id % 50 = 0 THEN 0 ELSE value END AS ms FROM events)
+SELECT count(*) AS events,
+  {r2('(SELECT CAST(sum(CAST(ms AS DECIMAL(28,6))) AS DOUBLE) / count(*) FROM t WHERE ms > 0)')} AS avg_value_above_zero,
+  (SELECT name FROM t ORDER BY ms, name LIMIT 1) AS least_event,
+  (SELECT name FROM t ORDER BY ms DESC, name LIMIT 1) AS greatest_event
 FROM t"""
 _FIRST = """SELECT 'user_' || CAST(user_id AS VARCHAR) || '_' || CAST(CAST(ts AS DATE) AS VARCHAR) AS q,
   arg_min(value, event_id) AS ms FROM events WHERE event_type = '{kind}' GROUP BY 1"""
 ORACLE["compare_results"] = f"""WITH a AS ({_FIRST.format(kind='click')}), b AS ({_FIRST.format(kind='purchase')})
-SELECT 'U' || substr(coalesce(a.q, b.q), 2) AS query, coalesce(a.ms, 0) AS a_ms, coalesce(b.ms, 0) AS b_ms
+SELECT 'U' || substr(coalesce(a.q, b.q), 2) AS user_day, coalesce(a.ms, 0) AS first_click, coalesce(b.ms, 0) AS first_purchase
 FROM a FULL OUTER JOIN b ON a.q = b.q"""
 
 # ---- windows ---------------------------------------------------------------------------------
@@ -738,8 +670,8 @@ ORACLE["rolling_latency"] = f"""SELECT event_id,
   {r2('CAST(sum(v) OVER w AS DOUBLE) / count(*) OVER w')} AS avg_value, CAST(max(v) OVER w AS DOUBLE) AS max_value
 FROM (SELECT event_id, CAST(value AS DECIMAL(18,2)) AS v FROM events)
 WINDOW w AS (ORDER BY event_id ROWS BETWEEN 4999 PRECEDING AND CURRENT ROW)"""
-ORACLE["trips_per_minute"] = """SELECT second, least(CAST(sum(n) OVER (
-  ORDER BY second RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS BIGINT), 1000) AS trips_per_minute
+ORACLE["trips_per_minute"] = """SELECT second, CAST(sum(n) OVER (
+  ORDER BY second RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS BIGINT) AS trips_per_minute
 FROM (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS second, count(*) AS n FROM events GROUP BY 1)"""
 ORACLE["running_totals"] = """SELECT event_id, count(*) OVER w AS total_trips,
   CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) AS total_revenue
@@ -789,23 +721,24 @@ _base(
     "stream_live_stats",
     f"""SELECT count(*) AS total_trips, {money('sum(total_amount)')} AS total_revenue,
   count(*) FILTER (WHERE passenger_count IS NULL) AS errors,
-  strftime(make_timestamp(max(arrived) * 1000), '%Y-%m-%d %H:%M:%S') AS last_trip_time FROM sent""",
+  strftime(make_timestamp(max(arrived) * 1000), '%Y-%m-%d %H:%M:%S') AS last_trip_time FROM sent WHERE payment_type <> 2""",
     _ARRIVED,
 )
+ORACLE["stream_live_timed"] = ORACLE["stream_live_stats"]
 _base(
     "stream_latency",
     f"""SELECT count(*) AS messages, {r2('CAST(sum(arrived - stamp) AS DOUBLE) / count(*)')} AS all_avg_latency_ms,
   max(arrived - stamp) AS all_max_latency_ms, {r2('''CAST(sum(arrived - stamp) FILTER (WHERE place <= 5000) AS DOUBLE)
     / count(*) FILTER (WHERE place <= 5000)''')} AS avg_latency_ms,
   max(arrived - stamp) FILTER (WHERE place <= 5000) AS max_latency_ms
-FROM (SELECT *, row_number() OVER (ORDER BY arrived DESC, trip_id DESC) AS place FROM sent)""",
+FROM (SELECT *, row_number() OVER (ORDER BY arrived DESC, trip_id DESC) AS place FROM sent WHERE payment_type <> 2)""",
     _ARRIVED,
 )
 _base(
     "stream_recent_trips",
     """SELECT strftime(make_timestamp(arrived * 1000), '%H:%M:%S') AS shown_at, trip_id, pickup_zone, dropoff_zone,
   borough, CAST(total_amount AS DOUBLE) AS amount, trip_distance AS distance, CAST(passenger_count AS INT) AS passengers
-FROM sent ORDER BY arrived DESC, trip_id DESC LIMIT 15""",
+FROM sent WHERE payment_type <> 2 ORDER BY arrived DESC, trip_id DESC LIMIT 15""",
     _ARRIVED,
 )
 ORACLE["stream_hourly_window"] = """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions import scalars as fn
-from farebox.operators import anomalies, documents, enrich, quality, results, rollups, windows
+from farebox.operators import anomalies, documents, enrich, quality, rollups, windows
 from farebox.operators.rollups import ROLLUPS
 from farebox.plans import analytics
 from farebox.plans.workspace import TRIP_FIELDS, Workspace
@@ -17,7 +17,6 @@ from farebox.sinks import files
 from farebox.sources import tables, testbed, topic, zones
 
 BOROUGH, MONTH, LOCATION, VENDOR = "ASIA", "1998-03", 13, 1
-LEVELS = ["ONE", "QUORUM", "ALL"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,8 +111,7 @@ def decode_envelope(ws: Workspace) -> DataFrame:
 
 @query
 def list_trips(ws: Workspace) -> DataFrame:
-    first = topic.decode_wire(analytics.first_messages(ws.topic())).select("msg.*")
-    return documents.flatten_documents(documents.to_documents(first, ws.dictionary()))
+    return documents.flatten_documents(analytics.first_documents(ws.documents()))
 
 
 @query
@@ -191,22 +189,6 @@ def encode_envelope(ws: Workspace) -> DataFrame:
     )
 
 
-@query
-def bulk_load_report(ws: Workspace) -> DataFrame:
-    rows = ws.trips_raw().select("trip_id", "tpep_pickup_datetime", "tpep_dropoff_datetime")
-    path, outcome = ws.path("bulk_loaded"), ws.path("bulk_outcome")
-
-    def load(_: str) -> None:
-        batched = windows.batch_numbers(rows, 100, "trip_id")
-        bad = fn.parse_time(F.col("tpep_pickup_datetime")).isNull()
-        files.bulk_insert(batched, bad, path, "overwrite").write.mode("overwrite").parquet(outcome)
-
-    ws.once("bulk_load", load)
-    stored = ws.spark.read.parquet(path).withColumn(
-        "arrived", fn.parse_time(F.col("tpep_dropoff_datetime"))
-    )
-    return quality.bulk_load(ws.spark.read.parquet(outcome), stored, "arrived")
-
 
 @query
 def rollup_upsert(ws: Workspace) -> DataFrame:
@@ -301,7 +283,7 @@ def anomaly_labels_simple(ws: Workspace) -> DataFrame:
 
 @query
 def anomaly_rollups(ws: Workspace) -> DataFrame:
-    return anomalies.budgeted_rollup_anomalies(
+    return anomalies.month_rollup_anomalies(
         ws.rollup("borough_time"), ws.rollup("pickup_zone"), ws.rollup("route"), BOROUGH, MONTH
     ).drop("row_key")
 
@@ -426,27 +408,6 @@ def rollup_vendor(ws: Workspace) -> DataFrame:
     return _rollup(ws, "vendor")
 
 
-@query
-def rollup_last_flush(ws: Workspace) -> DataFrame:
-    rollup = ROLLUPS["borough_time"]
-    columns = ["borough", "year_month", "pickup_date", "pickup_hour", "rate_code", "payment_type"]
-    facts = rollups.facts_from_trips(ws.resolved()).select(
-        "trip_id", *columns, "vendor_id", "bad", "nan_mask", *rollup.measures
-    )
-    numbered = windows.batch_numbers(facts, 10, "trip_id")
-    kept = rollups.last_flush(rollups.accepted(numbered), rollup)
-    return _text_dates(
-        kept.select(
-            *rollup.keys,
-            *[F.round(rollups.total(m), 2).alias(f"sum_{m}") for m in rollup.sums],
-            "count_payment_card",
-            "count_payment_cash",
-            "count_vendor_cmt",
-            "trip_count",
-            "batch_no",
-        )
-    )
-
 
 @query
 def aggregate_rejects(ws: Workspace) -> DataFrame:
@@ -458,22 +419,22 @@ def aggregate_rejects(ws: Workspace) -> DataFrame:
 
 @query
 def top_zones_by_revenue(ws: Workspace) -> DataFrame:
-    return analytics.top_boroughs_by_revenue(ws.trips())
+    return analytics.top_boroughs_by_revenue(documents.trips_of(ws.documents()))
 
 
 @query
 def top_zones_by_trips(ws: Workspace) -> DataFrame:
-    return analytics.top_boroughs_by_trips(ws.trips())
+    return analytics.top_boroughs_by_trips(documents.trips_of(ws.documents()))
 
 
 @query
 def passenger_distribution(ws: Workspace) -> DataFrame:
-    return analytics.passenger_distribution(ws.trips())
+    return analytics.passenger_distribution(documents.trips_of(ws.documents()))
 
 
 @query
 def hourly_stats(ws: Workspace) -> DataFrame:
-    return analytics.hourly_stats(ws.trips())
+    return analytics.hourly_stats(documents.trips_of(ws.documents()))
 
 
 @query
@@ -533,10 +494,7 @@ def partition_revenue_by_hour(ws: Workspace) -> DataFrame:
 
 @query
 def borough_dictionary(ws: Workspace) -> DataFrame:
-    first = documents.first_seen(
-        ws.resolved(), "trip_id", F.col("borough"), F.col("dropoff_borough")
-    )
-    return documents.borough_dictionary(first)
+    return ws.dictionary_of_trips()
 
 
 @query
@@ -558,7 +516,7 @@ def _keyed(ws: Workspace) -> tuple[DataFrame, dict]:
     return trips, {
         "borough_hour": F.concat_ws("_", "borough", hour.cast("string")),
         "time_bucket": fn.six_hour_bucket(date, hour),
-        "unique_id": fn.short_id(F.col("trip_id")),
+        "unique_id": F.md5("trip_id"),
         "hash": fn.md5_bucket(F.concat(F.col("borough"), date.cast("string")), 100).cast("string"),
     }
 
@@ -613,105 +571,30 @@ def top_boroughs_share(ws: Workspace) -> DataFrame:
     return quality.shares(counts, "trips", 10)
 
 
-@query
-def topic_partition_distribution(ws: Workspace) -> DataFrame:
-    return (
-        ws.topic()
-        .groupBy("partition", topic.key_text(F.col("key")).alias("key"))
-        .agg(F.count("*").alias("messages"))
-    )
-
 
 # ---- measurements ----------------------------------------------------------------------------
 
 
-def _operations(ws: Workspace) -> DataFrame:
-    """Events as store operations: their value is the latency in ms."""
-    number = F.col("event_id")
-    return ws.events().select(
-        "event_id",
-        F.col("event_type").alias("scenario"),
-        F.when(number % 10 == 0, "read").otherwise("write").alias("kind"),
-        (F.col("user_id") % 4 + 3).cast("int").alias("nodes"),
-        F.element_at(F.array(*[F.lit(x) for x in LEVELS]), (F.col("user_id") % 3 + 1).cast("int")).alias("level"),
-        F.col("value").alias("latency_ms"),
-        (~((F.col("event_type") == "error") & (number % 4 == 0))).alias("success"),
-    )
-
 
 @query
 def latency_summary(ws: Workspace) -> DataFrame:
     return quality.latency_summary(ws.events(), ["event_type"], "value")
 
 
-@query
-def availability_by_scenario(ws: Workspace) -> DataFrame:
-    return quality.availability(_operations(ws), "scenario")
-
-
-def _scaling_files(ws: Workspace) -> str:
-    return ws.once("scaling_results", lambda p: results.write_scaling_results(_operations(ws), p))
-
-
-@query
-def bench_report(ws: Workspace) -> DataFrame:
-    return results.scaling_report(ws.spark, _scaling_files(ws))
-
-
-@query
-def bench_improvement(ws: Workspace) -> DataFrame:
-    return results.scaling_improvement(results.scaling_report(ws.spark, _scaling_files(ws)))
 
 
-def _consistency_checks(ws: Workspace) -> DataFrame:
-    """Per scenario and level: each successful write is expected back, reads of user 7 get lost."""
-    wrote = _operations(ws).filter(F.col("kind") == "write")
-    ok, lost = F.col("success"), F.col("event_id") % 97 == 0
-    per = wrote.groupBy("scenario", "level").agg(
-        F.count_if(ok).alias("expected"),
-        F.count_if(~ok).alias("failed"),
-        F.count_if(ok & ~lost).alias("found"),
-        F.round(
-            F.sum(F.col("latency_ms").cast("decimal(28,6)")).cast("double") / F.count("*"), 2
-        ).alias("mean"),
-    )
-    missing = F.col("expected") - F.col("found")
-    return per.select(
-        F.concat_ws("_", F.lit("results_consistency"), "scenario", "level").alias("file"),
-        F.struct(
-            F.struct(
-                F.col("expected").alias("total_writes"),
-                F.col("failed").alias("failed_writes"),
-                F.col("mean").alias("avg_write_latency_ms"),
-            ).alias("write_performance"),
-            F.struct(
-                F.when(missing == 0, "true").otherwise("false").alias("data_integrity"),
-                F.col("found").alias("found_records"),
-                F.col("expected").alias("expected_records"),
-                F.lit(0).cast("bigint").alias("duplicate_records"),
-                missing.alias("missing_records"),
-            ).alias("consistency_check"),
-        ).alias("results"),
-        F.lit(True).alias("success"),
-    )
 
 
-@query
-def bench_matrix(ws: Workspace) -> DataFrame:
-    path = ws.once(
-        "consistency_results",
-        lambda p: results.write_consistency_results(_consistency_checks(ws), p),
-    )
-    return results.consistency_matrix(ws.spark, path, LEVELS)
 
 
 @query
 def timing_extremes(ws: Workspace) -> DataFrame:
     timings = ws.events().select(
-        F.concat(F.lit("query_"), F.col("event_id").cast("string")).alias("query_name"),
+        F.concat(F.lit("event_"), F.col("event_id").cast("string")).alias("query_name"),
         F.when(F.col("event_id") % 50 == 0, 0.0).otherwise(F.col("value")).alias("ms"),
     )
-    return quality.timing_extremes(timings, "query_name", "ms")
+    found = quality.timing_extremes(timings, "query_name", "ms")
+    return found.toDF("events", "avg_value_above_zero", "least_event", "greatest_event")
 
 
 @query
@@ -725,7 +608,8 @@ def compare_results(ws: Workspace) -> DataFrame:
         of_kind = ws.events().filter(F.col("event_type") == kind)
         return of_kind.groupBy(name.alias("query")).agg(F.min_by("value", "event_id").alias("ms"))
 
-    return quality.side_by_side(first("click"), first("purchase"), "query", "ms")
+    both = quality.side_by_side(first("click"), first("purchase"), "query", "ms")
+    return both.toDF("user_day", "first_click", "first_purchase")
 
 
 # ---- windows ---------------------------------------------------------------------------------

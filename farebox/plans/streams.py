@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from functools import partial
 
@@ -20,7 +19,8 @@ from farebox.streaming import live, log
 from farebox.streaming import rollups as rollup_stream
 
 STREAMS: dict[str, Query] = {}
-MOST_BATCHES = 4
+#: Files in a micro-batch.
+PER_TRIGGER = 4
 
 
 def stream(build: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
@@ -29,19 +29,15 @@ def stream(build: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], Dat
     return build
 
 
-def _topic(ws: Workspace, path: str, starting: str = "earliest", most: int = MOST_BATCHES) -> DataFrame:
-    """The topic in up to ``most`` micro-batches, each with enough files to occupy every core."""
-    held = len(topic.topic_batch(ws.spark, path).inputFiles())
-    batches = min(most, max(1, held // ws.spark.sparkContext.defaultParallelism))
-    per_trigger = math.ceil(held / batches) if batches > 1 else None
-    return topic.topic_stream(ws.spark, path, starting=starting, per_trigger=per_trigger)
+def _topic(ws: Workspace, path: str, per_trigger: int = PER_TRIGGER, **options) -> DataFrame:
+    return topic.topic_stream(ws.spark, path, per_trigger=per_trigger, **options)
 
 
 def _events(ws: Workspace) -> DataFrame:
-    """Arrivals, with the event time as an instant: watermarks need one."""
+    """Arrivals, a file at a time."""
     # The pattern matches the table whether it is one file or a folder of files.
-    arrivals = ws.spark.readStream.schema(EVENT).parquet(f"{ws.sf_dir}/events.parquet*")
-    return arrivals.withColumn("ts", F.col("ts").cast("timestamp"))
+    arrivals = ws.spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1)
+    return arrivals.parquet(f"{ws.sf_dir}/events.parquet*")
 
 
 def _checkpoint(ws: Workspace, name: str) -> str:
@@ -76,6 +72,7 @@ def _rollup_home(ws: Workspace) -> str:
                 for r in ROLLUPS.values()
             ]
         )
+        rollup_stream.tidy(ws.spark, home)
 
     return ws.once("stream_rollups", run)
 
@@ -115,14 +112,20 @@ def stream_ingest_metrics(ws: Workspace) -> DataFrame:
 # ---- live view -------------------------------------------------------------------------------
 
 
-def _live_home(ws: Workspace) -> str:
-    source = ws.topic_path()
-    return ws.once(
-        "stream_live",
-        lambda home: log.run(
-            _topic(ws, source, starting="latest"), live.live_batch(home), _checkpoint(ws, "live")
-        ),
-    )
+def _live_home(ws: Workspace, every: str | None = None) -> str:
+    """A consumer that starts from latest: messages with payment type 2 are there before it, the
+    others come after."""
+
+    def run(home: str) -> None:
+        source = f"{home}/topic"
+        early = F.get_json_object(F.col("value").cast("string"), "$.payment_type") == "2"
+        ws.topic().filter(early).write.mode("overwrite").parquet(source)
+        since = topic.newest_file(ws.spark, source)
+        ws.topic().filter(~early).write.mode("append").parquet(source)
+        messages = _topic(ws, source, starting="latest", since=since)
+        log.run(messages, live.live_batch(home), f"{home}/checkpoint", every=every)
+
+    return ws.once("stream_live_timed" if every else "stream_live", run)
 
 
 @stream
@@ -130,6 +133,12 @@ def stream_live_stats(ws: Workspace) -> DataFrame:
     return live.live_stats(ws.spark, _live_home(ws))
 
 
+@stream
+def stream_live_timed(ws: Workspace) -> DataFrame:
+    """The same snapshot, from batches a timer starts."""
+    return live.live_stats(ws.spark, _live_home(ws, every="1 second"))
+
+
 @stream
 def stream_latency(ws: Workspace) -> DataFrame:
     return live.live_latency(ws.spark, _live_home(ws))
@@ -143,28 +152,20 @@ def stream_recent_trips(ws: Workspace) -> DataFrame:
 @stream
 def stream_borough_dictionary(ws: Workspace) -> DataFrame:
     source = ws.topic_path()
-    # One batch: the order of first appearance is then the order of the trip ids.
     path = ws.once(
         "stream_dictionary",
         lambda home: log.run(
-            _topic(ws, source, most=1), live.dictionary_batch(home), _checkpoint(ws, "dictionary")
+            _topic(ws, source, per_trigger=1), live.dictionary_batch(home), _checkpoint(ws, "dictionary")
         ),
     )
-    return log.read_batches(ws.spark, path).select("borough", "borough_id")
+    return live.dictionary(ws.spark, path)
 
 
-def _windowed(ws: Workspace, name: str, windows: DataFrame, keys: list[str]) -> DataFrame:
-    """Windows in update mode: each batch logs the windows it changed, the last value holds."""
-
+def _windowed(ws: Workspace, name: str, window: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
     def run(home: str) -> None:
-        log.run(
-            windows,
-            lambda batch, batch_id: log.write_batch(batch, home, batch_id),
-            _checkpoint(ws, name),
-            mode="update",
-        )
+        log.run(_events(ws), live.window_batch(home, window), _checkpoint(ws, name))
 
-    return log.latest(log.read_batches(ws.spark, ws.once(name, run)), keys)
+    return live.windows(ws.spark, ws.once(name, run), keys)
 
 
 def _text_time(column: str):
@@ -173,8 +174,7 @@ def _text_time(column: str):
 
 @stream
 def stream_hourly_window(ws: Workspace) -> DataFrame:
-    keys = ["window_start", "event_type"]
-    found = _windowed(ws, "stream_hourly", live.hourly_window(_events(ws)), keys)
+    found = _windowed(ws, "stream_hourly", live.hourly_window, ["window_start", "event_type"])
     return found.select(
         _text_time("window_start"),
         "event_type",
@@ -185,14 +185,13 @@ def stream_hourly_window(ws: Workspace) -> DataFrame:
 
 @stream
 def stream_trips_per_minute(ws: Workspace) -> DataFrame:
-    keys = ["window_start", "window_end"]
-    found = _windowed(ws, "stream_minutes", live.minute_rate(_events(ws)), keys)
+    found = _windowed(ws, "stream_minutes", live.minute_rate, ["window_start", "window_end"])
     return found.select(_text_time("window_start"), _text_time("window_end"), "trips")
 
 
 @stream
 def stream_dedup(ws: Workspace) -> DataFrame:
-    """Redelivered messages are dropped: the topic twice over for some trips."""
+    """Redelivered messages are dropped: the topic twice over for some trips, a file at a time."""
 
     def send_again(path: str) -> None:
         sent = ws.sent()
@@ -203,11 +202,7 @@ def stream_dedup(ws: Workspace) -> DataFrame:
 
     source = ws.once("topic_redelivered", send_again)
 
-    def run(path: str) -> None:
-        envelope = _topic(ws, source, most=1)
-        log.append_table(live.without_redeliveries(envelope), path, _checkpoint(ws, "dedup"))
-
-    path = ws.once("stream_dedup", run)
-    return ws.spark.read.parquet(path).select("trip_id", "vendor_id", "total_amount")
-
+    def run(home: str) -> None:
+        log.run(_topic(ws, source, per_trigger=1), live.delivery_batch(home), _checkpoint(ws, "dedup"))
 
+    return live.without_redeliveries(ws.spark, ws.once("stream_dedup", run))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions.scalars import parse_time
@@ -18,6 +18,7 @@ from farebox.operators.rollups import ROLLUPS
 from farebox.session import shared_dir
 from farebox.sinks import files
 from farebox.sources import testbed, topic
+from farebox.sources.zones import one_per_id
 
 TRIP_FIELDS = [
     "VendorID",
@@ -35,6 +36,9 @@ TRIP_FIELDS = [
     "mta_tax",
     "tip_amount",
     "tolls_amount",
+    "improvement_surcharge",
+    "congestion_surcharge",
+    "Airport_fee",
     "total_amount",
 ]
 
@@ -42,6 +46,13 @@ _written: set[str] = set()
 _schemas: dict = {}
 
 
+def _arrival() -> Column:
+    """When a trip's message reaches the topic: 0 to 4999 ms after the dropoff."""
+    dropped_off = F.unix_millis(F.col("tpep_dropoff_datetime").cast("timestamp"))
+    delay = F.abs(F.col("total_amount") * 100).cast("bigint") % 5000
+    return F.timestamp_millis(dropped_off + delay)
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -73,7 +84,7 @@ class Workspace:
     # ---- trips -------------------------------------------------------------------------------
 
     def zones(self) -> DataFrame:
-        return self._table("zones", lambda: testbed.zones(self.spark, self.sf_dir).coalesce(1))
+        return self._table("zones", lambda: one_per_id(testbed.zones(self.spark, self.sf_dir)).coalesce(1))
 
     def ingested(self) -> DataFrame:
         """Every trip with the names of its zones, where known, and its times, where they parse."""
@@ -121,12 +132,8 @@ class Workspace:
         The stamp is the dropoff time; a message arrives 0 to 4999 ms later.
         """
         dropped_off = F.unix_millis(F.col("tpep_dropoff_datetime").cast("timestamp"))
-        delay = F.abs(F.col("total_amount") * 100).cast("bigint") % 5000
         stamped = self.trips_raw().withColumns(
-            {
-                "producer_timestamp": dropped_off.cast("double"),
-                "arrived": F.timestamp_millis(dropped_off + delay),
-            }
+            {"producer_timestamp": dropped_off.cast("double"), "arrived": _arrival()}
         )
         messages = enrich.to_messages(stamped, self.zones(), ["trip_id", "stem", "arrived"])
         return messages.filter("reason IS NULL")
@@ -143,19 +150,23 @@ class Workspace:
         return topic.topic_batch(self.spark, self.topic_path())
 
     def dictionary(self) -> DataFrame:
-        """Borough ids in order of first appearance by trip id."""
-
-        def build() -> DataFrame:
-            ends = self.resolved().select("trip_id", "borough", "dropoff_borough")
-            return documents.borough_dictionary(
-                documents.first_seen(ends, "trip_id", F.col("borough"), F.col("dropoff_borough"))
-            )
+        """Borough ids in order of first appearance by arrival."""
+        return self._table("borough_dictionary", self.dictionary_of_trips)
 
-        return self._table("borough_dictionary", build)
+    def dictionary_of_trips(self) -> DataFrame:
+        arrival = F.unix_millis(_arrival())
+        return documents.borough_dictionary(
+            documents.first_seen(self.resolved(), arrival, F.col("borough"), F.col("dropoff_borough"))
+        )
 
     def documents(self) -> DataFrame:
-        messages = topic.decode_wire(self.topic()).select("msg.*")
-        return documents.to_documents(messages, self.dictionary())
+        """The topic's trip documents, written once."""
+
+        def build() -> DataFrame:
+            messages = topic.decode_wire(self.topic()).select("msg.*")
+            return documents.to_documents(messages, self.dictionary())
+
+        return self._table("documents", build)
 
     # ---- rollups -----------------------------------------------------------------------------
 

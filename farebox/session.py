@@ -10,7 +10,7 @@ _local_roots: dict[str, str] = {}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """Session for tests and the bench. On a cluster, spark-submit sets these."""
+    """Session for tests and the bench. On a cluster, spark-submit sets these and names the shared folder."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("farebox")
@@ -24,6 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
+    if "spark.checkpoint.dir" not in conf:
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="farebox-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -32,8 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder all executors can reach, private to this application.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may go without; there a
-    fresh temporary folder stands in.
+    The session names it in ``spark.checkpoint.dir``. A local session that does not gets a fresh
+    temporary folder, since there is one machine; a cluster session is refused.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)

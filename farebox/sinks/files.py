@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions.scalars import md5_bucket
+from farebox.operators.ordering import with_position
 from farebox.operators.rollups import Rollup, revenue_view, time_view
 from farebox.session import checkpointed
 from farebox.sources.topic import TOPIC, TOPIC_PARTITIONS
 
 RECORDS_PER_FILE = 100_000
-_ROW_BITS = (1 << 33) - 1
 
 
 def write_json_lines(
@@ -25,39 +28,33 @@ def write_json_lines(
 def write_json_arrays(
     records: DataFrame, path: str, stem: str, per_file: int = RECORDS_PER_FILE
 ) -> None:
-    """Files that each hold one JSON array of at most ``per_file`` records.
+    """Files that each hold one JSON array of at most ``per_file`` records, one record on a line.
 
-    ``records`` has the columns ``value`` (JSON text) and ``stem``. Each task numbers its own rows,
-    so a chunk never spans tasks and no chunk grows past ``per_file``. The checkpoint fixes the row
-    order first: a task that runs again after a lost executor gives every row the same chunk.
+    ``records`` has the columns ``value`` (JSON text without line breaks) and ``stem``. Rows take places
+    in one global order; a run of ``per_file`` places of a stem is a file, its first line opens the array
+    and its last one closes it. Lines are written as they come, so no array is ever held in memory.
     """
-    fixed = checkpointed(records.select(stem, "value"))
-    numbered = fixed.withColumn("row", F.monotonically_increasing_id())
-    chunk = F.struct(
-        F.shiftright("row", 33).alias("task"),
-        F.floor(F.col("row").bitwiseAND(F.lit(_ROW_BITS)) / per_file).alias("part"),
+    placed = with_position(records.select(stem, "value"), stem, "value")
+    ends = placed.groupBy(F.col(stem).alias("of")).agg(
+        F.min("position").alias("low"), F.max("position").alias("high")
     )
-    arrays = numbered.groupBy(stem, chunk.alias("chunk")).agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value")
+    at = F.col("position") - F.col("low")
+    line = F.concat(
+        F.when(at % per_file == 0, "[").otherwise(""),
+        "value",
+        F.when((at % per_file == per_file - 1) | (F.col("position") == F.col("high")), "]").otherwise(","),
     )
-    arrays.select(stem, "value").write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy(
-        stem
-    ).text(path)
-
-
-def bulk_insert(
-    batched: DataFrame, failed: Column, path: str, mode: str = "append"
-) -> DataFrame:
-    """Add the batches that store whole; returns one row per batch with whether it failed.
-
-    ``batched`` holds rows with their ``batch_no``. One row that cannot be stored fails its batch.
-    """
-    outcome = batched.groupBy("batch_no").agg(
-        F.count("*").alias("rows"), F.max(failed.cast("int")).alias("failed")
+    lines = placed.join(ends, F.col(stem).eqNullSafe(F.col("of"))).select(
+        stem, F.floor(at / per_file).alias("part"), "position", line.alias("value")
+    )
+    (
+        lines.repartition(stem, "part")
+        .sortWithinPartitions(stem, "part", "position")
+        .select(stem, "part", "value")
+        .write.mode("overwrite")
+        .partitionBy(stem, "part")
+        .text(path)
     )
-    refused = outcome.filter("failed = 1").select("batch_no")
-    batched.join(refused, "batch_no", "left_anti").write.mode(mode).parquet(path)
-    return outcome
 
 
 def partition_of(key: Column, partitions: int = TOPIC_PARTITIONS) -> Column:
@@ -148,9 +145,12 @@ def upsert_rollup(spark: SparkSession, rows: DataFrame, rollup: Rollup, path: st
     """
     stored = read_rollup(spark, path, schema)
     touched = rows.select("year_month").distinct()
-    kept = stored.join(touched, "year_month", "left_semi").join(
-        rows.select(*rollup.pk), rollup.pk, "left_anti"
-    )
+    # A null part of the key meets a null.
+    fresh = rows.select(*[F.col(c).alias(f"new_{c}") for c in rollup.pk])
+    replaced = reduce(and_, [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in rollup.pk])
+    touched = touched.select(F.col("year_month").alias("touched_month"))
+    kept = stored.join(touched, F.col("year_month").eqNullSafe(F.col("touched_month")), "left_semi")
+    kept = kept.join(fresh, replaced, "left_anti")
     write_rollup(checkpointed(kept.unionByName(rows)), rollup, path)
 
 

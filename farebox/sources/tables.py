@@ -32,9 +32,10 @@ def scan_json_arrays(spark: SparkSession, folder: str, schema: str = WIRE) -> Da
 def json_records(spark: SparkSession, folder: str, layout: str = "array") -> DataFrame:
     """The raw text of every record with the file it came from.
 
-    ``record`` keeps the JSON as written, so a missing key can be told from a null one. A file
-    (layout ``array``) or line (layout ``lines``) that does not decode gives one row with a null
-    ``record``.
+    ``record`` keeps the JSON as written, so a missing key can be told from a null one. A line that
+    does not decode gives a row with a null ``record``. Layout ``array`` is an array with whole records
+    on each line; a file whose array never closes has one more row with a null ``record``. Both split at
+    any line, whatever the size of a file.
     """
     lines = spark.read.option("recursiveFileLookup", True)
     if layout == "lines":
@@ -42,8 +43,15 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
             F.col("_metadata.file_path").alias("file"),
             F.when(top_keys(F.col("value")).isNotNull(), F.col("value")).alias("record"),
         )
-    whole = lines.text(folder, wholetext=True)
-    return whole.select(
+    text = F.btrim("value")
+    rows = lines.text(folder).select(
         F.col("_metadata.file_path").alias("file"),
-        F.explode_outer(F.from_json("value", "array<string>")).alias("record"),
+        text.alias("text"),
+        F.regexp_replace(text, r"^\[|[,\]]$", "").alias("bare"),
+    )
+    held = F.from_json(F.concat(F.lit("["), "bare", F.lit("]")), "array<string>")
+    records = rows.filter("bare <> ''").select("file", F.explode_outer(held).alias("record"))
+    closed = rows.groupBy("file").agg(F.max(F.col("text").endswith("]").cast("int")).alias("closed"))
+    return records.unionByName(
+        closed.filter("closed = 0").select("file", F.lit(None).cast("string").alias("record"))
     )

@@ -32,9 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Give every core work when the input comes in fewer splits than there are cores.
+    """Give every core work when the given file is one row group, which no split size divides.
 
-    At scale the scan has far more splits than that and passes through without a shuffle.
+    The rows are the same either way; a scan with more splits than cores passes through.
     """
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
@@ -109,6 +109,9 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(1.0 AS DECIMAL(12,2)) AS extra",
         "CAST(0.5 AS DECIMAL(12,2)) AS mta_tax",
         "CAST(l_linenumber AS DECIMAL(12,2)) AS tolls_amount",
+        "CAST(0.3 AS DECIMAL(12,2)) AS improvement_surcharge",
+        "CAST(CASE WHEN l_linenumber = 2 THEN 2.5 ELSE 0 END AS DECIMAL(12,2)) AS congestion_surcharge",
+        "CAST(CASE WHEN l_suppkey % 10 = 0 THEN 1.75 END AS DECIMAL(12,2)) AS Airport_fee",
         "CASE WHEN l_linestatus = 'F' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag",
         "concat('trips_', year(l_shipdate)) AS stem",
     ).withColumn(

@@ -3,6 +3,8 @@ with the same envelope columns."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,27 +20,37 @@ def topic_stream(
     brokers: str | None = None,
     starting: str = "earliest",
     per_trigger: int | None = None,
+    since: datetime | None = None,
+    name: str = TOPIC,
 ) -> DataFrame:
     """Streaming read. Each consumer keeps its own checkpoint, which holds its offsets.
 
-    ``per_trigger`` bounds one micro-batch: messages for Kafka, files for the file table.
+    ``per_trigger`` bounds one micro-batch: messages for Kafka, files for the file table. Starting from
+    ``latest``, the file table skips files up to ``since``, which ``newest_file`` gave when the consumer
+    first started.
     """
     if brokers:
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", brokers)
-            .option("subscribe", TOPIC)
+            .option("subscribe", name)
             .option("startingOffsets", starting)
         )
         if per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", per_trigger)
         return reader.load()
     reader = spark.readStream.schema(ENVELOPE).format("parquet")
-    if starting == "latest":
-        reader = reader.option("latestFirst", True)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.load(path)
+    messages = reader.load(path)
+    if starting == "latest" and since is not None:
+        messages = messages.filter(F.col("_metadata.file_modification_time") > F.lit(since))
+    return messages
+
+
+def newest_file(spark: SparkSession, path: str) -> datetime | None:
+    """When the newest file of the file table was written: where a start from latest begins."""
+    return topic_batch(spark, path).agg(F.max("_metadata.file_modification_time")).first()[0]
 
 
 def topic_batch(spark: SparkSession, path: str) -> DataFrame:

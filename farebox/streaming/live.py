@@ -118,59 +118,84 @@ def recent_trips(spark: SparkSession, home: str, n: int = RECENT) -> DataFrame:
 
 
 def dictionary_batch(home: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that numbers boroughs not seen in an earlier batch."""
+    """foreachBatch function that logs where each borough of the batch first appears."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        wire = decode_wire(batch).select("msg.*")
+        wire = decode_wire(batch)
         first = documents.first_seen(
-            wire, "trip_id", F.col("PULocationID.borough"), F.col("DOLocationID.borough")
+            wire,
+            F.unix_millis("timestamp"),
+            F.col("msg.PULocationID.borough"),
+            F.col("msg.DOLocationID.borough"),
         )
-        next_id = 1
-        if batch_id > 0:
-            known = read_batches(spark, home, before=batch_id)
-            first = first.join(known.select("borough"), "borough", "left_anti")
-            next_id += known.agg(F.coalesce(F.max("borough_id"), F.lit(0))).first()[0]
-        write_batch(documents.borough_dictionary(first, next_id), home, batch_id)
+        write_batch(first, home, batch_id)
 
     return on_batch
 
 
-def hourly_window(events: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Trips and revenue per hour and key: a tumbling window."""
+def dictionary(spark: SparkSession, home: str) -> DataFrame:
+    """Borough ids over all batches; the same whatever batches the messages came in."""
+    log = read_batches(spark, home)
+    return documents.borough_dictionary(log.groupBy("borough").agg(F.min("first").alias("first")))
+
+
+def hourly_window(events: DataFrame) -> DataFrame:
+    """Trips and revenue per hour and key: a tumbling window. Parts of it add up."""
     return (
-        events.withWatermark("ts", late)
-        .groupBy(F.window("ts", "1 hour"), "event_type")
-        .agg(
-            F.count("*").alias("trips"),
-            F.sum(F.col("value").cast("decimal(18,2)")).alias("revenue"),
-        )
-        .select(F.col("window.start").alias("window_start"), "event_type", "trips", "revenue")
+        events.groupBy(F.window("ts", "1 hour")["start"].alias("window_start"), "event_type")
+        .agg(F.count("*").alias("trips"), F.sum(F.col("value").cast("decimal(18,2)")).alias("revenue"))
     )
 
 
-def minute_rate(events: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Messages of the last 60 seconds, every 10 seconds: a sliding window."""
+def minute_rate(events: DataFrame) -> DataFrame:
+    """Messages of the last 60 seconds, every 10 seconds: a sliding window. Parts of it add up."""
+    window = F.window("ts", "60 seconds", "10 seconds")
     return (
-        events.withWatermark("ts", late)
-        .groupBy(F.window("ts", "60 seconds", "10 seconds"))
+        events.groupBy(window.alias("window"))
         .agg(F.count("*").alias("trips"))
-        .select(
-            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "trips"
-        )
+        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "trips")
     )
 
 
-def without_redeliveries(envelope: DataFrame, within: str = "10 minutes") -> DataFrame:
-    """One message per trip id, also when a message is delivered again within the delay."""
-    return (
-        decode_facts(envelope)
-        .select(
-            "timestamp",
+def window_batch(home: str, window: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that logs the batch's part of every window it touches.
+
+    Nothing is dropped for coming late: a window is complete once its messages have been read.
+    """
+    return lambda batch, batch_id: write_batch(window(batch), home, batch_id)
+
+
+def windows(spark: SparkSession, home: str, keys: list[str]) -> DataFrame:
+    """The windows over all batches."""
+    log = read_batches(spark, home)
+    return log.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in log.columns if c not in (*keys, "batch_id")]
+    )
+
+
+def delivery_batch(home: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that logs one message per trip id of the batch."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = decode_facts(batch).select(
+            F.unix_millis("timestamp").alias("arrived"),
             "msg.trip_id",
             F.col("msg.VendorID").cast("int").alias("vendor_id"),
             F.col("msg.total_amount").try_cast("double").alias("total_amount"),
         )
-        .withWatermark("timestamp", within)
-        .dropDuplicatesWithinWatermark(["trip_id"])
+        write_batch(_first_delivery(rows), home, batch_id)
+
+    return on_batch
+
+
+def without_redeliveries(spark: SparkSession, home: str) -> DataFrame:
+    """One message per trip id over all batches, however late it was delivered again."""
+    return _first_delivery(read_batches(spark, home)).drop("arrived")
+
+
+def _first_delivery(rows: DataFrame) -> DataFrame:
+    """Per trip id its earliest message."""
+    values = ["vendor_id", "total_amount"]
+    return rows.groupBy("trip_id").agg(
+        F.min("arrived").alias("arrived"), *[F.min_by(c, "arrived").alias(c) for c in values]
     )

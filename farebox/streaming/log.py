@@ -19,18 +19,47 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def read_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+def _folds(spark: SparkSession, path: str) -> tuple[object, list[int]]:
+    """The file system of ``path`` and the batches up to which finished folds reach."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.globStatus(hadoop.Path(f"{path}_folded/upto=*/_SUCCESS")) or []
+    return system, sorted(int(f.getPath().getParent().getName().removeprefix("upto=")) for f in found)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Every logged row with its batch; rows of folded batches carry the last batch of the fold."""
     log = spark.read.option("basePath", path).parquet(path)
-    return log if before is None else log.filter(F.col("batch_id") < before)
+    _, folds = _folds(spark, path)
+    if not folds:
+        return log
+    folded = spark.read.schema(log.drop("batch_id").schema).parquet(f"{path}_folded/upto={folds[-1]}")
+    newer = log.filter(F.col("batch_id") > folds[-1])
+    return newer.unionByName(folded.withColumn("batch_id", F.lit(folds[-1]).cast(log.schema["batch_id"].dataType)))
 
 
-def latest(log: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that replace each other: the last batch's row per key.
+def fold(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Merge all batches but the last into one table and delete them, so that a log stays small.
 
-    One max_by per column rather than one over a struct: numbers then stay in a hash aggregate.
+    The merged table counts from the moment it is complete; batches it covers are not read from then
+    on, whether or not they are gone yet. Run it between runs of the stream and its readers.
     """
-    values = [c for c in log.columns if c not in (*keys, "batch_id")]
-    return log.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+    log = read_batches(spark, path)
+    upto = (log.agg(F.max("batch_id")).first()[0] or 0) - 1
+    system, folds = _folds(spark, path)
+    if upto < 0 or (folds and folds[-1] >= upto):
+        return
+    rows = merge(log.filter(F.col("batch_id") <= upto))
+    columns = [c for c in log.columns if c != "batch_id"]
+    rows.select(*[F.col(c).cast(log.schema[c].dataType) for c in columns]).write.mode("overwrite").parquet(
+        f"{path}_folded/upto={upto}"
+    )
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for old in folds:
+        system.delete(hadoop.Path(f"{path}_folded/upto={old}"), True)
+    for status in system.globStatus(hadoop.Path(f"{path}/batch_id=*")) or []:
+        if int(status.getPath().getName().removeprefix("batch_id=")) <= upto:
+            system.delete(status.getPath(), True)
 
 
 def at_once(*jobs: Callable[[], None]) -> None:
@@ -44,21 +73,21 @@ def run(
     stream: DataFrame,
     on_batch: Callable[[DataFrame, int], None],
     checkpoint: str,
-    mode: str = "append",
     every: str | None = None,
 ) -> None:
-    """Process what the source holds and stop; with ``every``, keep going at that interval.
+    """Process what the source holds and stop; with ``every``, in batches started at that interval.
 
     The checkpoint holds the consumer's offsets: they move on only after ``on_batch`` returned.
     """
-    writer = (
-        stream.writeStream.foreachBatch(on_batch)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-    )
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    query = writer.start()
-    query.awaitTermination()
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    if not every:
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return
+    query = writer.trigger(processingTime=every).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
 
 
 def append_table(stream: DataFrame, path: str, checkpoint: str) -> None:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from farebox.operators import rollups
 from farebox.operators.rollups import ROLLUPS, Rollup
 from farebox.sinks.files import write_rollup
 from farebox.sources.topic import decode_facts
-from farebox.streaming.log import at_once, read_batches, write_batch
+from farebox.streaming.log import at_once, fold, read_batches, write_batch
 
 
 def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
@@ -48,19 +49,38 @@ def stored_state(spark: SparkSession, home: str, rollup: Rollup) -> DataFrame:
     return rollups.merge(read_batches(spark, f"{home}/{rollup.name}"), rollup)
 
 
-def publish(
-    spark: SparkSession, home: str, rollup: Rollup, table: str, since: int | None = None
-) -> None:
+def publish(spark: SparkSession, home: str, rollup: Rollup, table: str) -> None:
     """Bring the served table up to date with the log.
 
-    Only months that batches from ``since`` on touched are recomputed, and they are replaced whole,
-    so publishing twice changes nothing.
+    The last published batch is kept beside the table. Only months that later batches touched are
+    recomputed, and they are replaced whole, so publishing twice changes nothing.
     """
     log = read_batches(spark, f"{home}/{rollup.name}")
-    if since is not None:
-        months = log.filter(F.col("batch_id") >= since).select("year_month").distinct()
-        log = log.join(months, "year_month", "left_semi")
+    mark = f"{table}_published"
+    done = _published(spark, mark)
+    last = log.agg(F.max("batch_id")).first()[0]
+    if last is None or last == done:
+        return
+    if done is not None:
+        months = log.filter(F.col("batch_id") > done).select(F.col("year_month").alias("touched")).distinct()
+        log = log.join(months, F.col("year_month").eqNullSafe(F.col("touched")), "left_semi")
     write_rollup(rollups.merge(log, rollup), rollup, table)
+    spark.range(1).select(F.lit(last).cast("long").alias("batch_id")).write.mode("overwrite").parquet(mark)
+
+
+def _published(spark: SparkSession, mark: str) -> int | None:
+    try:
+        row = spark.read.schema("batch_id long").parquet(mark).first()
+    except AnalysisException:  # nothing published yet
+        return None
+    return row[0] if row else None
+
+
+def tidy(spark: SparkSession, home: str) -> None:
+    """Fold the batches of all logs under ``home``; publish first, so that no touched month is missed."""
+    fold(spark, f"{home}/outcomes", lambda log: log.groupBy("bad").agg(F.sum("n").alias("n")))
+    for rollup in ROLLUPS.values():
+        fold(spark, f"{home}/{rollup.name}", partial(rollups.merge, rollup=rollup))
 
 
 def ingest_metrics(spark: SparkSession, home: str) -> DataFrame:

@@ -4,8 +4,11 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as driver
+from farebox.plans.oracle import ORACLE as SQL
+from farebox.plans.queries import QUERIES as BATCH
+from farebox.plans.streams import STREAMS
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES = {**BATCH, **STREAMS}
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
@@ -42,3 +46,14 @@ def test_trip_reads_prune_columns(spark, sf_dir, capsys):
     QUERIES["borough_counts"](spark, sf_dir).explain("formatted")
     plan = capsys.readouterr().out
     assert "fare_amount" not in plan and "trip_id" not in plan
+
+
+def test_first_documents_keep_only_what_is_shown(spark, sf_dir, capsys):
+    QUERIES["list_trips"](spark, sf_dir).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+
+
+def test_dictionary_is_a_hash_aggregate(spark, sf_dir, capsys):
+    QUERIES["borough_dictionary"](spark, sf_dir).explain("formatted")
+    assert "SortAggregate" not in capsys.readouterr().out

@@ -144,14 +144,6 @@ def test_upsert_replaces_rows_and_leaves_other_months(spark, sf_dir, tmp_path):
     assert {f.name for f in (tmp_path / "t" / "year_month=1997-05").iterdir()} == other
 
 
-def test_last_flush_keeps_the_last_batch(spark):
-    rows = [(f"t{i}", i // 10, i + 1) for i in range(25)]
-    df = facts(spark, *[{"trip_id": t} for t, _, _ in rows])
-    numbers = spark.createDataFrame([(t, b) for t, b, _ in rows], "trip_id string, batch_no bigint")
-    kept = rollups.last_flush(df.join(numbers, "trip_id"), ROLLUPS["borough_time"]).collect()
-    assert [(r.batch_no, r.trip_count) for r in kept] == [(2, 5)]
-
-
 def test_dense_hours_and_zero_filled_labels(spark, sf_dir):
     ws = Workspace(spark, sf_dir)
     hours = analytics.hourly_performance(ws.rollup("borough_time"), "NOWHERE", "1998-03").collect()
@@ -164,10 +156,74 @@ def test_dense_hours_and_zero_filled_labels(spark, sf_dir):
     assert tuple(analytics.vendor_summary(rows).first()) == (0.0, 0, 0, 0.0)
 
 
-def test_budget_is_shared_in_source_order(spark, sf_dir):
+def test_limit_keeps_the_first_anomalies_in_source_order(spark, sf_dir):
     ws = Workspace(spark, sf_dir)
     tables = [ws.rollup(n) for n in ("borough_time", "pickup_zone", "route")]
-    all_rows = anomalies.budgeted_rollup_anomalies(*tables, "ASIA", "1998-03", limit=10**6)
-    some = anomalies.budgeted_rollup_anomalies(*tables, "ASIA", "1998-03", limit=5)
+    all_rows = anomalies.month_rollup_anomalies(*tables, "ASIA", "1998-03")
+    some = anomalies.month_rollup_anomalies(*tables, "ASIA", "1998-03", limit=5)
     ordered = [r.row_key for r in all_rows.orderBy("source_order", "row_key").collect()]
     assert [r.row_key for r in some.orderBy("source_order", "row_key").collect()] == ordered[:5]
+
+
+def test_nothing_is_cut(spark):
+    """More rows than the 10, 50, 100 and 500 that limits once let through."""
+    rollup = ROLLUPS["vendor"]
+    rows = [{"trip_id": str(i), "VendorID": 1, "total_amount": -1.0, "fare_amount": -1.0, "PULocationID": {"borough": "Q", "zone": f"z{i}", "LocationID": i}} for i in range(130)]
+    df = facts(spark, *rows)
+    shown = analytics.vendor_performance(view(df, "vendor"), 1, "Q", "2024-01")
+    assert shown.count() == 130
+    total = analytics.vendor_summary(shown).first()
+    assert (total.total_revenue, total.rollup_rows, total.trips) == (-130.0, 130, 130)
+    assert analytics.vendor_performance(view(df, "vendor"), 1, "Q", "2024-01", limit=50).count() == 50
+    assert analytics.pickup_locations(view(df, "route"), "2024-01").count() == 130
+    assert anomalies.route_sample(view(df, "route"), "2024-01").count() == 130
+    hours = facts(spark, *[{"tpep_pickup_datetime": f"2024-01-{1 + i // 24:02d} {i % 24:02d}:00:00", "total_amount": -1.0} for i in range(130)])
+    found = anomalies.month_rollup_anomalies(view(hours, "borough_time"), view(hours, "pickup_zone"), view(hours, "route"), "Q", "2024-01")
+    assert found.filter("source_order = 1").count() == 130
+    assert analytics.rollup_lookup(view(hours, "borough_time"), "Q", "2024-01").count() == 130
+    assert rollup.name == "vendor"
+
+
+def test_rates_are_not_clamped(spark):
+    from farebox.operators import windows
+
+    arrivals = spark.range(1500).select(F.timestamp_seconds(F.lit(60)).alias("ts"))
+    assert [r.trips_per_minute for r in windows.trailing_rate(arrivals, "ts").collect()] == [1500]
+
+
+@pytest.mark.parametrize(
+    "fares, total",
+    [
+        ((1e300,), 1e300),
+        ((1e300, 1e300, 1.5), 2e300),
+        ((math.inf, 1.0), math.inf),
+        ((-math.inf, 1.0), -math.inf),
+        ((math.inf, math.inf), math.inf),
+        ((math.inf, -math.inf), math.nan),
+        ((1e15, 0.25), 1e15 + 0.25),
+        ((999999999999999.0, 0.000000001), 1e15 - 1 + 0.000000001),
+    ],
+)
+def test_odd_numbers_neither_saturate_nor_stop(spark, fares, total):
+    odd = [{"fare_amount": json.loads(json.dumps(f)) if math.isfinite(f) else str(f)} for f in fares]
+    state = rollups.aggregate(rollups.accepted(facts(spark, *odd, {"trip_id": "u"})), ROLLUPS["pickup_zone"])
+    for df in (state, rollups.merge(state, ROLLUPS["pickup_zone"])):
+        row = df.select(rollups.total("fare_amount").alias("t"), rollups.total("tip_amount").alias("tip"), "trip_count").first()
+        assert row.tip == pytest.approx(0.2 * (len(fares) + 1)) and row.trip_count == len(fares) + 1
+        assert math.isnan(row.t) if math.isnan(total) else row.t == pytest.approx(total + 10.1, rel=1e-15)
+
+
+def test_digits_past_the_sixth_stay(spark):
+    row = view(facts(spark, {"trip_distance": 1.0000004}, {"trip_distance": 1.00000049}), "route").first()
+    assert row.avg_trip_distance == pytest.approx(1.000000445, abs=1e-12)
+
+
+def test_upsert_replaces_rows_with_null_keys(spark, tmp_path):
+    rollup, path = ROLLUPS["vendor"], str(tmp_path / "t")
+    df = facts(spark, {"VendorID": None}, {"VendorID": 1})
+    state = rollups.aggregate(df, rollup)
+    files.write_rollup(state, rollup, path)
+    for _ in range(2):
+        files.upsert_rollup(spark, state.filter("vendor_id IS NULL").withColumn("trip_count", F.lit(9).cast("long")), rollup, path, state.schema)
+        now = files.read_rollup(spark, path, state.schema)
+        assert sorted((r.vendor_id or 0, r.trip_count) for r in now.collect()) == [(0, 9), (1, 1)]

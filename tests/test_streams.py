@@ -81,10 +81,66 @@ def test_publish_touches_only_new_months(spark, ws, rollup_home, tmp_path):
     state = rollup_stream.stored_state(spark, rollup_home, rollup)
     served = spark.read.schema(state.schema).parquet(table)
     assert same(served, state)
-    rollup_stream.publish(spark, rollup_home, rollup, table, since=2)
+    held = {f for f in (tmp_path / "served").rglob("*.parquet")}
+    rollup_stream.publish(spark, rollup_home, rollup, table)  # nothing new: no file changes
+    assert {f for f in (tmp_path / "served").rglob("*.parquet")} == held
+    last = log.read_batches(spark, f"{rollup_home}/{rollup.name}").agg(F.max("batch_id")).first()[0]
+    spark.range(1).select(F.lit(last - 1).alias("batch_id")).write.mode("overwrite").parquet(f"{table}_published")
+    rollup_stream.publish(spark, rollup_home, rollup, table)
     assert same(spark.read.schema(state.schema).parquet(table), state)
 
 
+def test_folding_keeps_the_state_and_few_batches(spark, ws, tmp_path):
+    home = str(tmp_path / "home")
+    source = topic.topic_stream(spark, ws.topic_path(), per_trigger=2)
+    log.run(source, rollup_stream.rollup_batch(home), home + "/checkpoint")
+    for _ in range(2):
+        rollup_stream.tidy(spark, home)
+        for rollup in ROLLUPS.values():
+            assert same(rollup_stream.stored_state(spark, home, rollup), whole_state(ws, rollup))
+            assert len(list((tmp_path / "home" / rollup.name).glob("batch_id=*"))) == 1
+            assert len(list((tmp_path / "home" / f"{rollup.name}_folded").glob("upto=*"))) == 1
+    got = rollup_stream.ingest_metrics(spark, home).first()
+    assert got.received == ws.topic().count() and got.received == got.processed + got.rejected
+
+
+def in_batches(rows, n, on_batch):
+    """Feed the rows in ``n`` batches, out of time order."""
+    marked = rows.withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.lit(n))).persist()
+    for k in range(n):
+        on_batch(marked.filter(F.col("part") == k).drop("part"), k)
+    marked.unpersist()
+
+
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_same_results_in_any_batches(spark, ws, tmp_path, n):
+    home = str(tmp_path)
+    events = ws.events()
+    in_batches(events, n, live.window_batch(f"{home}/hours", live.hourly_window))
+    in_batches(events, n, live.window_batch(f"{home}/minutes", live.minute_rate))
+    assert same(live.windows(spark, f"{home}/hours", ["window_start", "event_type"]), live.hourly_window(events))
+    assert same(live.windows(spark, f"{home}/minutes", ["window_start", "window_end"]), live.minute_rate(events))
+    messages = ws.topic()
+    in_batches(messages.unionByName(messages), n, live.delivery_batch(f"{home}/once"))
+    once = live.without_redeliveries(spark, f"{home}/once")
+    assert once.count() == messages.count() == once.select("trip_id").distinct().count()
+    in_batches(messages, n, live.dictionary_batch(f"{home}/dictionary"))
+    assert same(live.dictionary(spark, f"{home}/dictionary"), ws.dictionary())
+
+
+def test_start_from_latest_skips_the_backlog_also_after_a_restart(spark, ws, tmp_path):
+    source, home = str(tmp_path / "topic"), str(tmp_path / "home")
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    send = lambda k: ws.topic().filter(third == k).write.mode("append").parquet(source)
+    send(0)
+    since = topic.newest_file(spark, source)
+    for k in (1, 2):
+        send(k)
+        stream = topic.topic_stream(spark, source, starting="latest", since=since, per_trigger=2)
+        log.run(stream, live.live_batch(home), home + "/checkpoint")
+    assert live.live_stats(spark, home).first().total_trips == ws.topic().filter(third != 0).count()
+
+
 def test_dictionary_grows_over_batches(spark, tmp_path):
     def messages(*pairs):
         rows = [
@@ -97,11 +153,12 @@ def test_dictionary_grows_over_batches(spark, tmp_path):
 
     home = str(tmp_path / "dict")
     on_batch = live.dictionary_batch(home)
-    on_batch(messages(("B", "A"), ("A", "C")), 0)
-    on_batch(messages(("C", "A")), 1)
+    at = lambda ms, *pairs: messages(*pairs).withColumn("timestamp", F.timestamp_millis(F.lit(ms)))
+    on_batch(at(2000, ("C", "A")), 0)
+    on_batch(at(1000, ("B", "A")), 1)  # earlier, though it comes later
     for _ in range(2):
-        on_batch(messages(("E", "B"), (None, "D")), 2)
-    got = {r.borough: r.borough_id for r in log.read_batches(spark, home).collect()}
+        on_batch(at(3000, ("E", "B"), (None, "D")), 2)
+    got = {r.borough: r.borough_id for r in live.dictionary(spark, home).collect()}
     assert got == {"B": 1, "A": 2, "C": 3, "E": 4, "D": 5}
 
 
@@ -134,17 +191,16 @@ def test_cards_fill_in_what_is_unknown(spark):
 
 
 def test_redeliveries_across_batches(spark, ws, tmp_path):
-    source, path = str(tmp_path / "topic"), str(tmp_path / "out")
-    one = ws.topic().withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    source, home = str(tmp_path / "topic"), str(tmp_path / "out")
     for _ in range(2):
-        one.write.mode("append").parquet(source)
-        stream = topic.topic_stream(spark, source)
-        log.append_table(live.without_redeliveries(stream), path, str(tmp_path / "checkpoint"))
-    out = spark.read.parquet(path)
-    assert out.count() == out.select("trip_id").distinct().count() == one.count()
+        ws.topic().write.mode("append").parquet(source)
+        stream = topic.topic_stream(spark, source, per_trigger=1)
+        log.run(stream, live.delivery_batch(home), str(tmp_path / "checkpoint"))
+    out = live.without_redeliveries(spark, home)
+    assert out.count() == out.select("trip_id").distinct().count() == ws.topic().count()
 
 
-def test_late_rows_are_dropped_past_the_watermark(spark, tmp_path):
+def test_late_rows_still_count(spark, tmp_path):
     source, home = str(tmp_path / "events"), str(tmp_path / "home")
     schema = "event_id bigint, ts timestamp, event_type string, value double"
 
@@ -153,15 +209,14 @@ def test_late_rows_are_dropped_past_the_watermark(spark, tmp_path):
         df = spark.createDataFrame(rows, "event_id bigint, t string, event_type string, value double")
         df.withColumn("ts", F.col("t").cast("timestamp")).drop("t").coalesce(1).write.mode("append").parquet(source)
         log.run(
-            live.hourly_window(spark.readStream.schema(schema).parquet(source)),
-            lambda batch, n: log.write_batch(batch, home, n),
+            spark.readStream.schema(schema).parquet(source),
+            live.window_batch(home, live.hourly_window),
             str(tmp_path / "checkpoint"),
-            mode="update",
         )
 
     send("2024-01-01 10:05:00", "2024-01-01 10:59:59", "2024-01-01 12:30:00")
     send("2024-01-01 10:30:00", "2024-01-01 12:31:00")
     send("2024-01-01 12:25:00")
-    found = log.latest(log.read_batches(spark, home), ["window_start", "event_type"])
+    found = live.windows(spark, home, ["window_start", "event_type"])
     got = {str(r.window_start)[11:16]: r.trips for r in found.collect()}
-    assert got == {"10:00": 2, "12:00": 3}
+    assert got == {"10:00": 3, "12:00": 3}

@@ -47,7 +47,8 @@ def test_dictionary_numbers_in_order_of_appearance(spark):
     df = spark.createDataFrame(
         [("t2", "C", "A"), ("t1", "B", "C"), ("t3", None, "D")], "trip_id string, p string, d string"
     )
-    first = documents.first_seen(df, "trip_id", F.col("p"), F.col("d"))
+    arrival = F.substring("trip_id", 2, 1).cast("bigint")
+    first = documents.first_seen(df, arrival, F.col("p"), F.col("d"))
     got = {r.borough: r.borough_id for r in documents.borough_dictionary(first).collect()}
     assert got == {"B": 1, "C": 2, "A": 3, "D": 4}
     stored = spark.createDataFrame(list(got.items()), "borough string, borough_id int")
