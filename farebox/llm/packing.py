@@ -7,6 +7,7 @@ documents, and equal lengths lie together in one bucket.
 from __future__ import annotations
 
 import base64
+import os
 import re
 from collections.abc import Iterator
 
@@ -29,15 +30,17 @@ _UNUSUAL = re.compile(r"[^\x00-ɏ‐-…€]|\S{1000}|\s{1000}")
 
 
 def encoder(name: str = TOKENIZER):
-    """Text to ids, kept for the life of a worker. Both readers hold the vocabulary of ``name``."""
+    """Text to ids, kept for the life of a worker. ``name`` is a public vocabulary, or the path of one
+    without its ending; both readers hold it."""
     if name not in _encoders:
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
 
-        whole = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+        path = str if os.path.isabs(name) else public_tokenizers.path
+        whole = Tokenizer.from_file(path(f"{name}.json"))
         whole.encode_special_tokens = True
-        with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
+        with open(path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         quick = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
