@@ -103,6 +103,10 @@ def card_label(distance: Column, minutes: Column, total: Column) -> Column:
     )
 
 
+# The table each detector reads, as the report names it.
+HOURS, ZONES, ROUTES = "trips_by_borough_time", "trips_by_pickup_zone", "trips_by_route"
+
+
 def _row(source: int, table: str, order: list[Column], **values: Column) -> list[Column]:
     """One anomaly in the common shape of the three detectors."""
     zero, unknown = F.lit(0.0), F.lit("Unknown")
@@ -149,7 +153,7 @@ def financial_anomalies(borough_time: DataFrame) -> DataFrame:
     return borough_time.filter((total <= 0) | (fare < 0) | (tip < 0)).select(
         *_row(
             1,
-            "trips_by_borough_time",
+            HOURS,
             [F.col("borough"), F.col("pickup_date"), F.lpad(hour, 2, "0")],
             pickup_zone=F.concat(F.col("borough"), F.lit(" (Hour "), hour, F.lit(")")),
             borough=F.col("borough"),
@@ -169,7 +173,7 @@ def zero_distance_anomalies(pickup_zone: DataFrame) -> DataFrame:
     return pickup_zone.filter((distance == 0) & (total > 0)).select(
         *_row(
             2,
-            "trips_by_pickup_zone",
+            ZONES,
             [
                 F.col("borough"),
                 F.col("pickup_date"),
@@ -198,7 +202,7 @@ def route_anomalies(route: DataFrame) -> DataFrame:
     return route.withColumn("label", label).filter(F.col("label").isNotNull()).select(
         *_row(
             3,
-            "trips_by_route",
+            ROUTES,
             [
                 F.lpad(F.col("pickup_location_id").cast("string"), 10, "0"),
                 F.lpad(F.col("dropoff_location_id").cast("string"), 10, "0"),

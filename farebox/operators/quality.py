@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from farebox.functions.scalars import capitalize, divide_or, exact_avg, md5_bucket
 from farebox.operators.ordering import ordered
+from farebox.session import checkpointed
 
 # ---- skew ------------------------------------------------------------------------------------
 
@@ -96,7 +97,8 @@ def bucket_balance(df: DataFrame, key: Column, buckets: int) -> DataFrame:
 
 
 def shares(counts: DataFrame, n: str, top: int) -> DataFrame:
-    """The largest groups with their share of everything."""
+    """The largest groups with their share of everything. The counts are worked out once."""
+    counts = checkpointed(counts)
     total = counts.agg(F.sum(n)).scalar()
     largest = counts.orderBy(F.desc(n), *[c for c in counts.columns if c != n]).limit(top)
     return largest.withColumn("percentage", F.round(F.col(n) / total * 100, 2))

@@ -95,7 +95,12 @@ def ingest_stats_by_file(ws: Workspace) -> DataFrame:
 
 @query
 def decode_envelope(ws: Workspace) -> DataFrame:
-    return topic.decode_wire(ws.topic()).select(
+    zone = "STRUCT<LocationID: INT, borough: STRING, zone: STRING>"
+    wanted = (
+        "trip_id STRING, VendorID INT, payment_type INT, passenger_count DOUBLE, total_amount DOUBLE, "
+        f"PULocationID {zone}, DOLocationID {zone}, producer_timestamp DOUBLE"
+    )
+    return topic.decode_wire(ws.topic(), wanted).select(
         "key",
         "msg.trip_id",
         F.col("msg.VendorID").alias("vendor_id"),

@@ -15,32 +15,13 @@ from pyspark.sql import functions as F
 from farebox.functions.scalars import parse_time
 from farebox.operators import documents, enrich, rollups
 from farebox.operators.rollups import ROLLUPS
+from farebox.schemas import TRIP_FILE
 from farebox.session import shared_dir
 from farebox.sinks import files
 from farebox.sources import testbed, topic
 from farebox.sources.zones import one_per_id
 
-TRIP_FIELDS = [
-    "VendorID",
-    "tpep_pickup_datetime",
-    "tpep_dropoff_datetime",
-    "passenger_count",
-    "trip_distance",
-    "RatecodeID",
-    "store_and_fwd_flag",
-    "PULocationID",
-    "DOLocationID",
-    "payment_type",
-    "fare_amount",
-    "extra",
-    "mta_tax",
-    "tip_amount",
-    "tolls_amount",
-    "improvement_surcharge",
-    "congestion_surcharge",
-    "Airport_fee",
-    "total_amount",
-]
+TRIP_FIELDS = [field.split()[0] for field in TRIP_FILE.split(", ")]
 
 _written: set[str] = set()
 _schemas: dict = {}

@@ -70,11 +70,11 @@ def top_keys(text: Column) -> Column:
     )
 
 
-def decode_wire(envelope: DataFrame) -> DataFrame:
-    """Typed message next to its envelope columns."""
+def decode_wire(envelope: DataFrame, schema: str = WIRE) -> DataFrame:
+    """Typed message next to its envelope columns; ``schema`` names the fields to parse."""
     return envelope.select(
         key_text(F.col("key")).alias("key"),
-        F.from_json(F.col("value").cast("string"), WIRE).alias("msg"),
+        F.from_json(F.col("value").cast("string"), schema).alias("msg"),
         "timestamp",
     )
 
