@@ -20,8 +20,8 @@ LEAST_NEAR = 40
 EDITS = 2
 #: Segments grow in steps of so many characters, so that lines of nearly equal length cut alike.
 STEP = 8
-# Frequent letters; two lines differ in the count of one by no more than their edits.
-LETTERS = ("entao", "isrhld")
+# Letters that are counted, eight in a number.
+LETTERS = ("abcdefgh", "ijklmnop", "rstuvwyz")
 
 
 def _trimmed(line: Column) -> Column:
@@ -34,25 +34,37 @@ def _lines(text: Column) -> Column:
     return F.filter(all_lines, lambda x: F.length(x["line"]) >= LEAST_CHARS)
 
 
-def _packed(line: Column, first: Column, letters: str) -> Column:
-    """``first`` and the counts of the letters, 9 bits each, in one number."""
-    packed = first.cast("long")
-    for letter in letters:
-        held = (F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))).cast("long")
-        packed = F.shiftleft(packed, 9).bitwiseOR(held.bitwiseAND(511))
-    return packed
+def _counts(line: Column) -> list[Column]:
+    """Length and letter counts, each modulo 128 in seven bits."""
+
+    def packed(first: Column, letters: str) -> Column:
+        out = first
+        for letter in letters:
+            held = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+            out = F.shiftleft(out, 7).bitwiseOR(held.cast("long").bitwiseAND(127))
+        return out
+
+    size = F.length(line).cast("long").bitwiseAND(127)
+    return [packed(F.lit(0).cast("long"), x).alias(f"c{i}") for i, x in enumerate(LETTERS)] + [size.alias("size")]
 
 
 def _alike(edits: int) -> Column:
-    """Whether lengths and letter counts leave room for ``edits`` edits, the second line being no shorter."""
-    more = (F.shiftright("y.c", 9 * len(LETTERS[0])) - F.shiftright("x.c", 9 * len(LETTERS[0]))).bitwiseAND(0x3FFFF)
-    held = more <= edits
-    for column, letters in zip("cd", LETTERS):
-        for i in range(len(letters)):
-            at = 9 * i + (column == "d")
-            apart = F.shiftright(f"y.{column}", at) - F.shiftright(f"x.{column}", at) + edits
-            held = held & (apart.bitwiseAND(511) <= 2 * edits)
-    return held
+    """Whether lengths and letter counts leave room for ``edits`` edits, the second line being no shorter.
+
+    An edit changes the length by one at most, and the counts of two letters by one each. Differences
+    are taken modulo 128, which can only make them smaller.
+    """
+
+    def apart(column: str, at: int) -> Column:
+        left = F.shiftright(f"x.{column}", at) - F.shiftright(f"y.{column}", at)
+        return F.abs((left + 64).bitwiseAND(127) - 64)
+
+    total = F.lit(0).cast("long")
+    for i, letters in enumerate(LETTERS):
+        for j in range(len(letters)):
+            total = total + apart(f"c{i}", 7 * j)
+    longer = (F.col("y.size") - F.col("x.size")).bitwiseAND(127) <= edits
+    return longer & (total <= 2 * edits)
 
 
 def _keys(line: Column, n: Column, edits: int) -> Column:
@@ -148,25 +160,29 @@ def repeated(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         .where(~where.eqNullSafe(F.col("first")))
         .select("id", "h", "place", F.lit(True).alias("exact"))
     )
-    # The text of each distinct line, read at its first place.
+    # Keys of each distinct line, from the text at its first place; most lines share none.
     listed = distinct.where("long").select("first.*")
-    names = _read(rows, listed.groupBy("id", "h").agg(F.collect_set("place").alias("places"))).select(
-        F.xxhash64("line").alias("a"), F.explode(_keys(F.col("line"), F.length("line"), edits)).alias("k"), *_counts()
+    long_lines = _read(rows, listed.groupBy("id", "h").agg(F.collect_set("place").alias("places")))
+    held = stored(
+        long_lines.select(F.xxhash64("line").alias("a"), _keys(F.col("line"), F.length("line"), edits).alias("keys"))
+        .select("a", F.explode("keys").alias("k"))
+        .select("k.key", "a", "k.own")
     )
-    held = names.select("k.key", "a", "c", F.shiftleft("d", 1).bitwiseOR(F.col("k.own").cast("long")).alias("d"))
-    own = F.col("x.d").bitwiseOR(F.col("y.d")).bitwiseAND(1) == 1
-    apart = (F.col("x.a") != F.col("y.a")) & own
-    pairs = stored(
-        held.alias("x").join(held.alias("y"), F.expr("x.key = y.key")).where(apart & _alike(edits)).select("x.a", F.col("y.a").alias("a2")).distinct()
-    )
-    # The texts of the lines that meet, read the same way, then the edit distance of each pair.
-    asked = pairs.select("a").unionByName(pairs.select(F.col("a2").alias("a"))).distinct()
-    named = stored(distinct.where("long").join(asked, "a").select("a", "first"))
+    shared = held.groupBy("key").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least <> most")
+    live = stored(held.join(sized(stored(shared.select("key"))), "key", "left_semi"))
+    # The texts of the lines that do, and the pairs their letters allow.
+    named = stored(distinct.where("long").join(live.select("a").distinct(), "a").select("first.*"))
     texts = stored(
-        _read(rows, sized(stored(named.select("first.*").groupBy("id", "h").agg(F.collect_set("place").alias("places")))))
-        .select(F.struct("id", "h", "place").alias("first"), F.xxhash64("line").alias("a"), "line")
+        _read(rows, sized(stored(named.groupBy("id", "h").agg(F.collect_set("place").alias("places")))))
+        .select(F.struct("id", "h", "place").alias("first"), F.xxhash64("line").alias("a"), "line", *_counts(F.col("line")))
         .distinct()
     )
+    known = stored(live.join(texts.drop("line", "first").distinct(), "a"))
+    met_in = F.expr("x.key = y.key") & (F.col("x.a") != F.col("y.a")) & (F.col("x.own") | F.col("y.own"))
+    pairs = stored(
+        known.alias("x").join(known.alias("y"), met_in & _alike(edits)).select("x.a", F.col("y.a").alias("a2")).distinct()
+    )
+    texts = texts.select("a", "line", "first")
     other = texts.select(F.col("a").alias("a2"), F.col("line").alias("line2"), F.col("first").alias("first2"))
     close = pairs.join(texts, "a").join(other, "a2").where(within(F.col("line"), F.col("line2"), edits))
     near = close.select(F.greatest("first", "first2").alias("x")).select("x.*", F.lit(False).alias("exact")).distinct()
@@ -184,14 +200,6 @@ def _read(rows: DataFrame, places: DataFrame) -> DataFrame:
     return joined.select("r.id", "r.h", F.explode(let(parts, at)).alias("x")).select("id", "h", "x.place", "x.line")
 
 
-def _counts() -> list[Column]:
-    line = F.col("line")
-    return [
-        _packed(line, F.length(line).bitwiseAND(0x3FFFF), LETTERS[0]).alias("c"),
-        _packed(line, F.lit(0), LETTERS[1]).alias("d"),
-    ]
-
-
 def marked(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """Rows of ``docs`` as (row, t, places, exact): the places of lines to remove, null where there are none."""
     rows = keyed(docs)
