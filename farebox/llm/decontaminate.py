@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import ascii_lower, keyed, let, rewritten, same_row, sized, whole_text
+from farebox.llm.common import ascii_lower, keyed, let, rewritten, same_row, sized, stored, whole_text
 from farebox.session import checkpointed
 
 WINDOW = 13
@@ -125,7 +125,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, per: int
     A cut word goes with the gap behind it. All columns come back as they were, but for text and n_chars.
     """
     rows = keyed(docs)
-    found = hits(docs, benchmark, window)
+    found = sized(stored(hits(docs, benchmark, window)))
     joined = rows.join(found, same_row(rows, found), "left").select("row", "t", "places")
     if not spans:
         kept = joined.where(F.col("places").isNull() | (per * F.size("places") < _n_words(F.col("t"))))

@@ -270,7 +270,9 @@ def one_of_each(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> Da
     Rows that repeat that row's id and text are copies of it, and one of them stays. All columns come back.
     """
     rows = keyed(docs).select("row", "id", "h")
-    firsts = joined(docs, n, threshold).where("first").select(F.col("doc_id").alias("id"), "h").distinct()
-    kept = rows.alias("a").join(firsts.alias("b"), F.expr("a.id <=> b.id and a.h = b.h"), "left_semi")
-    kept = kept.dropDuplicates(["id", "h"])
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    firsts = joined(docs, n, threshold).where("first").groupBy(F.col("doc_id").alias("id"), "h").agg(F.count("*").alias("times"))
+    firsts = sized(stored(firsts))
+    kept = rows.alias("a").join(firsts.alias("b"), F.expr("a.id <=> b.id and a.h = b.h")).select("row", "a.id", "a.h", "times")
+    # Only rows that occur more than once have to meet each other.
+    once = kept.where("times = 1").unionByName(kept.where("times > 1").dropDuplicates(["id", "h"]))
+    return once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
