@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from farebox.llm.bytehash import Ranges, flat, lower, mixed, slices, word_bounds
 from farebox.llm.common import keyed, stored
+from farebox.session import shuffle_width
 
 DEPTH = 5
 BLOCK_BYTES = 32 << 20
@@ -67,6 +68,25 @@ def _tallied(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
+class _Tally:
+    """Counts by key; parts are merged before they outgrow what they add up to."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.loose = 0
+
+    def add(self, key: np.ndarray, count: np.ndarray) -> None:
+        self.parts.append(_tallied(key, count))
+        self.loose += len(self.parts[-1][0])
+        if self.loose > 1 << 20:
+            self.parts, self.loose = [self.total()], 0
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return _tallied(np.concatenate([p[0] for p in self.parts]), np.concatenate([p[1] for p in self.parts]))
+
+
 def _blocks(block_bytes: int):
     """Rows into blocks: one compressed table each."""
 
@@ -103,22 +123,22 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A block's distinct words and grams with their training counts."""
     for batch in batches:
         for block, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-            got: dict[int, list] = {WORD: [], GRAM: []}
+            got = {WORD: _Tally(), GRAM: _Tally()}
             for part in _opened(payload):
                 data, bounds = flat(part.column("t"))
                 data = lower(data)
                 learn = part.column("learn").to_numpy(zero_copy_only=False).astype(np.uint64)
                 key, row = _words(data, bounds)
-                got[WORD].append(_tallied(key, learn[row].astype(np.int64)))
+                got[WORD].add(key, learn[row].astype(np.int64))
                 key, row = _grams(data, bounds)
                 # The low bit says whether a gram counts, so that one sort does both.
                 held = np.sort(key << np.uint64(1) | learn[row])
                 first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
                 times = np.diff(np.append(first, len(held)))
                 held = held[first]
-                got[GRAM].append(_tallied(held >> np.uint64(1), times * (held & np.uint64(1)).astype(np.int64)))
-            for kind, parts in got.items():
-                key, count = _tallied(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+                got[GRAM].add(held >> np.uint64(1), times * (held & np.uint64(1)).astype(np.int64))
+            for kind, tally in got.items():
+                key, count = tally.total()
                 for low in range(0, len(key), 1 << 16):
                     some = slice(low, low + (1 << 16))
                     n = len(key[some])
@@ -284,7 +304,7 @@ def model(grams: DataFrame) -> DataFrame:
     65,280 and 255 nodes; these, and nothing that grows, pass through the driver.
     """
     suffix = F.shiftright("key", 8).bitwiseAND((1 << (8 * NEAR)) - 1)
-    near = grams.select("key", "n").repartition(suffix)
+    near = grams.select("key", "n").repartition(shuffle_width(grams.sparkSession), suffix)
     top = near.mapInArrow(_upper, "node long, n0 double, n1 double, weight double")
     rows = (
         top.groupBy(F.col("node").bitwiseAND((1 << (8 * NEAR)) - 1).alias("node"))
