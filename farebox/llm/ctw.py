@@ -6,8 +6,9 @@ text gives each node, from the deepest contexts up; a context that training neve
 prediction to the one above it. Texts end with a byte that no text holds.
 
 Texts are packed into blocks. A block sends each distinct word and each distinct gram (context and next
-byte) once, with its training count; counts and the model are tables keyed by word or gram; and a block
-gets back only the entries it asked for. Nothing that grows with the corpus is broadcast or gathered.
+byte) once, with its training count, as compressed runs dealt by the keys' hash; each bucket adds its
+keys up over all blocks; the model is a table keyed by gram; and a block gets back only the entries it
+asked for. Nothing that grows with the corpus is broadcast or gathered.
 """
 
 from __future__ import annotations
@@ -119,50 +120,129 @@ def _opened(payload: pa.Scalar) -> Iterator[pa.RecordBatch]:
         yield from slices(batch, batch.schema.get_field_index("t"), HELD, 1 << min(ROW_BITS, 14))
 
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block's distinct words and grams with their training counts."""
-    for batch in batches:
-        for block, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-            got = {WORD: _Tally(), GRAM: _Tally()}
-            for part in _opened(payload):
-                data, bounds = flat(part.column("t"))
-                data = lower(data)
-                learn = part.column("learn").to_numpy(zero_copy_only=False).astype(np.uint64)
-                key, row = _words(data, bounds)
-                got[WORD].add(key, learn[row].astype(np.int64))
-                key, row = _grams(data, bounds)
-                # The low bit says whether a gram counts, so that one sort does both.
-                held = np.sort(key << np.uint64(1) | learn[row])
-                first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
-                times = np.diff(np.append(first, len(held)))
-                held = held[first]
-                got[GRAM].add(held >> np.uint64(1), times * (held & np.uint64(1)).astype(np.int64))
-            for kind, tally in got.items():
-                key, count = tally.total()
-                for low in range(0, len(key), 1 << 16):
-                    some = slice(low, low + (1 << 16))
-                    n = len(key[some])
+def _squeezed(values: np.ndarray) -> bytes:
+    """Compressed byte plane by byte plane: equal high bytes then lie together."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _loosened(held: pa.Scalar, kind: type, size: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = pa.decompress(held.as_buffer(), size * width, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, size).T).view(kind).ravel()
+
+
+def _keys_in(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return _squeezed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _keys_out(held: pa.Scalar, size: int) -> np.ndarray:
+    return np.cumsum(_loosened(held, np.uint64, size), dtype=np.uint64)
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(key + END_TOKEN) % np.uint64(buckets)).astype(np.int32)
+
+
+def _asked(buckets: int):
+    """A block's distinct words and grams with their training counts, in runs by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+                got = {WORD: _Tally(), GRAM: _Tally()}
+                for part in _opened(payload):
+                    data, bounds = flat(part.column("t"))
+                    data = lower(data)
+                    learn = part.column("learn").to_numpy(zero_copy_only=False).astype(np.uint64)
+                    key, row = _words(data, bounds)
+                    got[WORD].add(key, learn[row].astype(np.int64))
+                    key, row = _grams(data, bounds)
+                    # The low bit says whether a gram counts, so that one sort does both.
+                    held = np.sort(key << np.uint64(1) | learn[row])
+                    first = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+                    times = np.diff(np.append(first, len(held)))
+                    held = held[first]
+                    got[GRAM].add(held >> np.uint64(1), times * (held & np.uint64(1)).astype(np.int64))
+                for kind, tally in got.items():
+                    key, count = tally.total()
+                    bucket = _bucket(key, buckets)
+                    order = np.argsort(bucket, kind="stable")  # keys stay ascending inside a bucket
+                    key, count, bucket = key[order], count[order].astype(np.uint64), bucket[order]
+                    edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                    end = np.append(edge[1:], len(key))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(n, block)),
-                            pa.array(np.full(n, kind, np.int8)),
-                            pa.array(key[some].view(np.int64)),
-                            pa.array(count[some].astype(np.int64)),
+                            pa.array(np.full(len(edge), block)),
+                            pa.array(bucket[edge]),
+                            pa.array(np.full(len(edge), kind, np.int8)),
+                            pa.array((end - edge).astype(np.int32)),
+                            pa.array([_keys_in(key[i:j]) for i, j in zip(edge, end)], pa.binary()),
+                            pa.array([_squeezed(count[i:j]) for i, j in zip(edge, end)], pa.binary()),
                         ],
-                        ["block", "kind", "key", "n"],
+                        ["block", "bucket", "kind", "size", "keys", "counts"],
                     )
 
+    return run
+
+
+def _added(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By kind: a bucket's keys and their counts over all blocks."""
+    tallies = {WORD: _Tally(), GRAM: _Tally()}
+    for batch in table.to_batches():
+        kinds, sizes = batch.column("kind").to_pylist(), batch.column("size").to_pylist()
+        for kind, size, keys, counts in zip(kinds, sizes, batch.column("keys"), batch.column("counts")):
+            tallies[kind].add(_keys_out(keys, size), _loosened(counts, np.uint64, size).view(np.int64))
+    return {kind: tally.total() for kind, tally in tallies.items()}
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """A bucket's grams with their counts; of its words only how many training has, and how often."""
+    added = _added(table)
+    key, n = added[GRAM]
+    words = added[WORD][1]
+    kind = np.append(np.full(len(key), GRAM, np.int8), np.int8(WORD))
+    return pa.table(
+        {"kind": kind, "key": np.append(key.view(np.int64), np.count_nonzero(words)), "n": np.append(n, words.sum())}
+    )
+
+
+def _answered(table: pa.Table, chances: pa.Table) -> pa.Table:
+    """For each run: its keys with the words' counts or the grams' log chances."""
+    key, count = _added(table)[WORD]
+    gram = chances.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(gram)
+    gram, chance = gram[order], chances.column("value").to_numpy()[order].astype(np.float32)
+    out = []
+    for batch in table.to_batches():
+        values = []
+        kinds, sizes = batch.column("kind").to_pylist(), batch.column("size").to_pylist()
+        for kind, size, keys in zip(kinds, sizes, batch.column("keys")):
+            asked = _keys_out(keys, size)
+            if kind == WORD:
+                values.append(_squeezed(count[np.searchsorted(key, asked)].astype(np.uint64)))
+            else:
+                values.append(_squeezed(chance[np.searchsorted(gram, asked)]))
+        columns = {c: batch.column(c) for c in ("block", "kind", "size", "keys")}
+        out.append(pa.table({**columns, "values": pa.array(values, pa.binary())}))
+    return pa.concat_tables(out)
+
 
 def _scored(total: int, distinct: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        kind = answers.column("kind").to_numpy()
-        key = answers.column("key").to_numpy().view(np.uint64)
-        value = answers.column("value").to_numpy()
         known = {}
-        for k in (WORD, GRAM):
-            mine = kind == k
-            order = np.argsort(key[mine])
-            known[k] = key[mine][order], value[mine][order]
+        for wanted, value_type in ((WORD, np.uint64), (GRAM, np.float32)):
+            keys, values = [np.empty(0, np.uint64)], [np.empty(0)]
+            for batch in answers.to_batches():
+                kinds, sizes = batch.column("kind").to_pylist(), batch.column("size").to_pylist()
+                for kind, size, key, value in zip(kinds, sizes, batch.column("keys"), batch.column("values")):
+                    if kind == wanted:
+                        keys.append(_keys_out(key, size))
+                        values.append(_loosened(value, value_type, size).astype(float))
+            key = np.concatenate(keys)
+            order = np.argsort(key)
+            known[wanted] = key[order], np.concatenate(values)[order]
         out = []
         for payload in table.column("payload").combine_chunks():
             for part in _opened(payload):
@@ -276,7 +356,7 @@ def _upper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _predicted(node: np.ndarray, stop: np.ndarray, total: np.ndarray, left: np.ndarray):
+def _predicted(buckets: int, node: np.ndarray, stop: np.ndarray, total: np.ndarray, left: np.ndarray):
     """The last three for each of the nodes at depth NEAR - 1, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,13 +370,16 @@ def _predicted(node: np.ndarray, stop: np.ndarray, total: np.ndarray, left: np.n
         value = np.log10(np.where(bit == 1, one, 1 - one)).reshape(8, -1).sum(axis=0)
         for low in range(0, len(key), 1 << 16):
             some = slice(low, low + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(value[some])], ["key", "value"])
+            bucket = _bucket(key[some].view(np.uint64), buckets)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket), pa.array(key[some]), pa.array(value[some])], ["bucket", "key", "value"]
+            )
 
     return run
 
 
-def model(grams: DataFrame) -> DataFrame:
-    """(key, value): log10 of the probability of each gram's byte after its context.
+def model(grams: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, key, value): log10 of the probability of each gram's byte after its context.
 
     ``grams`` (key, n) holds every gram to be scored once, with training counts that may be 0. A node is
     a context and the bits of the byte so far. Grams that share the last two bytes of context meet in
@@ -320,7 +403,7 @@ def model(grams: DataFrame) -> DataFrame:
     now = root.one, root.own * root.one, 1 - root.own
     for lower_level, upper_level in zip(chain[-2::-1], chain[::-1]):
         now = _lowered(lower_level, *[x[upper_level.above] for x in now])
-    return near.mapInArrow(_predicted(level.node, *now), "key long, value double")
+    return near.mapInArrow(_predicted(buckets, level.node, *now), "bucket int, key long, value double")
 
 
 def scored(docs: DataFrame, folds: int = 7, held: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -335,20 +418,25 @@ def scored(docs: DataFrame, folds: int = 7, held: int = 2, block_bytes: int = BL
     blocks = stored(
         rows.mapInArrow(_blocks(block_bytes), "payload binary").select(F.monotonically_increasing_id().alias("block"), "payload")
     )
-    asked = stored(blocks.mapInArrow(_asked, "block long, kind byte, key long, n long"))
-    totals = stored(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")))
-    words = totals.where(F.col("kind") == WORD)
-    seen = words.agg(F.sum("n").alias("total"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).first()
-    total, distinct = seen["total"] or 0, seen["distinct"]
-    chances = stored(model(totals.where(F.col("kind") == GRAM)))
-    answers = words.select("kind", "key", F.col("n").cast("double").alias("value")).unionByName(
-        chances.select(F.lit(GRAM).cast("byte").alias("kind"), "key", "value")
+    buckets = max(blocks.count(), shuffle_width(docs.sparkSession))
+    asked = stored(
+        blocks.mapInArrow(
+            _asked(buckets), "block long, bucket int, kind byte, size int, keys binary, counts binary"
+        )
+    )
+    totals = stored(asked.groupBy("bucket").applyInArrow(_totals, "kind byte, key long, n long"))
+    seen = totals.where(F.col("kind") == WORD).agg(F.sum("n").alias("total"), F.sum("key").alias("distinct")).first()
+    total, distinct = seen["total"] or 0, seen["distinct"] or 0
+    chances = stored(model(totals.where(F.col("kind") == GRAM), buckets))
+    answers = (
+        asked.groupBy("bucket")
+        .cogroup(chances.groupBy("bucket"))
+        .applyInArrow(_answered, "block long, kind byte, size int, keys binary, values binary")
     )
-    told = asked.select("block", "kind", "key").join(answers, ["kind", "key"])
     kind = docs.schema["doc_id"].dataType.simpleString()
     result = (
         blocks.groupBy("block")
-        .cogroup(told.groupBy("block"))
+        .cogroup(answers.groupBy("block"))
         .applyInArrow(
             _scored(total, distinct),
             f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, n_bytes long, held_out boolean",
