@@ -13,7 +13,8 @@ from farebox.llm.common import whole_text
 from farebox.llm.rules import statistics
 from farebox.session import checkpointed
 
-SHRINKAGE = 0.1
+#: How far a class covariance is drawn towards that of both classes, and then towards a multiple of unity.
+POOLED, SHRINKAGE = 0.3, 0.02
 FLOOR = 1e-3
 THRESHOLD = 0.3
 
@@ -32,26 +33,29 @@ class Model(NamedTuple):
 
 
 def features(text: Column) -> dict[str, Column]:
-    """Statistics of the whole text, made nearly normal by logarithms; all are finite, also without words."""
+    """Statistics of the whole text, made nearly normal by logarithms; all are finite, also without words.
+
+    A few words or lines more in every denominator keep shares of short texts from running wild.
+    """
     s = F.col("s")
     n = F.greatest(s["w"]["n_words"], F.lit(1))
     lines = F.greatest(s["l"]["n_lines"], F.lit(1))
     chars = F.greatest(s["word_chars"], F.lit(1))
 
-    def share(part: Column, whole: Column) -> Column:
-        return F.log(part / whole + 0.01)
+    def share(part: Column, whole: Column, more: int) -> Column:
+        return F.log(part / (whole + more) + 0.01)
 
     return {
         "x_words": F.log1p(s["w"]["n_words"]),
         "x_word_chars": F.log1p(s["word_chars"] / n),
-        "x_symbols": share(s["n_symbols"], n),
-        "x_shouts": share(s["shouts"], n),
-        "x_upper": share(s["upper"], chars),
-        "x_digits": share(s["digits"], chars),
-        "x_plain": share(s["alphabetic"], n),
-        "x_stops": share(s["w"]["stop_words"], n),
-        "x_repeats": share(s["w"]["n_repeat_words"], n),
-        "x_dup_lines": share(s["l"]["n_dup_lines"], lines),
+        "x_symbols": share(s["n_symbols"], n, 5),
+        "x_shouts": share(s["shouts"], n, 5),
+        "x_upper": share(s["upper"], chars, 30),
+        "x_digits": share(s["digits"], chars, 30),
+        "x_plain": share(s["alphabetic"], n, 0),
+        "x_stops": share(s["w"]["stop_words"], n, 5),
+        "x_repeats": share(s["w"]["n_repeat_words"], n, 5),
+        "x_dup_lines": share(s["l"]["n_dup_lines"], lines, 2),
         "x_line_words": F.log1p(n / lines),
     }
 
@@ -71,11 +75,12 @@ def described(docs: DataFrame) -> DataFrame:
     return counted.select("doc_id", *[v.cast("double").alias(k) for k, v in features(F.col("s")).items()])
 
 
-def fit(rows: DataFrame, label: str, names: list[str], shrinkage: float = SHRINKAGE) -> Model:
+def fit(rows: DataFrame, label: str, names: list[str], pooled: float = POOLED, shrinkage: float = SHRINKAGE) -> Model:
     """Class means and covariances from sums of the rows; a class is a fixed number of sums for the driver.
 
-    Covariances are those of features divided by their overall deviation. Each is drawn towards the mean
-    of its diagonal by ``shrinkage``, and ``FLOOR`` is added, so that it has a Cholesky factor.
+    Covariances are those of features divided by their overall deviation. Each is drawn towards that of
+    both classes by ``pooled`` and towards the mean of its diagonal by ``shrinkage``, and ``FLOOR`` is
+    added, so that it has a Cholesky factor.
     """
     d = len(names)
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
@@ -97,10 +102,11 @@ def fit(rows: DataFrame, label: str, names: list[str], shrinkage: float = SHRINK
         covs.append(second - np.outer(mean, mean))
     middle = sum(count[c] * means[c] for c in (0, 1)) / total
     spread = sum(count[c] * (np.diag(covs[c]) + (means[c] - middle) ** 2) for c in (0, 1)) / total
-    scale = np.sqrt(np.maximum(spread, 1e-12))
+    scale = np.sqrt(np.where(spread > 1e-9, spread, 1.0))  # a constant feature tells nothing
     factors, offsets = [], []
+    both = sum(count[c] * covs[c] for c in (0, 1)) / total
     for c in (0, 1):
-        cov = covs[c] / np.outer(scale, scale)
+        cov = ((1 - pooled) * covs[c] + pooled * both) / np.outer(scale, scale)
         cov = (1 - shrinkage) * cov + (shrinkage * np.trace(cov) / d + FLOOR) * np.eye(d)
         lower = np.linalg.cholesky(cov)
         factors.append(np.linalg.inv(lower))

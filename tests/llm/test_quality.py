@@ -46,9 +46,10 @@ def test_densities_match_plain_algebra(spark):
     got = np.array([r[0] for r in df.select(quality.score(model, names)).collect()])
     scale = x.std(axis=0)
     logs = []
+    both = sum(np.cov((x[y == c] / scale).T, bias=True) * (y == c).mean() for c in (0, 1))
     for c in (0, 1):
         z = x[y == c] / scale
-        cov = np.cov(z.T, bias=True)
+        cov = (1 - quality.POOLED) * np.cov(z.T, bias=True) + quality.POOLED * both
         cov = (1 - quality.SHRINKAGE) * cov + (quality.SHRINKAGE * np.trace(cov) / 3 + quality.FLOOR) * np.eye(3)
         off = x / scale - z.mean(axis=0)
         logs.append(np.log((y == c).mean()) - np.linalg.slogdet(cov)[1] / 2 - np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off) / 2)
