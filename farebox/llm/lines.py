@@ -2,8 +2,8 @@
 
 Lines within ``EDITS`` edits share at least one of EDITS + 1 segments, shifted by no more than the edits
 allow. Segments and shifted substrings of each distinct line become keys of 64 bits; lines that meet in
-a key and agree in length and letter counts are compared. Only keys travel; line texts are fetched for
-the pairs that meet.
+a key and agree in length and letter counts are compared. Keys travel without texts; texts are fetched
+for the lines whose key another line has, too.
 """
 
 from __future__ import annotations
@@ -203,8 +203,11 @@ def _read(rows: DataFrame, places: DataFrame) -> DataFrame:
 def marked(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """Rows of ``docs`` as (row, t, places, exact): the places of lines to remove, null where there are none."""
     rows = keyed(docs)
-    places = repeated(docs, edits).groupBy("id", "h").agg(F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("exact"), F.col("place"))).alias("exact"))
-    gone = sized(stored(places)).alias("g")
+    places = repeated(docs, edits).groupBy("id", "h").agg(
+        F.collect_set("place").alias("places"),
+        F.collect_set(F.when(F.col("exact"), F.col("place"))).alias("exact"),
+    )
+    gone = places.alias("g")
     return rows.alias("r").join(gone, F.expr("r.id <=> g.id and r.h = g.h"), "left").select("row", "t", "places", "exact")
 
 
