@@ -224,10 +224,15 @@ def joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFra
     rows = keyed(docs).select("id", "h", "t")
     key = f"id {docs.schema['doc_id'].dataType.simpleString()}, h long"
     marked = stored(rows.mapInArrow(_described(n, False), f"{key}, c binary, size long, bands array<long>"))
-    classes = marked.groupBy("c").agg(
-        F.count("*").alias("copies"), F.min("id").alias("least"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("one"), F.first("size").alias("size")
+    where = F.struct(F.col("id").isNull().alias("none"), "id", "h")
+    classes = stored(
+        marked.groupBy("c").agg(
+            F.count("*").alias("copies"),
+            F.min("id").alias("least"),
+            F.min(where).alias("one"),
+            F.first("size").alias("size"),
+        )
     )
-    classes = stored(classes)
     # Classes that share a band: a star around the least class of each band makes the groups.
     banded = marked.select("c", F.explode("bands").alias("band")).distinct()
     stars = banded.groupBy("band").agg(F.min("c").alias("m"), F.max("c").alias("x")).where("m <> x").select("band", "m")
@@ -260,7 +265,7 @@ def joined(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> DataFra
     named = whole.groupBy("root").agg(F.min("least").alias("class_id"), F.min("one").alias("first"))
     of_class = whole.join(named, "root").select("c", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), "first")
     return marked.join(of_class, "c").select(
-        F.col("id").alias("doc_id"), "class_id", "n_links", "h", F.struct(F.col("id").isNull().alias("none"), "id", "h").eqNullSafe(F.col("first")).alias("first")
+        F.col("id").alias("doc_id"), "class_id", "n_links", "h", where.eqNullSafe(F.col("first")).alias("first")
     )
 
 
@@ -270,8 +275,8 @@ def one_of_each(docs: DataFrame, n: int = N, threshold: float = THRESHOLD) -> Da
     Rows that repeat that row's id and text are copies of it, and one of them stays. All columns come back.
     """
     rows = keyed(docs).select("row", "id", "h")
-    firsts = joined(docs, n, threshold).where("first").groupBy(F.col("doc_id").alias("id"), "h").agg(F.count("*").alias("times"))
-    firsts = sized(stored(firsts))
+    firsts = joined(docs, n, threshold).where("first").groupBy(F.col("doc_id").alias("id"), "h")
+    firsts = sized(stored(firsts.agg(F.count("*").alias("times"))))
     kept = rows.alias("a").join(firsts.alias("b"), F.expr("a.id <=> b.id and a.h = b.h")).select("row", "a.id", "a.h", "times")
     # Only rows that occur more than once have to meet each other.
     once = kept.where("times = 1").unionByName(kept.where("times > 1").dropDuplicates(["id", "h"]))

@@ -40,7 +40,8 @@ def key(row):
 @pytest.fixture(scope="module")
 def items(spark):
     w = prose(6).split()
-    rows = [(1, " ".join(w[10:40])), (2, " ".join(w[10:40])), (3, "TWO, Words!"), (4, None), (5, ""), (6, "?!"), (None, " ".join(prose(12, 30000).split()[500:530])), (7, "not in any text at all")]
+    rows = [(1, " ".join(w[10:40])), (2, " ".join(w[10:40])), (3, "TWO, Words!"), (4, None), (5, ""), (6, "?!")]
+    rows += [(None, " ".join(prose(12, 30000).split()[500:530])), (7, "not in any text at all")]
     return rows, spark.createDataFrame(rows, "item_id long, text string")
 
 

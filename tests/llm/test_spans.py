@@ -21,7 +21,13 @@ def key(row):
     return tuple("" if x is None else str(x) for x in row)
 
 
-@pytest.mark.parametrize("report, search, kinds", [(credentials.report, plain.secrets, ["assign", "access", "hex"]), (pii.report, plain.private, ["email", "ip", "card", "phone"])])
+@pytest.mark.parametrize(
+    "report, search, kinds",
+    [
+        (credentials.report, plain.secrets, ["assign", "access", "hex"]),
+        (pii.report, plain.private, ["email", "ip", "card", "phone"]),
+    ],
+)
 def test_base_spans_match_plain_code(spark, edges, report, search, kinds):
     for docs, rows in ((edges, edge_rows()), (frame(spark, list(enumerate(TRICKY))), list(enumerate(TRICKY)))):
         got = report(docs).collect()
