@@ -167,8 +167,9 @@ def test_limit_keeps_the_first_anomalies_in_source_order(spark, sf_dir):
 
 def test_nothing_is_cut(spark):
     """More rows than the 10, 50, 100 and 500 that limits once let through."""
-    rollup = ROLLUPS["vendor"]
-    rows = [{"trip_id": str(i), "VendorID": 1, "total_amount": -1.0, "fare_amount": -1.0, "PULocationID": {"borough": "Q", "zone": f"z{i}", "LocationID": i}} for i in range(130)]
+    spent = {"VendorID": 1, "total_amount": -1.0, "fare_amount": -1.0}
+    zones = [{"borough": "Q", "zone": f"z{i}", "LocationID": i} for i in range(130)]
+    rows = [{**spent, "trip_id": z["zone"], "PULocationID": z} for z in zones]
     df = facts(spark, *rows)
     shown = analytics.vendor_performance(view(df, "vendor"), 1, "Q", "2024-01")
     assert shown.count() == 130
@@ -177,11 +178,12 @@ def test_nothing_is_cut(spark):
     assert analytics.vendor_performance(view(df, "vendor"), 1, "Q", "2024-01", limit=50).count() == 50
     assert analytics.pickup_locations(view(df, "route"), "2024-01").count() == 130
     assert anomalies.route_sample(view(df, "route"), "2024-01").count() == 130
-    hours = facts(spark, *[{"tpep_pickup_datetime": f"2024-01-{1 + i // 24:02d} {i % 24:02d}:00:00", "total_amount": -1.0} for i in range(130)])
-    found = anomalies.month_rollup_anomalies(view(hours, "borough_time"), view(hours, "pickup_zone"), view(hours, "route"), "Q", "2024-01")
+    times = [f"2024-01-{1 + i // 24:02d} {i % 24:02d}:00:00" for i in range(130)]
+    hours = facts(spark, *[{"tpep_pickup_datetime": t, "total_amount": -1.0} for t in times])
+    tables = [view(hours, name) for name in ("borough_time", "pickup_zone", "route")]
+    found = anomalies.month_rollup_anomalies(*tables, "Q", "2024-01")
     assert found.filter("source_order = 1").count() == 130
     assert analytics.rollup_lookup(view(hours, "borough_time"), "Q", "2024-01").count() == 130
-    assert rollup.name == "vendor"
 
 
 def test_rates_are_not_clamped(spark):
