@@ -200,7 +200,7 @@ def _digit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _reread(rows: DataFrame, open_rows: DataFrame, function, schema: str) -> DataFrame:
     """Runs ``function`` over the texts of the documents that ``open_rows`` names, each text once."""
     tag = F.shiftright("w", _TAG)
-    marks = sized(stored(open_rows.groupBy("id", tag.alias("tag")).agg(F.collect_list("w").alias("marks"))))
+    marks = open_rows.groupBy("id", tag.alias("tag")).agg(F.collect_list("w").alias("marks"))
     joined = rows.alias("r").join(marks.alias("m"), F.expr("r.id <=> m.id and r.tag = m.tag"))
     return stored(joined.select("r.id", "r.tag", "t", "marks").mapInArrow(function, schema))
 
@@ -217,7 +217,10 @@ def repeated(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     schema = f"id {docs.schema['doc_id'].dataType.simpleString()}, w long, a long, b long"
     found, open_rows = _digit(stored(rows.mapInArrow(_anchors(depth), schema)))
     more, open_runs = _digit(_reread(rows, open_rows, _runs(depth), schema))
-    windows = _reread(rows, open_runs, _windows(depth), schema).distinct()
+    # Few documents are left by now: while their keys are small, only their texts are shuffled.
+    left = sized(stored(open_runs.select("id", F.shiftright("w", _TAG).alias("tag")).distinct()))
+    few = rows.alias("r").join(left.alias("l"), F.expr("r.id <=> l.id and r.tag = l.tag"), "left_semi")
+    windows = _reread(few, open_runs, _windows(depth), schema).distinct()
     twice = windows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
     last = windows.join(twice, ["a", "b"], "left_semi").select("id", "w")
     begin = F.shiftright("w", _BEGIN).bitwiseAND(0x7FFFFFFF)
