@@ -70,6 +70,11 @@ def test_one_row_of_each_class_stays(spark, edges, empty):
     assert jaccard.one_of_each(empty).count() == 0
 
 
+def test_shuffled_joins_give_the_same(edges, monkeypatch):
+    monkeypatch.setattr(jaccard, "sized", lambda df: df)
+    check(edges, edge_rows())
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     needed = jaccard.least_matches(0.8, 16, 128, 1e-7)
     assert list(needed) == sorted(needed) and needed[-1] < 0.8 * 128 and needed[-1] > 0.45 * 128
