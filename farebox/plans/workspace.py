@@ -19,7 +19,7 @@ from farebox.schemas import TRIP_FILE
 from farebox.session import shared_dir
 from farebox.sinks import files
 from farebox.sources import testbed, topic
-from farebox.sources.zones import one_per_id
+from farebox.sources.zones import zone_dim
 
 TRIP_FIELDS = [field.split()[0] for field in TRIP_FILE.split(", ")]
 
@@ -65,7 +65,13 @@ class Workspace:
     # ---- trips -------------------------------------------------------------------------------
 
     def zones(self) -> DataFrame:
-        return self._table("zones", lambda: one_per_id(testbed.zones(self.spark, self.sf_dir)).coalesce(1))
+        """The zone dimension: one row per id, the last of the table's rows for it."""
+
+        def build() -> DataFrame:
+            listed = testbed.zones(self.spark, self.sf_dir).withColumn("seq", F.col("OBJECTID"))
+            return zone_dim(listed, "seq").drop("zone_key").coalesce(1)
+
+        return self._table("zones", build)
 
     def ingested(self) -> DataFrame:
         """Every trip with the names of its zones, where known, and its times, where they parse."""
