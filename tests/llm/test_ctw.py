@@ -4,7 +4,7 @@ import zlib
 from collections import Counter
 
 import pytest
-from conftest import edge_rows, frame, prose
+from llm_cases import edge_rows, frame, prose
 from farebox.llm import ctw
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

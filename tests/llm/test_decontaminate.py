@@ -2,7 +2,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import edge_rows, frame, prose
+from llm_cases import edge_rows, frame, prose
 from farebox.llm import decontaminate
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

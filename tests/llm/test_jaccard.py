@@ -1,7 +1,7 @@
 import re
 
 import numpy as np
-from conftest import edge_rows, frame, prose
+from llm_cases import edge_rows, frame, prose
 from farebox.llm import jaccard
 from farebox.llm.components import components
 

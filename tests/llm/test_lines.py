@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import edge_rows, frame, prose
+from llm_cases import edge_rows, frame, prose
 from farebox.llm import lines
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import edge_rows, frame
+from llm_cases import edge_rows, frame
 from farebox.llm import packing
 from tokenizers import Tokenizer
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import edge_rows, frame, prose
+from llm_cases import edge_rows, frame, prose
 
 import corpus_pipeline
 from farebox.llm.common import stored

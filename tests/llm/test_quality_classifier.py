@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import frame, prose
+from llm_cases import frame, prose
 from farebox.llm import quality
 
 

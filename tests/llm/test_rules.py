@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from conftest import edge_rows
+from llm_cases import edge_rows
 from farebox.llm import rules
 
 
@@ -32,7 +32,7 @@ def test_base_failures_are_never_kept_and_good_prose_is(edges):
 
 
 def test_each_rule_of_the_table_can_reject(spark):
-    from conftest import frame, prose
+    from llm_cases import frame, prose
 
     good = prose(1)
     bad = [

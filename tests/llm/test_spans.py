@@ -1,6 +1,6 @@
 import brute_spans as plain
 import pytest
-from conftest import edge_rows, frame
+from llm_cases import edge_rows, frame
 from farebox.llm import credentials, pii, spans
 
 TRICKY = [
