@@ -13,7 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: every node hands its larger neighbours to its least
     one, then its smaller ones. A component becomes a star in some log n rounds, and no step gathers a
-    node's neighbours: each is one minimum per node, aggregated before the shuffle, and a join.
+    node's neighbours: each is one minimum per node, aggregated before the shuffle and written down, and
+    a join of stored tables, which splits the partition of a node with very many neighbours.
     """
     now = stored(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
@@ -21,9 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
     seen = _digest(now)
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("near")).select("a", F.least("a", "near").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        floor = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("near")).select("a", F.least("a", "near").alias("m")))
+        large = stored(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        floor = stored(large.groupBy("a").agg(F.min("b").alias("m")))
         pair = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
         small = large.join(floor, "a").select(F.explode(pair).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         now = stored(small)

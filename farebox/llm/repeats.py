@@ -180,10 +180,10 @@ def _digit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Groups by (a, b): rows whose pair is met twice, and rows that share ``a`` but not ``b`` with others,
     with one row of every pair met twice beside them.
 
-    Counts are summed before the shuffle, and locations travel only by joins, whose large partitions
-    can be split. A row that meets no other in ``a`` ends here.
+    Counts are summed before the shuffle and written down, so that locations travel only by joins of
+    stored tables, whose large partitions can be split. A row that meets no other in ``a`` ends here.
     """
-    shared = (
+    shared = stored(
         rows.groupBy("a")
         .agg(F.count("*").alias("n"), F.min("b").alias("least"), F.max("b").alias("most"))
         .where("n > 1")
@@ -191,7 +191,7 @@ def _digit(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     live = stored(rows.join(shared, "a"))
     mixed_rows = live.where("not alike").drop("alike")
-    pairs = mixed_rows.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("id", "w")).alias("one"))
+    pairs = stored(mixed_rows.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(F.struct("id", "w")).alias("one")))
     counted = stored(mixed_rows.join(pairs, ["a", "b"]).select("id", "w", "n", F.struct("id", "w").eqNullSafe(F.col("one")).alias("one")))
     sure = live.where("alike").select("id", "w").unionByName(counted.where("n > 1").select("id", "w"))
     return sure, counted.where("n = 1 or one").select("id", "w")
