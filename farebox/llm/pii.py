@@ -93,7 +93,8 @@ def learned(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, least_seeds
     seeds = first.where("seed").select("instance", F.lit(1.0).alias("score"))
     nodes = checkpointed(first.select("instance", F.col("seed").cast("double").alias("score")))
     for _ in range(rounds):
-        patterns = (
+        # Written down, so that the join to a word with very many instances can be split.
+        patterns = checkpointed(
             edges.join(nodes, "instance")
             .groupBy("side", "word")
             .agg(
