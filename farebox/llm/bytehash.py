@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +22,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-@lru_cache(maxsize=8)
+def kept() -> dict:
+    """Values that last as long as the worker process: functions travel by value, their globals with them."""
+    return sys.__dict__.setdefault("_farebox_kept", {})
+
+
 def _table(seed: int) -> tuple[np.ndarray, int, int]:
-    rng = np.random.default_rng(seed)
-    values = rng.integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    base = int(rng.integers(1, 2**62)) * 8 + 5
-    return values, base, pow(base, -1, 2**64)
+    if ("table", seed) not in kept():
+        rng = np.random.default_rng(seed)
+        values = rng.integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        base = int(rng.integers(1, 2**62)) * 8 + 5
+        kept()["table", seed] = values, base, pow(base, -1, 2**64)
+    return kept()["table", seed]
 
 
-@lru_cache(maxsize=8)
 def _powers(seed: int, n: int, inverse: bool) -> np.ndarray:
+    held = kept().get(("powers", seed, inverse))
+    if held is None or len(held) < n:
+        held = kept()["powers", seed, inverse] = _grown_powers(seed, n, inverse)
+    return held
+
+
+def _grown_powers(seed: int, n: int, inverse: bool) -> np.ndarray:
     _, base, inverted = _table(seed)
     step = inverted if inverse else base
     out = np.ones(n, np.uint64)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import Any
 
 import numpy as np
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.bytehash import Ranges, flat, lower, mixed, slices, word_bounds
+from farebox.llm.bytehash import Ranges, flat, kept, lower, mixed, slices, word_bounds
 from farebox.llm.common import keyed, sized, stored
 from farebox.llm.components import components
 
@@ -32,13 +31,14 @@ STEP, TOLERANCE = 16, 1e-7
 BLOCK, BLOCK_BYTES = 512, 16 << 20
 
 
-@lru_cache(maxsize=4)
 def _hashers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(41)
-    return (
-        (rng.integers(0, 2**31, count, dtype=np.int64) * 2 + 1).astype(np.uint32),
-        rng.integers(0, 2**32, count, dtype=np.int64).astype(np.uint32),
-    )
+    if ("hashers", count) not in kept():
+        rng = np.random.default_rng(41)
+        kept()["hashers", count] = (
+            (rng.integers(0, 2**31, count, dtype=np.int64) * 2 + 1).astype(np.uint32),
+            rng.integers(0, 2**32, count, dtype=np.int64).astype(np.uint32),
+        )
+    return kept()["hashers", count]
 
 
 def signature(shingles: np.ndarray, count: int = BANDS * ROWS) -> np.ndarray:
@@ -119,13 +119,15 @@ def _described(n: int, with_sets: bool):
     return run
 
 
-@lru_cache(maxsize=8)
 def least_matches(threshold: float, step: int, count: int, tolerance: float) -> tuple[int, ...]:
     """For each look, the fewest equal values that keep a pair.
 
     With a flat prior, the similarity after m equal values of n is Beta(m + 1, n - m + 1), and it
     reaches the threshold with the probability that a Binomial(n + 1, threshold) is at most m.
     """
+    at = ("least_matches", threshold, step, count, tolerance)
+    if at in kept():
+        return kept()[at]
     needed = []
     for n in range(step, count + 1, step):
         below, m = 0.0, 0
@@ -135,7 +137,7 @@ def least_matches(threshold: float, step: int, count: int, tolerance: float) ->
                 break
             m += 1
         needed.append(m)
-    return tuple(needed)
+    return kept().setdefault(at, tuple(needed))
 
 
 def links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:

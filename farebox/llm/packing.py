@@ -16,14 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.bytehash import kept
 from farebox.llm.common import whole_text
 from farebox.session import checkpointed
 
 LIMIT = 2048
 END = 1
 TOKENIZER = "byte_bpe_50k"
-_encoders: dict[str, object] = {}
-
 #: Text for the slower reader of the same vocabulary: characters on whose class two Unicode versions might
 #: differ, and runs long enough to be one huge piece.
 _UNUSUAL = re.compile(r"[^\x00-ɏ‐-…€]|\S{1000}|\s{1000}")
@@ -32,7 +31,7 @@ _UNUSUAL = re.compile(r"[^\x00-ɏ‐-…€]|\S{1000}|\s{1000}")
 def encoder(name: str = TOKENIZER):
     """Text to ids, kept for the life of a worker. ``name`` is a public vocabulary, or the path of one
     without its ending; both readers hold it."""
-    if name not in _encoders:
+    if ("encoder", name) not in kept():
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -49,8 +48,8 @@ def encoder(name: str = TOKENIZER):
                 return whole.encode(text, add_special_tokens=False).ids
             return quick.encode_ordinary(text)
 
-        _encoders[name] = encode
-    return _encoders[name]
+        kept()["encoder", name] = encode
+    return kept()["encoder", name]
 
 
 def binary_cut(n: int, limit: int) -> list[tuple[int, int]]:

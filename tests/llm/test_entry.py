@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -24,3 +28,20 @@ def test_against_sql(spark, sf_dir, name):
 def test_a_row_for_every_document(spark, sf_dir, name):
     got = {r.doc_id for r in QUERIES[name](spark, sf_dir).select("doc_id").collect()}
     assert got == {i for (i,) in duckdb.sql(f"SELECT doc_id FROM '{sf_dir}/documents.parquet'").fetchall()}
+
+
+def test_tasks_need_no_copy_of_the_library(sf_dir, tmp_path):
+    """From another folder, the library on the driver's path alone."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from farebox.session import local_session
+from farebox.llm.queries import QUERIES
+spark = local_session(2, shuffle_partitions=2)
+for name in ("op2_context_tree", "op4_near_copies", "op7_repeated_strings", "op9_packing"):
+    print(name, QUERIES[name](spark, {sf_dir!r}).count() > 0)
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=600)
+    assert run.stdout.count("True") == 4, run.stderr[-2000:]
