@@ -62,7 +62,7 @@ def partition_of(key: Column, partitions: int = TOPIC_PARTITIONS) -> Column:
     return md5_bucket(key, partitions).cast("int")
 
 
-def envelope(messages: DataFrame, timestamp: Column) -> DataFrame:
+def envelope(messages: DataFrame, timestamp: Column, name: str = TOPIC) -> DataFrame:
     """Key and value as bytes with the topic's own columns.
 
     The partition is a column, not a file layout: a borough with a third of all trips would
@@ -71,14 +71,18 @@ def envelope(messages: DataFrame, timestamp: Column) -> DataFrame:
     return messages.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
+        F.lit(name).alias("topic"),
         partition_of(F.col("key")).alias("partition"),
         timestamp.cast("timestamp").alias("timestamp"),
     )
 
 
 def write_topic(
-    records: DataFrame, path: str | None = None, brokers: str | None = None, mode: str = "append"
+    records: DataFrame,
+    path: str | None = None,
+    brokers: str | None = None,
+    mode: str = "append",
+    name: str = TOPIC,
 ) -> None:
     """Append keyed messages to Kafka, or to the file-backed topic."""
     if brokers:
@@ -86,7 +90,7 @@ def write_topic(
             records.select("key", "value")
             .write.format("kafka")
             .option("kafka.bootstrap.servers", brokers)
-            .option("topic", TOPIC)
+            .option("topic", name)
             .save()
         )
     else:
