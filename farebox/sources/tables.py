@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farebox.schemas import TRIP_FILE, WIRE
+from farebox.session import checkpointed
 from farebox.sources.topic import top_keys
 
 
@@ -33,9 +34,10 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
     """The raw text of every record with the file it came from.
 
     ``record`` keeps the JSON as written, so a missing key can be told from a null one. A line that
-    does not decode gives a row with a null ``record``. Layout ``array`` is an array with whole records
-    on each line; a file whose array never closes has one more row with a null ``record``. Both split at
-    any line, whatever the size of a file.
+    does not decode gives a row with a null ``record``. Layout ``array`` is one array a file, however it
+    is broken into lines; a file whose array never closes has one more row with a null ``record``. Files
+    with whole records on each line split at any line; in the others records are cut out by their
+    brackets, and if one of those does not decode, the file has rows with a null ``record`` only.
     """
     lines = spark.read.option("recursiveFileLookup", True)
     if layout == "lines":
@@ -46,12 +48,62 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
     text = F.btrim("value")
     rows = lines.text(folder).select(
         F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
         text.alias("text"),
         F.regexp_replace(text, r"^\[|[,\]]$", "").alias("bare"),
     )
     held = F.from_json(F.concat(F.lit("["), "bare", F.lit("]")), "array<string>")
-    records = rows.filter("bare <> ''").select("file", F.explode_outer(held).alias("record"))
+    # A row per file at most, which the driver's listing has anyway.
+    broken = F.broadcast(checkpointed(rows.filter("bare <> ''").filter(held.isNull()).select("file").distinct()))
+    by_line = rows.filter("bare <> ''").join(broken, "file", "left_anti")
     closed = rows.groupBy("file").agg(F.max(F.col("text").endswith("]").cast("int")).alias("closed"))
-    return records.unionByName(
-        closed.filter("closed = 0").select("file", F.lit(None).cast("string").alias("record"))
+    return (
+        by_line.select("file", F.explode_outer(held).alias("record"))
+        .unionByName(_records_over_lines(rows.join(broken, "file", "left_semi")))
+        .unionByName(closed.filter("closed = 0").select("file", F.lit(None).cast("string").alias("record")))
+    )
+
+
+def _pieces(line: Column) -> Column:
+    """The line cut behind every comma outside strings, as (piece, turn): brackets opened less closed.
+
+    A JSON string holds no line break, so every line starts outside one. Escaped backslashes and quotes
+    stand as control characters meanwhile, which JSON text does not hold.
+    """
+    plain = F.translate(line, "\x01\x02\x03", "\x04\x04\x04")
+    plain = F.replace(F.replace(plain, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    marked = F.transform(
+        F.split(plain, '"'), lambda x, i: F.when(i % 2 == 0, F.replace(x, F.lit(","), F.lit(",\x03"))).otherwise(x)
+    )
+
+    def piece(x: Column) -> Column:
+        outside = F.array_join(F.filter(F.split(x, '"'), lambda _, i: i % 2 == 0), "")
+        turn = F.length(F.translate(outside, "]}", "")) - F.length(F.translate(outside, "[{", ""))
+        back = F.replace(F.replace(x, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+        return F.struct(back.alias("piece"), turn.alias("turn"))
+
+    return F.transform(F.split(F.concat(F.array_join(marked, '"'), F.lit("\n")), "\x03"), piece)
+
+
+def _records_over_lines(rows: DataFrame) -> DataFrame:
+    """(file, record) of arrays whose records span lines: cut at the commas that only the array encloses."""
+    along = Window.partitionBy("file").orderBy("start", "line", "place")
+    pieces = rows.select("file", "start", "line", F.posexplode(_pieces(F.col("value"))).alias("place", "x"))
+    deep = pieces.select("file", "start", "line", "place", "x.piece", F.sum("x.turn").over(along).alias("depth"))
+    ends = ((F.col("depth") == 1) & F.col("piece").endswith(",")).cast("int")
+    numbered = deep.select("*", ends.alias("ends"), (F.sum(ends).over(along) - ends).alias("n"))
+    in_order = F.array_sort(F.collect_list(F.struct("start", "line", "place", "piece")))
+    whole = numbered.groupBy("file", "n").agg(
+        F.array_join(F.transform(in_order, lambda x: x["piece"]), "").alias("text"), F.max("ends").alias("ends")
     )
+    opened = (F.col("n") > 0) | F.col("text").rlike(r"^\s*\[")
+    shut = (F.col("ends") == 1) | F.col("text").rlike(r"\]\s*$")
+    bare = F.when(F.col("n") == 0, F.regexp_replace("text", r"^\s*\[", "")).otherwise(F.col("text"))
+    bare = F.when(F.col("ends") == 1, F.regexp_replace(bare, ",$", "")).otherwise(F.regexp_replace(bare, r"\]\s*$", ""))
+    # Inside an object, a bracket too many does not decode.
+    held = F.from_json(F.concat(F.lit('{"r":'), bare, F.lit("}")), "map<string,string>")["r"]
+    records = checkpointed(whole.select("file", F.when(opened & shut, held).alias("record")))
+    failed = F.broadcast(records.filter("record IS NULL").select("file", F.lit(True).alias("failed")).distinct())
+    return records.join(failed, "file", "left").filter("failed IS NULL OR record IS NULL").select("file", "record")

@@ -199,3 +199,33 @@ def test_arrays_on_one_line_and_arrays_cut_off(spark, tmp_path):
     got = tables.json_records(spark, str(tmp_path)).groupBy(F.regexp_extract("file", r"(\w)\.json", 1).alias("f"))
     rows = got.agg(F.count("record").alias("n"), F.count_if(F.col("record").isNull()).alias("bad")).collect()
     assert sorted(map(tuple, rows)) == [("a", 2, 0), ("b", 2, 1)]
+
+
+def test_arrays_as_the_reference_writes_them(spark, tmp_path):
+    odd = 'a "quoted", {brace] \\ and \\" é'
+    rows = [{"VendorID": i, "zone": {"name": odd, "at": [1, {"x": [i]}]}, "count": float("nan"), "none": None} for i in range(300)]
+    del rows[7]["none"]
+    # As parquet_to_json.py does: a bracket, then records of many lines with a comma behind each.
+    whole = "[\n" + ",\n".join(json.dumps(r, indent=2) for r in rows) + "\n]"
+    (tmp_path / "a.json").write_text(whole)
+    (tmp_path / "b.json").write_text(whole[:-5])
+    (tmp_path / "c.json").write_text(json.dumps(rows[:20], indent="\t").replace("},\n\t{", "}, {"))
+    (tmp_path / "d.json").write_text(whole.replace('"none": null', '"none": nul', 1))
+    (tmp_path / "e.json").write_text("[" + ",\n".join(json.dumps(r) for r in rows) + "]")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = tables.json_records(spark, str(tmp_path)).select(F.regexp_extract("file", r"(\w)\.json", 1).alias("f"), "record").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    texts = {f: [r.record for r in got if r.f == f] for f in "abcde"}
+    want = {r["VendorID"]: r for r in rows}
+    for f, n in (("a", 300), ("c", 20), ("e", 300)):
+        back = {r["VendorID"]: r for r in map(json.loads, texts[f])}
+        assert len(texts[f]) == len(back) == n
+        for i, r in back.items():
+            assert r.keys() == want[i].keys() and r["zone"] == want[i]["zone"]
+    assert texts["b"] and texts["d"] and not any(texts["b"] + texts["d"])
+    checked = enrich.validate(tables.json_records(spark, str(tmp_path)), "record").withColumn("f", F.regexp_extract("file", r"(\w)\.json", 1))
+    stats = {r.source_file: (r.total_records, r.files_processed) for r in enrich.ingest_stats(checked, "f").collect()}
+    assert stats == {"a": (300, 1), "b": (0, 0), "c": (20, 1), "d": (0, 0), "e": (300, 1), "ALL": (620, 3)}
