@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from farebox.llm.common import keyed, let, rewritten, sized, stored
 
-#: Lines of fewer code points, without white space around them, are left alone.
-LEAST_CHARS = 20
-#: Lines of fewer are compared whole only.
-LEAST_NEAR = 40
+#: Lines of fewer code points, without white space around them, are left alone: empty ones.
+LEAST_CHARS = 1
+#: Lines of fewer are compared whole only: in them two edits mostly make another word.
+LEAST_NEAR = 12
 EDITS = 2
-#: Segments grow in steps of so many characters, so that lines of nearly equal length cut alike.
+#: Segments grow in steps of so many characters, so that lines of nearly equal length cut alike; shorter
+#: ones grow by single characters.
 STEP = 8
 # Letters that are counted, eight in a number.
 LETTERS = ("abcdefgh", "ijklmnop", "rstuvwyz")
@@ -70,31 +71,35 @@ def _alike(edits: int) -> Column:
 def _keys(line: Column, n: Column, edits: int) -> Column:
     """Array of (key, own): a line's segments (own) and the places near them where those of others may lie.
 
-    A line is cut at multiples of a size that follows its length in steps: edits + 1 segments that do
+    A line is cut at multiples of a size that follows its length in steps (``_size``): edits + 1 segments that do
     not overlap, the nearer ones counted from the front, the others from the end. Of two lines within
     ``edits`` edits, segment i of one lies in the other with a shift of less than i, and of less than its
     rank from the end. A line a few characters short of the next size looks there, too.
     """
-    width = STEP * (edits + 1)
 
-    def cut(k: Column, n: Column) -> list[Column]:
-        size = k * STEP
+    def cut(size: Column, n: Column) -> list[Column]:
         out = []
         for i in range(edits + 1):
             front, slack = i <= edits - i, min(i, edits - i)
             start = size * i + 1 if front else n - size * (edits + 1 - i) + 1
             for shift in range(-slack, slack + 1):
-                key = F.xxhash64(k, F.lit(i), line.substr(start + shift, size))
+                key = F.xxhash64(size, F.lit(i), line.substr(start + shift, size))
                 out.append(F.struct(key.alias("key"), F.lit(shift == 0).alias("own")))
         return out
 
     none = F.array().cast("array<struct<key:bigint,own:boolean>>")
 
     def of(g: Column) -> Column:
-        near = F.when(g["n"] % width >= width - edits, F.array(*cut(g["k"] + 1, g["n"]))).otherwise(none)
-        return F.concat(F.array(*cut(g["k"], g["n"])), near)
+        near = F.when(g["above"] > g["size"], F.array(*cut(g["above"], g["n"]))).otherwise(none)
+        return F.concat(F.array(*cut(g["size"], g["n"])), near)
+
+    return let(F.struct(n.alias("n"), _size(n, edits).alias("size"), _size(n + edits, edits).alias("above")), of)
 
-    return let(F.struct(n.alias("n"), F.floor(n / width).cast("int").alias("k")), of)
+
+def _size(n: Column, edits: int) -> Column:
+    """Length of the segments of a line of ``n`` characters; within ``edits`` more it grows once at most."""
+    width = STEP * (edits + 1)
+    return F.when(n < width, F.floor(n / (edits + 1))).otherwise(F.floor(n / width) * STEP).cast("int")
 
 
 def within(a: Column, b: Column, edits: int = EDITS) -> Column:

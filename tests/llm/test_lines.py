@@ -98,3 +98,22 @@ def test_rows_stay_and_repeated_rows_fare_alike(edges, empty):
 def test_main_path_is_native(spark, sf_dir):
     plan = lines.report(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_short_lines_are_compared(spark):
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdef gh") for _ in range(n)).strip().ljust(n, "x") for n in range(12, 42) for _ in range(2)]
+    rows = [(1, "\n".join([*base, "Contents", "", "ok"])), (2, "ok\n\nContents\nContent")]
+    rows += [(10 + k, "\n".join(edited(line, rng, 1 + (k + i) % 2) for i, line in enumerate(base))) for k in range(4)]
+    seen, want = [], {}
+    for i, t in rows:
+        for line in t.split("\n"):
+            if line in seen and line:
+                want.setdefault(i, [0, 0])[0] += 1
+            elif len(line) >= 12 and any(len(o) >= 12 and abs(len(o) - len(line)) <= 2 and distance(o, line) <= 2 for o in seen):
+                want.setdefault(i, [0, 0])[1] += 1
+            seen.append(line)
+    got = {r.doc_id: [r.n_exact, r.n_near] for r in lines.report(frame(spark, rows)).collect()}
+    assert got == {i: want.get(i, [0, 0]) for i, _ in rows} and got[2] == [2, 0]
+    assert all(sum(got[i]) > 50 for i in range(10, 14))
+    assert lines.without_repeats(frame(spark, rows)).where("doc_id = 2").first().text == "\nContent"
