@@ -69,7 +69,7 @@ def _instance() -> Column:
 
 
 def learned(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS) -> DataFrame:
-    """(instance, score) of the unsure instances: how surely their contexts announce personal data.
+    """(instance, score): how surely the contexts of the unsure instances announce personal data; 1 for the seeds'.
 
     Rounds over the graph of patterns and instances. A pattern scores the instances it has met over
     all occurrences of its word in the corpus, so that words that stand before anything announce
@@ -90,7 +90,6 @@ def learned(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, least_seeds
         .agg(F.count("*").alias("total"))
     )
     first = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
-    seeds = first.where("seed").select("instance", F.lit(1.0).alias("score"))
     nodes = checkpointed(first.select("instance", F.col("seed").cast("double").alias("score")))
     for _ in range(rounds):
         # Written down, so that the join to a word with very many instances can be split.
@@ -112,11 +111,14 @@ def learned(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, least_seeds
                 "instance", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score")
             )
         )
-    return nodes.join(seeds.select("instance"), "instance", "left_anti")
+    # Also the seeds without a word beside them, which have no edge.
+    seeds = found.where("kind <> 'context'").select(_instance().alias("instance"), F.lit(1.0).alias("score")).distinct()
+    return nodes.join(seeds.select("instance"), "instance", "left_anti").unionByName(seeds)
 
 
 def personal(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """(id, h, kind, start, end, match, before, after): sure spans, and ``context`` spans found by context.
+    """(id, h, kind, start, end, match, before, after): sure spans, and ``context`` spans: tokens
+    that spell the identifier of a sure span in another form, and those found by context.
 
     Null and empty texts have none; repeated rows are searched once; an empty table learns nothing.
     """

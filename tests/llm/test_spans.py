@@ -74,3 +74,9 @@ def test_contexts_learned_from_seeds_find_other_identifiers(spark):
 def test_span_search_is_native(spark, sf_dir):
     plan = spans.matches(spark.read.parquet(f"{sf_dir}/documents.parquet"), credentials.BASE)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_known_identifiers_in_unsure_form(spark):
+    rows = [(1, "ring +44 2079460958 please"), (2, "the number 442079460958 stands here"), (3, "or 442079460959 there"), (4, "+49 3012345678"), (5, "4930-1234-5678")]
+    got = {r.doc_id: r.spans for r in pii.report(frame(spark, rows)).collect()}
+    assert got == {1: "phone:5:19", 2: "context:11:23", 3: "", 4: "phone:0:14", 5: "context:0:14"}
