@@ -23,7 +23,6 @@ TOKEN = r"(?<![0-9A-Za-z._%+@/-])[A-Za-z._%+/-]*+[0-9@][0-9A-Za-z._%+@/-]*+"
 
 _LETTER, _OTHER = r"[0-9a-z\x80-\x{10FFFF}]", r"[^0-9a-z\x80-\x{10FFFF}]"
 
-ROUNDS = 3
 LEAST_SEEDS = 3
 LEAST_SCORE = 0.6
 
@@ -68,12 +67,13 @@ def _instance() -> Column:
     return F.regexp_replace(F.lower("match"), r"[^0-9a-z@]+", "")
 
 
-def learned(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS) -> DataFrame:
+def learned(docs: DataFrame, found: DataFrame, least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE) -> DataFrame:
     """(instance, score): how surely the contexts of the unsure instances announce personal data; 1 for the seeds'.
 
     Rounds over the graph of patterns and instances. A pattern scores the instances it has met over
     all occurrences of its word in the corpus, so that words that stand before anything announce
-    nothing; it needs ``least_seeds`` different instances that score. An instance scores the best of
+    nothing; it needs ``least_seeds`` different instances that score. Scores only rise, and rounds go on
+    until a round adds no instance that scores and none of ``least_score``. An instance scores the best of
     its patterns; seeds stay at 1. Edges are counted before any join, so a pattern or an instance with
     any number of occurrences is a row per neighbour.
     """
@@ -91,7 +91,12 @@ def learned(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, least_seeds
     )
     first = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
     nodes = checkpointed(first.select("instance", F.col("seed").cast("double").alias("score")))
-    for _ in range(rounds):
+    reached = None
+    while True:
+        now = nodes.agg(F.count_if(F.col("score") > 0), F.count_if(F.col("score") >= least_score)).first()
+        if now == reached:
+            break
+        reached = now
         # Written down, so that the join to a word with very many instances can be split.
         patterns = checkpointed(
             edges.join(nodes, "instance")
@@ -124,7 +129,7 @@ def personal(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """
     valid = S.matches(docs, {**BASE, "context": TOKEN}).where(_valid(F.col("kind"), F.col("match")))
     found = checkpointed(S.clear_of(valid, F.col("kind") != "context"))
-    scores = learned(docs, found).where(F.col("score") >= least_score)
+    scores = learned(docs, found, least_score=least_score).where(F.col("score") >= least_score)
     by_context = found.where("kind = 'context'").withColumn("instance", _instance()).join(scores.select("instance"), "instance", "left_semi")
     return found.where("kind <> 'context'").unionByName(by_context.drop("instance"))
 

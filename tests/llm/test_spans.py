@@ -80,3 +80,16 @@ def test_known_identifiers_in_unsure_form(spark):
     rows = [(1, "ring +44 2079460958 please"), (2, "the number 442079460958 stands here"), (3, "or 442079460959 there"), (4, "+49 3012345678"), (5, "4930-1234-5678")]
     got = {r.doc_id: r.spans for r in pii.report(frame(spark, rows)).collect()}
     assert got == {1: "phone:5:19", 2: "context:11:23", 3: "", 4: "phone:0:14", 5: "context:0:14"}
+
+
+def test_contexts_reach_as_far_as_they_lead(spark):
+    words = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf"]
+    lines = [f"{words[0]} +1 555 010 {2000 + i} ." for i in range(60)]
+    for k, w in enumerate(words):
+        # A word stands before three new instances once, and often before those of the word in front of it.
+        lines += [f"{w} {7000000 + 1000 * k + i} ." for i in range(3)]
+        lines += [f"{w} {6999000 + 1000 * k + i} ." for i in range(3) for _ in range(20) if k]
+    rows = list(enumerate(lines))
+    got = {r.doc_id for r in pii.report(frame(spark, rows)).collect() if "context" in r.spans}
+    last = [i for i, t in rows if t.startswith(words[-1])]
+    assert last and got.issuperset(last)
