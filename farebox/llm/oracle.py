@@ -74,4 +74,45 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE = {"op3_quality_rules": OP3, "op8_decontamination": OP8}
+
+
+def _clusters(rounds: int) -> str:
+    """Every round as two tables: the nearest centroid of each vector, and the centroids that follow."""
+    assign = """
+    SELECT v, arg_min(j, (d, j)) AS j, min(d) AS d
+    FROM (SELECT v, j, list_sum(list_transform(list_zip(x.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+          FROM x, c{r} c)
+    GROUP BY v"""
+    move = """
+    SELECT c.j, coalesce(m.x, c.x) AS x
+    FROM c{r} c LEFT JOIN (
+      SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x
+      FROM (SELECT j, i, sum(e)::BIGINT AS s, count(*) AS n
+            FROM (SELECT a.j, generate_subscripts(x.x, 1) AS i, unnest(x.x) AS e FROM a{r} a JOIN x USING (v))
+            GROUP BY j, i)
+      GROUP BY j) m USING (j)"""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED ({assign.format(r=r)})")
+        if r < rounds:
+            steps.append(f"c{r + 1} AS MATERIALIZED ({move.format(r=r)})")
+    return ",\n".join(steps)
+
+
+OP13 = f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS v, vec_id,
+         list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS j, x FROM x
+  ORDER BY sha256('3:' || vec_id), x LIMIT 8),
+{_clusters(10)},
+inertia AS (SELECT j, sum(d)::BIGINT AS d FROM a10 GROUP BY j)
+SELECT x.vec_id, a.j::INTEGER AS cluster, a.d::BIGINT AS distance, i.d AS cluster_inertia,
+       (SELECT sum(d)::BIGINT FROM a10) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a10 a JOIN x USING (v) JOIN inertia i USING (j) JOIN c10 c USING (j)
+"""
+
+ORACLE = {"op3_quality_rules": OP3, "op8_decontamination": OP8, "op13_centroids": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import credentials, ctw, decontaminate, jaccard, lines, packing, pii, quality, repeats, rules
+from farebox.llm import centroids, credentials, ctw, decontaminate, jaccard, lines, packing, pii, quality, repeats, rules, whitening
 from farebox.llm.common import documents
 
 
@@ -50,6 +50,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(embeddings(spark, sf_dir))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_context_tree": op2_context_tree,
@@ -61,4 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_personal_data": op10_personal_data,
+    "op12_whitening": op12_whitening,
+    "op13_centroids": op13_centroids,
 }
