@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import centroids, credentials, ctw, decontaminate, jaccard, lines, packing, pii, quality, repeats, rules, whitening
+from farebox.llm import centroids, credentials, ctw, decontaminate, jaccard, language, lines, packing, pii, quality, repeats, rules, whitening
 from farebox.llm.common import documents
 
 
@@ -50,6 +50,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(documents(spark, sf_dir))
+
+
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_packing": op9_packing,
     "op10_personal_data": op10_personal_data,
+    "op11_language": op11_language,
     "op12_whitening": op12_whitening,
     "op13_centroids": op13_centroids,
 }

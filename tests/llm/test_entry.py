@@ -14,7 +14,7 @@ from farebox.llm.queries import QUERIES
 def test_all_operators_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [n for n in range(1, 14) if n != 11]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) <= set(names) and set(ORACLE) <= set(entry.oracle_sql())
 
 
@@ -39,9 +39,9 @@ sys.path.insert(0, {root!r})
 from farebox.session import local_session
 from farebox.llm.queries import QUERIES
 spark = local_session(2, shuffle_partitions=2)
-for name in ("op2_context_tree", "op4_near_copies", "op7_repeated_strings", "op9_packing", "op12_whitening", "op13_centroids"):
+for name in ("op2_context_tree", "op4_near_copies", "op7_repeated_strings", "op9_packing", "op11_language", "op12_whitening", "op13_centroids"):
     print(name, QUERIES[name](spark, {sf_dir!r}).count() > 0)
 """
     clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=600)
-    assert run.stdout.count("True") == 6, run.stderr[-2000:]
+    assert run.stdout.count("True") == 7, run.stderr[-2000:]
