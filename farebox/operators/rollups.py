@@ -5,10 +5,10 @@ same key add up, whatever batch or partition they come from, so batch and stream
 and a partial aggregation always runs before the shuffle. Averages are derived when a rollup is
 read.
 
-A number within ``REACH`` goes into a decimal sum of nine places, which is exact in any order and
-cannot run over. What a decimal cannot hold (larger numbers, infinities, NaN) is added up beside it as
-a double, in ``wild_`` columns that are 0 otherwise; the two make the total, so one odd trip neither
-spoils other sums nor stops the job.
+A number within ``REACH`` is cut into its whole part and nine places, both added up as longs: exact in any
+order, and the sums run over only after nine thousand million trips with one key. State holds the two as
+one decimal. Larger numbers, infinities and NaN are added up beside it as doubles, in ``wild_`` columns
+that are 0 otherwise; the two make the total, so one odd trip neither spoils other sums nor stops the job.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from farebox.functions.counts import counter_names, counters
 from farebox.functions.scalars import parse_time, seconds_between, year_month
 
-REACH = 1e15
-_EXACT = "decimal(24,9)"
+REACH = 1e9
+#: Numbers up to here keep nine places when a double takes off their whole part.
+_CLOSE = 2.0**20
+_SUM = "decimal(34,9)"
 _NUMBERS = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount", "mta_tax"]
 
 
@@ -129,8 +131,8 @@ def facts_from_trips(trips: DataFrame) -> DataFrame:
     )
 
 
-def facts_from_messages(decoded: DataFrame) -> DataFrame:
-    """Trip facts from decoded messages.
+def facts_from_messages(decoded: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """Trip facts from decoded messages, with ``more`` columns of them.
 
     A number that is absent counts as 0; one that is null or does not convert keeps the trip out.
     """
@@ -155,6 +157,7 @@ def facts_from_messages(decoded: DataFrame) -> DataFrame:
         parse_time(F.col("msg.tpep_pickup_datetime")).alias("pickup_ts"),
         parse_time(F.col("msg.tpep_dropoff_datetime")).alias("dropoff_ts"),
         *[number(c).alias(c) for c in _NUMBERS],
+        *[column.alias(name) for name, column in (more or {}).items()],
     )
     return _facts(flat.withColumn("bad_number", null_field))
 
@@ -164,12 +167,9 @@ def _facts(flat: DataFrame) -> DataFrame:
         F.col("dropoff_ts").isNull(), F.lit("bad tpep_dropoff_datetime")
     )
     plain = [c for c in flat.columns if c not in (*_NUMBERS, "bad_number")]
-    # NaN is above every number here.
-    tame = {c: F.abs(F.col(c).cast("double")) < REACH for c in _NUMBERS}
     return flat.select(
         *plain,
-        *[F.when(tame[c], F.col(c)).otherwise(F.lit(0)).cast(_EXACT).alias(c) for c in _NUMBERS],
-        *[F.when(tame[c], 0.0).otherwise(F.col(c).cast("double")).alias(f"wild_{c}") for c in _NUMBERS],
+        *[part for c in _NUMBERS for part in _parts(c)],
         F.coalesce(bad_time, F.col("bad_number")).alias("bad"),
         year_month(F.col("pickup_ts")).alias("year_month"),
         F.to_date("pickup_ts").alias("pickup_date"),
@@ -178,6 +178,28 @@ def _facts(flat: DataFrame) -> DataFrame:
     )
 
 
+def _parts(name: str) -> list[Column]:
+    """A number as its whole part, its billionths, and what is beyond reach."""
+    value = F.col(name).cast("double")
+    # NaN is above every number here.
+    tame = F.abs(value) < REACH
+    whole = F.floor(value)
+    near = F.round((value - whole) * 1e9).cast("long")
+    far = ((F.col(name).cast("decimal(24,9)") - whole) * 1_000_000_000).cast("long")
+    return [
+        F.when(tame, whole).otherwise(F.lit(0).cast("long")).alias(f"whole_{name}"),
+        F.when(F.abs(value) < _CLOSE, near).when(tame, far).otherwise(F.lit(0).cast("long")).alias(f"parts_{name}"),
+        F.when(tame, 0.0).otherwise(value).alias(f"wild_{name}"),
+    ]
+
+
+def _sum(measure: str) -> Column:
+    if measure not in _NUMBERS:
+        return F.sum(measure)
+    whole, parts = F.sum(f"whole_{measure}"), F.sum(f"parts_{measure}")
+    return (whole.cast(_SUM) + parts.cast("decimal(20,0)") / 1_000_000_000).cast(_SUM)
+
+
 def accepted(facts: DataFrame) -> DataFrame:
     return facts.filter(F.col("bad").isNull())
 
@@ -195,7 +217,7 @@ def aggregate(facts: DataFrame, rollup: Rollup, extra_keys: tuple[str, ...] = ()
     """State rows of a rollup from accepted trip facts."""
     return facts.groupBy(*rollup.keys, *extra_keys).agg(
         F.count("*").alias("trip_count"),
-        *[F.sum(m).alias(f"sum_{m}") for m in rollup.measures],
+        *[_sum(m).alias(f"sum_{m}") for m in rollup.measures],
         *[F.sum(w).alias(w) for w in rollup.wild],
         *counters(*rollup.families),
     )

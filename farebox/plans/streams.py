@@ -15,7 +15,7 @@ from farebox.plans.workspace import Workspace
 from farebox.schemas import EVENT
 from farebox.sinks import files
 from farebox.sources import topic
-from farebox.streaming import live, log
+from farebox.streaming import deliveries, live, log
 from farebox.streaming import rollups as rollup_stream
 
 STREAMS: dict[str, Query] = {}
@@ -61,26 +61,22 @@ def stream_documents(ws: Workspace) -> DataFrame:
     return documents.flatten_documents(ws.spark.read.parquet(path))
 
 
-def _rollup_home(ws: Workspace) -> str:
+def _trips_home(ws: Workspace) -> str:
+    """The trip consumer: one run over the topic feeds rollups, outcomes and dictionary."""
     source = ws.topic_path()
 
     def run(home: str) -> None:
-        log.run(_topic(ws, source), rollup_stream.rollup_batch(home), _checkpoint(ws, "rollups"))
-        log.at_once(
-            *[
-                partial(rollup_stream.publish, ws.spark, home, r, f"{home}/served_{r.name}")
-                for r in ROLLUPS.values()
-            ]
-        )
-        rollup_stream.tidy(ws.spark, home)
+        publish = partial(rollup_stream.publish, home=home)
+        on_batch = log.folding(rollup_stream.rollup_batch(home), publish)
+        log.run(_topic(ws, source), on_batch, _checkpoint(ws, "rollups"))
+        publish(ws.spark)
 
     return ws.once("stream_rollups", run)
 
 
 def _served(ws: Workspace, name: str) -> DataFrame:
-    home, rollup = _rollup_home(ws), ROLLUPS[name]
-    schema = rollup_stream.stored_state(ws.spark, home, rollup).schema
-    state = files.read_rollup(ws.spark, f"{home}/served_{name}", schema)
+    home, rollup = _trips_home(ws), ROLLUPS[name]
+    state = rollup_stream.stored_state(ws.spark, home, rollup)
     return _text_dates(rollups.present(state, rollup))
 
 
@@ -106,7 +102,7 @@ def stream_rollup_vendor(ws: Workspace) -> DataFrame:
 
 @stream
 def stream_ingest_metrics(ws: Workspace) -> DataFrame:
-    return rollup_stream.ingest_metrics(ws.spark, _rollup_home(ws))
+    return rollup_stream.ingest_metrics(ws.spark, _trips_home(ws))
 
 
 # ---- live view -------------------------------------------------------------------------------
@@ -120,10 +116,11 @@ def _live_home(ws: Workspace, every: str | None = None) -> str:
         source = f"{home}/topic"
         early = F.get_json_object(F.col("value").cast("string"), "$.payment_type") == "2"
         ws.topic().filter(early).write.mode("overwrite").parquet(source)
-        since = topic.newest_file(ws.spark, source)
+        backlog = topic.present_files(ws.spark, source, f"{home}/backlog")
         ws.topic().filter(~early).write.mode("append").parquet(source)
-        messages = _topic(ws, source, starting="latest", since=since)
-        log.run(messages, live.live_batch(home), f"{home}/checkpoint", every=every)
+        messages = _topic(ws, source, starting="latest", backlog=backlog)
+        on_batch = log.folding(live.live_batch(home), partial(log.fold_all, home=home, logs=live.LOGS))
+        log.run(messages, on_batch, f"{home}/checkpoint", every=every)
 
     return ws.once("stream_live_timed" if every else "stream_live", run)
 
@@ -151,19 +148,14 @@ def stream_recent_trips(ws: Workspace) -> DataFrame:
 
 @stream
 def stream_borough_dictionary(ws: Workspace) -> DataFrame:
-    source = ws.topic_path()
-    path = ws.once(
-        "stream_dictionary",
-        lambda home: log.run(
-            _topic(ws, source, per_trigger=1), live.dictionary_batch(home), _checkpoint(ws, "dictionary")
-        ),
-    )
-    return live.dictionary(ws.spark, path)
+    return rollup_stream.dictionary(ws.spark, _trips_home(ws))
 
 
 def _windowed(ws: Workspace, name: str, window: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
     def run(home: str) -> None:
-        log.run(_events(ws), live.window_batch(home, window), _checkpoint(ws, name))
+        merge = {"": live.sum_windows(keys)}
+        on_batch = log.folding(live.window_batch(home, window), partial(log.fold_all, home=home, logs=merge))
+        log.run(_events(ws), on_batch, _checkpoint(ws, name))
 
     return live.windows(ws.spark, ws.once(name, run), keys)
 
@@ -203,6 +195,7 @@ def stream_dedup(ws: Workspace) -> DataFrame:
     source = ws.once("topic_redelivered", send_again)
 
     def run(home: str) -> None:
-        log.run(_topic(ws, source, per_trigger=1), live.delivery_batch(home), _checkpoint(ws, "dedup"))
+        on_batch = log.folding(deliveries.delivery_batch(home), partial(deliveries.fold, home=home))
+        log.run(_topic(ws, source), on_batch, _checkpoint(ws, "dedup"))
 
-    return live.without_redeliveries(ws.spark, ws.once("stream_dedup", run))
+    return deliveries.without_redeliveries(ws.spark, ws.once("stream_dedup", run))

@@ -53,12 +53,12 @@ FACT = (
     "tpep_pickup_datetime STRING, tpep_dropoff_datetime STRING, passenger_count STRING, "
     "trip_distance STRING, fare_amount STRING, tip_amount STRING, total_amount STRING, "
     "mta_tax STRING, PULocationID STRUCT<borough: STRING, zone: STRING, LocationID: INT>, "
-    "DOLocationID STRUCT<zone: STRING, LocationID: INT>"
+    "DOLocationID STRUCT<borough: STRING, zone: STRING, LocationID: INT>"
 )
 
-# One record of a file-backed topic; the same columns a Kafka source gives.
+# One record of a topic: columns a Kafka source gives. A file-backed topic has no offsets.
 ENVELOPE = (
-    "key BINARY, value BINARY, topic STRING, partition INT, timestamp TIMESTAMP"
+    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 )
 
 # The event table used for the live view.

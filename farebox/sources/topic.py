@@ -3,12 +3,11 @@ with the same envelope columns."""
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.schemas import ENVELOPE, FACT, WIRE
+from farebox.storage import listed
 
 TOPIC = "taxi_raw"
 TOPIC_PARTITIONS = 6
@@ -20,14 +19,14 @@ def topic_stream(
     brokers: str | None = None,
     starting: str = "earliest",
     per_trigger: int | None = None,
-    since: datetime | None = None,
+    backlog: DataFrame | None = None,
     name: str = TOPIC,
 ) -> DataFrame:
     """Streaming read. Each consumer keeps its own checkpoint, which holds its offsets.
 
     ``per_trigger`` bounds one micro-batch: messages for Kafka, files for the file table. Starting from
-    ``latest``, the file table skips files up to ``since``, which ``newest_file`` gave when the consumer
-    first started.
+    ``latest``, the file table skips the files of ``backlog``, which ``present_files`` gave when the
+    consumer first started.
     """
     if brokers:
         reader = (
@@ -38,19 +37,27 @@ def topic_stream(
         )
         if per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", per_trigger)
-        return reader.load()
+        return reader.load().select(*[c.split()[0] for c in ENVELOPE.split(", ")])
     reader = spark.readStream.schema(ENVELOPE).format("parquet")
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     messages = reader.load(path)
-    if starting == "latest" and since is not None:
-        messages = messages.filter(F.col("_metadata.file_modification_time") > F.lit(since))
+    if starting == "latest" and backlog is not None:
+        marked = messages.select("*", F.col("_metadata.file_path").alias("of_file"))
+        messages = marked.join(backlog, F.col("of_file") == F.col("file"), "left_anti").drop("of_file")
     return messages
 
 
-def newest_file(spark: SparkSession, path: str) -> datetime | None:
-    """When the newest file of the file table was written: where a start from latest begins."""
-    return topic_batch(spark, path).agg(F.max("_metadata.file_modification_time")).first()[0]
+def present_files(spark: SparkSession, path: str, manifest: str) -> DataFrame:
+    """(file): the files of the file table when this was first called with ``manifest``, which keeps them.
+
+    A start from latest skips exactly these, whatever the clock says: neither a file of the same instant
+    nor one that is committed later under an earlier time is lost, and a restart skips the same ones.
+    """
+    if not listed(spark, f"{manifest}/_SUCCESS"):
+        files = topic_batch(spark, path).select(F.col("_metadata.file_path").alias("file")).distinct()
+        files.write.mode("overwrite").parquet(manifest)
+    return spark.read.schema("file string").parquet(manifest)
 
 
 def topic_batch(spark: SparkSession, path: str) -> DataFrame:

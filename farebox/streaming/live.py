@@ -1,16 +1,16 @@
-"""Live view of the topic: totals, latency, recent trips, windows, dictionary, redeliveries."""
+"""Live view of the topic: totals, latency, recent trips, windows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.operators import documents
-from farebox.sources.topic import decode_facts, decode_wire
-from farebox.streaming.log import read_batches, write_batch
+from farebox.sources.topic import decode_facts
+from farebox.streaming.log import Merge, at_once, read_batches, write_batch
 
 # How many trips and latencies the live view keeps.
 RECENT = 15
@@ -67,20 +67,31 @@ def live_batch(home: str, per_poll: int | None = None) -> Callable[[DataFrame, i
                 F.count_if("broken").alias("errors"),
                 F.max("timestamp").alias("last_trip_time"),
             )
+            # The first job fills the cache the others read.
             write_batch(totals, f"{home}/totals", batch_id)
-            if per_poll is None:
-                newest = shown.orderBy(F.desc("timestamp"), F.desc("trip_id")).limit(RECENT)
-            else:
-                newest = shown.orderBy("timestamp", "trip_id").limit(per_poll)
-            write_batch(newest.drop("latency_ms", "paid", "broken"), f"{home}/recent", batch_id)
+            newest = _newest(shown) if per_poll is None else shown.orderBy("timestamp", "trip_id").limit(per_poll)
             stamped = shown.filter(F.col("latency_ms").isNotNull())
-            write_batch(_newest_latencies(stamped), f"{home}/latencies", batch_id)
+            at_once(
+                partial(write_batch, newest.drop("latency_ms", "paid", "broken"), f"{home}/recent", batch_id),
+                partial(write_batch, _newest_latencies(stamped), f"{home}/latencies", batch_id),
+            )
         finally:
             shown.unpersist()
 
     return on_batch
 
 
+def _newest(rows: DataFrame) -> DataFrame:
+    return rows.orderBy(F.desc("timestamp"), F.desc("trip_id")).limit(RECENT)
+
+
+def _sum_totals(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("latency_ms").agg(
+        *[F.sum(c).alias(c) for c in ("total_trips", "total_revenue", "errors")],
+        F.max("last_trip_time").alias("last_trip_time"),
+    )
+
+
 def live_stats(spark: SparkSession, home: str) -> DataFrame:
     return read_batches(spark, f"{home}/totals").agg(
         F.sum("total_trips").alias("total_trips"),
@@ -112,31 +123,17 @@ def live_latency(spark: SparkSession, home: str) -> DataFrame:
 
 
 def recent_trips(spark: SparkSession, home: str, n: int = RECENT) -> DataFrame:
-    """Newest trips first."""
+    """Newest trips first, at most ``RECENT``: older ones go when the log is folded."""
     log = read_batches(spark, f"{home}/recent")
-    return log.orderBy(F.desc("timestamp"), F.desc("trip_id")).limit(n).drop("batch_id", "timestamp")
-
-
-def dictionary_batch(home: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that logs where each borough of the batch first appears."""
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        wire = decode_wire(batch)
-        first = documents.first_seen(
-            wire,
-            F.unix_millis("timestamp"),
-            F.col("msg.PULocationID.borough"),
-            F.col("msg.DOLocationID.borough"),
-        )
-        write_batch(first, home, batch_id)
-
-    return on_batch
+    return log.orderBy(F.desc("timestamp"), F.desc("trip_id")).limit(min(n, RECENT)).drop("batch_id", "timestamp")
 
 
-def dictionary(spark: SparkSession, home: str) -> DataFrame:
-    """Borough ids over all batches; the same whatever batches the messages came in."""
-    log = read_batches(spark, home)
-    return documents.borough_dictionary(log.groupBy("borough").agg(F.min("first").alias("first")))
+#: Logs of the live view, with what merges their batches.
+LOGS: dict[str, Merge] = {
+    "totals": _sum_totals,
+    "recent": _newest,
+    "latencies": _newest_latencies,
+}
 
 
 def hourly_window(events: DataFrame) -> DataFrame:
@@ -165,37 +162,15 @@ def window_batch(home: str, window: Callable[[DataFrame], DataFrame]) -> Callabl
     return lambda batch, batch_id: write_batch(window(batch), home, batch_id)
 
 
-def windows(spark: SparkSession, home: str, keys: list[str]) -> DataFrame:
-    """The windows over all batches."""
-    log = read_batches(spark, home)
-    return log.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in log.columns if c not in (*keys, "batch_id")]
-    )
-
-
-def delivery_batch(home: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that logs one message per trip id of the batch."""
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = decode_facts(batch).select(
-            F.unix_millis("timestamp").alias("arrived"),
-            "msg.trip_id",
-            F.col("msg.VendorID").cast("int").alias("vendor_id"),
-            F.col("msg.total_amount").try_cast("double").alias("total_amount"),
-        )
-        write_batch(_first_delivery(rows), home, batch_id)
-
-    return on_batch
+def sum_windows(keys: list[str]) -> Merge:
+    """Parts of windows with the same keys add up."""
 
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in (*keys, "batch_id")])
 
-def without_redeliveries(spark: SparkSession, home: str) -> DataFrame:
-    """One message per trip id over all batches, however late it was delivered again."""
-    return _first_delivery(read_batches(spark, home)).drop("arrived")
+    return merge
 
 
-def _first_delivery(rows: DataFrame) -> DataFrame:
-    """Per trip id its earliest message."""
-    values = ["vendor_id", "total_amount"]
-    return rows.groupBy("trip_id").agg(
-        F.min("arrived").alias("arrived"), *[F.min_by(c, "arrived").alias(c) for c in values]
-    )
+def windows(spark: SparkSession, home: str, keys: list[str]) -> DataFrame:
+    """The windows over all batches."""
+    return sum_windows(keys)(read_batches(spark, home))

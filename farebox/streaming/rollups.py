@@ -1,4 +1,4 @@
-"""Rollup stream: one pass over each micro-batch feeds all four rollups."""
+"""The trip consumer: each micro-batch is decoded once, and rollups, outcomes and dictionary are fed from it."""
 
 from __future__ import annotations
 
@@ -6,37 +6,51 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.operators import rollups
+from farebox.operators import documents, rollups
 from farebox.operators.rollups import ROLLUPS, Rollup
-from farebox.sinks.files import write_rollup
 from farebox.sources.topic import decode_facts
-from farebox.streaming.log import at_once, fold, read_batches, write_batch
+from farebox.streaming import served, versions
+from farebox.streaming.log import Merge, at_once, fold, read_batches, write_batch
+
+
+def _sum_outcomes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("bad").agg(F.sum("n").alias("n"))
+
+
+def _first_places(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("borough").agg(F.min("first").alias("first"))
+
+
+#: Logs of the consumer beside those of the rollups, with what merges their batches.
+LOGS: dict[str, Merge] = {"outcomes": _sum_outcomes, "dictionary": _first_places}
 
 
 def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that logs the batch's partial rollups and its trips per outcome
-    (taken, or the field that kept them out) under ``home``."""
+    """foreachBatch function that logs under ``home`` the batch's partial rollups, its trips per outcome
+    (taken, or the field that kept them out) and the first place of each borough.
+
+    The message is parsed once, into columns that are held while the jobs run.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        facts = rollups.facts_from_messages(decode_facts(batch)).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        decoded = decode_facts(batch)
+        more = {"arrived": F.unix_millis("timestamp"), "dropoff_borough": F.col("msg.DOLocationID.borough")}
+        facts = rollups.facts_from_messages(decoded, more).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = rollups.accepted(facts)
             outcomes = facts.groupBy("bad").agg(F.count("*").alias("n"))
             # The first job fills the cache the others read.
             write_batch(outcomes, f"{home}/outcomes", batch_id)
+            good = rollups.accepted(facts)
+            first = documents.first_seen(facts, F.col("arrived"), F.col("borough"), F.col("dropoff_borough"))
             at_once(
+                partial(write_batch, first, f"{home}/dictionary", batch_id),
                 *[
-                    partial(
-                        write_batch, rollups.aggregate(good, r), f"{home}/{r.name}", batch_id
-                    )
+                    partial(write_batch, rollups.aggregate(good, r), f"{home}/{r.name}", batch_id)
                     for r in ROLLUPS.values()
-                ]
+                ],
             )
         finally:
             facts.unpersist()
@@ -44,55 +58,33 @@ def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
     return on_batch
 
 
+def served_table(home: str, rollup: Rollup) -> str:
+    return f"{home}/served_{rollup.name}"
+
+
 def stored_state(spark: SparkSession, home: str, rollup: Rollup) -> DataFrame:
     """The rollup's state over all batches."""
-    return rollups.merge(read_batches(spark, f"{home}/{rollup.name}"), rollup)
+    return served.state(spark, f"{home}/{rollup.name}", rollup, served_table(home, rollup))
 
 
-def publish(spark: SparkSession, home: str, rollup: Rollup, table: str) -> None:
-    """Bring the served table up to date with the log.
+def publish(spark: SparkSession, home: str, keep: int = versions.KEEP) -> None:
+    """Bring the served tables up to date and fold the other logs; may run beside the stream and readers."""
+    at_once(
+        *[partial(served.publish, spark, f"{home}/{r.name}", r, served_table(home, r), keep=keep) for r in ROLLUPS.values()],
+        *[partial(fold, spark, f"{home}/{name}", merge, keep) for name, merge in LOGS.items()],
+    )
 
-    The last published batch is kept beside the table. Only months that later batches touched are
-    recomputed, and they are replaced whole, so publishing twice changes nothing.
-    """
-    log = read_batches(spark, f"{home}/{rollup.name}")
-    mark = f"{table}_published"
-    done = _published(spark, mark)
-    last = log.agg(F.max("batch_id")).first()[0]
-    if last is None or last == done:
-        return
-    if done is not None:
-        months = log.filter(F.col("batch_id") > done).select(F.col("year_month").alias("touched")).distinct()
-        log = log.join(months, F.col("year_month").eqNullSafe(F.col("touched")), "left_semi")
-    write_rollup(rollups.merge(log, rollup), rollup, table)
-    spark.range(1).select(F.lit(last).cast("long").alias("batch_id")).write.mode("overwrite").parquet(mark)
-
-
-def _published(spark: SparkSession, mark: str) -> int | None:
-    try:
-        row = spark.read.schema("batch_id long").parquet(mark).first()
-    except AnalysisException:  # nothing published yet
-        return None
-    return row[0] if row else None
-
-
-def tidy(spark: SparkSession, home: str) -> None:
-    """Fold the batches of all logs under ``home``; publish first, so that no touched month is missed."""
-    fold(spark, f"{home}/outcomes", lambda log: log.groupBy("bad").agg(F.sum("n").alias("n")))
-    for rollup in ROLLUPS.values():
-        fold(spark, f"{home}/{rollup.name}", partial(rollups.merge, rollup=rollup))
+
+def dictionary(spark: SparkSession, home: str) -> DataFrame:
+    """Borough ids over all batches; the same whatever batches the messages came in."""
+    return documents.borough_dictionary(_first_places(read_batches(spark, f"{home}/dictionary")))
 
 
 def ingest_metrics(spark: SparkSession, home: str) -> DataFrame:
     """Messages received, processed and rejected, and rows the rollups hold."""
     stored = None
     for rollup in ROLLUPS.values():
-        rows = (
-            read_batches(spark, f"{home}/{rollup.name}")
-            .groupBy(*rollup.keys)
-            .agg(F.count("*").alias("parts"))
-            .agg(F.count("*").alias("rows_stored"))
-        )
+        rows = stored_state(spark, home, rollup).agg(F.count("*").alias("rows_stored"))
         stored = rows if stored is None else stored.unionByName(rows)
     return (
         read_batches(spark, f"{home}/outcomes")
