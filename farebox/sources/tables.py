@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farebox.schemas import TRIP_FILE, WIRE
-from farebox.session import checkpointed
+from farebox.session import checkpointed, written
 from farebox.sources.topic import top_keys
 
 
@@ -20,14 +20,15 @@ def scan_json_arrays(spark: SparkSession, folder: str, schema: str = WIRE) -> Da
 
     A file that does not decode gives no rows here; ``json_records`` reports it.
     """
-    return (
-        spark.read.schema(f"{schema}, _corrupt STRING")
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("recursiveFileLookup", True)
-        .json(folder)
-    )
+    lines = _array_lines(spark, folder)
+    files = _layouts(lines)
+    cut, open_ = _odd(files)
+    rows = lines.join(files.filter("over_lines OR NOT closed"), "file", "left_anti") if cut or open_ else lines
+    found = rows.filter("bare <> ''").select(F.explode(_held(f"STRUCT<{schema}>")).alias("r"))
+    if cut:
+        over = _records_over_lines(lines.join(files.filter("over_lines"), "file", "left_semi"))
+        found = found.unionByName(over.filter("record IS NOT NULL").select(F.from_json("record", schema).alias("r")))
+    return found.select("r.*")
 
 
 def json_records(spark: SparkSession, folder: str, layout: str = "array") -> DataFrame:
@@ -36,17 +37,33 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
     ``record`` keeps the JSON as written, so a missing key can be told from a null one. A line that
     does not decode gives a row with a null ``record``. Layout ``array`` is one array a file, however it
     is broken into lines; a file whose array never closes has one more row with a null ``record``. Files
-    with whole records on each line split at any line; in the others records are cut out by their
-    brackets, and if one of those does not decode, the file has rows with a null ``record`` only.
+    with whole records on each line are read line by line; in the others records are cut out by their
+    brackets, and if one of those does not decode, the file has rows with a null ``record`` only. Both
+    read a file in as many tasks as it has splits.
     """
-    lines = spark.read.option("recursiveFileLookup", True)
     if layout == "lines":
-        return lines.text(folder).select(
+        lines = spark.read.option("recursiveFileLookup", True).text(folder)
+        return lines.select(
             F.col("_metadata.file_path").alias("file"),
             F.when(top_keys(F.col("value")).isNotNull(), F.col("value")).alias("record"),
         )
+    lines = _array_lines(spark, folder)
+    files = _layouts(lines)
+    cut, open_ = _odd(files)
+    rows = lines.join(files.filter("over_lines"), "file", "left_anti") if cut else lines
+    found = rows.filter("bare <> ''").select("file", F.explode_outer(_held("STRING")).alias("record"))
+    if cut:
+        found = found.unionByName(_records_over_lines(lines.join(files.filter("over_lines"), "file", "left_semi")))
+    if open_:
+        found = found.unionByName(files.filter("NOT closed").select("file", F.lit(None).cast("string").alias("record")))
+    return found
+
+
+def _array_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with their place: file, start of the split, number inside it; ``bare`` is without the array's own
+    brackets and the comma at the end."""
     text = F.btrim("value")
-    rows = lines.text(folder).select(
+    return spark.read.option("recursiveFileLookup", True).text(folder).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"),
@@ -54,18 +71,28 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
         text.alias("text"),
         F.regexp_replace(text, r"^\[|[,\]]$", "").alias("bare"),
     )
-    held = F.from_json(F.concat(F.lit("["), "bare", F.lit("]")), "array<string>")
-    # A row per file at most, which the driver's listing has anyway.
-    broken = F.broadcast(checkpointed(rows.filter("bare <> ''").filter(held.isNull()).select("file").distinct()))
-    by_line = rows.filter("bare <> ''").join(broken, "file", "left_anti")
-    closed = rows.groupBy("file").agg(F.max(F.col("text").endswith("]").cast("int")).alias("closed"))
-    return (
-        by_line.select("file", F.explode_outer(held).alias("record"))
-        .unionByName(_records_over_lines(rows.join(broken, "file", "left_semi")))
-        .unionByName(closed.filter("closed = 0").select("file", F.lit(None).cast("string").alias("record")))
+
+
+def _held(element: str) -> Column:
+    """The whole records of a line, null if it does not hold whole records."""
+    return F.from_json(F.concat(F.lit("["), "bare", F.lit("]")), f"ARRAY<{element}>")
+
+
+def _layouts(lines: DataFrame) -> DataFrame:
+    """(file, closed, over_lines): whether its array closes, and whether records span lines."""
+    torn = (F.col("bare") != "") & _held("STRING").isNull()
+    return written(
+        lines.groupBy("file").agg(
+            F.max(F.col("text").endswith("]")).alias("closed"), F.max(torn).alias("over_lines")
+        )
     )
 
 
+def _odd(files: DataFrame) -> tuple[int, int]:
+    """Files with records over lines, files whose array never closes."""
+    return tuple(files.agg(F.count_if("over_lines"), F.count_if(~F.col("closed"))).first())
+
+
 def _pieces(line: Column) -> Column:
     """The line cut behind every comma outside strings, as (piece, turn): brackets opened less closed.
 
@@ -87,13 +114,48 @@ def _pieces(line: Column) -> Column:
     return F.transform(F.split(F.concat(F.array_join(marked, '"'), F.lit("\n")), "\x03"), piece)
 
 
+def _chunks(pieces: DataFrame) -> DataFrame:
+    """(file, start, base, first, sound) per split: the depth and the number of records before it, and whether
+    the file's brackets close.
+
+    A split counts its turns and, for every depth as seen from its own start, the commas met at it; where the
+    split before it ended says which of those depths is the array's. So the prefix sums over a file run over a
+    row per split.
+    """
+    along = Window.partitionBy("file", "start").orderBy("line", "place")
+    deep = pieces.select("file", "start", "turn", "comma", F.sum("turn").over(along).alias("depth"))
+    met = deep.groupBy("file", "start", "depth").agg(F.sum("turn").alias("turn"), F.count_if("comma").alias("commas"))
+    splits = met.groupBy("file", "start").agg(
+        F.sum("turn").alias("turn"), F.map_from_entries(F.collect_list(F.struct("depth", "commas"))).alias("commas")
+    )
+    by_start = Window.partitionBy("file").orderBy("start")
+    before = by_start.rowsBetween(Window.unboundedPreceding, -1)
+    based = splits.select(
+        "file",
+        "start",
+        "commas",
+        F.coalesce(F.sum("turn").over(before), F.lit(0)).alias("base"),
+        (F.sum("turn").over(Window.partitionBy("file")) == 0).alias("sound"),
+    )
+    ends = F.coalesce(F.try_element_at("commas", F.lit(1) - F.col("base")), F.lit(0))
+    return based.select("file", "start", "base", F.coalesce(F.sum(ends).over(before), F.lit(0)).alias("first"), "sound")
+
+
 def _records_over_lines(rows: DataFrame) -> DataFrame:
-    """(file, record) of arrays whose records span lines: cut at the commas that only the array encloses."""
-    along = Window.partitionBy("file").orderBy("start", "line", "place")
-    pieces = rows.select("file", "start", "line", F.posexplode(_pieces(F.col("value"))).alias("place", "x"))
-    deep = pieces.select("file", "start", "line", "place", "x.piece", F.sum("x.turn").over(along).alias("depth"))
+    """(file, record) of arrays whose records span lines: cut at the commas that only the array encloses.
+
+    A file whose brackets do not close has one row with a null record.
+    """
+    cut = F.posexplode(_pieces(F.col("value"))).alias("place", "x")
+    pieces = rows.select("file", "start", "line", cut).select("file", "start", "line", "place", "x.*")
+    marks = pieces.select("file", "start", "line", "place", "turn", F.col("piece").endswith(",").alias("comma"))
+    chunks = written(_chunks(marks))
+    along = Window.partitionBy("file", "start").orderBy("line", "place")
+    deep = pieces.join(chunks.filter("sound"), ["file", "start"]).withColumn("depth", F.col("base") + F.sum("turn").over(along))
     ends = ((F.col("depth") == 1) & F.col("piece").endswith(",")).cast("int")
-    numbered = deep.select("*", ends.alias("ends"), (F.sum(ends).over(along) - ends).alias("n"))
+    numbered = deep.select(
+        "file", "start", "line", "place", "piece", ends.alias("ends"), (F.col("first") + F.sum(ends).over(along) - ends).alias("n")
+    )
     in_order = F.array_sort(F.collect_list(F.struct("start", "line", "place", "piece")))
     whole = numbered.groupBy("file", "n").agg(
         F.array_join(F.transform(in_order, lambda x: x["piece"]), "").alias("text"), F.max("ends").alias("ends")
@@ -105,5 +167,7 @@ def _records_over_lines(rows: DataFrame) -> DataFrame:
     # Inside an object, a bracket too many does not decode.
     held = F.from_json(F.concat(F.lit('{"r":'), bare, F.lit("}")), "map<string,string>")["r"]
     records = checkpointed(whole.select("file", F.when(opened & shut, held).alias("record")))
-    failed = F.broadcast(records.filter("record IS NULL").select("file", F.lit(True).alias("failed")).distinct())
-    return records.join(failed, "file", "left").filter("failed IS NULL OR record IS NULL").select("file", "record")
+    failed = written(records.filter("record IS NULL").select("file", F.lit(True).alias("failed")).distinct())
+    kept = records.join(failed, "file", "left").filter("failed IS NULL OR record IS NULL").select("file", "record")
+    torn = chunks.filter("NOT sound").select("file").distinct()
+    return kept.unionByName(torn.select("file", F.lit(None).cast("string").alias("record")))
