@@ -7,6 +7,7 @@ of one text are chained by their transfer matrices, so the result is that of the
 
 from __future__ import annotations
 
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -20,42 +21,53 @@ STEPS = 60
 
 class Field(NamedTuple):
     labels: list[str]
-    features: dict[str, int]
+    features: np.ndarray  # keys of pieces of words, ascending
     weights: np.ndarray  # a row per feature, a column per label
-    lexicon: dict[str, list[float]]  # counts per label
-    totals: np.ndarray  # words per label
-    shares: np.ndarray  # from shares in the lexicon, and from not being in it, to labels
+    lexicon: dict[str, int]  # rows of ``known``
+    known: np.ndarray  # scores of the lexicon's words by their frequencies; the last row is for all others
     moves: np.ndarray  # log weights of transitions
 
 
-def pieces(word: str) -> list[str]:
-    """Affixes of one to four letters and n-grams of two and three; < and > stand at the ends."""
-    s = f"<{word}>"
-    n = len(s)
-    grams = [s[i : i + 2] for i in range(n - 1)] + [s[i : i + 3] for i in range(n - 2)]
-    if n > 4:
-        grams += [s[:4], s[-4:]]
-    if n > 5:
-        grams += [s[:5], s[-5:]]
-    return grams
+def pieces(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, word) of the n-grams of two and three letters and the affixes of three and four, with < and >
+    at the ends of words. Keys of n-grams are their code points; those of affixes are hashes."""
+    text = "<" + "><".join(words) + ">"
+    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    word = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(ends, sizes) - np.arange(len(points))
+    step = np.uint64(21)
+    two = (points[:-1] << step) | points[1:]
+    keys, owners = [two[left[:-1] >= 2]], [word[left >= 2]]
+    if len(points) > 2:
+        three = (two[:-1] << step) | points[2:]
+        keys.append(three[left[:-2] >= 3])
+        owners.append(word[left >= 3])
+    for n in (4, 5):
+        long = np.flatnonzero(sizes >= n)
+        for side, at in ((n, starts[long]), (n + 2, ends[long] - n)):
+            mixed = np.full(len(long), side, dtype=np.uint64)
+            for i in range(n):
+                mixed = (mixed ^ points[at + i]) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(29)
+            keys.append(mixed | np.uint64(1 << 63))
+            owners.append(long)
+    return np.concatenate(keys), np.concatenate(owners)
 
 
-def lexicon_row(counts: list[float] | None, totals: np.ndarray, less: int | None = None) -> np.ndarray:
-    """Each label's share of the word's relative frequencies, and whether the lexicon has it.
+def lexicon_rows(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Each label's share of a word's relative frequencies, and 1 in the last column where it has none."""
+    rate = counts / totals
+    whole = rate.sum(axis=1, keepdims=True)
+    none = whole == 0
+    return np.concatenate([rate / np.where(none, 1.0, whole), none.astype(np.float64)], axis=1)
 
-    ``less`` takes one occurrence off a label's count: a word of a training text must not vouch for itself.
-    """
-    row = np.zeros(len(totals) + 1)
-    if counts is not None:
-        rate = np.array(counts)
-        if less is not None:
-            rate[less] = max(rate[less] - 1, 0)
-        rate = rate / totals
-        if rate.sum() > 0:
-            row[:-1] = rate / rate.sum()
-            return row
-    row[-1] = 1.0
-    return row
+
+def _gathered(weights: np.ndarray, rows: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows of ``weights`` per owner."""
+    return np.stack([np.bincount(owners, weights=w[rows], minlength=n) for w in weights.T], axis=1)
 
 
 def _sweeps(p: np.ndarray, live: list[int], start: np.ndarray, end: np.ndarray, a: np.ndarray, pairs: np.ndarray | None = None):
@@ -175,18 +187,20 @@ def fit(
 ) -> Field:
     """The field that makes the labels of ``sequences`` of (word, label) likeliest, by gradient steps.
 
-    Features are those of the sequences' words; the driver holds them and a weight per feature and label.
+    ``lexicon`` has a word's count per label; in training a word's own occurrence is taken off, so that it
+    does not vouch for itself. Features are those of the sequences' words; the driver holds them and a weight
+    per feature and label.
     """
     k = len(labels)
     sequences = sorted((s for s in sequences if s), key=len, reverse=True)
     kinds: dict[tuple[str, int], int] = {}
     tokens = [[kinds.setdefault(t, len(kinds)) for t in s] for s in sequences]
-    features: dict[str, int] = {}
-    held = [[features.setdefault(g, len(features)) for g in pieces(w)] for w, _ in kinds]
-    sizes = np.array([len(h) for h in held])
-    flat, starts = np.array([f for h in held for f in h]), np.cumsum(sizes) - sizes
-    shares = np.array([lexicon_row(lexicon.get(w), totals, less=y) for w, y in kinds])
+    keys, owners = pieces([w for w, _ in kinds])
+    features, flat = np.unique(keys, return_inverse=True)
     gold = np.array([y for _, y in kinds])
+    counts = np.array([lexicon.get(w, [0.0] * k) for w, _ in kinds], dtype=np.float64)
+    counts[np.arange(len(kinds)), gold] = np.maximum(counts[np.arange(len(kinds)), gold] - 1, 0)
+    shares = lexicon_rows(counts, totals)
     lengths = np.array([len(t) for t in tokens])
     longest = int(lengths[0])
     live = [int((lengths > i).sum()) for i in range(longest)]
@@ -209,7 +223,7 @@ def fit(
 
     def loss(x: np.ndarray):
         weights, of_share, moves = opened(x)
-        scores = np.add.reduceat(weights[flat], starts, axis=0) + shares @ of_share
+        scores = _gathered(weights, flat, owners, len(kinds)) + shares @ of_share
         top = scores.max(axis=1, keepdims=True)
         p = np.exp(scores - top)[at]
         a = np.exp(moves)
@@ -219,19 +233,16 @@ def fit(
         first = np.bincount(gold[at[0]], minlength=k)
         into = np.exp(moves).sum(axis=0) / k
         path = float((scores[known, gold[known]] - top[known, 0]).sum() + (follow * moves).sum() + first @ np.log(into))
-        excess = np.stack([np.bincount(known, weights=found[inside][:, j], minlength=len(kinds)) for j in range(k)], axis=1)
+        excess = np.stack([np.bincount(known, weights=f, minlength=len(kinds)) for f in found[inside].T], axis=1)
         excess[np.arange(len(kinds)), gold] -= target
         from_first = np.exp(moves) / k * (first / into)[None, :]
-        grads = [
-            np.stack([np.bincount(flat, weights=np.repeat(excess[:, j], sizes), minlength=len(features)) for j in range(k)], axis=1),
-            shares.T @ excess,
-            pairs - follow - from_first,
-        ]
+        grads = [_gathered(excess, owners, flat, len(features)), shares.T @ excess, pairs - follow - from_first]
         slope = np.concatenate([g.ravel() for g in grads]) / words + 2 * ridge * x
         return (logs - path) / words + ridge * float(x @ x), slope
 
     weights, of_share, moves = opened(_minimum(loss, np.zeros(cuts[-1]), steps))
-    return Field(labels, features, weights, lexicon, totals, of_share, moves)
+    listed = np.array([*lexicon.values(), [0.0] * k], dtype=np.float64)
+    return Field(labels, features, weights, {w: i for i, w in enumerate(lexicon)}, lexicon_rows(listed, totals) @ of_share, moves)
 
 
 class Scorer:
@@ -242,19 +253,23 @@ class Scorer:
         self.ids: dict[str, int] = {}
         self.rows = np.zeros((0, len(field.labels)))
 
+    def _scored(self, words: list[str]) -> np.ndarray:
+        field = self.field
+        other = len(field.lexicon)
+        rows = field.known[[field.lexicon.get(w, other) for w in words]]
+        keys, owners = pieces(words)
+        at = np.minimum(np.searchsorted(field.features, keys), len(field.features) - 1)
+        met = field.features[at] == keys
+        return rows + _gathered(field.weights, at[met], owners[met], len(words))
+
     def scores(self, words: list[str]) -> np.ndarray:
         if len(self.ids) > self.most:
             self.ids, self.rows = {}, self.rows[:0]
-        ids, features, field = self.ids, self.field.features, self.field
+        ids, before = self.ids, len(self.ids)
         at = [ids.setdefault(w, len(ids)) for w in words]
-        new = list(ids)[len(self.rows) :] if len(ids) > len(self.rows) else []
-        if new:
-            rows = np.array([lexicon_row(field.lexicon.get(w), field.totals) for w in new]) @ field.shares
-            held = [[f for g in pieces(w) if (f := features.get(g)) is not None] for w in new]
-            sizes = np.array([len(h) for h in held])
-            some = np.flatnonzero(sizes)
-            if len(some):
-                flat = np.array([f for h in held for f in h])
-                rows[some] += np.add.reduceat(field.weights[flat], (np.cumsum(sizes) - sizes)[some], axis=0)
-            self.rows = np.concatenate([self.rows, rows])
+        if len(ids) > before:
+            new = list(islice(reversed(ids), len(ids) - before))[::-1]
+            if len(self.rows) < len(ids):
+                self.rows = np.concatenate([self.rows, np.empty((len(self.rows) + 2 * len(new), self.rows.shape[1]))])
+            self.rows[before : len(ids)] = self._scored(new)
         return self.rows[at]

@@ -42,26 +42,24 @@ def _counts_and_windows(most_words: int = 1 << 18):
     def run(batches: Iterator[pa.RecordBatch]):
         import xxhash
 
-        names = ["lang", "word", "n", "text"]
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.string()]
-        counts: Counter = Counter()
+        kinds = {"lang": pa.string(), "word": pa.string(), "n": pa.int64(), "text": pa.string()}
+        counts: dict[str, Counter] = {}
         heaps: dict[str, list[tuple[int, str]]] = {}
         seen: dict[str, set[int]] = {}
 
-        def emitted():
-            rows = [(lang, word, n, None) for (lang, word), n in counts.items()]
-            counts.clear()
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
-            return pa.RecordBatch.from_arrays(columns, names=names)
+        def rows(lang, words, numbers, texts):
+            columns = [[lang] * len(numbers), words, numbers, texts]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())], names=list(kinds))
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = _words(text)
+                counted = counts.setdefault(lang, Counter())
                 for start in range(0, len(words), 1 << 16):
-                    for word, n in Counter(words[start : start + (1 << 16)]).items():
-                        counts[lang, word] += n
-                    if len(counts) >= most_words:
-                        yield emitted()
+                    counted.update(words[start : start + (1 << 16)])
+                    if len(counted) >= most_words:
+                        yield rows(lang, list(counted), list(counted.values()), [None] * len(counted))
+                        counted.clear()
                 heap, held = heaps.setdefault(lang, []), seen.setdefault(lang, set())
                 for start in range(0, len(words), WINDOW):
                     window = " ".join(words[start : start + WINDOW])
@@ -72,20 +70,31 @@ def _counts_and_windows(most_words: int = 1 << 18):
                     heapq.heappush(heap, (-at, window))
                     if len(heap) > SAMPLE:
                         held.discard(-heapq.heappop(heap)[0])
-        if counts:
-            yield emitted()
-        rows = [(lang, None, -at, window) for lang, heap in heaps.items() for at, window in heap]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+        for lang, counted in counts.items():
+            if counted:
+                yield rows(lang, list(counted), list(counted.values()), [None] * len(counted))
+        for lang, heap in heaps.items():
+            if heap:
+                yield rows(lang, [None] * len(heap), [-at for at, _ in heap], [window for _, window in heap])
 
     return run
 
 
-def _first(rows: DataFrame, order: list, most: int, deal) -> DataFrame:
-    """The first ``most`` rows of each language; of every hash bucket first, so that no task sorts a whole language."""
-    dealt = rows.withColumn("deal", F.pmod(F.xxhash64(deal), F.lit(64)))
-    few = dealt.withColumn("r", F.row_number().over(Window.partitionBy("lang", "deal").orderBy(*order))).where(F.col("r") <= most)
-    return few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("r") <= most)
+def _most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """Per language its most frequent words: as many whole classes of equal counts as make ``most`` words at most."""
+    classes = counted.groupBy("lang", "n").agg(F.count("*").alias("words"))
+    so_far = F.sum("words").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    fits = classes.withColumn("so_far", so_far).where(F.col("so_far") <= most).groupBy("lang").agg(F.min("n").alias("least"))
+    # A row per language.
+    least = [F.when(F.col("lang") == r["lang"], F.col("n") >= r["least"]) for r in fits.collect()]
+    return counted.where(F.coalesce(*least, F.lit(False)))
+
+
+def _lowest(windows: DataFrame, most: int) -> DataFrame:
+    """The ``most`` windows of each language with the lowest hashes; of 64 parts first, so that no task sorts a language."""
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("at"))
+    few = windows.withColumn("part", F.col("at") % 64).withColumn("r", rank("lang", "part")).where(F.col("r") <= most)
+    return few.withColumn("r", rank("lang")).where(F.col("r") <= most).select("lang", "at", "text")
 
 
 def _switched(windows: list[tuple[list[str], int]]) -> list[list[tuple[str, int]]]:
@@ -113,8 +122,8 @@ def fitted(texts: DataFrame) -> crf.Field | None:
     """A field learned from (lang, text); None without a labelled word.
 
     Word counts cover all texts. The weights are fitted on ``SAMPLE`` different windows of ``WINDOW`` words,
-    equally many a language, those with the smallest hashes; the lexicon holds ``LEXICON`` words, the most
-    frequent of each language (ties by the word). Both reach the driver.
+    equally many a language, those with the smallest hashes; the lexicon holds at most ``LEXICON`` words, the
+    most frequent of each language, with all or none of equal frequency. Both reach the driver.
     """
     rows = stored(
         texts.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(
@@ -126,12 +135,11 @@ def fitted(texts: DataFrame) -> crf.Field | None:
     labels = sorted(totals)
     if not labels:
         return None
-    order = [F.desc("n"), F.asc("word")]
     lexicon: dict[str, list[float]] = {}
-    for r in _first(counted, order, max(1, LEXICON // len(labels)), F.col("word")).select("lang", "word", "n").collect():
+    for r in _most_frequent(counted, max(1, LEXICON // len(labels))).orderBy("word", "lang").collect():
         lexicon.setdefault(r["word"], [0.0] * len(labels))[labels.index(r["lang"])] = float(r["n"])
     windows = rows.where("text IS NOT NULL").groupBy("lang", F.col("n").alias("at")).agg(F.min("text").alias("text"))
-    sample = _first(windows, [F.asc("at")], max(1, SAMPLE // len(labels)), F.col("at")).select("lang", "at", "text").collect()
+    sample = _lowest(windows, max(1, SAMPLE // len(labels))).collect()
     dealt = [(r["text"].split(" "), labels.index(r["lang"])) for r in sorted(sample, key=lambda r: (r["at"], r["lang"]))]
     return crf.fit(_switched(dealt), labels, lexicon, np.array([float(totals[lang]) for lang in labels]))
 
