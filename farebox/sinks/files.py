@@ -12,7 +12,7 @@ from farebox.functions.scalars import md5_bucket
 from farebox.operators.ordering import with_position
 from farebox.operators.rollups import Rollup, revenue_view, time_view
 from farebox.session import checkpointed
-from farebox.sources.topic import TOPIC, TOPIC_PARTITIONS
+from farebox.sources.topic import KAFKA, TOPIC, TOPIC_PARTITIONS
 
 RECORDS_PER_FILE = 100_000
 
@@ -83,14 +83,16 @@ def write_topic(
     brokers: str | None = None,
     mode: str = "append",
     name: str = TOPIC,
+    connector: str = KAFKA,
 ) -> None:
     """Append keyed messages to Kafka, or to the file-backed topic."""
     if brokers:
         (
             records.select("key", "value")
-            .write.format("kafka")
+            .write.format(connector)
             .option("kafka.bootstrap.servers", brokers)
             .option("topic", name)
+            .mode("append")
             .save()
         )
     else:

@@ -11,6 +11,8 @@ from farebox.storage import listed
 
 TOPIC = "taxi_raw"
 TOPIC_PARTITIONS = 6
+#: The connector's name; a source of another name serves if it takes its options and has its columns.
+KAFKA = "kafka"
 
 
 def topic_stream(
@@ -21,6 +23,7 @@ def topic_stream(
     per_trigger: int | None = None,
     backlog: DataFrame | None = None,
     name: str = TOPIC,
+    connector: str = KAFKA,
 ) -> DataFrame:
     """Streaming read. Each consumer keeps its own checkpoint, which holds its offsets.
 
@@ -30,7 +33,7 @@ def topic_stream(
     """
     if brokers:
         reader = (
-            spark.readStream.format("kafka")
+            spark.readStream.format(connector)
             .option("kafka.bootstrap.servers", brokers)
             .option("subscribe", name)
             .option("startingOffsets", starting)
