@@ -40,11 +40,11 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     An account or endpoint needs a key or a sure secret near it, a key needs an account or endpoint.
     Only the nearest part of each sort on either side matters, so the interval join is two running
-    values along a document and makes no pairs.
+    values, one along a document and one against it, and makes no pairs.
     """
-    order = Window.partitionBy("id", "h").orderBy("start", "end", "kind")
-    behind = order.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = order.rowsBetween(1, Window.unboundedFollowing)
+    places, of_text = ["start", "end", "kind"], Window.partitionBy("id", "h")
+    behind = of_text.orderBy(*places).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = of_text.orderBy(*[F.desc(c) for c in places]).rowsBetween(Window.unboundedPreceding, -1)
     proves = F.col("kind").isin("key", *BASE)
     context = F.col("kind").isin("account", "endpoint", "access")
 

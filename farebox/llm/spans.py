@@ -72,10 +72,15 @@ def matches(docs: DataFrame, patterns: dict[str, str]) -> DataFrame:
 
 
 def clear_of(spans: DataFrame, strong: Column) -> DataFrame:
-    """Drops a span that overlaps one with ``strong``; input partitioned by (id, h), one sort, no pairs."""
-    by_start = Window.partitionBy("id", "h").orderBy("start")
-    reach = F.max(F.when(strong, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, 0))
-    ahead = F.min(F.when(strong, F.col("start"))).over(by_start.rangeBetween(0, Window.unboundedFollowing))
+    """Drops a span that overlaps one with ``strong``; input partitioned by (id, h), no pairs.
+
+    Two running values, one along the document and one against it: a frame that only grows costs a step a row.
+    """
+    of_text = Window.partitionBy("id", "h")
+    so_far = of_text.orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    from_end = of_text.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(strong, F.col("end"))).over(so_far)
+    ahead = F.min(F.when(strong, F.col("start"))).over(from_end)
     marked = spans.withColumn("strong", strong).withColumn("reach", reach).withColumn("ahead", ahead)
     free = (F.coalesce(F.col("reach"), F.lit(0)) <= F.col("start")) & (
         F.col("ahead").isNull() | (F.col("ahead") >= F.col("end"))
