@@ -1,7 +1,7 @@
 """Packing by powers of two: every document is cut into pieces of binary lengths, each its own sequence.
 
 A piece of 2^k tokens fills a sequence of 2^k tokens, so nothing is padded, no sequence crosses
-documents, and equal lengths lie together in one bucket.
+documents, and equal lengths lie together in one bucket: its sequences have a range of ids of their own.
 """
 
 from __future__ import annotations
@@ -23,9 +23,11 @@ from farebox.session import checkpointed
 LIMIT = 2048
 END = 1
 TOKENIZER = "byte_bpe_50k"
+#: The buckets: their numbers fit above the row numbers of 2**26 tasks.
+_LENGTHS = [1 << k for k in range(16)]
 #: Text for the slower reader of the same vocabulary: characters on whose class two Unicode versions might
 #: differ, and runs long enough to be one huge piece.
-_UNUSUAL = re.compile(r"[^\x00-ɏ‐-…€]|\S{1000}|\s{1000}")
+_UNUSUAL = r"[^\x00-ɏ‐-…€]|\S{1000}|\s{1000}"
 
 
 def encoder(name: str = TOKENIZER):
@@ -38,13 +40,15 @@ def encoder(name: str = TOKENIZER):
 
         path = str if os.path.isabs(name) else public_tokenizers.path
         whole = Tokenizer.from_file(path(f"{name}.json"))
-        whole.encode_special_tokens = True
+        # Texts that spell a token which the vocabulary adds go to the reader that knows it.
+        added = [re.escape(t.content) for t in whole.get_added_tokens_decoder().values()]
+        unusual = re.compile("|".join([_UNUSUAL, *added]))
         with open(path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         quick = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
         def encode(text: str) -> list[int]:
-            if _UNUSUAL.search(text):
+            if unusual.search(text):
                 return whole.encode(text, add_special_tokens=False).ids
             return quick.encode_ordinary(text)
 
@@ -69,12 +73,12 @@ def pack(docs: DataFrame, limit: int = LIMIT, end: int = END, tokenizer: str = T
 
     Each piece is a sequence, so ``offset`` is 0 and ``length`` its bucket. A null or empty text is its
     end token alone; repeated rows are packed once each; columns other than doc_id and text are not read.
-    ``limit`` is a power of two. Sequence ids number the rows of each task: ``docs`` must read stored
-    files, which give a task the same rows whenever it runs again; otherwise pass ``stored=False``, and
+    ``limit`` is a power of two, 32768 at most. Sequence ids run through the buckets, shorter lengths first,
+    and in a bucket number the rows of each task: ``docs`` must read stored files, which give a task the same rows whenever it runs again; otherwise pass ``stored=False``, and
     the pieces are written down before they are numbered.
     """
-    if limit < 1 or limit & (limit - 1):
-        raise ValueError("limit must be a power of two")
+    if limit not in _LENGTHS:
+        raise ValueError("limit must be a power of two, 32768 at most")
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +111,8 @@ def pack(docs: DataFrame, limit: int = LIMIT, end: int = END, tokenizer: str = T
     )
     if not stored:
         pieces = checkpointed(pieces)
-    return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    bucket = F.round(F.log2("length")).cast("long") * (1 << 59)
+    return pieces.withColumn("sequence_id", bucket + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
 
 
 def digest(pieces: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from tokenizers import Tokenizer
 
 def plain():
     reader = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    reader.encode_special_tokens = True
     return lambda text: [*reader.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -34,7 +33,7 @@ def test_round_trip(edges):
 
 
 def test_unusual_text_takes_the_other_reader(spark):
-    texts = ["<|endoftext|> kept as text", "ꟊ𞤀 ​ x", "a" * 3000, " " * 3000 + "b", "don't  stop\n\n\nnow", "naïve – “quoted” … €5"]
+    texts = ["hi <|endoftext|> there", "<|endoftext|><|endoftext|>", "<|endoftext|", "<| endoftext |>", "ꟊ𞤀 ​ x", "a" * 3000, " " * 3000 + "b", "don't  stop\n\n\nnow", "naïve – “quoted” … €5"]
     encode = plain()
     got = {r.doc_id: r for r in packing.pack(frame(spark, list(enumerate(texts)))).where("start = 0").collect()}
     for i, text in enumerate(texts):
@@ -64,3 +63,13 @@ def test_buckets_hold_equal_lengths(spark, edges, tmp_path):
     packing.write_buckets(packing.pack(edges), str(tmp_path / "buckets"))
     back = spark.read.parquet(str(tmp_path / "buckets"))
     assert back.where("octet_length(ids) <> length * 4").count() == 0
+
+
+def test_sequences_of_one_length_have_a_range_of_ids(edges):
+    rows = sorted((r.sequence_id, r.length) for r in packing.pack(edges).collect())
+    assert [n for _, n in rows] == sorted(n for _, n in rows) and len({i for i, _ in rows}) == len(rows)
+
+
+def test_an_added_token_is_its_own_id(spark):
+    row = packing.pack(frame(spark, [(1, "hi <|endoftext|> there")])).orderBy("start").first()
+    assert np.frombuffer(row.ids, "<u4").tolist() == [5303, 220, 50256, 612]
