@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-from farebox.llm.rules import STOP_WORDS
+from farebox.llm.rules import FOREIGN, FOREIGN_LETTER, STOP_WORDS
 
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
@@ -30,14 +30,14 @@ s AS (
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
          greatest(coalesce(n_lines, 0), 1) AS n_lines, coalesce(bullets, 0) AS bullets,
          coalesce(ellipses, 0) AS ellipses, greatest(len(w), 1) AS n,
-         len(regexp_extract_all(t, '!!')) AS shouts,
+         len(regexp_extract_all(t, '!!')) AS shouts, len(regexp_extract_all(t, '{FOREIGN_LETTER}')) AS foreign_letters,
          len([x FOR x IN w IF lower(x) IN ({_STOPS})]) AS stop_words,
          len([x FOR x IN w IF regexp_matches(x, '^[^0-9A-Za-z\x80-\x{{10FFFF}}]*[A-Za-z\x80-\x{{10FFFF}}]')]) AS alphabetic
   FROM d LEFT JOIN covered USING (r) LEFT JOIN of_lines USING (r)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND word_chars / n >= 2 AND word_chars / n <= 20 AND n_symbols / n <= 0.2
-       AND shouts / n <= 0.4 AND alphabetic / n >= 0.5 AND stop_words >= 2 AND n_dup_lines / n_lines <= 0.5
+       AND shouts / n <= 0.4 AND alphabetic / n >= 0.5 AND (foreign_letters > {FOREIGN} * word_chars OR stop_words / n >= 0.02) AND n_dup_lines / n_lines <= 0.5
        AND bullets / n_lines <= 0.9 AND ellipses / n_lines <= 0.4 AS kept
 FROM b
 """

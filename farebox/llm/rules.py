@@ -9,13 +9,25 @@ from pyspark.sql import functions as F
 
 from farebox.llm.common import WORD_GAP, let, whole_text, words
 
-# Frequent words of English, Spanish, French and German.
+# Frequent words of English, Spanish, French, German, Italian, Portuguese, Dutch, Swedish, Danish
+# and Norwegian, Finnish, and Indonesian: languages written with the letters of ASCII and Latin-1.
 STOP_WORDS = (
     "the of and to in is that for it with as on by be this are from at or an a was not "
     "de la que el en y los del se las por un para con no su al lo como "
     "le les et des du une est dans pour sur au qui ne pas ce "
-    "der die das und zu den von ist mit sich auf nicht ein eine im dem"
+    "der die das und zu den von ist mit sich auf nicht ein eine im dem "
+    "il di che non per gli della sono "
+    "os uma não com mais dos em foi "
+    "het een van niet voor zijn met dat "
+    "och att det som på är för inte "
+    "og at er til ikke af av jeg "
+    "ja on ei että oli mutta kun hän "
+    "yang dan di itu dengan untuk tidak ini"
 ).split()
+#: Letters that none of these languages uses. A text with more than ``FOREIGN`` of them per character is in a
+#: language the list does not reach, and the stop-word rule says nothing about it.
+FOREIGN_LETTER = r"[\x{100}-\x{151}\x{154}-\x{1FFF}\x{2C00}-\x{2DFF}\x{3005}-\x{10FFFF}]"
+FOREIGN = 0.01
 
 
 class Rule(NamedTuple):
@@ -31,7 +43,7 @@ RULES = (
     Rule("symbols_per_word", None, 0.2),
     Rule("shouts_per_word", None, 0.4),
     Rule("alphabetic_share", 0.5, None),
-    Rule("stop_words", 2, None),
+    Rule("stop_word_share", 0.02, None),
     Rule("dup_line_share", None, 0.5),
     Rule("bullet_line_share", None, 0.9),
     Rule("ellipsis_line_share", None, 0.4),
@@ -87,6 +99,7 @@ def statistics(text: Column) -> Column:
         (F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit(r"!!")).alias("shouts"),
+        F.regexp_count(text, F.lit(FOREIGN_LETTER)).alias("foreign"),
         F.regexp_count(text, F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9A-Za-z\x80-\x{10FFFF}]*+[A-Za-z\x80-\x{10FFFF}]")).alias("alphabetic"),
     )
 
@@ -100,7 +113,7 @@ def ratios(s: Column) -> dict[str, Column]:
         "symbols_per_word": s["n_symbols"] / n,
         "shouts_per_word": s["shouts"] / n,
         "alphabetic_share": s["alphabetic"] / n,
-        "stop_words": s["w"]["stop_words"],
+        "stop_word_share": F.when(s["foreign"] > FOREIGN * s["word_chars"], 1.0).otherwise(s["w"]["stop_words"] / n),
         "dup_line_share": s["l"]["n_dup_lines"] / lines,
         "bullet_line_share": s["l"]["bullets"] / lines,
         "ellipsis_line_share": s["l"]["ellipses"] / lines,

@@ -45,6 +45,29 @@ def test_each_rule_of_the_table_can_reject(spark):
     assert kept == {0: True, 1: False, 2: False, 3: False, 4: False}
 
 
+def test_prose_of_other_languages_is_kept(spark):
+    """The stop-word rule speaks of the languages it has words of, and of no other."""
+    from llm_cases import frame
+
+    lines = {
+        "it": "Il fiume scende dalla montagna e attraversa la pianura che si apre davanti al paese",
+        "pt": "O rio desce da montanha e atravessa uma planície que não fica longe da cidade antiga",
+        "nl": "De rivier stroomt van het gebergte door een vlakte die niet ver van de stad ligt",
+        "sv": "Floden rinner från berget och genom en dal som inte är långt från den gamla staden",
+        "fi": "Joki virtaa vuorelta ja kulkee tasangon halki mutta se ei ole kaukana kaupungista joka on vanha",
+        "id": "Sungai itu mengalir dari gunung dan melewati dataran yang tidak jauh dari kota tua ini",
+        "pl": "Rzeka spływa z gór i płynie przez równinę, która leży niedaleko starego miasta, gdzie mieszkają ludzie",
+        "ru": "Река течёт с горы и проходит через долину, которая лежит недалеко от старого города",
+        "el": "Το ποτάμι κατεβαίνει από το βουνό και περνά μέσα από την πεδιάδα κοντά στην παλιά πόλη",
+        "tr": "Nehir dağdan aşağı akar ve eski şehrin yakınındaki ovanın içinden geçerek denize ulaşır",
+    }
+    lines["junk"] = " ".join(f"xq{chr(97 + i % 26)}z brum{chr(97 + i % 19)}" for i in range(40))
+    names = sorted(lines)
+    docs = frame(spark, [(i, ". ".join(f"{lines[k]} {w}{n}" for n, w in enumerate("abcdefg"))) for i, k in enumerate(names)])
+    held = docs.select("doc_id", rules.verdict(rules.statistics(docs["text"])).alias("held")).collect()
+    assert {names[r.doc_id] for r in held if not r.held} == {"junk"}
+
+
 def test_filter_keeps_rows_whole(edges, empty):
     kept = rules.keep_good(edges)
     assert kept.schema == edges.schema
