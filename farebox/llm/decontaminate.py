@@ -1,11 +1,14 @@
 """Benchmark decontamination: a hash set of normalised test n-grams probed by every window of the text.
 
-The set is broadcast while its measured size is under a bound; beyond that both sides are shuffled. A
-probe finds its window by hash and compares the whole window text, so a hit is verified.
+Windows are hashes of their words' hashes, so that no window's text is built before it is found. The set
+is broadcast while its measured size is under a bound; beyond that both sides are shuffled. What it finds
+is compared word by word, so a hit is verified.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,39 +23,61 @@ def normal_words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), GAP), "")
 
 
-def _windows(w: Column, lengths: list[int]) -> Column:
-    """Array of (start, length, words joined by a space) for every window of these lengths."""
+def _windows(w: Column, lengths: list[int], made: Callable[[Column], Column]) -> Column:
+    """Array of (start, size, what ``made`` makes of the words) for every window of these lengths."""
 
     def of(size: int) -> Column:
-        return F.when(
-            F.size(w) >= size,
-            F.transform(
-                F.sequence(F.lit(0), F.size(w) - size),
-                lambda i: F.struct(
-                    i.alias("start"),
-                    F.lit(size).alias("size"),
-                    F.concat_ws(" ", F.slice(w, i + 1, F.lit(size))).alias("gram"),
-                ),
-            ),
-        ).otherwise(F.array().cast("array<struct<start:int,size:int,gram:string>>"))
+        places = F.sequence(F.lit(0), F.greatest(F.size(w) - size, F.lit(0)))
+        found = F.transform(
+            places,
+            lambda i: F.struct(i.alias("start"), F.lit(size).alias("size"), made(F.slice(w, i + 1, F.lit(size))).alias("gram")),
+        )
+        return F.when(F.size(w) >= size, found).otherwise(F.slice(found, 1, 0))
 
     return F.concat(*[of(n) for n in lengths])
 
 
+def _text(words: Column) -> Column:
+    return F.concat_ws(" ", words)
+
+
+def _hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
 def grams(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, size, gram), each once: an item's windows, or its whole text where it has fewer words."""
+    """(item_id, size, gram, mark), each once: an item's windows, or its whole text where it has fewer words;
+    ``mark`` is the window's hash."""
     items = benchmark.select(benchmark["item_id"], normal_words(whole_text(benchmark)).alias("w"))
-    whole = F.array(
-        F.struct(F.lit(0).alias("start"), F.size("w").alias("size"), F.concat_ws(" ", "w").alias("gram"))
-    )
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.size("w").alias("size"), _text(F.col("w")).alias("gram")))
+    found = F.when(F.size("w") < window, whole).otherwise(_windows(F.col("w"), [window], _text))
     return (
         items.where(F.size("w") > 0)
-        .select("item_id", F.explode(F.when(F.size("w") < window, whole).otherwise(_windows(F.col("w"), [window]))).alias("g"))
-        .select("item_id", "g.size", "g.gram")
+        .select("item_id", F.explode(found).alias("g"))
+        .select("item_id", "g.size", "g.gram", F.xxhash64(_hashes(F.split("g.gram", " "))).alias("mark"))
         .distinct()
     )
 
 
+def _found(rows: DataFrame, index: DataFrame, lengths: list[int]) -> DataFrame:
+    """(id, h, start, size, gram) of every window of the texts that is in the index."""
+    marks = let(_hashes(normal_words(F.col("t"))), lambda w: _windows(w, lengths, F.xxhash64))
+    probes = rows.select("id", "h", F.explode(marks).alias("p")).select("id", "h", "p.start", "p.size", F.col("p.gram").alias("mark"))
+    likely = probes.join(sized(checkpointed(index.select("size", "mark").distinct())), ["size", "mark"], "left_semi")
+    # Only texts with such a window are read again.
+    spots = sized(stored(likely.groupBy("id", "h").agg(F.collect_set(F.struct("start", "size")).alias("spots"))))
+    again = rows.alias("r").join(spots.alias("s"), F.expr("r.id <=> s.id and r.h = s.h"))
+    read = let(
+        F.struct(normal_words(F.col("t")).alias("w"), F.col("spots").alias("spots")),
+        lambda x: F.transform(
+            x["spots"],
+            lambda y: F.struct(y["start"].alias("start"), y["size"].alias("size"), _text(F.slice(x["w"], y["start"] + 1, y["size"])).alias("gram")),
+        ),
+    )
+    named = again.select("r.id", "r.h", F.explode(read).alias("p")).select("id", "h", "p.start", "p.size", "p.gram")
+    return named.join(sized(checkpointed(index.select("size", "gram").distinct())), ["size", "gram"], "left_semi").distinct()
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document key with a hit: the hit words' places (ascending, each once), and the items found.
 
@@ -63,12 +88,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     if not lengths:
         lengths = [window]
     rows = keyed(docs).select("id", "h", "t").where(F.col("t") != "")
-    probes = rows.select(
-        "id", "h", F.explode(let(normal_words(F.col("t")), lambda w: _windows(w, lengths))).alias("p")
-    ).select("id", "h", "p.start", "p.size", "p.gram")
-    found = checkpointed(
-        probes.join(sized(checkpointed(index.select("size", "gram").distinct())), ["size", "gram"], "left_semi").distinct()
-    )
+    found = checkpointed(_found(rows, index, lengths))
     # A document's places are no more than its own words; its items no more than its windows' items.
     places = found.groupBy("id", "h").agg(
         F.array_sort(
@@ -85,7 +105,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     items = (
         found.select("id", "h", "size", "gram")
         .distinct()
-        .join(index, ["size", "gram"])
+        .join(index.select("item_id", "size", "gram"), ["size", "gram"])
         .groupBy("id", "h")
         .agg(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit(""))).alias("items"))
     )
