@@ -217,22 +217,6 @@ def latency_summary(samples: DataFrame, group: list[str], value: str) -> DataFra
     )
 
 
-def availability(operations: DataFrame, group: str) -> DataFrame:
-    """Share of operations that succeed, for writes and reads."""
-
-    def side(kind: str) -> list[Column]:
-        of_kind = F.col("kind") == kind
-        done, tried = F.count_if(of_kind & F.col("success")), F.count_if(of_kind)
-        percent = F.coalesce(F.try_divide(done * F.lit(100.0), tried), F.lit(0.0))
-        return [
-            tried.alias(f"{kind}_attempts"),
-            done.alias(f"{kind}_successes"),
-            F.round(percent, 2).alias(f"{kind}_availability"),
-        ]
-
-    return operations.groupBy(group).agg(*side("write"), *side("read"))
-
-
 def timing_extremes(timings: DataFrame, name: str, ms: str) -> DataFrame:
     """Mean of the timings above zero, and the fastest and slowest name (zeros included)."""
     above = F.when(F.col(ms) > 0, F.col(ms).cast("decimal(28,6)"))

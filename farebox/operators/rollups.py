@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from farebox.functions.counts import counter_names, counters
 from farebox.functions.scalars import parse_time, seconds_between, year_month
+from farebox.schemas import NUMBERS
+from farebox.sources.topic import absent
 
 REACH = 1e9
 #: Numbers up to here keep nine places when a double takes off their whole part.
 _CLOSE = 2.0**20
 _SUM = "decimal(34,9)"
-_NUMBERS = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount", "mta_tax"]
 
 
 @dataclass(frozen=True)
@@ -59,7 +60,7 @@ class Rollup:
 
     @property
     def wild(self) -> list[str]:
-        return [f"wild_{m}" for m in self.measures if m in _NUMBERS]
+        return [f"wild_{m}" for m in self.measures if m in NUMBERS]
 
     def order(self) -> list[Column]:
         """Clustering order inside a partition."""
@@ -111,7 +112,7 @@ ROLLUPS = {
 
 def facts_from_trips(trips: DataFrame) -> DataFrame:
     """Trip facts from the trip table; ``bad`` names the field that keeps a trip out, if any."""
-    null_field = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in _NUMBERS])
+    null_field = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in NUMBERS])
     return _facts(
         trips.select(
             "trip_id",
@@ -125,7 +126,7 @@ def facts_from_trips(trips: DataFrame) -> DataFrame:
             "payment_type",
             "pickup_ts",
             "dropoff_ts",
-            *_NUMBERS,
+            *NUMBERS,
             null_field.alias("bad_number"),
         )
     )
@@ -138,12 +139,11 @@ def facts_from_messages(decoded: DataFrame, more: dict[str, Column] | None = Non
     """
 
     def number(name: str) -> Column:
-        absent = ~F.array_contains("present", name)
         # A bare NaN comes back in quotes.
         text = F.btrim(F.col(f"msg.{name}"), F.lit('"'))
-        return F.when(absent, F.lit(0.0)).otherwise(text.try_cast("double"))
+        return F.when(absent(name), F.lit(0.0)).otherwise(text.try_cast("double"))
 
-    null_field = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in _NUMBERS])
+    null_field = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null {c}")) for c in NUMBERS])
     flat = decoded.select(
         "msg.trip_id",
         F.col("msg.PULocationID.borough").alias("borough"),
@@ -156,7 +156,7 @@ def facts_from_messages(decoded: DataFrame, more: dict[str, Column] | None = Non
         F.col("msg.payment_type").cast("int").alias("payment_type"),
         parse_time(F.col("msg.tpep_pickup_datetime")).alias("pickup_ts"),
         parse_time(F.col("msg.tpep_dropoff_datetime")).alias("dropoff_ts"),
-        *[number(c).alias(c) for c in _NUMBERS],
+        *[number(c).alias(c) for c in NUMBERS],
         *[column.alias(name) for name, column in (more or {}).items()],
     )
     return _facts(flat.withColumn("bad_number", null_field))
@@ -166,10 +166,10 @@ def _facts(flat: DataFrame) -> DataFrame:
     bad_time = F.when(F.col("pickup_ts").isNull(), F.lit("bad tpep_pickup_datetime")).when(
         F.col("dropoff_ts").isNull(), F.lit("bad tpep_dropoff_datetime")
     )
-    plain = [c for c in flat.columns if c not in (*_NUMBERS, "bad_number")]
+    plain = [c for c in flat.columns if c not in (*NUMBERS, "bad_number")]
     return flat.select(
         *plain,
-        *[part for c in _NUMBERS for part in _parts(c)],
+        *[part for c in NUMBERS for part in _parts(c)],
         F.coalesce(bad_time, F.col("bad_number")).alias("bad"),
         year_month(F.col("pickup_ts")).alias("year_month"),
         F.to_date("pickup_ts").alias("pickup_date"),
@@ -194,7 +194,7 @@ def _parts(name: str) -> list[Column]:
 
 
 def _sum(measure: str) -> Column:
-    if measure not in _NUMBERS:
+    if measure not in NUMBERS:
         return F.sum(measure)
     whole, parts = F.sum(f"whole_{measure}"), F.sum(f"parts_{measure}")
     return (whole.cast(_SUM) + parts.cast("decimal(20,0)") / 1_000_000_000).cast(_SUM)

@@ -72,8 +72,7 @@ def _record_files(ws: Workspace) -> str:
 
 @query
 def scan_json_files(ws: Workspace) -> DataFrame:
-    scanned = tables.scan_json_arrays(ws.spark, _record_files(ws))
-    return scanned.filter("_corrupt IS NULL").select(
+    return tables.scan_json_arrays(ws.spark, _record_files(ws)).select(
         "trip_id",
         F.col("VendorID").alias("vendor_id"),
         F.col("PULocationID.LocationID").alias("pickup_location_id"),

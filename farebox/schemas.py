@@ -46,6 +46,9 @@ WIRE = (
     + ", producer_timestamp DOUBLE, trip_id STRING"
 )
 
+# The numbers of a trip that the rollups add up.
+NUMBERS = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount", "mta_tax"]
+
 # What the rollups need from a message. Numbers arrive as text so that a value that does not
 # convert can be told from a value that is absent.
 FACT = (

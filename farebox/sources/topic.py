@@ -3,10 +3,13 @@ with the same envelope columns."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.schemas import ENVELOPE, FACT, WIRE
+from farebox.schemas import ENVELOPE, FACT, NUMBERS, WIRE
 from farebox.storage import listed
 
 TOPIC = "taxi_raw"
@@ -90,10 +93,14 @@ def decode_wire(envelope: DataFrame, schema: str = WIRE) -> DataFrame:
 
 
 def decode_facts(envelope: DataFrame) -> DataFrame:
-    """The narrow form the rollups read, plus the set of top-level keys present."""
+    """The narrow form the rollups read, plus the top-level keys present where a number is null: only there
+    can a key be absent, so that most messages are parsed once."""
     text = F.col("value").cast("string")
-    return envelope.select(
-        F.from_json(text, FACT).alias("msg"),
-        top_keys(text).alias("present"),
-        "timestamp",
-    )
+    decoded = envelope.select(F.from_json(text, FACT).alias("msg"), text.alias("text"), "timestamp")
+    missing = reduce(or_, [F.col(f"msg.{name}").isNull() for name in NUMBERS])
+    return decoded.select("msg", F.when(missing, top_keys(F.col("text"))).alias("present"), "timestamp")
+
+
+def absent(name: str) -> Column:
+    """Whether a decoded message has no such number at all; a null is there."""
+    return F.col(f"msg.{name}").isNull() & ~F.coalesce(F.array_contains("present", name), F.lit(False))

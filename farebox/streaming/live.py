@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.sources.topic import decode_facts
+from farebox.sources.topic import absent, decode_facts
 from farebox.streaming.log import Merge, at_once, read_batches, write_batch
 
 # How many trips and latencies the live view keeps.
@@ -40,8 +40,7 @@ def measures() -> list[Column]:
     not convert."""
     broken = F.lit(False)
     for name in ("trip_distance", "passenger_count"):
-        given = F.array_contains("present", name)
-        broken = broken | (given & F.col(f"msg.{name}").try_cast("double").isNull())
+        broken = broken | (~absent(name) & F.col(f"msg.{name}").try_cast("double").isNull())
     sent = F.col("msg.producer_timestamp").cast("bigint")
     return [
         (F.unix_millis("timestamp") - sent).alias("latency_ms"),

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from farebox.operators import rollups
 from farebox.operators.rollups import Rollup
-from farebox.session import checkpointed
+from farebox.session import checkpointed, written
 from farebox.streaming import log, versions
 
 ROWS_PER_RANGE = 100_000
@@ -82,17 +82,17 @@ def publish(
     fresh = checkpointed(rollups.merge(log.batches(spark, source, new), rollup))
     ranges = _ranges(spark, version.segments)
     keys = fresh.withColumns(lead).select("month", "lead").distinct()
-    touched = {r[0] for r in _owned(keys, ranges).select("owner").distinct().collect()}
+    touched = {r[0] for r in _owned(keys, ranges).select("owner").distinct().collect()} if version.segments else set()
     held = [s for s in version.segments if s["path"] in touched]
     rows = fresh if not held else rollups.merge(versions.read(spark, table, held, schema).unionByName(fresh), rollup)
     owned = _owned(rows.withColumns(lead), ranges)
-    slices = checkpointed(_slices(owned, rows_per_range))
+    slices = written(_slices(owned, rows_per_range))
     name = versions.segment(f"_ranges/upto={new[-1]}")
     rest = [F.col(c) for c in rollup.partition if c != "year_month"]
     order = [F.col("part"), *rest, *rollup.order()]
-    # Slices hold a row per month and leading key; a range lies in one directory, in files of the size AQE picks.
-    placed = owned.join(slices, ["month", "lead"]).select(*schema.names, "part")
-    placed.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("part").parquet(f"{table}/{name}")
+    # Slices hold a row per month and leading key. AQE cuts a range that is too large into several files.
+    placed = owned.join(slices, ["month", "lead"]).select(*schema.names, "part").hint("rebalance", "part")
+    placed.sortWithinPartitions(*order).write.partitionBy("part").parquet(f"{table}/{name}")
     made = slices.groupBy("month", "low", "part").count().collect()
     now = [{"path": f"{name}/part={r['part']}", "month": r["month"], "low": r["low"]} for r in made]
     versions.commit(spark, table, version, new[-1], [s for s in version.segments if s["path"] not in touched] + now, keep)

@@ -201,11 +201,11 @@ def test_arrays_on_one_line_and_arrays_cut_off(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [("a", 2, 0), ("b", 2, 1)]
 
 
-def test_arrays_as_the_reference_writes_them(spark, tmp_path):
+def test_arrays_of_indented_records(spark, tmp_path):
     odd = 'a "quoted", {brace] \\ and \\" é'
     rows = [{"VendorID": i, "zone": {"name": odd, "at": [1, {"x": [i]}]}, "count": float("nan"), "none": None} for i in range(300)]
     del rows[7]["none"]
-    # As parquet_to_json.py does: a bracket, then records of many lines with a comma behind each.
+    # A bracket, then records of many lines with a comma behind each.
     whole = "[\n" + ",\n".join(json.dumps(r, indent=2) for r in rows) + "\n]"
     (tmp_path / "a.json").write_text(whole)
     (tmp_path / "b.json").write_text(whole[:-5])
