@@ -15,6 +15,7 @@ from farebox.plans.workspace import TRIP_FIELDS, Workspace
 from farebox.schemas import CARD_LABELS
 from farebox.sinks import files
 from farebox.sources import tables, testbed, topic, zones
+from farebox.streaming import served
 
 BOROUGH, MONTH, LOCATION, VENDOR = "ASIA", "1998-03", 13, 1
 
@@ -199,13 +200,12 @@ def rollup_upsert(ws: Workspace) -> DataFrame:
     """Rows of card trips only, put over the full rollup: equal keys are replaced, others stay."""
     rollup, state = ROLLUPS["borough_time"], ws.state("borough_time")
 
-    def write(path: str) -> None:
-        files.write_rollup(state, rollup, path)
+    def write(table: str) -> None:
+        served.upsert(ws.spark, table, state, rollup)
         cards = rollups.accepted(ws.facts()).filter("payment_type = 1")
-        rows = rollups.aggregate(cards, rollup)
-        files.upsert_rollup(ws.spark, rows, rollup, path, state.schema)
+        served.upsert(ws.spark, table, rollups.aggregate(cards, rollup), rollup)
 
-    now = files.read_rollup(ws.spark, ws.once("rollup_upserted", write), state.schema)
+    now = served.read(ws.spark, ws.once("rollup_upserted", write), state.schema)
     return _text_dates(
         rollups.present(now, rollup).select(
             *rollup.pk, "sum_total_amount", "count_payment_card", "count_payment_cash", "trip_count"
@@ -215,15 +215,14 @@ def rollup_upsert(ws: Workspace) -> DataFrame:
 
 @query
 def delete_partition(ws: Workspace) -> DataFrame:
+    """The rollup without one borough's month: the range that held it is written anew."""
     rollup, state = ROLLUPS["borough_time"], ws.state("borough_time")
-    source = ws.path("rollup_borough_time")
-    target = ws.once(
-        "rollup_borough_time_deleted",
-        lambda p: files.delete_partition(
-            ws.spark, rollup, source, p, BOROUGH, MONTH, state.schema
-        ),
-    )
-    left = files.read_rollup(ws.spark, target, state.schema)
+
+    def write(table: str) -> None:
+        served.upsert(ws.spark, table, state, rollup)
+        served.delete(ws.spark, table, F.col("borough") == BOROUGH, rollup, MONTH)
+
+    left = served.read(ws.spark, ws.once("rollup_borough_time_deleted", write), state.schema)
     return left.groupBy("borough", "year_month").agg(F.count("*").alias("row_count"))
 
 

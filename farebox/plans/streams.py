@@ -15,7 +15,7 @@ from farebox.plans.workspace import Workspace
 from farebox.schemas import EVENT
 from farebox.sinks import files
 from farebox.sources import topic
-from farebox.streaming import deliveries, live, log
+from farebox.streaming import deliveries, live, log, served, versions
 from farebox.streaming import rollups as rollup_stream
 
 STREAMS: dict[str, Query] = {}
@@ -66,17 +66,19 @@ def _trips_home(ws: Workspace) -> str:
     source = ws.topic_path()
 
     def run(home: str) -> None:
-        publish = partial(rollup_stream.publish, home=home)
-        on_batch = log.folding(rollup_stream.rollup_batch(home), publish)
+        on_batch = log.folding(rollup_stream.rollup_batch(home), partial(rollup_stream.publish, home=home))
         log.run(_topic(ws, source), on_batch, _checkpoint(ws, "rollups"))
-        publish(ws.spark)
 
     return ws.once("stream_rollups", run)
 
 
 def _served(ws: Workspace, name: str) -> DataFrame:
+    """The served table of a rollup, brought up to date with the log."""
     home, rollup = _trips_home(ws), ROLLUPS[name]
-    state = rollup_stream.stored_state(ws.spark, home, rollup)
+    publish = partial(served.publish, ws.spark, f"{home}/{name}", rollup)
+    table = rollup_stream.served_table(home, rollup)
+    ws.once(f"published_{name}", lambda _: publish(table))
+    state = served.read(ws.spark, table, versions.schema_of(ws.spark, table))
     return _text_dates(rollups.present(state, rollup))
 
 

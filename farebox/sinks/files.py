@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.functions.scalars import md5_bucket
 from farebox.operators.ordering import with_position
 from farebox.operators.rollups import Rollup, revenue_view, time_view
-from farebox.session import checkpointed
 from farebox.sources.topic import KAFKA, TOPIC, TOPIC_PARTITIONS
 
 RECORDS_PER_FILE = 100_000
@@ -141,37 +137,3 @@ def write_views(borough_time: DataFrame, revenue_path: str, time_path: str) -> N
 def read_rollup(spark: SparkSession, path: str, schema) -> DataFrame:
     """A declared schema keeps ``year_month`` text and saves the inference pass."""
     return spark.read.schema(schema).parquet(path)
-
-
-def upsert_rollup(spark: SparkSession, rows: DataFrame, rollup: Rollup, path: str, schema) -> None:
-    """Insert rows; a row whose primary key is already stored replaces it.
-
-    Only the touched months are read and rewritten. The new version of those months is checkpointed
-    before they are overwritten, so the write does not read the files it replaces.
-    """
-    stored = read_rollup(spark, path, schema)
-    touched = rows.select("year_month").distinct()
-    # A null part of the key meets a null.
-    fresh = rows.select(*[F.col(c).alias(f"new_{c}") for c in rollup.pk])
-    replaced = reduce(and_, [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in rollup.pk])
-    touched = touched.select(F.col("year_month").alias("touched_month"))
-    kept = stored.join(touched, F.col("year_month").eqNullSafe(F.col("touched_month")), "left_semi")
-    kept = kept.join(fresh, replaced, "left_anti")
-    write_rollup(checkpointed(kept.unionByName(rows)), rollup, path)
-
-
-def without_partition(table: DataFrame, borough: str, month: str) -> DataFrame:
-    """Everything but one (borough, month) partition."""
-    doomed = (F.col("borough") == borough) & (F.col("year_month") == month)
-    return table.filter(~F.coalesce(doomed, F.lit(False)))
-
-
-def delete_partition(
-    spark: SparkSession, rollup: Rollup, path: str, target: str, borough: str, month: str, schema
-) -> None:
-    """Write the table without one partition to ``target``.
-
-    A dynamic overwrite cannot empty a directory, so the result goes to a new path.
-    """
-    rest = without_partition(read_rollup(spark, path, schema), borough, month)
-    write_rollup(rest, rollup, target)

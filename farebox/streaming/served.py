@@ -1,12 +1,17 @@
 """Served rollup tables: a month is cut into key ranges, and only the ranges that new rows touch are rewritten.
 
-The table is also the folded part of its rollup's log. The leading key (what comes beside the month in the
+Rows are added from a rollup's log (the table is then the folded part of that log), put over stored ones, or
+deleted; each is a new version of the table. The leading key (what comes beside the month in the
 partition key) cuts a month into ranges of about ``ROWS_PER_RANGE`` rows; a range is one segment, sorted by
 the rest of the key, and owns all leading keys from its lowest one up to that of the next range.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -63,31 +68,29 @@ def _slices(owned: DataFrame, rows_per_range: int) -> DataFrame:
     return cut.select("month", "lead", low.alias("low"), part.alias("part"))
 
 
-def publish(
-    spark: SparkSession, source: str, rollup: Rollup, table: str, rows_per_range: int = ROWS_PER_RANGE, keep: int = versions.KEEP
+def _replace(
+    spark: SparkSession,
+    table: str,
+    rollup: Rollup,
+    version: versions.Version,
+    keys: DataFrame,
+    renewed: Callable[[DataFrame], DataFrame],
+    upto: int,
+    rows_per_range: int,
+    keep: int,
 ) -> int:
-    """Bring the served table up to the last complete batch of the log ``source``; returns the ranges written.
+    """Replace the ranges that own ``keys`` by what ``renewed`` makes of their rows; returns the ranges written.
 
-    New state rows are added to the ranges that own their keys. A new version names the new ranges and the
-    untouched ones, and the last batch in it; a replay of a batch it covers changes nothing. Batches covered by
-    the version before are deleted. The driver holds one entry per range.
+    The driver holds one entry per range.
     """
-    version = versions.current(spark, table)
-    new = [i for i in log.complete(spark, source) if i > version.upto]
-    if not new:
-        return 0
-    schema = versions.schema_of(spark, source)
-    versions.keep_schema(spark, table, schema)
-    lead = {"month": _month(), "lead": _lead(rollup)}
-    fresh = checkpointed(rollups.merge(log.batches(spark, source, new), rollup))
+    schema, lead = versions.schema_of(spark, table), {"month": _month(), "lead": _lead(rollup)}
     ranges = _ranges(spark, version.segments)
-    keys = fresh.withColumns(lead).select("month", "lead").distinct()
-    touched = {r[0] for r in _owned(keys, ranges).select("owner").distinct().collect()} if version.segments else set()
+    wanted = keys.withColumns(lead).select("month", "lead").distinct()
+    touched = {r[0] for r in _owned(wanted, ranges).select("owner").distinct().collect()} if version.segments else set()
     held = [s for s in version.segments if s["path"] in touched]
-    rows = fresh if not held else rollups.merge(versions.read(spark, table, held, schema).unionByName(fresh), rollup)
-    owned = _owned(rows.withColumns(lead), ranges)
+    owned = _owned(renewed(versions.read(spark, table, held, schema)).withColumns(lead), ranges)
     slices = written(_slices(owned, rows_per_range))
-    name = versions.segment(f"_ranges/upto={new[-1]}")
+    name = versions.segment(f"_ranges/upto={upto}")
     rest = [F.col(c) for c in rollup.partition if c != "year_month"]
     order = [F.col("part"), *rest, *rollup.order()]
     # Slices hold a row per month and leading key. AQE cuts a range that is too large into several files.
@@ -95,11 +98,61 @@ def publish(
     placed.sortWithinPartitions(*order).write.partitionBy("part").parquet(f"{table}/{name}")
     made = slices.groupBy("month", "low", "part").count().collect()
     now = [{"path": f"{name}/part={r['part']}", "month": r["month"], "low": r["low"]} for r in made]
-    versions.commit(spark, table, version, new[-1], [s for s in version.segments if s["path"] not in touched] + now, keep)
-    log.forget(spark, source, version.upto if keep else new[-1])
+    versions.commit(spark, table, version, upto, [s for s in version.segments if s["path"] not in touched] + now, keep)
     return len(now)
 
 
+def publish(
+    spark: SparkSession, source: str, rollup: Rollup, table: str, rows_per_range: int = ROWS_PER_RANGE, keep: int = versions.KEEP
+) -> int:
+    """Bring the served table up to the last complete batch of the log ``source``; returns the ranges written.
+
+    New state rows are added to the ranges that own their keys. A new version names the new ranges and the
+    untouched ones, and the last batch in it; a replay of a batch it covers changes nothing. Batches covered by
+    the version before are deleted.
+    """
+    version = versions.current(spark, table)
+    new = [i for i in log.complete(spark, source) if i > version.upto]
+    if not new:
+        return 0
+    versions.keep_schema(spark, table, versions.schema_of(spark, source))
+    fresh = checkpointed(rollups.merge(log.batches(spark, source, new), rollup))
+    # Merged already where no range holds rows of the same keys.
+    renewed = (lambda held: rollups.merge(held.unionByName(fresh), rollup)) if version.segments else (lambda _: fresh)
+    made = _replace(spark, table, rollup, version, fresh, renewed, new[-1], rows_per_range, keep)
+    log.forget(spark, source, version.upto if keep else new[-1])
+    return made
+
+
+def upsert(
+    spark: SparkSession, table: str, rows: DataFrame, rollup: Rollup, rows_per_range: int = ROWS_PER_RANGE, keep: int = versions.KEEP
+) -> int:
+    """Insert state rows; a row whose primary key is already stored replaces it (a null part of a key meets a null).
+
+    Makes the table if there is none. Only the ranges that own the rows' keys are read and written, and readers
+    see all of the rows or none. Returns the ranges written.
+    """
+    version = versions.current(spark, table)
+    versions.keep_schema(spark, table, rows.schema)
+    fresh = checkpointed(rows.select(*versions.schema_of(spark, table).names))
+    given = fresh.select(*[F.col(c).alias(f"new_{c}") for c in rollup.pk])
+    replaced = reduce(and_, [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in rollup.pk])
+    renewed = lambda held: held.join(given, replaced, "left_anti").unionByName(fresh)
+    return _replace(spark, table, rollup, version, fresh, renewed, version.upto, rows_per_range, keep)
+
+
+def delete(
+    spark: SparkSession, table: str, doomed: Column, rollup: Rollup, month: str, rows_per_range: int = ROWS_PER_RANGE, keep: int = versions.KEEP
+) -> int:
+    """Delete the rows of a month for which ``doomed`` is true; only ranges that hold one are written anew."""
+    version, schema = versions.current(spark, table), versions.schema_of(spark, table)
+    keys = read(spark, table, schema, month).filter(doomed)
+    left = lambda held: held.filter(~F.coalesce(doomed & (F.col("year_month") == month), F.lit(False)))
+    if keys.isEmpty():
+        return 0
+    return _replace(spark, table, rollup, version, keys, left, version.upto, rows_per_range, keep)
+
+
 def read(spark: SparkSession, table: str, schema: StructType, month: str | None = None) -> DataFrame:
     """The served rows; with ``month``, from the ranges of that month only."""
     segments = versions.current(spark, table).segments

@@ -11,8 +11,8 @@ from farebox.operators import anomalies, rollups
 from farebox.operators.rollups import ROLLUPS
 from farebox.plans import analytics
 from farebox.plans.workspace import Workspace
-from farebox.sinks import files
 from farebox.sources.topic import decode_facts
+from farebox.streaming import served, versions
 
 BASE = {
     "trip_id": "t",
@@ -127,21 +127,47 @@ def test_invariants(spark, sf_dir):
     assert zone.exceptAll(hour).count() == 0 and hour.exceptAll(zone).count() == 0
 
 
-def test_upsert_replaces_rows_and_leaves_other_months(spark, sf_dir, tmp_path):
+def live_files(spark, table):
+    return {str(f) for s in versions.current(spark, str(table)).segments for f in (table / s["path"]).rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("rows_per_range", [1, 100_000])
+def test_upsert_replaces_rows_and_leaves_other_ranges(spark, sf_dir, tmp_path, rows_per_range):
     ws, rollup = Workspace(spark, sf_dir), ROLLUPS["borough_time"]
-    state, path = ws.state("borough_time"), str(tmp_path / "t")
-    files.write_rollup(state, rollup, path)
-    other = {f.name for f in (tmp_path / "t" / "year_month=1997-05").iterdir()}
+    state, table = ws.state("borough_time"), tmp_path / "t"
+    made = served.upsert(spark, str(table), state, rollup, rows_per_range)
+    assert made == state.select("year_month", *(["borough"] if rows_per_range == 1 else [])).distinct().count()
     month = state.filter("year_month = '1998-03'")
     one = month.orderBy(*rollup.pk).limit(1).withColumn("trip_count", F.lit(777).cast("bigint"))
     fresh = one.withColumn("borough", F.lit("NEW"))
     for _ in range(2):  # the second time changes nothing
-        files.upsert_rollup(spark, one.unionByName(fresh), rollup, path, state.schema)
-        now = files.read_rollup(spark, path, state.schema)
+        before = live_files(spark, table)
+        written = served.upsert(spark, str(table), one.unionByName(fresh), rollup, rows_per_range)
+        assert written <= 3 and len(before - live_files(spark, table)) <= 3
+        now = served.read(spark, str(table), state.schema)
         assert now.count() == state.count() + 1
         assert now.filter("trip_count = 777").count() == 2
         assert now.join(one.select(*rollup.pk), rollup.pk).count() == 1
-    assert {f.name for f in (tmp_path / "t" / "year_month=1997-05").iterdir()} == other
+    rest = now.filter("trip_count <> 777").exceptAll(state.select(now.columns))
+    assert rest.count() == 0
+
+
+@pytest.mark.parametrize("rows_per_range", [1, 100_000])
+def test_delete_writes_one_range(spark, sf_dir, tmp_path, rows_per_range):
+    ws, rollup = Workspace(spark, sf_dir), ROLLUPS["pickup_zone"]
+    state, table = ws.state("pickup_zone"), tmp_path / "t"
+    served.upsert(spark, str(table), state, rollup, rows_per_range)
+    month, borough = state.groupBy("year_month", "borough").count().orderBy(F.desc("count")).first()[:2]
+    before = live_files(spark, table)
+    served.delete(spark, str(table), F.col("borough") == borough, rollup, month, rows_per_range)
+    gone = (F.col("borough") == borough) & (F.col("year_month") == month)
+    left, want = served.read(spark, str(table), state.schema), state.filter(~gone)
+    assert left.count() == want.count() < state.count() and left.exceptAll(want.select(left.columns)).count() == 0
+    assert len(before - live_files(spark, table)) == 1
+    assert served.delete(spark, str(table), F.col("borough") == borough, rollup, month, rows_per_range) == 0
+    # A key of the deleted range comes back into a neighbour.
+    served.upsert(spark, str(table), state.filter(gone), rollup, rows_per_range)
+    assert served.read(spark, str(table), state.schema).count() == state.count()
 
 
 def test_dense_hours_and_zero_filled_labels(spark, sf_dir):
@@ -221,11 +247,11 @@ def test_digits_past_the_sixth_stay(spark):
 
 
 def test_upsert_replaces_rows_with_null_keys(spark, tmp_path):
-    rollup, path = ROLLUPS["vendor"], str(tmp_path / "t")
+    rollup, table = ROLLUPS["vendor"], str(tmp_path / "t")
     df = facts(spark, {"VendorID": None}, {"VendorID": 1})
     state = rollups.aggregate(df, rollup)
-    files.write_rollup(state, rollup, path)
+    served.upsert(spark, table, state, rollup)
     for _ in range(2):
-        files.upsert_rollup(spark, state.filter("vendor_id IS NULL").withColumn("trip_count", F.lit(9).cast("long")), rollup, path, state.schema)
-        now = files.read_rollup(spark, path, state.schema)
+        served.upsert(spark, table, state.filter("vendor_id IS NULL").withColumn("trip_count", F.lit(9).cast("long")), rollup)
+        now = served.read(spark, table, state.schema)
         assert sorted((r.vendor_id or 0, r.trip_count) for r in now.collect()) == [(0, 9), (1, 1)]
