@@ -73,7 +73,12 @@ def _record_files(ws: Workspace) -> str:
 
 @query
 def scan_json_files(ws: Workspace) -> DataFrame:
-    return tables.scan_json_arrays(ws.spark, _record_files(ws)).select(
+    # The schema names what is read: the parser skips the other fields.
+    wanted = (
+        "trip_id STRING, VendorID INT, PULocationID STRUCT<LocationID: INT, zone: STRING>, "
+        "DOLocationID STRUCT<LocationID: INT>, passenger_count DOUBLE, total_amount DOUBLE"
+    )
+    return tables.scan_json_arrays(ws.spark, _record_files(ws), wanted).select(
         "trip_id",
         F.col("VendorID").alias("vendor_id"),
         F.col("PULocationID.LocationID").alias("pickup_location_id"),
