@@ -61,12 +61,12 @@ def _record_files(ws: Workspace) -> str:
 
     def write(path: str) -> None:
         records = ws.records()
-        files.write_json_arrays(records.select("stem", "value"), path, "stem")
+        files.write_json_arrays(records.select("stem", "value"), path, "stem", compression="gzip")
         broken = records.limit(1).select(
             F.lit("trips_broken").alias("stem"),
             F.concat(F.lit("["), F.substring("value", 1, 80)).alias("value"),
         )
-        broken.coalesce(1).write.mode("append").partitionBy("stem").text(path)
+        broken.coalesce(1).write.mode("append").option("compression", "gzip").partitionBy("stem").text(path)
 
     return ws.once("record_files", write)
 
@@ -176,7 +176,7 @@ def rollup_table_counts(ws: Workspace) -> DataFrame:
 def write_json_chunks(ws: Workspace) -> DataFrame:
     """Records written and read back, and the files that hold more than allowed (none)."""
     path = ws.once(
-        "json_chunks", lambda p: files.write_json_lines(ws.records().select("trip_id", "value"), p)
+        "json_chunks", lambda p: files.write_json_lines(ws.records().select("trip_id", "value"), p, compression="gzip")
     )
     lines = ws.spark.read.text(path).groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"))
     return lines.agg(

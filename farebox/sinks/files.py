@@ -2,53 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farebox.functions.scalars import md5_bucket
-from farebox.operators.ordering import with_position
 from farebox.operators.rollups import Rollup, revenue_view, time_view
+from farebox.session import written
 from farebox.sources.topic import KAFKA, TOPIC, TOPIC_PARTITIONS
 
 RECORDS_PER_FILE = 100_000
 
 
 def write_json_lines(
-    records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE, *by: str
+    records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE, *by: str, compression: str = "none"
 ) -> None:
     """JSON Lines files of at most ``per_file`` records, split by the ``by`` columns if given."""
-    writer = records.write.mode("overwrite").option("maxRecordsPerFile", per_file)
+    writer = records.write.mode("overwrite").option("maxRecordsPerFile", per_file).option("compression", compression)
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
 def write_json_arrays(
-    records: DataFrame, path: str, stem: str, per_file: int = RECORDS_PER_FILE
+    records: DataFrame, path: str, stem: str, per_file: int = RECORDS_PER_FILE, compression: str = "none"
 ) -> None:
     """Files that each hold one JSON array of at most ``per_file`` records, one record on a line.
 
-    ``records`` has the columns ``value`` (JSON text without line breaks) and ``stem``. Rows take places
-    in one global order; a run of ``per_file`` places of a stem is a file, its first line opens the array
-    and its last one closes it. Lines are written as they come, so no array is ever held in memory.
+    ``records`` has the columns ``value`` (JSON text without line breaks) and ``stem``. A stem is cut into
+    slots by the hash of the record, as many as leave about three quarters of ``per_file`` to each. Records
+    are shuffled once, to their slot, and sorted there; every ``per_file`` of them are a file, whose first
+    line opens the array and whose last one closes it. Lines are written as they come, so no array is ever
+    held in memory, and a slot that equal records overfill has several files.
     """
-    placed = with_position(records.select(stem, "value"), stem, "value")
-    ends = placed.groupBy(F.col(stem).alias("of")).agg(
-        F.min("position").alias("low"), F.max("position").alias("high")
+    sizes = records.groupBy(F.col(stem).alias("of")).agg((F.floor(F.count("*") / (per_file * 0.75)) + 1).alias("slots"))
+    rows = records.select(stem, "value").join(written(sizes), F.col(stem).eqNullSafe(F.col("of")))
+    slot = F.pmod(F.xxhash64("value"), F.col("slots")).alias("slot")
+    along = Window.partitionBy(stem, "slot").orderBy("value")
+    placed = rows.select(stem, slot, "value").repartition(stem, "slot").select(
+        "*", (F.row_number().over(along) - 1).alias("at"), F.lead(F.lit(1)).over(along).isNull().alias("last")
     )
-    at = F.col("position") - F.col("low")
     line = F.concat(
-        F.when(at % per_file == 0, "[").otherwise(""),
+        F.when(F.col("at") % per_file == 0, "[").otherwise(""),
         "value",
-        F.when((at % per_file == per_file - 1) | (F.col("position") == F.col("high")), "]").otherwise(","),
-    )
-    lines = placed.join(ends, F.col(stem).eqNullSafe(F.col("of"))).select(
-        stem, F.floor(at / per_file).alias("part"), "position", line.alias("value")
+        F.when((F.col("at") % per_file == per_file - 1) | F.col("last"), "]").otherwise(","),
     )
     (
-        lines.repartition(stem, "part")
-        .sortWithinPartitions(stem, "part", "position")
-        .select(stem, "part", "value")
+        placed.sortWithinPartitions(stem, "slot", "at")
+        .select(stem, "slot", line.alias("value"))
         .write.mode("overwrite")
-        .partitionBy(stem, "part")
+        .option("maxRecordsPerFile", per_file)
+        .option("compression", compression)
+        .partitionBy(stem, "slot")
         .text(path)
     )
 

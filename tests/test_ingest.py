@@ -1,6 +1,8 @@
 """Enrichment, validation, encoding, record files and the zone table."""
 
+import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,6 +148,36 @@ def test_record_files(spark, tmp_path):
     assert (got["bad"].files_processed, got["bad"].success_rate) == (0, None)
 
 
+def _bytes_under(path):
+    return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(path) for f in names)
+
+
+def test_record_files_leave_no_copy_of_the_records(spark, tmp_path):
+    """Equal records overfill a slot; files are packed, and nothing as large as the records stays beside them."""
+    rows = [(f"s{i % 3}", json.dumps({"trip_id": str(i), "VendorID": i, "pad": "x" * 2000})) for i in range(300)]
+    rows += [("s1", '{"trip_id": "same", "VendorID": 1}')] * 50 + [(None, '{"trip_id": "none", "VendorID": 2}')]
+    df = spark.createDataFrame(rows, "stem string, value string").repartition(5)
+    kept, path = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir"), tmp_path / "arrays"
+    before = _bytes_under(kept)
+    files.write_json_arrays(df, str(path), "stem", per_file=20, compression="gzip")
+    assert _bytes_under(kept) - before < 100_000
+    arrays = [json.loads(gzip.decompress(f.read_bytes())) for f in path.rglob("*.txt.gz")]
+    assert not list(path.rglob("*.txt")) and max(map(len, arrays)) <= 20 and min(map(len, arrays)) > 0
+    assert sorted(r["trip_id"] for a in arrays for r in a) == sorted(json.loads(v)["trip_id"] for _, v in rows)
+    typed = tables.scan_json_arrays(spark, str(path), "trip_id STRING, VendorID INT")
+    assert typed.count() == typed.filter("VendorID IS NOT NULL").count() == len(rows)
+    records = tables.json_records(spark, str(path))
+    assert records.filter("record IS NOT NULL").count() == records.count() == len(rows)
+
+
+def test_json_lines_packed(spark, tmp_path):
+    path = str(tmp_path / "packed")
+    files.write_json_lines(spark.range(25).coalesce(1), path, 10, compression="gzip")
+    packed = [gzip.decompress(f.read_bytes()).splitlines() for f in (tmp_path / "packed").glob("*.json.gz")]
+    assert sorted(map(len, packed)) == [5, 10, 10]
+    assert tables.json_records(spark, path, layout="lines").filter("record IS NOT NULL").count() == 25
+
+
 def test_json_lines_cap(spark, tmp_path):
     path = str(tmp_path / "lines")
     files.write_json_lines(spark.range(25).coalesce(1), path, 10)
