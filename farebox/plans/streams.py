@@ -117,9 +117,9 @@ def _live_home(ws: Workspace, every: str | None = None) -> str:
     def run(home: str) -> None:
         source = f"{home}/topic"
         early = F.get_json_object(F.col("value").cast("string"), "$.payment_type") == "2"
-        ws.topic().filter(early).write.mode("overwrite").parquet(source)
+        files.write_topic(ws.topic().filter(early), source, mode="overwrite")
         backlog = topic.present_files(ws.spark, source, f"{home}/backlog")
-        ws.topic().filter(~early).write.mode("append").parquet(source)
+        files.write_topic(ws.topic().filter(~early), source)
         messages = _topic(ws, source, starting="latest", backlog=backlog)
         on_batch = log.folding(live.live_batch(home), partial(log.fold_all, home=home, logs=live.LOGS))
         log.run(messages, on_batch, f"{home}/checkpoint", every=every)

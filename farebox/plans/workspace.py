@@ -20,6 +20,7 @@ from farebox.session import shared_dir
 from farebox.sinks import files
 from farebox.sources import testbed, topic
 from farebox.sources.zones import zone_dim
+from farebox.storage import PACKED
 
 TRIP_FIELDS = [field.split()[0] for field in TRIP_FILE.split(", ")]
 
@@ -56,7 +57,7 @@ class Workspace:
 
         def write(path: str) -> None:
             frame.append(build())
-            frame[0].write.mode("overwrite").parquet(path)
+            frame[0].write.mode("overwrite").options(**PACKED).parquet(path)
             _schemas[path] = frame[0].schema
 
         path = self.once(name, write)

@@ -6,6 +6,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: How Parquet tables are packed.
+PACKED = {"compression": "zstd"}
+
 
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the class of paths."""

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.storage import PACKED
 from farebox.streaming import log, versions
 
 #: Parts of the index; one is rewritten whole when an id of it comes again or for the first time.
@@ -74,7 +75,7 @@ def fold(spark: SparkSession, home: str, keep: int = versions.KEEP) -> int:
     name = versions.segment(f"_index/upto={new[-1]}")
     rows = first_delivery(index.unionByName(fresh))
     # Large buckets become several files, small ones share a task.
-    rows.withColumn("part", F.col("bucket")).hint("rebalance", "part").write.partitionBy("part").parquet(f"{home}/{name}")
+    rows.withColumn("part", F.col("bucket")).hint("rebalance", "part").write.options(**PACKED).partitionBy("part").parquet(f"{home}/{name}")
     now = [{"path": f"{name}/part={b}", "bucket": b} for b in sorted(touched)]
     versions.commit(spark, home, version, new[-1], [s for s in version.segments if s["bucket"] not in touched] + now, keep)
     log.forget(spark, home, version.upto if keep else new[-1])

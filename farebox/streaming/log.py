@@ -15,7 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.storage import delete, file_system
+from farebox.storage import PACKED, delete, file_system
 from farebox.streaming import versions
 
 Merge = Callable[[DataFrame], DataFrame]
@@ -26,7 +26,7 @@ FOLD_EVERY = 16
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     versions.keep_schema(rows.sparkSession, path, rows.schema)
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").options(**PACKED).parquet(f"{path}/batch_id={batch_id}")
 
 
 def complete(spark: SparkSession, path: str) -> list[int]:
@@ -75,7 +75,7 @@ def fold(spark: SparkSession, path: str, merge: Merge, keep: int = versions.KEEP
     schema = versions.schema_of(spark, path)
     rows = merge(read_batches(spark, path).filter(F.col("batch_id") <= upto))
     name = versions.segment(f"_folded/upto={upto}")
-    rows.select(*[F.col(c.name).cast(c.dataType) for c in schema]).write.parquet(f"{path}/{name}")
+    rows.select(*[F.col(c.name).cast(c.dataType) for c in schema]).write.options(**PACKED).parquet(f"{path}/{name}")
     versions.commit(spark, path, version, upto, [{"path": name}], keep)
     forget(spark, path, version.upto if keep else upto)
 
@@ -128,6 +128,7 @@ def append_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append to a Parquet table through the file sink, which commits each batch once."""
     query = (
         stream.writeStream.format("parquet")
+        .options(**PACKED)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from farebox.operators import rollups
 from farebox.operators.rollups import Rollup
 from farebox.session import checkpointed, written
+from farebox.storage import PACKED
 from farebox.streaming import log, versions
 
 ROWS_PER_RANGE = 100_000
@@ -95,7 +96,7 @@ def _replace(
     order = [F.col("part"), *rest, *rollup.order()]
     # Slices hold a row per month and leading key. AQE cuts a range that is too large into several files.
     placed = owned.join(slices, ["month", "lead"]).select(*schema.names, "part").hint("rebalance", "part")
-    placed.sortWithinPartitions(*order).write.partitionBy("part").parquet(f"{table}/{name}")
+    placed.sortWithinPartitions(*order).write.options(**PACKED).partitionBy("part").parquet(f"{table}/{name}")
     made = slices.groupBy("month", "low", "part").count().collect()
     now = [{"path": f"{name}/part={r['part']}", "month": r["month"], "low": r["low"]} for r in made]
     versions.commit(spark, table, version, upto, [s for s in version.segments if s["path"] not in touched] + now, keep)
