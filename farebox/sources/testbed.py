@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.schemas import EVENT
+from farebox.session import written
 
 _DDL = {
     "region": "r_regionkey INT, r_name STRING",
@@ -79,8 +80,9 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # The narrow sides meet first, so that only one shuffle carries the line items where nothing broadcasts.
-    ordered_by = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    # The narrow sides meet first, so that only one shuffle carries the line items where nothing broadcasts;
+    # written down, Catalyst knows their size.
+    ordered_by = written(orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey"))
     joined = lineitem.join(ordered_by, F.col("l_orderkey") == F.col("o_orderkey")).join(
         supplier, F.col("l_suppkey") == F.col("s_suppkey")
     )
