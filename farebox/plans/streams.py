@@ -19,8 +19,9 @@ from farebox.streaming import deliveries, live, log, served, versions
 from farebox.streaming import rollups as rollup_stream
 
 STREAMS: dict[str, Query] = {}
-#: Files in a micro-batch.
-PER_TRIGGER = 4
+#: Packed bytes of messages in a micro-batch. A number of files would make batches as small as the files are, and
+#: as many of them as the writer had tasks, each with its jobs, logs and folds.
+BYTES_PER_TRIGGER = 512 << 20
 
 
 def stream(build: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
@@ -29,8 +30,8 @@ def stream(build: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], Dat
     return build
 
 
-def _topic(ws: Workspace, path: str, per_trigger: int = PER_TRIGGER, **options) -> DataFrame:
-    return topic.topic_stream(ws.spark, path, per_trigger=per_trigger, **options)
+def _topic(ws: Workspace, path: str, max_bytes: int = BYTES_PER_TRIGGER, **options) -> DataFrame:
+    return topic.topic_stream(ws.spark, path, max_bytes=max_bytes, **options)
 
 
 def _events(ws: Workspace) -> DataFrame:
@@ -185,7 +186,7 @@ def stream_trips_per_minute(ws: Workspace) -> DataFrame:
 
 @stream
 def stream_dedup(ws: Workspace) -> DataFrame:
-    """Redelivered messages are dropped: the topic twice over for some trips, a file at a time."""
+    """Redelivered messages are dropped: the topic twice over for some trips."""
 
     def send_again(path: str) -> None:
         sent = ws.sent()

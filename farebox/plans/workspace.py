@@ -16,7 +16,7 @@ from farebox.functions.scalars import parse_time
 from farebox.operators import documents, enrich, rollups
 from farebox.operators.rollups import ROLLUPS
 from farebox.schemas import TRIP_FILE
-from farebox.session import shared_dir
+from farebox.session import compilable, shared_dir
 from farebox.sinks import files
 from farebox.sources import testbed, topic
 from farebox.sources.zones import zone_dim
@@ -37,6 +37,7 @@ def _arrival() -> Column:
 
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
+        compilable(spark)
         self.spark = spark
         self.sf_dir = sf_dir
         self._home = hashlib.md5(sf_dir.encode()).hexdigest()[:12]

@@ -24,15 +24,16 @@ def topic_stream(
     brokers: str | None = None,
     starting: str = "earliest",
     per_trigger: int | None = None,
+    max_bytes: int | None = None,
     backlog: DataFrame | None = None,
     name: str = TOPIC,
     connector: str = KAFKA,
 ) -> DataFrame:
     """Streaming read. Each consumer keeps its own checkpoint, which holds its offsets.
 
-    ``per_trigger`` bounds one micro-batch: messages for Kafka, files for the file table. Starting from
-    ``latest``, the file table skips the files of ``backlog``, which ``present_files`` gave when the
-    consumer first started.
+    ``per_trigger`` bounds one micro-batch: messages for Kafka, files for the file table. ``max_bytes`` bounds
+    it by the size of the files instead; it has no meaning for Kafka. Starting from ``latest``, the file
+    table skips the files of ``backlog``, which ``present_files`` gave when the consumer first started.
     """
     if brokers:
         reader = (
@@ -47,6 +48,8 @@ def topic_stream(
     reader = spark.readStream.schema(ENVELOPE).format("parquet")
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
+    elif max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     messages = reader.load(path)
     if starting == "latest" and backlog is not None:
         marked = messages.select("*", F.col("_metadata.file_path").alias("of_file"))

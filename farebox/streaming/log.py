@@ -15,6 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.session import compilable
 from farebox.storage import PACKED, delete, file_system
 from farebox.streaming import versions
 
@@ -113,6 +114,7 @@ def run(
 
     The checkpoint holds the consumer's offsets: they move on only after ``on_batch`` returned.
     """
+    compilable(stream.sparkSession)
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if not every:
         writer.trigger(availableNow=True).start().awaitTermination()

@@ -3,7 +3,9 @@
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from farebox.plans import streams
 from farebox.plans.workspace import Workspace
+from farebox.session import compilable
 from farebox.sinks import files
 from farebox.sources import testbed, topic
 from farebox.streaming import log
@@ -65,3 +67,28 @@ def test_a_topic_file_is_cut_into_row_groups(spark, tmp_path):
     meta = pq.ParquetFile(file).metadata
     assert meta.num_row_groups > 2 and meta.num_rows == 60_000
     assert topic.topic_batch(spark, str(tmp_path / "topic")).select("value").distinct().count() == 60_000
+
+
+def test_batches_go_by_bytes_and_not_by_files(spark, sf_dir, tmp_path):
+    """Many small files are one batch; files beyond the bound are left to the next one."""
+    ws, source = Workspace(spark, sf_dir), str(tmp_path / "topic")
+    files.write_topic(ws.topic().limit(60).repartition(9), source)
+    most = 1 + max(f.stat().st_size for f in tmp_path.rglob("topic/*.parquet"))
+    for name, bound, batches in (("all", {}, [60]), ("cut", {"max_bytes": 3 * most}, None)):
+        seen = []
+        log.run(streams._topic(ws, source, **bound), lambda batch, _: seen.append(batch.count()), str(tmp_path / name))
+        assert sum(seen) == 60 and (seen == batches if batches else len(seen) > 1)
+
+
+def test_no_stage_is_one_method_too_long_to_compile(spark, sf_dir):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "65535")
+        Workspace(spark, sf_dir)
+        assert int(spark.conf.get(key)) <= 8000
+        spark.conf.set(key, "12345")
+        compilable(spark)
+        assert spark.conf.get(key) == "12345"
+    finally:
+        spark.conf.set(key, old)
