@@ -27,6 +27,15 @@ def _first_places(rows: DataFrame) -> DataFrame:
 #: Logs of the consumer beside those of the rollups, with what merges their batches.
 LOGS: dict[str, Merge] = {"outcomes": _sum_outcomes, "dictionary": _first_places}
 
+#: Facts that neither rollups nor outcomes nor the dictionary read; a batch is held without them.
+_UNREAD = ("trip_id", "pickup_ts", "dropoff_ts")
+
+
+def batch_facts(batch: DataFrame) -> DataFrame:
+    """What the jobs of a batch read of its messages."""
+    more = {"arrived": F.unix_millis("timestamp"), "dropoff_borough": F.col("msg.DOLocationID.borough")}
+    return rollups.facts_from_messages(decode_facts(batch), more).drop(*_UNREAD)
+
 
 def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch function that logs under ``home`` the batch's partial rollups, its trips per outcome
@@ -36,9 +45,7 @@ def rollup_batch(home: str) -> Callable[[DataFrame, int], None]:
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_facts(batch)
-        more = {"arrived": F.unix_millis("timestamp"), "dropoff_borough": F.col("msg.DOLocationID.borough")}
-        facts = rollups.facts_from_messages(decoded, more).persist(StorageLevel.MEMORY_AND_DISK)
+        facts = batch_facts(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             outcomes = facts.groupBy("bad").agg(F.count("*").alias("n"))
             # The first job fills the cache the others read.

@@ -3,12 +3,14 @@
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from farebox.operators.rollups import ROLLUPS
 from farebox.plans import streams
 from farebox.plans.workspace import Workspace
 from farebox.session import compilable
 from farebox.sinks import files
 from farebox.sources import testbed, topic
 from farebox.streaming import log
+from farebox.streaming import rollups as rollup_stream
 
 
 def codecs(folder):
@@ -92,3 +94,10 @@ def test_no_stage_is_one_method_too_long_to_compile(spark, sf_dir):
         assert spark.conf.get(key) == "12345"
     finally:
         spark.conf.set(key, old)
+
+
+def test_a_batch_is_held_without_what_nothing_reads(spark, sf_dir):
+    held = rollup_stream.batch_facts(Workspace(spark, sf_dir).topic())
+    assert not {"trip_id", "pickup_ts", "dropoff_ts"} & set(held.columns)
+    for rollup in ROLLUPS.values():
+        assert set(rollup.keys) <= set(held.columns)
