@@ -20,8 +20,8 @@ from farebox.streaming import rollups as rollup_stream
 
 STREAMS: dict[str, Query] = {}
 #: Packed bytes of messages in a micro-batch. A number of files would make batches as small as the files are, and
-#: as many of them as the writer had tasks, each with its jobs, logs and folds.
-BYTES_PER_TRIGGER = 512 << 20
+#: as many of them as the writer had tasks, each with its jobs, logs and folds: a batch logs nearly all keys of a rollup.
+BYTES_PER_TRIGGER = 1 << 30
 
 
 def stream(build: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:

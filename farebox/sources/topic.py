@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.schemas import ENVELOPE, FACT, NUMBERS, WIRE
+from farebox.schemas import ENVELOPE, FACT, FACT_NUMBERS, FACT_TEXTS, NUMBERS, WIRE
 from farebox.storage import listed
 
 TOPIC = "taxi_raw"
@@ -104,6 +104,16 @@ def decode_facts(envelope: DataFrame) -> DataFrame:
     return decoded.select("msg", F.when(missing, top_keys(F.col("text"))).alias("present"), "timestamp")
 
 
+def decode_numbers(envelope: DataFrame) -> DataFrame:
+    """As ``decode_facts``, with numbers as numbers: ``texts`` holds them as text where one is null, which are the
+    only messages that are parsed again."""
+    text = F.col("value").cast("string")
+    decoded = envelope.select(F.from_json(text, FACT_NUMBERS).alias("msg"), text.alias("text"), "timestamp")
+    missing = reduce(or_, [F.col(f"msg.{name}").isNull() for name in NUMBERS])
+    again = {"present": top_keys(F.col("text")), "texts": F.from_json("text", FACT_TEXTS)}
+    return decoded.select("msg", *[F.when(missing, c).alias(name) for name, c in again.items()], "timestamp")
+
+
 def absent(name: str) -> Column:
     """Whether a decoded message has no such number at all; a null is there."""
     return F.col(f"msg.{name}").isNull() & ~F.coalesce(F.array_contains("present", name), F.lit(False))

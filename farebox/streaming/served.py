@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from farebox.operators import rollups
 from farebox.operators.rollups import Rollup
-from farebox.session import checkpointed, written
+from farebox.session import written
 from farebox.storage import PACKED
 from farebox.streaming import log, versions
 
@@ -37,7 +37,8 @@ def _month() -> Column:
 
 
 def _ranges(spark: SparkSession, segments: list[dict]) -> DataFrame:
-    """The ranges as rows; the first of a month reaches down to every key, the last up."""
+    """The ranges as rows; the first of a month reaches down to every key, the last up. Written down, so that
+    Catalyst knows their size: rows of the driver count as a large table, to which the state would be shuffled."""
     rows = []
     by_month: dict[str, list[dict]] = {}
     for s in segments:
@@ -46,11 +47,14 @@ def _ranges(spark: SparkSession, segments: list[dict]) -> DataFrame:
         held.sort(key=lambda s: s["low"])
         lows = ["", *[s["low"] for s in held[1:]]]
         rows += [(s["path"], month, low, up) for s, low, up in zip(held, lows, [*lows[1:], None])]
-    return spark.createDataFrame(rows, _RANGE)
+    return written(spark.createDataFrame(rows, _RANGE).coalesce(1))
 
 
-def _owned(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Rows with month, leading key and the range that owns them, null in a month without ranges."""
+def _owned(rows: DataFrame, ranges: DataFrame | None) -> DataFrame:
+    """Rows with month, leading key and the range that owns them, null in a month without ranges; a table that
+    is new has no ``ranges`` at all."""
+    if ranges is None:
+        return rows.withColumns({c: F.lit(None).cast("string") for c in ("owner", "from_key")})
     inside = (F.col("month") == F.col("of_month")) & (F.col("lead") >= F.col("from_key"))
     inside = inside & (F.col("to_key").isNull() | (F.col("lead") < F.col("to_key")))
     return rows.join(ranges, inside, "left").drop("of_month", "to_key")
@@ -85,9 +89,10 @@ def _replace(
     The driver holds one entry per range.
     """
     schema, lead = versions.schema_of(spark, table), {"month": _month(), "lead": _lead(rollup)}
-    ranges = _ranges(spark, version.segments)
-    wanted = keys.withColumns(lead).select("month", "lead").distinct()
-    touched = {r[0] for r in _owned(wanted, ranges).select("owner").distinct().collect()} if version.segments else set()
+    ranges, touched = None, set()
+    if version.segments:
+        ranges, wanted = _ranges(spark, version.segments), keys.withColumns(lead).select("month", "lead").distinct()
+        touched = {r[0] for r in _owned(wanted, ranges).select("owner").distinct().collect()}
     held = [s for s in version.segments if s["path"] in touched]
     owned = _owned(renewed(versions.read(spark, table, held, schema)).withColumns(lead), ranges)
     slices = written(_slices(owned, rows_per_range))
@@ -117,7 +122,9 @@ def publish(
     if not new:
         return 0
     versions.keep_schema(spark, table, versions.schema_of(spark, source))
-    fresh = checkpointed(rollups.merge(log.batches(spark, source, new), rollup))
+    rows = log.batches(spark, source, new)
+    # One batch has a row per key already.
+    fresh = written(rollups.merge(rows, rollup)) if len(new) > 1 else rows.drop("batch_id")
     # Merged already where no range holds rows of the same keys.
     renewed = (lambda held: rollups.merge(held.unionByName(fresh), rollup)) if version.segments else (lambda _: fresh)
     made = _replace(spark, table, rollup, version, fresh, renewed, new[-1], rows_per_range, keep)
@@ -135,7 +142,7 @@ def upsert(
     """
     version = versions.current(spark, table)
     versions.keep_schema(spark, table, rows.schema)
-    fresh = checkpointed(rows.select(*versions.schema_of(spark, table).names))
+    fresh = written(rows.select(*versions.schema_of(spark, table).names))
     given = fresh.select(*[F.col(c).alias(f"new_{c}") for c in rollup.pk])
     replaced = reduce(and_, [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in rollup.pk])
     renewed = lambda held: held.join(given, replaced, "left_anti").unionByName(fresh)

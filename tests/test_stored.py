@@ -1,15 +1,18 @@
 """How the ingest joins and the stored tables stand at scale."""
 
+import datetime as dt
+
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from farebox.operators import rollups
 from farebox.operators.rollups import ROLLUPS
 from farebox.plans import streams
 from farebox.plans.workspace import Workspace
 from farebox.session import compilable
 from farebox.sinks import files
 from farebox.sources import testbed, topic
-from farebox.streaming import log
+from farebox.streaming import log, served
 from farebox.streaming import rollups as rollup_stream
 
 
@@ -101,3 +104,34 @@ def test_a_batch_is_held_without_what_nothing_reads(spark, sf_dir):
     assert not {"trip_id", "pickup_ts", "dropoff_ts"} & set(held.columns)
     for rollup in ROLLUPS.values():
         assert set(rollup.keys) <= set(held.columns)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_trips_of_a_batch_are_shuffled_once_for_two_rollups(spark, sf_dir):
+    facts = rollups.accepted(rollup_stream.batch_facts(Workspace(spark, sf_dir).topic()))
+    for name, shuffles in (("route", 1), ("vendor", 1), ("pickup_zone", 2), ("borough_time", 2)):
+        plan = _plan(rollups.aggregate(facts, ROLLUPS[name]))
+        assert "REPARTITION_BY_COL" in plan and plan.count("Exchange hashpartitioning") == shuffles
+
+
+def test_ranges_of_a_served_table_have_a_known_size(spark):
+    segments = [{"path": f"p{i}", "month": "2024-01", "low": str(i)} for i in range(3)]
+    ranges = served._ranges(spark, segments)
+    assert ranges._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 20
+    assert [(r.from_key, r.to_key) for r in ranges.orderBy("owner").collect()] == [("", "1"), ("1", "2"), ("2", None)]
+
+
+def test_numbers_parsed_as_numbers_give_the_same_facts(spark):
+    head = '{"trip_id": "t", "tpep_pickup_datetime": "2024-01-05 07:00:00", "tpep_dropoff_datetime": "2024-01-05 07:10:00"'
+    odd = ["1.5", '"2.25"', "null", '"abc"', "NaN", '"NaN"', "true", "1e300", "-0.0", "123456789012345678901", "[1]", "0.0009765625"]
+    texts = [head + f', "fare_amount": {v}, "passenger_count": 1, "VendorID": 2}}' for v in odd]
+    texts += [head + "}", head + ', "mta_tax": 0.5, "tip_amount": "x"}', "no json", head]
+    rows = [(bytearray(t.encode()), dt.datetime(2024, 1, 5)) for t in texts]
+    envelope = spark.createDataFrame(rows, "value binary, timestamp timestamp")
+    quick, slow = (
+        sorted(rollups.facts_from_messages(d(envelope)).toJSON().collect()) for d in (topic.decode_numbers, topic.decode_facts)
+    )
+    assert quick == slow and len(quick) == len(texts)
