@@ -28,8 +28,12 @@ from farebox.session import shuffle_width
 
 DEPTH = 5
 BLOCK_BYTES = 32 << 20
+#: A block lies in rows of so many bytes of text, so that no row of it is large.
+PIECE_BYTES = 1 << 20
 #: Bytes a task turns into grams at a time.
-HELD = 1 << 19
+HELD = 1 << 18
+#: Keys a task gathers before it merges them.
+LOOSE = 1 << 18
 #: A gram and the number of a row in its slice share a word.
 ROW_BITS = 64 - 8 * (DEPTH + 1)
 WORD, GRAM = 0, 1
@@ -79,7 +83,7 @@ class _Tally:
     def add(self, key: np.ndarray, count: np.ndarray) -> None:
         self.parts.append(_tallied(key, count))
         self.loose += len(self.parts[-1][0])
-        if self.loose > 1 << 20:
+        if self.loose > LOOSE:
             self.parts, self.loose = [self.total()], 0
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
@@ -89,27 +93,33 @@ class _Tally:
 
 
 def _blocks(block_bytes: int):
-    """Rows into blocks: one compressed table each."""
+    """Rows into the blocks of a task, numbered: a block is some rows with a compressed table each."""
 
-    def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def packed(block: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             for part in parts:
                 writer.write_batch(part)
-        return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["payload"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "payload"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+        piece_bytes = min(PIECE_BYTES, block_bytes)
+        parts, held, block, filled = [], 0, 0, 0
         for batch in batches:
             at = batch.schema.get_field_index("t")
-            for part in slices(batch, at, block_bytes):
+            for part in slices(batch, at, piece_bytes):
                 parts.append(part)
                 held += len(flat(part.column(at))[0])
-                if held >= block_bytes:
-                    yield packed(parts)
+                if held >= piece_bytes:
+                    yield packed(block, parts)
+                    filled += held
                     parts, held = [], 0
+                    if filled >= block_bytes:
+                        block, filled = block + 1, 0
         if parts:
-            yield packed(parts)
+            yield packed(block, parts)
 
     return run
 
@@ -146,12 +156,39 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _asked(buckets: int):
-    """A block's distinct words and grams with their training counts, in runs by bucket."""
+    """A block's distinct words and grams with their training counts, in runs by bucket.
+
+    A block whose rows meet in several tasks has runs from each of them.
+    """
+
+    def runs(block: int, got: dict[int, _Tally]) -> Iterator[pa.RecordBatch]:
+        for kind in list(got):
+            key, count = got.pop(kind).total()
+            bucket = _bucket(key, buckets)
+            order = np.argsort(bucket, kind="stable")  # keys stay ascending inside a bucket
+            key, count, bucket = key[order], count[order].astype(np.uint64), bucket[order]
+            edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            end = np.append(edge[1:], len(key))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(edge), block)),
+                    pa.array(bucket[edge]),
+                    pa.array(np.full(len(edge), kind, np.int8)),
+                    pa.array((end - edge).astype(np.int32)),
+                    pa.array([_keys_in(key[i:j]) for i, j in zip(edge, end)], pa.binary()),
+                    pa.array([_squeezed(count[i:j]) for i, j in zip(edge, end)], pa.binary()),
+                ],
+                ["block", "bucket", "kind", "size", "keys", "counts"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, got = None, {}
         for batch in batches:
             for block, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = {WORD: _Tally(), GRAM: _Tally()}
+                if block != now:
+                    if got:
+                        yield from runs(now, got)
+                    now, got = block, {WORD: _Tally(), GRAM: _Tally()}
                 for part in _opened(payload):
                     data, bounds = flat(part.column("t"))
                     data = lower(data)
@@ -165,24 +202,8 @@ def _asked(buckets: int):
                     times = np.diff(np.append(first, len(held)))
                     held = held[first]
                     got[GRAM].add(held >> np.uint64(1), times * (held & np.uint64(1)).astype(np.int64))
-                for kind, tally in got.items():
-                    key, count = tally.total()
-                    bucket = _bucket(key, buckets)
-                    order = np.argsort(bucket, kind="stable")  # keys stay ascending inside a bucket
-                    key, count, bucket = key[order], count[order].astype(np.uint64), bucket[order]
-                    edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                    end = np.append(edge[1:], len(key))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(edge), block)),
-                            pa.array(bucket[edge]),
-                            pa.array(np.full(len(edge), kind, np.int8)),
-                            pa.array((end - edge).astype(np.int32)),
-                            pa.array([_keys_in(key[i:j]) for i, j in zip(edge, end)], pa.binary()),
-                            pa.array([_squeezed(count[i:j]) for i, j in zip(edge, end)], pa.binary()),
-                        ],
-                        ["block", "bucket", "kind", "size", "keys", "counts"],
-                    )
+        if got:
+            yield from runs(now, got)
 
     return run
 
@@ -415,10 +436,11 @@ def scored(docs: DataFrame, folds: int = 7, held: int = 2, block_bytes: int = BL
     """
     out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % folds == held, F.lit(False))
     rows = keyed(docs).select("id", (~out).alias("learn"), out.alias("held_out"), "t")
+    number = F.shiftleft(F.spark_partition_id().cast("long"), 32) + F.col("block")
     blocks = stored(
-        rows.mapInArrow(_blocks(block_bytes), "payload binary").select(F.monotonically_increasing_id().alias("block"), "payload")
+        rows.mapInArrow(_blocks(block_bytes), "block long, payload binary").select(number.alias("block"), "payload")
     )
-    buckets = max(blocks.count(), shuffle_width(docs.sparkSession))
+    buckets = max(blocks.select("block").distinct().count(), shuffle_width(docs.sparkSession))
     asked = stored(
         blocks.mapInArrow(
             _asked(buckets), "block long, bucket int, kind byte, size int, keys binary, counts binary"

@@ -104,3 +104,26 @@ def test_empty_and_untrained(spark, empty):
     got = ctw.scored(frame(spark, [(alone, "ab")])).first()
     assert (got.n_tokens, got.n_known, got.train_tokens) == (2, 0, 0)
     assert got.score == pytest.approx(3 * 8 * math.log10(0.5))
+
+
+def test_blocks_lie_in_small_rows(spark, monkeypatch):
+    """No row of a block is large, and blocks in many rows score as blocks of one."""
+    rows = [(i, prose(i, 60)) for i in range(60)]
+    df = frame(spark, rows).coalesce(1)
+    at_once = {r.doc_id: r for r in ctw.scored(df).collect()}
+    monkeypatch.setattr(ctw, "PIECE_BYTES", 4000)
+    texts = df.selectExpr("doc_id AS id", "true AS learn", "false AS held_out", "text AS t")
+    held = texts.mapInArrow(ctw._blocks(12000), "block long, payload binary").toArrow()
+    sizes, of_block = [], Counter()
+    for block, payload in zip(held.column("block").to_pylist(), held.column("payload").combine_chunks()):
+        sizes.append(sum(len(t) for part in ctw._opened(payload) for t in part.column("t").to_pylist()))
+        of_block[block] += 1
+    longest = max(len(t) for _, t in rows)
+    assert sum(sizes) == sum(len(t) for _, t in rows) and max(sizes) < 8000 + longest
+    assert len(of_block) > 1 and max(of_block.values()) > 1
+    in_rows = ctw.scored(df, block_bytes=12000).collect()
+    assert len(in_rows) == 60
+    for r in in_rows:
+        whole = at_once[r.doc_id]
+        assert tuple(r)[:5] == tuple(whole)[:5]
+        assert r.base_score == pytest.approx(whole.base_score) and r.score == pytest.approx(whole.score)
