@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -168,11 +171,36 @@ def reject_reason(record: Column) -> Column:
     return F.element_at(F.transform(F.transform(members, keys), judge), 1)
 
 
+# What a record that is not refused holds, as text. Where none of it is null, all keys are there.
+_LEAVES = (
+    "PULocationID STRUCT<borough: STRING, zone: STRING, LocationID: STRING>, DOLocationID STRUCT<zone: STRING, "
+    "LocationID: STRING>, tpep_pickup_datetime STRING, tpep_dropoff_datetime STRING, VendorID STRING"
+)
+
+
+def _plainly_valid(record: Column, leaves: Column) -> Column:
+    """Whether the leaves alone show that a record breaks no rule; never null.
+
+    Of a repeated key they hold the last value and the rules look at the first. A zone's key comes once in a text
+    without escapes that has its name only four times, as both zones have a LocationID.
+    """
+    ends = [leaves["PULocationID"][c] for c in ("borough", "zone", "LocationID")]
+    ends += [leaves["DOLocationID"][c] for c in ("zone", "LocationID")]
+    ends += [leaves[c] for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime", "VendorID")]
+    once = F.octet_length(F.substring_index(record, "LocationID", 5)) == F.octet_length(record)
+    return reduce(and_, [*[end.isNotNull() for end in ends], ~record.contains("\\"), once])
+
+
 def validate(records: DataFrame, column: str = "value") -> DataFrame:
-    """Adds ``reason`` and ``is_valid``; accepted and rejected are two filters on the latter."""
-    return records.withColumn("reason", reject_reason(F.col(column))).withColumn(
-        "is_valid", F.col("reason").isNull()
-    )
+    """Adds ``reason`` and ``is_valid``; accepted and rejected are two filters on the latter.
+
+    Most records have no null where a rule looks, and one decoding that skips all else shows it. The rest, about a
+    percent of the records, is judged key by key.
+    """
+    leaves = max(records.columns, key=len) + "_"
+    decoded = records.withColumn(leaves, F.from_json(column, _LEAVES))
+    judged = F.when(~_plainly_valid(F.col(column), F.col(leaves)), reject_reason(F.col(column)))
+    return decoded.withColumn("reason", judged).withColumn("is_valid", F.col("reason").isNull()).drop(leaves)
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

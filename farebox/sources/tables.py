@@ -20,13 +20,12 @@ def scan_json_arrays(spark: SparkSession, folder: str, schema: str = WIRE) -> Da
 
     A file that does not decode gives no rows here; ``json_records`` reports it.
     """
-    lines = _array_lines(spark, folder)
-    files = _layouts(lines)
-    cut, open_ = _odd(files)
-    rows = lines.join(files.filter("over_lines OR NOT closed"), "file", "left_anti") if cut or open_ else lines
+    files = written(_layouts(_array_lines(spark, folder)).drop("plain"))
+    cut = _named(files, "over_lines")
+    rows = _array_lines(spark, folder, without=_named(files, "over_lines OR NOT closed"))
     found = rows.filter("bare <> ''").select(F.explode(_held(f"STRUCT<{schema}>")).alias("r"))
     if cut:
-        over = _records_over_lines(lines.join(files.filter("over_lines"), "file", "left_semi"))
+        over = _records_over_lines(_array_lines(spark, folder, only=cut))
         found = found.unionByName(over.filter("record IS NOT NULL").select(F.from_json("record", schema).alias("r")))
     return found.select("r.*")
 
@@ -37,9 +36,9 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
     ``record`` keeps the JSON as written, so a missing key can be told from a null one. A line that
     does not decode gives a row with a null ``record``. Layout ``array`` is one array a file, however it
     is broken into lines; a file whose array never closes has one more row with a null ``record``. Files
-    with whole records on each line are read line by line; in the others records are cut out by their
-    brackets, and if one of those does not decode, the file has rows with a null ``record`` only. Both
-    read a file in as many tasks as it has splits.
+    with whole records on each line are read line by line, and where a line is one record, its text is taken
+    as it stands; in the others records are cut out by their brackets, and if one of those does not decode,
+    the file has rows with a null ``record`` only. All read a file in as many tasks as it has splits.
     """
     if layout == "lines":
         lines = spark.read.option("recursiveFileLookup", True).text(folder)
@@ -47,50 +46,88 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
             F.col("_metadata.file_path").alias("file"),
             F.when(top_keys(F.col("value")).isNotNull(), F.col("value")).alias("record"),
         )
-    lines = _array_lines(spark, folder)
-    files = _layouts(lines)
-    cut, open_ = _odd(files)
-    rows = lines.join(files.filter("over_lines"), "file", "left_anti") if cut else lines
-    found = rows.filter("bare <> ''").select("file", F.explode_outer(_held("STRING")).alias("record"))
+    files = written(_layouts(_array_lines(spark, folder)))
+    cut, mixed = _named(files, "over_lines"), _named(files, "NOT over_lines AND NOT plain")
+    rows = _array_lines(spark, folder, without=cut + mixed)
+    # A string between single quotes, which the counting lets pass, comes out as JSON has it.
+    record = F.when(F.col("bare").contains("'"), F.element_at(_held("STRING"), 1)).otherwise(F.col("bare"))
+    found = rows.filter("bare <> ''").select("file", record.alias("record"))
+    if mixed:
+        rows = _array_lines(spark, folder, only=mixed).filter("bare <> ''")
+        found = found.unionByName(rows.select("file", F.explode_outer(_held("STRING")).alias("record")))
     if cut:
-        found = found.unionByName(_records_over_lines(lines.join(files.filter("over_lines"), "file", "left_semi")))
-    if open_:
-        found = found.unionByName(files.filter("NOT closed").select("file", F.lit(None).cast("string").alias("record")))
-    return found
+        found = found.unionByName(_records_over_lines(_array_lines(spark, folder, only=cut)))
+    return found.unionByName(files.filter("NOT closed").select("file", F.lit(None).cast("string").alias("record")))
 
 
-def _array_lines(spark: SparkSession, folder: str) -> DataFrame:
+def _array_lines(
+    spark: SparkSession, folder: str, only: list[str] | None = None, without: list[str] | None = None
+) -> DataFrame:
     """Lines with their place: file, start of the split, number inside it; ``bare`` is without the array's own
-    brackets and the comma at the end."""
-    text = F.btrim("value")
-    return spark.read.option("recursiveFileLookup", True).text(folder).select(
-        F.col("_metadata.file_path").alias("file"),
+    brackets and the comma at the end. Files that ``only`` does not name, or ``without`` does, are not opened."""
+    lines = spark.read.option("recursiveFileLookup", True).text(folder)
+    file = F.col("_metadata.file_path")
+    if only:
+        lines = lines.filter(file.isin(only))
+    if without:
+        lines = lines.filter(~file.isin(without))
+    return lines.select(
+        file.alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"),
         "value",
-        text.alias("text"),
-        F.regexp_replace(text, r"^\[|[,\]]$", "").alias("bare"),
-    )
+        F.btrim("value").alias("text"),
+    ).withColumn("bare", _bare(F.col("text")))
+
+
+def _bare(text: Column) -> Column:
+    """The text without ``[`` in front and ``,`` or ``]`` at the end.
+
+    Most lines are cut by bytes; the pattern, which costs more than decoding the line does, is for other ends.
+    """
+    front = text.startswith("[").cast("int")
+    end = (text.endswith(",") | text.endswith("]")).cast("int")
+    inner = F.substring(text.cast("binary"), front + 1, F.octet_length(text) - front - end).cast("string")
+    usual = text.endswith(",") | text.endswith("]") | text.endswith("}")
+    return F.when(usual, inner).otherwise(F.regexp_replace(text, r"^\[|[,\]]$", ""))
+
+
+def _listed() -> Column:
+    """A line as an array of its own."""
+    return F.concat(F.lit("["), "bare", F.lit("]"))
 
 
 def _held(element: str) -> Column:
     """The whole records of a line, null if it does not hold whole records."""
-    return F.from_json(F.concat(F.lit("["), "bare", F.lit("]")), f"ARRAY<{element}>")
+    return F.from_json(_listed(), f"ARRAY<{element}>")
 
 
 def _layouts(lines: DataFrame) -> DataFrame:
-    """(file, closed, over_lines): whether its array closes, and whether records span lines."""
-    torn = (F.col("bare") != "") & _held("STRING").isNull()
-    return written(
-        lines.groupBy("file").agg(
-            F.max(F.col("text").endswith("]")).alias("closed"), F.max(torn).alias("over_lines")
-        )
+    """(file, closed, over_lines, plain): whether its array closes, whether records span lines, and whether
+    every line is one object or empty.
+
+    Strict JSON is counted without being decoded; only lines that are none need the lenient parser. A line
+    without ``]`` is an array up to its last character, so that nothing stands behind its object.
+    """
+    counted = lines.select(
+        "file",
+        F.col("text").endswith("]").alias("closes"),
+        "bare",
+        F.when(F.col("bare") != "", F.json_array_length(_listed())).otherwise(0).alias("n"),
+    )
+    torn = F.col("n").isNull() & _held("STRING").isNull()
+    one = (
+        (F.col("n") == 1) & F.col("bare").startswith("{") & F.col("bare").endswith("}") & ~F.col("bare").contains("]")
+    )
+    plain = (F.col("bare") == "") | F.coalesce(one, F.lit(False))
+    return counted.groupBy("file").agg(
+        F.max("closes").alias("closed"), F.max(torn).alias("over_lines"), F.min(plain).alias("plain")
     )
 
 
-def _odd(files: DataFrame) -> tuple[int, int]:
-    """Files with records over lines, files whose array never closes."""
-    return tuple(files.agg(F.count_if("over_lines"), F.count_if(~F.col("closed"))).first())
+def _named(files: DataFrame, which: str) -> list[str]:
+    """Names of the files that a condition holds for. The listing of the folder is on the driver already."""
+    return [r.file for r in files.filter(which).select("file").collect()]
 
 
 def _pieces(line: Column) -> Column:

@@ -266,3 +266,67 @@ def test_arrays_of_indented_records(spark, tmp_path):
     checked = enrich.validate(tables.json_records(spark, str(tmp_path)), "record").withColumn("f", F.regexp_extract("file", r"(\w)\.json", 1))
     stats = {r.source_file: (r.total_records, r.files_processed) for r in enrich.ingest_stats(checked, "f").collect()}
     assert stats == {"a": (300, 1), "b": (0, 0), "c": (20, 1), "d": (0, 0), "e": (300, 1), "ALL": (620, 3)}
+
+
+def test_a_record_alone_on_its_line_is_taken_as_written(spark, tmp_path):
+    """Its text is not written anew; single quotes, several records and arrays on a line are decoded as before."""
+    lines = {
+        "a": ['{"VendorID": 1, "fare": 1.50}', '{"VendorID":2,"zone":"O\'Hare, \\"x\\" é"}'],
+        "b": ["{'VendorID': 3}"],
+        "c": ['{"VendorID": 4}, {"VendorID": 5}', '{"VendorID": 6, "at": [1, {"x": "]"}]}'],
+        "d": ['{"VendorID": 7, "count": NaN}', '{"VendorID": 8}'],
+        "e": ['{"VendorID": 9}', '{"VendorID": 10}],[{"VendorID": 11}'],
+        "f": ['{"VendorID": 12}', '{"VendorID": 13} x'],
+    }
+    for name, rows in lines.items():
+        (tmp_path / f"{name}.json").write_text("[" + ",\n".join(rows) + "]")
+    found = tables.json_records(spark, str(tmp_path)).select(F.regexp_extract("file", r"(\w)\.json", 1).alias("f"), "record").collect()
+    got = {f: sorted((r.record for r in found if r.f == f), key=str) for f in lines}
+    assert got["a"] == sorted(lines["a"]) and got["b"] == ['{"VendorID":3}']
+    assert [json.loads(r)["VendorID"] for r in got["c"]] == [4, 5, 6] and json.loads(got["d"][0])["count"] == "NaN"
+    assert [json.loads(r)["VendorID"] for r in got["e"]] == [10, 9] and got["f"] == [None]
+    typed = tables.scan_json_arrays(spark, str(tmp_path), "VendorID INT").collect()
+    assert sorted(r.VendorID for r in typed) == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]
+
+
+def test_files_that_are_not_asked_for_are_not_opened(spark, tmp_path):
+    odd = tmp_path / "a b%#"
+    odd.mkdir()
+    for i in range(20):
+        (odd / f"{i}.json").write_text('[{"VendorID": 1}]')
+    names = sorted(r.file for r in tables._array_lines(spark, str(tmp_path)).select("file").collect())
+
+    def opened(lines):
+        scan = lines._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return lines.collect(), scan.metrics().apply("numFiles").value()
+
+    rows, files_opened = opened(tables._array_lines(spark, str(tmp_path), only=names[:1]))
+    assert [r.file for r in rows] == names[:1] and files_opened == 1
+    rows, files_opened = opened(tables._array_lines(spark, str(tmp_path), without=names[:1]))
+    assert sorted(r.file for r in rows) == names[1:] and files_opened == 19
+
+
+def test_records_that_only_look_valid_are_judged_by_their_keys(spark):
+    """A zone's key that comes twice counts as it stands first, however the second one is written."""
+    full = json.dumps(FULL)
+    zone, end = json.dumps(FULL["PULocationID"]), json.dumps(FULL["DOLocationID"])
+    cases = [
+        (full, None),
+        ('{"PULocationID": 5, ' + full[1:], "Missing or invalid PULocationID"),
+        ('{"DOLocationID": 5, ' + full[1:], "Missing or invalid DOLocationID"),
+        ('{"PU\\u004cocationID": 5, ' + full[1:], "Missing or invalid PULocationID"),
+        (full[:-1] + ', "PULocationID": null}', None),
+        (full.replace(zone, json.dumps(zone)), None),
+        (full.replace(end, json.dumps(end)), None),
+        (full.replace('"VendorID"', "'VendorID'").replace("1}", "NaN}"), None),
+        (full.replace('"Astoria"', '"LocationID \\\\ LocationID"'), None),
+        (full[:-1], "Missing or invalid PULocationID"),
+        (full + "}", None),
+        (None, "Missing or invalid PULocationID"),
+    ]
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "i int, value string")
+    rows = enrich.validate(df).withColumn("again", enrich.reject_reason(F.col("value"))).collect()
+    assert {r.i: r.reason for r in rows} == {i: reason for i, (_, reason) in enumerate(cases)}
+    assert all(r.reason == r.again and r.is_valid == (r.reason is None) for r in rows)
+    plan = enrich.validate(df).select("is_valid")._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and "VendorID,StringType" in plan
