@@ -60,9 +60,10 @@ def _record_files(ws: Workspace) -> str:
     """Enriched trips as JSON array files, one stem per year, plus one file that is cut off."""
 
     def write(path: str) -> None:
-        records = ws.records()
-        files.write_json_arrays(records.select("stem", "value"), path, "stem", compression="gzip")
-        broken = records.limit(1).select(
+        trips = files.dealt(ws.trips_raw(), "stem")
+        records = enrich.to_messages(trips, ws.zones(), ["trip_id", "stem", "slot", "at"])
+        files.write_json_arrays(records.drop("key", "reason", "trip_id"), path, "stem", compression="gzip")
+        broken = ws.records().limit(1).select(
             F.lit("trips_broken").alias("stem"),
             F.concat(F.lit("["), F.substring("value", 1, 80)).alias("value"),
         )

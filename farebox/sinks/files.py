@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from farebox.functions.scalars import md5_bucket
 from farebox.operators.rollups import Rollup, revenue_view, time_view
-from farebox.session import written
+from farebox.session import shuffle_width, written
 from farebox.sources.topic import KAFKA, TOPIC, TOPIC_PARTITIONS
 from farebox.storage import PACKED
 
 RECORDS_PER_FILE = 100_000
+#: What Spark names the directory of rows without a partition value.
+NO_STEM = "__HIVE_DEFAULT_PARTITION__"
 #: Packed bytes in a row group of the file-backed topic, which no task reads less of: a micro-batch has few files.
 TOPIC_ROW_GROUP = 4 << 20
 
@@ -24,28 +26,46 @@ def write_json_lines(
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
+def dealt(rows: DataFrame, stem: str, per_file: int = RECORDS_PER_FILE) -> DataFrame:
+    """Rows shuffled to the files they are written to: ``slot`` numbers the files of a stem, ``at`` orders a slot.
+
+    A stem has as many slots as leave about three quarters of ``per_file`` to each, and a task gets about one slot, so
+    that none sorts more than it can hold. The place of a row is the hash of all its columns. What is made from a row,
+    like its JSON text, is best made behind this: the text is several times as large. An empty or null stem gets the
+    name its directory has: a column without nulls keeps its order for the writer, which then does not sort again.
+    """
+    most = per_file * 0.75
+    filled = F.coalesce(F.nullif(F.col(stem).cast("string"), F.lit("")), F.lit(NO_STEM))
+    named = rows.withColumn(stem, filled)
+    counted = written(named.groupBy(F.col(stem).alias("of")).agg(F.count("*").alias("n")))
+    sizes = counted.select("of", (F.floor(F.col("n") / most) + 1).alias("slots"))
+    tasks = max(shuffle_width(rows.sparkSession), int((counted.agg(F.sum("n")).first()[0] or 0) / most) + 1)
+    at = F.xxhash64(*rows.columns)
+    placed = named.join(sizes, F.col(stem) == F.col("of")).select(*rows.columns, F.pmod(at, "slots").alias("slot"))
+    return placed.repartition(tasks, stem, "slot").withColumn("at", at)
+
+
 def write_json_arrays(
     records: DataFrame, path: str, stem: str, per_file: int = RECORDS_PER_FILE, compression: str = "none"
 ) -> None:
     """Files that each hold one JSON array of at most ``per_file`` records, one record on a line.
 
-    ``records`` has the columns ``value`` (JSON text without line breaks) and ``stem``. A stem is cut into
-    slots by the hash of the record, as many as leave about three quarters of ``per_file`` to each. Records
-    are shuffled once, to their slot, and sorted there; every ``per_file`` of them are a file, whose first
-    line opens the array and whose last one closes it. Lines are written as they come, so no array is ever
-    held in memory, and a slot that equal records overfill has several files.
+    ``records`` has the columns ``value`` (JSON text without line breaks) and ``stem``, and ``slot`` and ``at`` if
+    it is made from rows that were ``dealt``. Every ``per_file`` records of a slot are a file, whose first line opens
+    the array and whose last one closes it. Lines are written as they come, so no array is ever held in memory, and
+    a slot that equal records overfill has several files.
     """
-    sizes = records.groupBy(F.col(stem).alias("of")).agg((F.floor(F.count("*") / (per_file * 0.75)) + 1).alias("slots"))
-    rows = records.select(stem, "value").join(written(sizes), F.col(stem).eqNullSafe(F.col("of")))
-    slot = F.pmod(F.xxhash64("value"), F.col("slots")).alias("slot")
-    along = Window.partitionBy(stem, "slot").orderBy("value")
-    placed = rows.select(stem, slot, "value").repartition(stem, "slot").select(
-        "*", (F.row_number().over(along) - 1).alias("at"), F.lead(F.lit(1)).over(along).isNull().alias("last")
+    rows = records if "slot" in records.columns else dealt(records.select(stem, "value"), stem, per_file)
+    along = Window.partitionBy(stem, "slot").orderBy("at")
+    placed = rows.select(
+        *(stem, "slot", "at", "value"),
+        (F.row_number().over(along) - 1).alias("row"),
+        F.lead(F.lit(1)).over(along).isNull().alias("last"),
     )
     line = F.concat(
-        F.when(F.col("at") % per_file == 0, "[").otherwise(""),
+        F.when(F.col("row") % per_file == 0, "[").otherwise(""),
         "value",
-        F.when((F.col("at") % per_file == per_file - 1) | F.col("last"), "]").otherwise(","),
+        F.when((F.col("row") % per_file == per_file - 1) | F.col("last"), "]").otherwise(","),
     )
     (
         placed.sortWithinPartitions(stem, "slot", "at")
@@ -53,6 +73,7 @@ def write_json_arrays(
         .write.mode("overwrite")
         .option("maxRecordsPerFile", per_file)
         .option("compression", compression)
+        .option("zlib.compress.level", "BEST_SPEED")
         .partitionBy(stem, "slot")
         .text(path)
     )

@@ -49,9 +49,7 @@ def json_records(spark: SparkSession, folder: str, layout: str = "array") -> Dat
     files = written(_layouts(_array_lines(spark, folder)))
     cut, mixed = _named(files, "over_lines"), _named(files, "NOT over_lines AND NOT plain")
     rows = _array_lines(spark, folder, without=cut + mixed)
-    # A string between single quotes, which the counting lets pass, comes out as JSON has it.
-    record = F.when(F.col("bare").contains("'"), F.element_at(_held("STRING"), 1)).otherwise(F.col("bare"))
-    found = rows.filter("bare <> ''").select("file", record.alias("record"))
+    found = rows.filter("bare <> ''").select("file", F.col("bare").alias("record"))
     if mixed:
         rows = _array_lines(spark, folder, only=mixed).filter("bare <> ''")
         found = found.unionByName(rows.select("file", F.explode_outer(_held("STRING")).alias("record")))
@@ -106,8 +104,9 @@ def _layouts(lines: DataFrame) -> DataFrame:
     """(file, closed, over_lines, plain): whether its array closes, whether records span lines, and whether
     every line is one object or empty.
 
-    Strict JSON is counted without being decoded; only lines that are none need the lenient parser. A line
-    without ``]`` is an array up to its last character, so that nothing stands behind its object.
+    Records are counted without being decoded; only lines that this does not read need the lenient parser. A
+    line without ``]`` is an array up to its last character, so that nothing stands behind its object. Strings
+    between single quotes, which the counting lets pass, are not plain.
     """
     counted = lines.select(
         "file",
@@ -116,10 +115,10 @@ def _layouts(lines: DataFrame) -> DataFrame:
         F.when(F.col("bare") != "", F.json_array_length(_listed())).otherwise(0).alias("n"),
     )
     torn = F.col("n").isNull() & _held("STRING").isNull()
-    one = (
-        (F.col("n") == 1) & F.col("bare").startswith("{") & F.col("bare").endswith("}") & ~F.col("bare").contains("]")
-    )
-    plain = (F.col("bare") == "") | F.coalesce(one, F.lit(False))
+    bare = F.col("bare")
+    strict = ~bare.contains("'") | F.try_parse_json(bare).isNotNull()
+    one = (F.col("n") == 1) & bare.startswith("{") & bare.endswith("}") & ~bare.contains("]") & strict
+    plain = (bare == "") | F.coalesce(one, F.lit(False))
     return counted.groupBy("file").agg(
         F.max("closes").alias("closed"), F.max(torn).alias("over_lines"), F.min(plain).alias("plain")
     )

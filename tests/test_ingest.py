@@ -330,3 +330,24 @@ def test_records_that_only_look_valid_are_judged_by_their_keys(spark):
     assert all(r.reason == r.again and r.is_valid == (r.reason is None) for r in rows)
     plan = enrich.validate(df).select("is_valid")._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN" in plan and "VendorID,StringType" in plan
+
+
+def test_rows_are_dealt_before_their_text_is_made(spark, tmp_path):
+    """Rows go to their files without the text; a task has about a file, and rows without a stem share a folder."""
+    rows = [(f"s{i % 2}", i) for i in range(300)] + [("s1", 7)] * 50 + [(None, 400 + i) for i in range(30)] + [("", 500)]
+    df = spark.createDataFrame(rows, "stem string, id int").repartition(3)
+    dealt = files.dealt(df, "stem", 20)
+    assert set(dealt.columns) == {"stem", "id", "slot", "at"} and dealt.rdd.getNumPartitions() >= len(rows) // 15
+    records = dealt.withColumn("value", F.to_json(F.struct("id", F.lit("x" * 100).alias("pad"))))
+    path = tmp_path / "arrays"
+    files.write_json_arrays(records, str(path), "stem", per_file=20, compression="gzip")
+    arrays = {f: json.loads(gzip.decompress(f.read_bytes())) for f in path.rglob("*.txt.gz")}
+    assert max(map(len, arrays.values())) <= 20 and min(map(len, arrays.values())) > 0
+    got = {}
+    for f, found in arrays.items():
+        got.setdefault(f.relative_to(path).parts[0], []).extend(r["id"] for r in found)
+    want = {}
+    for stem, i in rows:
+        want.setdefault(f"stem={stem or files.NO_STEM}", []).append(i)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert tables.json_records(spark, str(path)).filter("record IS NOT NULL").count() == len(rows)
