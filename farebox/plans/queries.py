@@ -60,7 +60,7 @@ def _record_files(ws: Workspace) -> str:
     """Enriched trips as JSON array files, one stem per year, plus one file that is cut off."""
 
     def write(path: str) -> None:
-        trips = files.dealt(ws.trips_raw(), "stem")
+        trips = files.dealt(ws.trips_raw(), "stem", near=("PULocationID", "DOLocationID"))
         records = enrich.to_messages(trips, ws.zones(), ["trip_id", "stem", "slot", "at"])
         files.write_json_arrays(records.drop("key", "reason", "trip_id"), path, "stem", compression="gzip")
         broken = ws.records().limit(1).select(

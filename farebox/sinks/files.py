@@ -26,13 +26,16 @@ def write_json_lines(
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
-def dealt(rows: DataFrame, stem: str, per_file: int = RECORDS_PER_FILE) -> DataFrame:
+def dealt(
+    rows: DataFrame, stem: str, per_file: int = RECORDS_PER_FILE, near: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows shuffled to the files they are written to: ``slot`` numbers the files of a stem, ``at`` orders a slot.
 
     A stem has as many slots as leave about three quarters of ``per_file`` to each, and a task gets about one slot, so
     that none sorts more than it can hold. The place of a row is the hash of all its columns. What is made from a row,
     like its JSON text, is best made behind this: the text is several times as large. An empty or null stem gets the
     name its directory has: a column without nulls keeps its order for the writer, which then does not sort again.
+    Rows of a slot that are equal in the ``near`` columns lie side by side, and pack better.
     """
     most = per_file * 0.75
     filled = F.coalesce(F.nullif(F.col(stem).cast("string"), F.lit("")), F.lit(NO_STEM))
@@ -42,7 +45,7 @@ def dealt(rows: DataFrame, stem: str, per_file: int = RECORDS_PER_FILE) -> DataF
     tasks = max(shuffle_width(rows.sparkSession), int((counted.agg(F.sum("n")).first()[0] or 0) / most) + 1)
     at = F.xxhash64(*rows.columns)
     placed = named.join(sizes, F.col(stem) == F.col("of")).select(*rows.columns, F.pmod(at, "slots").alias("slot"))
-    return placed.repartition(tasks, stem, "slot").withColumn("at", at)
+    return placed.repartition(tasks, stem, "slot").withColumn("at", F.xxhash64(*(near or rows.columns)))
 
 
 def write_json_arrays(

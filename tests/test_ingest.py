@@ -336,7 +336,9 @@ def test_rows_are_dealt_before_their_text_is_made(spark, tmp_path):
     """Rows go to their files without the text; a task has about a file, and rows without a stem share a folder."""
     rows = [(f"s{i % 2}", i) for i in range(300)] + [("s1", 7)] * 50 + [(None, 400 + i) for i in range(30)] + [("", 500)]
     df = spark.createDataFrame(rows, "stem string, id int").repartition(3)
-    dealt = files.dealt(df, "stem", 20)
+    near = files.dealt(df.withColumn("half", F.col("id") % 2), "stem", 20, ("half",))
+    assert sorted(near.groupBy("half").agg(F.count_distinct("at").alias("n")).collect()) == [(0, 1), (1, 1)]
+    dealt = near.drop("half")
     assert set(dealt.columns) == {"stem", "id", "slot", "at"} and dealt.rdd.getNumPartitions() >= len(rows) // 15
     records = dealt.withColumn("value", F.to_json(F.struct("id", F.lit("x" * 100).alias("pad"))))
     path = tmp_path / "arrays"
